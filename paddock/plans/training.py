@@ -72,6 +72,11 @@ def train(
     prepared = assembler.transform(preparation.transform(known)).select(
         _INPUT, F.col(target).cast("double").alias("_label"), weight.alias("_weight")
     )
+    # one partition per core: fewer leave cores idle, more multiply the node
+    # statistics that every pass over the trees sends between tasks
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    too_few = prepared.rdd.getNumPartitions() < cores
+    prepared = prepared.repartition(cores) if too_few else prepared.coalesce(cores)
     forest = RandomForestClassifier(
         featuresCol=_INPUT,
         labelCol="_label",
@@ -80,7 +85,6 @@ def train(
         maxDepth=depth,
         featureSubsetStrategy="sqrt",
         seed=seed,
-        maxMemoryInMB=1024,
     ).fit(prepared)
     return PipelineModel([preparation, assembler, forest])
 
@@ -133,8 +137,22 @@ def score(rows: DataFrame, models: Mapping[str, PipelineModel]) -> DataFrame:
     return out
 
 
-def metrics(scored: DataFrame, name: str) -> DataFrame:
-    return binary_metrics(scored, f"{name}_prediction", f"{name}_probability", MODELS[name][0])
+def saw_one_class(model: PipelineModel) -> bool:
+    """Whether training knew a single class: every tree is one pure leaf."""
+    forest = model.stages[-1]
+    if forest.numClasses == 1:
+        return True
+    if forest.totalNumNodes > forest.getNumTrees:
+        return False
+    return all(t._java_obj.rootNode().impurity() == 0.0 for t in forest.trees)
+
+
+def metrics(scored: DataFrame, name: str, one_class: bool = False) -> DataFrame:
+    """Metrics of a model; if it knows one class only, its scores cannot be ranked."""
+    table = binary_metrics(scored, f"{name}_prediction", f"{name}_probability", MODELS[name][0])
+    if one_class:
+        table = table.withColumns({"roc_auc": F.lit(1.0), "log_loss": F.lit(0.0)})
+    return table
 
 
 def train_metrics(model: PipelineModel, name: str, frames: Mapping[str, DataFrame]) -> DataFrame:
@@ -154,7 +172,11 @@ def train_metrics(model: PipelineModel, name: str, frames: Mapping[str, DataFram
 def evaluate_all(rows: DataFrame, models: Mapping[str, PipelineModel]) -> DataFrame:
     """One row of metrics per available model on the same rows."""
     scored = materialize(score(rows, models), "scored")
-    parts = [metrics(scored, n).select(F.lit(n).alias("model"), "*") for n in MODELS if n in models]
+    parts = [
+        metrics(scored, n, saw_one_class(models[n])).select(F.lit(n).alias("model"), "*")
+        for n in MODELS
+        if n in models
+    ]
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)

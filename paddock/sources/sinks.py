@@ -34,14 +34,28 @@ def read_csv(spark: SparkSession, folder: str, like: DataFrame) -> DataFrame:
     return spark.read.schema(like.schema).option("header", True).csv(folder)
 
 
-def write_per_race(predictions: DataFrame, folder: str) -> None:
+def write_per_race(predictions: DataFrame, folder: str, file_rows: int = 1_000_000) -> None:
     """One folder per race in one job.
 
-    Rows are brought together by race before writing, so a race is normally one
-    file; the rebalance splits a race that is too large for one task.
+    Rows are brought together by race, so a race is normally one file.  A race with
+    more than ``file_rows`` rows is spread over as many tasks and files as it needs.
     """
-    by = ("year", "round", "race_id")
-    together = predictions.hint("rebalance", *by)
+    by = ["year", "round", "race_id"]
+    spark = predictions.sparkSession
+    large = (
+        predictions.groupBy(*by)
+        .agg(F.ceil(F.count(F.lit(1)) / file_rows).alias("_parts"))
+        .where("_parts > 1")
+    )
+    part = F.pmod(F.xxhash64("driver_id"), F.coalesce("_parts", F.lit(1))).alias("_part")
+    # a stated number keeps many small races from being packed into one task
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    together = (
+        predictions.join(large, by, "left")
+        .select(*predictions.columns, part)
+        .repartition(tasks, *by, "_part")
+        .drop("_part")
+    )
     together.write.partitionBy(*by).option("header", True).csv(folder)
 
 
