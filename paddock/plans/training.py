@@ -85,6 +85,9 @@ def train(
         maxDepth=depth,
         featureSubsetStrategy="sqrt",
         seed=seed,
+        # keep each row's node instead of walking all trees again for every level
+        cacheNodeIds=True,
+        maxMemoryInMB=512,
     ).fit(prepared)
     return PipelineModel([preparation, assembler, forest])
 

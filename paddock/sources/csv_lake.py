@@ -61,48 +61,96 @@ def scan_csv(
     )
 
 
+# Shapes of numbers.  Casting only text of that shape is much cheaper than letting
+# the cast fail on everything else.
+_WHOLE = r"^\s*[+-]?\d+\s*$"
+_NUMBER = r"(?i)^\s*[+-]?(\d+\.?\d*(e[+-]?\d+)?|\.\d+(e[+-]?\d+)?|inf|infinity)\s*$"
+
+
 def _as_type(column: Column, kind: str) -> Column:
+    """The column as a type; NULL where the text is not of that type."""
     if kind in ("int", "bigint"):
+        whole = F.when(column.rlike(_WHOLE), column.try_cast(kind))
         # as in a numeric column that is then cut to whole numbers: "3.0" is 3
-        whole = column.try_cast(kind)
-        return F.coalesce(whole, column.try_cast("double").try_cast(kind))
+        cut = F.when(column.rlike(_NUMBER), column.try_cast("double").try_cast(kind))
+        return F.coalesce(whole, cut)
+    if kind in ("float", "double"):
+        return F.when(column.rlike(_NUMBER), column.try_cast(kind))
     if kind == "boolean":
         lowered = F.lower(column)
         return F.when(lowered == "true", F.lit(True)).when(lowered == "false", F.lit(False))
     return column.try_cast(kind)
 
 
-def typed(raw: DataFrame, hints: Mapping[str, str] | None = None) -> DataFrame:
+def _fits(column: Column, kind: str, hinted: bool) -> Column:
+    """Whether a present value can be read as the type."""
+    if kind == "bigint" and not hinted:
+        # up to 18 digits always fit; longer ones are tried
+        short = column.rlike(r"^\s*[+-]?\d{1,18}\s*$")
+        return short | (column.rlike(_WHOLE) & column.try_cast("bigint").isNotNull())
+    if kind == "double" and not hinted:
+        return column.rlike(_NUMBER)
+    return _as_type(column, kind).isNotNull()
+
+
+def _check(raw: DataFrame, tries: Mapping[str, Sequence[str]], hints: Mapping[str, str]):
+    """One pass: present values per column, rows longer than the header, and for each
+    (column, type) to try the present values that cannot be read as the type."""
+    counts, keys = [F.count(f"`{_EXTRA}`") if _EXTRA in raw.columns else F.lit(0)], [_EXTRA]
+    for name, kinds in tries.items():
+        column = F.col(f"`{name}`")
+        counts.append(F.count(column))
+        keys.append(name)
+        for kind in kinds:
+            fits = _fits(column, kind, hints.get(name) == kind)
+            counts.append(F.count_if(column.isNotNull() & ~fits))
+            keys.append((name, kind))
+    row = raw.agg(*[c.alias(f"c{i}") for i, c in enumerate(counts)]).first()
+    return dict(zip(keys, row))
+
+
+def typed(
+    raw: DataFrame, hints: Mapping[str, str] | None = None, sample: int = 1_000
+) -> DataFrame:
     """Give each text column a type, for the whole column or not at all.
 
     A hinted type is used if every present value can be read as it; otherwise, and
     for columns without a hint, the first of bigint, double, boolean that fits all
-    values; otherwise text.  One pass over the rows decides for all columns.
+    values; otherwise text.  A few rows rule out most types; the first type left is
+    then checked on all rows, for all columns in one pass.
     """
     hints = {k: v for k, v in (hints or {}).items() if k in raw.columns}
     names = [c for c in raw.columns if c != _EXTRA]
-    candidates = {n: [*([hints[n]] if n in hints else []), "bigint", "double", "boolean"] for n in names}
-
-    def failures(name: str, kind: str) -> Column:
-        column = F.col(f"`{name}`")
-        exact = column.try_cast(kind) if name not in hints and kind == "bigint" else _as_type(column, kind)
-        return F.count_if(column.isNotNull() & exact.isNull())
-
-    checks = [failures(n, k).alias(f"{i}_{k}") for i, n in enumerate(names) for k in candidates[n]]
-    checks += [F.count(f"`{n}`").alias(f"{i}_present") for i, n in enumerate(names)]
-    if _EXTRA in raw.columns:
-        checks.append(F.count(_EXTRA).alias("long_rows"))
-    counts = raw.agg(*checks).first().asDict()
-    if counts.get("long_rows"):
-        raise ValueError(f"{counts['long_rows']} rows have more fields than the header")
+    tries = {
+        n: list(dict.fromkeys([hints.get(n, "bigint"), "bigint", "double", "boolean"]))
+        for n in names
+    }
+    few = _check(raw.limit(sample), tries, hints)
+    tries = {n: [k for k in kinds if not few[n, k]] for n, kinds in tries.items()}
+    chosen, present = {}, {}
+    while tries:
+        found = _check(raw, {n: kinds[:1] for n, kinds in tries.items()}, hints)
+        if found[_EXTRA]:
+            raise ValueError(f"{found[_EXTRA]} rows have more fields than the header")
+        left = {}
+        for n, kinds in tries.items():
+            present.setdefault(n, found[n])
+            if not kinds:
+                continue
+            if found[n, kinds[0]] == 0:
+                chosen[n] = kinds[0]
+            else:
+                left[n] = kinds[1:]
+        tries = {n: kinds for n, kinds in left.items() if kinds}
     columns = []
-    for i, n in enumerate(names):
-        fits = [k for k in candidates[n] if counts[f"{i}_{k}"] == 0 and counts[f"{i}_present"]]
-        if n in hints and hints[n] not in fits and counts[f"{i}_present"]:
+    for n in names:
+        kind = chosen.get(n, "string")
+        if not present[n]:
+            kind = hints.get(n, "string")
+        elif n in hints and kind != hints[n]:
             log.warning("column %s cannot be read as %s", n, hints[n])
-        kind = fits[0] if fits else (hints.get(n, "string") if not counts[f"{i}_present"] else "string")
         column = F.col(f"`{n}`")
-        columns.append((column.cast("string") if kind == "string" else _as_type(column, kind)).alias(n))
+        columns.append((column if kind == "string" else _as_type(column, kind)).alias(n))
     return raw.select(*columns)
 
 

@@ -31,7 +31,9 @@ def write_csv(df: DataFrame, folder: str) -> None:
 
 def read_csv(spark: SparkSession, folder: str, like: DataFrame) -> DataFrame:
     """Read a CSV folder back under the schema of ``like``."""
-    return spark.read.schema(like.schema).option("header", True).csv(folder)
+    return (
+        spark.read.schema(like.schema).option("header", True).csv(folder).select(*like.columns)
+    )
 
 
 def write_per_race(predictions: DataFrame, folder: str, file_rows: int = 1_000_000) -> None:
