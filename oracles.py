@@ -744,6 +744,16 @@ SELECT target_dnf AS actual, dnf_prediction AS prediction, dnf_probability AS pr
     }
     for name in ("win_driver_form", "win_constructor_form", "win_driver_circuit", "roc_auc"):
         finals[f"{name}_chunked"] = finals[name]
+    finals["warehouse_features"] = finals["fct_features_pre_race"]
+    blocks = {
+        "fct_results": "fact", "fct_qualifying": "qclean", "dim_driver": "driver_dim",
+        "dim_constructor": "team_dim", "dim_circuit": "circuit_dim", "dim_race": "race_dim",
+        "fct_features_pre_race": "features",
+    }
+    finals["warehouse_build"] = " UNION ALL ".join(
+        f"SELECT '{mart}' AS mart, count(*) AS n_rows FROM {block}"
+        for mart, block in blocks.items()
+    )
     finals["feature_scan_ordered"] = finals["fct_features_pre_race"]
     finals["features_qualifying_last"] = finals["fct_features_pre_race"]
     return {name: sql(final) for name, final in finals.items()}

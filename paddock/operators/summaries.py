@@ -21,7 +21,8 @@ def top_per_race(
     rows sends at most ``k`` rows per task.
     """
     order = Window.partitionBy(race).orderBy(F.col(score).desc_nulls_last(), F.col(tie))
-    return df.withColumn("rank", F.row_number().over(order).cast("long")).where(F.col("rank") <= k)
+    ranked = df.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    return ranked.withColumn("rank", F.col("rank").cast("long"))
 
 
 def top_overall(df: DataFrame, score: str, k: int = 10, ties: Sequence[str] = ()) -> DataFrame:

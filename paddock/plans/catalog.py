@@ -7,6 +7,7 @@ feature table, the trained models) are stored once per session and input folder.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 from paddock.functions import scalars
 from paddock.operators import drift, metrics, preprocess, quality, splits, summaries
 from paddock.plans import features as ft
-from paddock.plans import marts, reports, training
+from paddock.plans import marts, reports, training, warehouse
 from paddock.plans.staging import NAMES, stage
 from paddock.scratch import materialize, new_path
 from paddock.sources import binding, csv_lake, lake, schemas, sinks, toy
@@ -311,6 +312,29 @@ def fct_features_pre_race(spark, folder):
     return ft.features(_lake(spark, folder), WINDOWS, binding.TOP_K, unique_qualifying=True)
 
 
+def _build(spark, folder) -> dict:
+    target = new_path(spark, "warehouse")
+    return warehouse.build(
+        spark, _lake(spark, folder), target, WINDOWS, binding.TOP_K, unique_qualifying=True
+    )
+
+
+@_query
+def warehouse_build(spark, folder):
+    """All seven marts written as tables, with their row counts."""
+    counts = [
+        table.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("mart"), "n_rows")
+        for name, table in _build(spark, folder).items()
+    ]
+    return reduce(DataFrame.union, counts)
+
+
+@_query
+def warehouse_features(spark, folder):
+    """The feature table as the last mart of the build, laid out by year."""
+    return _build(spark, folder)["fct_features_pre_race"]
+
+
 @_query
 def features_qualifying_last(spark, folder):
     """The same table without the promise of unique qualifying rows."""

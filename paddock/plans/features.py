@@ -7,7 +7,7 @@ team-mate's row of the same race.  ``features_strict`` looks only at earlier rac
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -76,27 +76,63 @@ def qualifying_positions(lake: Lake) -> DataFrame:
     return rows.drop("constructor_id")
 
 
+# what the feature plans need of the results fact, with the race's date
+SOURCE = (
+    "result_id", "race_id", "driver_id", "constructor_id", "circuit_id", "year", "round",
+    "race_date", "grid_position", "finish_position_order", "points", "laps",
+)
+
+
+def _source_columns(*extra: str) -> list:
+    """Flags are kept as 0/1, so that the windows read them as they are."""
+    return [
+        *SOURCE,
+        as_number(F.col("is_top_10")).alias("is_top_10"),
+        as_number(F.col("is_dnf")).alias("is_dnf"),
+        (F.col("finish_position_order") - F.col("grid_position")).alias("positions_gained"),
+        *extra,
+    ]
+
+
 def source_rows(
     lake: Lake, top_k: int = TOP_K, unique_qualifying: bool = False
 ) -> DataFrame:
-    """What the feature plans need of the results fact, with the race's date.
+    """Result rows for the feature plans, straight from the lake.
 
-    The date comes with the enriched rows, which have already met their race.  Flags
-    are kept as 0/1 so that the windows read them as they are.  If the caller
-    guarantees one qualifying row per race and driver, the position is joined here,
-    where the rows already lie by race and driver; otherwise ``features`` joins it
+    The date comes with the enriched rows, which have already met their race.  If the
+    caller guarantees one qualifying row per race and driver, the position is joined
+    first, on the keys the results already lie by.  Otherwise ``features`` joins it
     last, because extra qualifying rows must not count in any window.
     """
-    rows = results_enriched(lake, top_k).select(
-        "result_id", "race_id", "driver_id", "constructor_id", "circuit_id", "year", "round",
-        "race_date", "grid_position", "finish_position_order", "points", "laps",
-        as_number(F.col("is_top_10")).alias("is_top_10"),
-        as_number(F.col("is_dnf")).alias("is_dnf"),
-        (F.col("finish_position_order") - F.col("grid_position")).alias("positions_gained"),
+    if not unique_qualifying:
+        return results_enriched(lake, top_k).select(*_source_columns())
+    # a result keeps only races and drivers that exist, and so does its qualifying row
+    known = stage("constructors", lake["constructors"]).select("constructor_id")
+    qualifying = (
+        stage("qualifying", lake["qualifying"])
+        .join(known, "constructor_id", "left_semi")
+        .select("race_id", "driver_id", "qualifying_position")
+    )
+    results = stage("results", lake["results"]).join(
+        qualifying, ["race_id", "driver_id"], "left"
     )
-    if unique_qualifying:
-        rows = rows.join(qualifying_positions(lake), ["race_id", "driver_id"], "left")
-    return rows
+    enriched = results_enriched(lake, top_k, results, ["qualifying_position"])
+    return enriched.select(*_source_columns("qualifying_position"))
+
+
+def rows_of_marts(
+    results: DataFrame,
+    races: DataFrame,
+    qualifying: DataFrame,
+    unique_qualifying: bool = False,
+) -> DataFrame:
+    """The same rows from stored facts and the race dimension."""
+    rows = results.join(races.select("race_id", "race_date"), "race_id")
+    if not unique_qualifying:
+        return rows.select(*_source_columns())
+    positions = qualifying.select("race_id", "driver_id", "qualifying_position")
+    rows = rows.join(positions, ["race_id", "driver_id"], "left")
+    return rows.select(*_source_columns("qualifying_position"))
 
 
 @dataclass(frozen=True)
@@ -241,34 +277,47 @@ def features(
     top_k: int = TOP_K,
     unique_qualifying: bool = False,
     rows: DataFrame | None = None,
+    dims: Mapping[str, DataFrame] | None = None,
 ) -> DataFrame:
     """One row per result with 24 features; published semantics.
 
     The result rows are stored once and feed the dimensions and all windows.  Each
     window sits next to the dimension join on the same key, and the circuit window
-    reuses the driver partitioning, so the rows are shuffled twice.
+    reuses the driver partitioning, so the rows are shuffled twice.  ``rows`` and the
+    dimensions (``driver``, ``constructor``, ``circuit``) may be stored tables.
     """
     if rows is None:
         rows = materialize(source_rows(lake, top_k, unique_qualifying), "result_rows")
-    drivers = driver_dim(lake, rows).selectExpr(
+    total = rows.count()
+    if dims is None:
+        dims = {
+            "driver": driver_dim(lake, rows),
+            "constructor": constructor_dim(lake, rows),
+            "circuit": circuit_dim(lake, rows),
+        }
+        if total > windows.chunk_rows:
+            # stored, their true size decides between broadcast and shuffle before the
+            # long side is planned; an aggregate would be taken to be as large as it
+            dims = {name: materialize(dim, name) for name, dim in dims.items()}
+    drivers = dims["driver"].selectExpr(
         "driver_id",
         "total_races AS driver_career_races",
         "top_10_rate AS driver_career_top10_rate",
         "dnf_rate AS driver_career_dnf_rate",
         "wins AS driver_career_wins",
     )
-    constructors = constructor_dim(lake, rows).selectExpr(
+    constructors = dims["constructor"].selectExpr(
         "constructor_id",
         "total_race_entries AS constructor_career_entries",
         "top_10_rate AS constructor_career_top10_rate",
         "dnf_rate AS constructor_career_dnf_rate",
     )
-    circuits = circuit_dim(lake, rows).selectExpr(
+    circuits = dims["circuit"].selectExpr(
         "circuit_id",
         "avg_dnf_rate AS circuit_avg_dnf_rate",
         "times_hosted AS circuit_times_hosted",
     )
-    needed, total = rows.drop("laps", "finish_position_order"), rows.count()
+    needed = rows.drop("laps", "finish_position_order")
     out = constructor_form(needed, windows, needed, total)
     out = out.join(constructors, "constructor_id", "left")
     out = driver_form(out, windows, needed, total)

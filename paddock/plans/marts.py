@@ -7,7 +7,7 @@ Spark broadcasts a side only if its size, known or measured at run time, is unde
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,33 +29,43 @@ Lake = Mapping[str, DataFrame]
 TOP_K = 10
 
 
-def results_enriched(lake: Lake, top_k: int = TOP_K) -> DataFrame:
-    """Results with race, circuit, driver, constructor and status; unmatched rows vanish."""
-    races = stage("races", lake["races"]).select(
-        "race_id", "year", "round", "race_name", "race_date", "circuit_id"
+def results_enriched(
+    lake: Lake,
+    top_k: int = TOP_K,
+    results: DataFrame | None = None,
+    extra: Sequence[str] = (),
+) -> DataFrame:
+    """Results with race, circuit, driver, constructor and status; unmatched rows vanish.
+
+    Circuits are joined to the races, which are far fewer than the results, so the
+    results are never shuffled by circuit.  ``results`` may be staged rows that carry
+    ``extra`` columns.
+    """
+    circuits = stage("circuits", lake["circuits"]).selectExpr(
+        "circuit_id", "circuit_name", "country AS circuit_country"
     )
-    drivers = stage("drivers", lake["drivers"]).select(
+    races = (
+        stage("races", lake["races"])
+        .select("race_id", "year", "round", "race_name", "race_date", "circuit_id")
+        .join(circuits, "circuit_id")
+    )
+    drivers = stage("drivers", lake["drivers"]).selectExpr(
         "driver_id",
         "driver_code",
-        F.col("full_name").alias("driver_name"),
-        F.col("nationality").alias("driver_nationality"),
+        "full_name AS driver_name",
+        "nationality AS driver_nationality",
     )
-    constructors = stage("constructors", lake["constructors"]).select(
-        "constructor_id",
-        "constructor_name",
-        F.col("nationality").alias("constructor_nationality"),
-    )
-    circuits = stage("circuits", lake["circuits"]).select(
-        "circuit_id", "circuit_name", F.col("country").alias("circuit_country")
+    constructors = stage("constructors", lake["constructors"]).selectExpr(
+        "constructor_id", "constructor_name", "nationality AS constructor_nationality"
     )
+    if results is None:
+        results = stage("results", lake["results"])
     return (
-        stage("results", lake["results"])
-        .drop("driver_number", "finish_position_text")
-        .join(races, "race_id")
+        results.drop("driver_number", "finish_position_text")
         .join(drivers, "driver_id")
         .join(constructors, "constructor_id")
-        .join(circuits, "circuit_id")
         .join(stage("status", lake["status"]), "status_id")
+        .join(races, "race_id")
         .withColumn("is_top_10", at_most(F.col("finish_position_order"), top_k))
         .withColumn("is_dnf", did_not_finish(F.col("status_description")))
         .select(
@@ -67,7 +77,7 @@ def results_enriched(lake: Lake, top_k: int = TOP_K) -> DataFrame:
             "grid_position", "finish_position", "finish_position_order",
             "points", "laps", "finish_time", "finish_time_ms",
             "fastest_lap", "fastest_lap_rank", "fastest_lap_time", "fastest_lap_speed",
-            "status_id", "status_description", "is_top_10", "is_dnf",
+            "status_id", "status_description", "is_top_10", "is_dnf", *extra,
         )
     )
 
