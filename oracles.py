@@ -426,7 +426,8 @@ _ACCURACY = (
 def _race_measures(top: str, dnf: str) -> str:
     return (
         f"count(*) AS drivers, count(*) FILTER ({top}) AS predicted_top10, "
-        f"count(*) FILTER ({dnf}) AS predicted_dnf, avg(dnf_probability) AS avg_dnf_probability, "
+        f"count(*) FILTER ({dnf}) AS predicted_dnf, "
+        "round(avg(dnf_probability), 9) AS avg_dnf_probability, "
         f"{_right(top, 'target_top_10')} AS top10_accuracy, "
         f"{_right(dnf, 'target_dnf')} AS dnf_accuracy"
     )
@@ -649,7 +650,7 @@ FROM (SELECT year, round, arg_min(race_id, result_id) AS race_id,
 JOIN races n ON n.race_id = f.race_id JOIN circuits c ON c.circuit_id = f.circuit_id""",
         "race_summary": f"""
 SELECT race_id, year, round, {_race_measures('top10_prediction', 'dnf_prediction')},
-  avg(top10_probability) AS avg_top10_probability FROM scored GROUP BY race_id, year, round""",
+  round(avg(top10_probability), 9) AS avg_top10_probability FROM scored GROUP BY race_id, year, round""",
         "race_panel": f"""
 SELECT race_id, {_race_measures("(final_prediction = 'Top-10')", "(final_prediction = 'DNF')")}
 FROM ({_PANEL}) GROUP BY race_id""",

@@ -620,14 +620,20 @@ def race_selector(spark, folder):
     return summaries.race_selector(_features(spark, folder), names, circuits, 2000)
 
 
+def _rounded(df: DataFrame, *columns: str) -> DataFrame:
+    """Means of fractions depend on the order of addition in their last digits."""
+    return df.withColumns({c: F.round(c, 9) for c in columns})
+
+
 @_query
 def race_summary(spark, folder):
-    return summaries.race_summary(_scored(spark, folder))
+    table = summaries.race_summary(_scored(spark, folder))
+    return _rounded(table, "avg_top10_probability", "avg_dnf_probability")
 
 
 @_query
 def race_panel(spark, folder):
-    return summaries.race_panel(_scored(spark, folder))
+    return _rounded(summaries.race_panel(_scored(spark, folder)), "avg_dnf_probability")
 
 
 @_query

@@ -92,12 +92,14 @@ def train(
     return PipelineModel([preparation, assembler, forest])
 
 
-def importances(model: PipelineModel, columns: Sequence[str] = FEATURES) -> DataFrame:
-    """(feature, importance), most important first."""
+def importances(
+    model: PipelineModel, columns: Sequence[str] = FEATURES, k: int | None = None
+) -> DataFrame:
+    """(feature, importance), most important first; the first ``k`` if given."""
     spark = SparkSession.active()
     values = model.stages[-1].featureImportances.toArray().tolist()
     pairs = sorted(zip(columns, values), key=lambda pair: (-pair[1], pair[0]))
-    return spark.createDataFrame(pairs, "feature string, importance double")
+    return spark.createDataFrame(pairs[:k], "feature string, importance double")
 
 
 def save(model: PipelineModel, folder: str, name: str) -> str:

@@ -49,7 +49,8 @@ def write_per_race(predictions: DataFrame, folder: str, file_rows: int = 1_000_0
         .agg(F.ceil(F.count(F.lit(1)) / file_rows).alias("_parts"))
         .where("_parts > 1")
     )
-    part = F.pmod(F.xxhash64("driver_id"), F.coalesce("_parts", F.lit(1))).alias("_part")
+    whole_row = F.xxhash64(*predictions.columns)
+    part = F.pmod(whole_row, F.coalesce("_parts", F.lit(1))).alias("_part")
     # a stated number keeps many small races from being packed into one task
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     together = (

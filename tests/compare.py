@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import os
 import sys
 import time
 from pathlib import Path
@@ -17,18 +18,22 @@ TABLES = (
 ).split()
 
 
+# significant digits compared of a double; 17 is bit for bit
+DIGITS = int(os.environ.get("COMPARE_DIGITS", "17"))
+
+
 def plain(value):
-    """A comparable form: whole floats as ints, others to 12 significant digits."""
+    """A comparable form: numbers by value, whatever their type."""
     if value is None or isinstance(value, bool):
         return str(value)
     if isinstance(value, float):
         if math.isnan(value):
             return "nan"
-        return f"{value:.12g}"
+        return f"{value:.{DIGITS}g}"
     if isinstance(value, int):
-        return f"{float(value):.12g}" if abs(value) < 2**53 else str(value)
+        return f"{float(value):.{DIGITS}g}" if abs(value) < 2**53 else str(value)
     try:
-        return f"{float(value):.12g}" if type(value).__name__ == "Decimal" else str(value)
+        return f"{float(value):.{DIGITS}g}" if type(value).__name__ == "Decimal" else str(value)
     except ValueError:
         return str(value)
 
