@@ -210,11 +210,12 @@ def binary_metrics(
         positive.alias("positive_rate"),
         F.count(F.lit(1)).alias("n_rows"),
     )
-    one_class = F.col("positive_rate").isin(0.0, 1.0)
     area = roc_auc(df, probability, actual, chunk_rows)
-    # both sides are a single row
-    joined = flat.withColumn("_one", F.lit(1)).join(area.withColumn("_one", F.lit(1)), "_one")
-    return joined.select(
+    # two rows, each with its own columns, become one
+    both = flat.unionByName(area, allowMissingColumns=True)
+    row = both.agg(*[F.max(c).alias(c) for c in both.columns])
+    one_class = F.col("positive_rate").isin(0.0, 1.0)
+    return row.select(
         "accuracy",
         "roc_auc",
         F.when(one_class, F.lit(0.0)).otherwise(F.col("log_loss")).alias("log_loss"),

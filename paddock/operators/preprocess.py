@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from paddock.operators.drift import value_counts
@@ -87,11 +87,8 @@ def class_weights(df: DataFrame, label: str) -> DataFrame:
     sizes = df.where(F.col(label).isNotNull()).groupBy(F.col(label).alias("label")).agg(
         F.count(F.lit(1)).alias("n_rows")
     )
-    totals = sizes.agg(
-        F.sum("n_rows").cast("double").alias("_n"), F.count(F.lit(1)).alias("_classes")
-    ).withColumn("_one", F.lit(1))
-    return (
-        sizes.withColumn("_one", F.lit(1))
-        .join(totals, "_one")
-        .select("label", "n_rows", (F.col("_n") / (F.col("_classes") * F.col("n_rows"))).alias("weight"))
-    )
+    # one row per class
+    classes = Window.partitionBy(F.lit(0))
+    rows = F.sum("n_rows").over(classes).cast("double")
+    weight = rows / (F.count(F.lit(1)).over(classes) * F.col("n_rows"))
+    return sizes.select("label", "n_rows", weight.alias("weight"))

@@ -134,7 +134,7 @@ def yearly_trend(df: DataFrame) -> DataFrame:
 
 def dataset_overview(df: DataFrame, drivers: DataFrame) -> DataFrame:
     """One row: races, results, year range, drivers of the dimension."""
-    # races first per (race, year): no task ever holds the distinct races
+    # races first: no task ever holds the distinct races
     results = (
         df.groupBy("race_id")
         .agg(F.count(F.lit(1)).alias("n"), F.min("year").alias("lo"), F.max("year").alias("hi"))
@@ -143,10 +143,11 @@ def dataset_overview(df: DataFrame, drivers: DataFrame) -> DataFrame:
             F.sum("n").alias("results"),
             F.concat_ws("-", F.min("lo"), F.max("hi")).alias("years"),
         )
-        .withColumn("_one", F.lit(1))
     )
-    total = drivers.agg(F.count(F.lit(1)).alias("drivers")).withColumn("_one", F.lit(1))
-    return results.join(total, "_one").drop("_one")
+    total = drivers.agg(F.count(F.lit(1)).alias("drivers"))
+    # two rows, each with its own columns, become one
+    both = results.unionByName(total, allowMissingColumns=True)
+    return both.agg(*[F.max(c).alias(c) for c in both.columns])
 
 
 def dim_extracts(drivers: DataFrame, circuits: DataFrame, races: DataFrame) -> DataFrame:
