@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from paddock.llm import exact_dedup, packing, quality_rules, source_mix
+from paddock.llm import exact_dedup, minhash_dedup, packing, quality_rules, source_mix
 from paddock.scratch import materialize
 
 
@@ -22,6 +22,11 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact_dedup.drop_copies(docs)
 
 
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group with similar five-word shingles."""
+    return minhash_dedup.drop_near_copies(docs)
+
+
 def weigh(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents repeated or left out by the weights of their sources, in random order."""
     return source_mix.mix(docs).select("row.*")
@@ -35,6 +40,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [
     ("quality rules", quality),
     ("exact dedup", exact),
+    ("near dedup", near),
     ("source weights", weigh),
     ("packing", pack),
 ]

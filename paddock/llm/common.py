@@ -40,14 +40,14 @@ def run_of(tag: Column) -> Column:
     return F.shiftright(tag, _RUN_BITS)
 
 
-def attach(many: DataFrame, one: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Inner join of a table with ``tag`` to a table with unique, non-null ``keys``.
+def attach(many: DataFrame, one: DataFrame, keys: Sequence[str], tag: str = "tag") -> DataFrame:
+    """Inner join of a table with tags to a table with unique, non-null ``keys``.
 
     A key may hold any share of ``many``.  It first meets ``one`` once for each input
-    partition, then spreads over the rows of that partition, so that no task gets more
-    rows of a key than there are partitions, or rows in one of them.
+    partition that its tags name, then spreads over the rows of that partition, so that no
+    task gets more rows of a key than there are partitions, or rows in one of them.
     """
     keys = list(keys)
-    salted = many.withColumn("_run", run_of(F.col("tag")))
+    salted = many.withColumn("_run", run_of(F.col(tag)))
     spread = salted.select("_run", *keys).distinct().join(one, keys)
     return salted.join(spread, ["_run", *keys]).drop("_run")

@@ -107,6 +107,25 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM measured
 """
 
+OP4 = r"""
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS h
+  FROM pages
+), d AS (
+  SELECT page_id, payload_bytes, h,
+         array_to_string(list_transform(range(0, 8), lambda g: array_to_string(list_transform([15, 10, 5, 0],
+           lambda s: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+             ((('0x' || substr(h, CAST(5 * g + 1 AS INTEGER), 5))::INTEGER >> s) & 31) + 1, 1)), '')), '')
+           AS payload_digest,
+         min(page_id) OVER (PARTITION BY h) AS first
+  FROM p
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM d
+"""
+
 OP6 = r"""
 WITH u AS (
   SELECT page_id,
@@ -154,9 +173,41 @@ SELECT doc_id, source, n_copies, copy, md5('mix-1:order:' || doc_id || ':' || co
 FROM x
 """
 
+# Classes by equal shingle sets, links by full Jaccard similarity, components by reach.
+OP9 = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words FROM documents
+), s AS (
+  SELECT doc_id, CASE WHEN len(words) = 0 THEN [] WHEN len(words) = 1 THEN words
+           ELSE list_sort(list_distinct(list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1])))
+           END AS shingles FROM w
+), c AS MATERIALIZED (
+  SELECT shingles, len(shingles) AS n, min(doc_id) AS class_id, count(*) AS members
+  FROM s WHERE len(shingles) > 0 GROUP BY shingles
+), e AS (SELECT class_id, n, unnest(shingles) AS shingle FROM c
+), pairs AS MATERIALIZED (
+  SELECT a.class_id AS a, b.class_id AS b
+  FROM e a JOIN e b ON a.shingle = b.shingle AND a.class_id < b.class_id
+  WHERE 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+  GROUP BY a.class_id, b.class_id, a.n, b.n
+  HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))
+), links AS MATERIALIZED (SELECT a, b FROM pairs UNION SELECT b, a FROM pairs
+), reach AS (
+  SELECT class_id AS node, class_id AS start FROM c
+  UNION
+  SELECT links.b, reach.start FROM reach JOIN links ON links.a = reach.node
+), least_of AS (SELECT node AS class_id, min(start) AS component_id FROM reach GROUP BY node)
+SELECT s.doc_id, len(s.shingles) AS n_shingles, coalesce(component_id, s.doc_id) AS component_id,
+       s.doc_id = coalesce(component_id, s.doc_id) AS kept
+FROM s LEFT JOIN c USING (shingles) LEFT JOIN least_of USING (class_id)
+"""
+
 ORACLES = {
     "op1_exact_dedup": OP1,
     "op3_quality_rules": OP3,
+    "op4_warc": OP4,
     "op6_url_filter": OP6,
     "op8_source_mix": OP8,
+    "op9_minhash_dedup": OP9,
 }

@@ -7,7 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, packing, quality_rules, source_mix, url_filter
+from paddock.scratch import materialize, new_path
+
+from . import (
+    exact_dedup,
+    minhash_dedup,
+    packing,
+    quality_classifier,
+    quality_rules,
+    secret_scan,
+    source_mix,
+    substring_dedup,
+    url_filter,
+    warc,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -37,6 +50,16 @@ def op1_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@_query
+def op2_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Passages of 15 words and more in chunks that come earlier in the corpus."""
+    found = substring_dedup.passages(_table(spark, folder, "documents"))
+    return found.select(
+        F.col("id").alias("doc_id"), F.col("start").alias("start_byte"), F.col("end").alias("end_byte"),
+        "n_words", "n_chunks", F.col("first_ids").alias("first_doc_ids"),
+    )
+
+
 @_query
 def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     """Base counts and the verdict by limits of each language and source."""
@@ -46,6 +69,32 @@ def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@_query
+def op4_warc(spark: SparkSession, folder: str) -> DataFrame:
+    """Pages written to archives and read back by byte ranges."""
+    archives = new_path(spark, "warc")
+    warc.write(_table(spark, folder, "pages"), archives)
+    records = materialize(warc.read(spark, archives, with_payload=False), "records")
+
+    def page(name: str):
+        return F.nullif(F.split(name, ":")[2], F.lit("")).cast("long")
+
+    return warc.resolved(records).select(
+        page("record_id").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        page("refers_to").alias("refers_to"),
+    )
+
+
+@_query
+def op5_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality of every document, learned from the labels that are not held out."""
+    docs = _table(spark, folder, "documents")
+    return quality_classifier.score(docs, quality_classifier.fit(docs, _table(spark, folder, "labels")))
+
+
 @_query
 def op6_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     """Rules, then the sites of the corpus with a spam word in their name."""
@@ -53,6 +102,30 @@ def op6_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.judge(pages, url_filter.sites_with(pages, SPAM_LABELS))
 
 
+@_query
+def op7_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Secrets of every document, from a ledger that starts empty."""
+    found, _ = secret_scan.scan(_table(spark, folder, "documents"))
+    base = [r.name for r in secret_scan.BASE]
+
+    def listed(spans):
+        parts = F.transform(
+            spans,
+            lambda f: F.concat_ws(":", F.split(f["rule"], "@")[0], f["start"].cast("string"), f["end"].cast("string")),
+        )
+        return F.array_join(parts, ",")
+
+    def number(name: str):
+        return F.size(F.filter("found", lambda f: f["rule"] == name)).cast("long")
+
+    return found.select(
+        F.col("id").alias("doc_id"),
+        *[number(r.name).alias(f"n_{r.kind}") for r in secret_scan.BASE],
+        F.sha2(listed(F.filter("found", lambda f: f["rule"].isin(base))), 256).alias("base_sha256"),
+        listed(F.col("found")).alias("spans"),
+    )
+
+
 @_query
 def op8_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     """As many rows as documents, sources weighed by the square root of their rows."""
@@ -63,6 +136,14 @@ def op8_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@_query
+def op9_minhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Components of documents whose two-word shingles are similar by 0.8 or more."""
+    return minhash_dedup.cluster(_table(spark, folder, "documents"), width=2).select(
+        F.col("id").alias("doc_id"), "n_shingles", "component_id", "kept"
+    )
+
+
 @_query
 def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     """Sequences of 1,024 words; one row for each piece of a document."""

@@ -38,8 +38,10 @@ def rates(
     if weights is None:
         weighed = counts.withColumn("weight", F.pow(F.col("rows").cast("double"), F.lit(FLATTEN)))
     else:
-        given = F.create_map(*[F.lit(x) for pair in weights.items() for x in pair])
-        weighed = counts.withColumn("weight", F.coalesce(given[F.col("source")], F.lit(0.0)).cast("double"))
+        weight = F.lit(0.0)
+        for name, value in weights.items():
+            weight = F.when(F.col("source") == name, float(value)).otherwise(weight)
+        weighed = counts.withColumn("weight", weight)
     stored = materialize(weighed, "source_weights")
     sums = stored.agg(F.sum("weight").alias("weight"), F.sum("rows").alias("rows")).first()
     wanted = (sums["rows"] or 0) if total is None else total
