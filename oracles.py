@@ -8,6 +8,9 @@ from __future__ import annotations
 
 import re
 
+from paddock.plans.declared import DECLARED
+from paddock.plans.training import DEPTH, TREES
+
 K = 3
 FLAG_ID = "CASE l_returnflag WHEN 'N' THEN 1 WHEN 'A' THEN 2 WHEN 'R' THEN 3 END"
 
@@ -310,10 +313,13 @@ FROM features f""",
 SELECT count(*) FILTER (NOT target_top_10 AND NOT top10_prediction) AS tn,
   count(*) FILTER (NOT target_top_10 AND top10_prediction) AS fp,
   count(*) FILTER (target_top_10 AND NOT top10_prediction) AS fn,
-  count(*) FILTER (target_top_10 AND top10_prediction) AS tp FROM scored""",
+  count(*) FILTER (target_top_10 AND top10_prediction) AS tp,
+  count(*) FILTER (NOT target_top_10 AND top10_prediction IS NULL) AS missed0,
+  count(*) FILTER (target_top_10 AND top10_prediction IS NULL) AS missed1 FROM scored""",
     "per_class": """
-SELECT *, tn / (tn + fn) AS p0, tn / (tn + fp) AS r0, tp / (tp + fp) AS p1, tp / (tp + fn) AS r1,
-  tn + fp AS n0, tp + fn AS n1, tn + fp + fn + tp AS n FROM cells""",
+SELECT tn, tp, tn / (tn + fn) AS p0, tn / n0 AS r0, tp / (tp + fp) AS p1, tp / n1 AS r1, n0, n1, n0 + n1 AS n
+FROM cells, (SELECT count(*) FILTER (NOT target_top_10) AS n0,
+  count(*) FILTER (target_top_10) AS n1 FROM scored)""",
     "per_class_f": """
 SELECT *, 2 * p0 * r0 / (p0 + r0) AS f0, 2 * p1 * r1 / (p1 + r1) AS f1 FROM per_class""",
     "report": """
@@ -341,7 +347,8 @@ FROM below, totals""",
     "loss": """
 SELECT avg(-ln(CASE WHEN target_top_10 THEN q ELSE 1 - q END)) AS log_loss
 FROM (SELECT target_top_10, least(greatest(top10_probability, 2.220446049250313e-16),
-  1 - 2.220446049250313e-16) AS q FROM scored)""",
+  1 - 2.220446049250313e-16) AS q FROM scored
+  WHERE top10_probability IS NOT NULL AND target_top_10 IS NOT NULL)""",
     "numbers": f"""
 SELECT split, {', '.join(f'{c}::DOUBLE AS {c}' for c in NUMERIC_FEATURES)} FROM splits""",
     "long_numbers": f"""
@@ -439,26 +446,94 @@ def _counts_of(views: list[str], label: str) -> str:
     )
 
 
+_ALL_FEATURES = (*NUMERIC_FEATURES, "started_top_5", "started_top_10")
+
+
 def _imputed() -> str:
-    columns = ("qualifying_position", "grid_position", "driver_avg_points_recent")
-    medians = ", ".join(f"quantile_cont({c}::DOUBLE, 0.5) AS m_{c}" for c in columns)
-    values = ", ".join(f"coalesce({c}::DOUBLE, m_{c}) AS {c}" for c in columns)
+    medians = ", ".join(f"quantile_cont({c}::INT::DOUBLE, 0.5) AS m_{c}" if c.startswith("started")
+                        else f"quantile_cont({c}::DOUBLE, 0.5) AS m_{c}" for c in _ALL_FEATURES)
+    values = ", ".join(f"coalesce({_number(c)}, m_{c}) AS {c}" for c in _ALL_FEATURES)
     return (
         f"SELECT result_id, {values} FROM splits, "
         f"(SELECT {medians} FROM splits WHERE split = 'train') WHERE split = 'train'"
     )
 
 
+def _number(c: str) -> str:
+    return f"{c}::INT::DOUBLE" if c.startswith("started") else f"{c}::DOUBLE"
+
+
 def _standardized() -> str:
-    columns = ("grid_position", "driver_races_in_window", "driver_career_races")
-    numbers = ", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in columns)
-    values = ", ".join(f"round(({c} - m_{c}) / s_{c}, 6) AS {c}" for c in columns)
+    numbers = ", ".join(
+        f"avg({_number(c)}) AS m_{c}, stddev_pop({_number(c)}) AS s_{c}" for c in _ALL_FEATURES
+    )
+    values = ", ".join(
+        f"round(({_number(c)} - m_{c}) / CASE WHEN s_{c} > 0 THEN s_{c} ELSE 1 END, 6) AS {c}"
+        for c in _ALL_FEATURES
+    )
     return (
         f"SELECT result_id, {values} FROM splits, "
         f"(SELECT {numbers} FROM splits WHERE split = 'train') WHERE split = 'train'"
     )
 
 
+# model -> block that holds it
+_MODELS = {f"stg_{t}": block for t, block in _STAGED.items()} | {
+    "stg_seasons": "(SELECT DISTINCT year(o_orderdate) AS year FROM orders)",
+    "int_results_enriched": "enriched", "int_qualifying_clean": "qclean",
+    "dim_driver": "driver_dim", "dim_constructor": "team_dim", "dim_circuit": "circuit_dim",
+    "dim_race": "race_dim", "fct_results": "fact", "fct_qualifying": "qclean",
+    "fct_features_pre_race": "features",
+}
+
+
+def _declared() -> str:
+    parts = []
+    for model, (key, present, relations) in DECLARED.items():
+        block = _MODELS[model]
+        parts.append(
+            f"SELECT '{model}' AS model, '{key}' AS \"column\", 'unique' AS test, count(*) AS failures "
+            f"FROM (SELECT {key} FROM {block} WHERE {key} IS NOT NULL GROUP BY {key} HAVING count(*) > 1)"
+        )
+        parts += [
+            f"SELECT '{model}', '{c}', 'not_null', count(*) - count({c}) FROM {block}" for c in present
+        ]
+        parts += [
+            f"SELECT '{model}', '{c}', 'in {parent}', count(*) FROM {block} WHERE {c} IS NOT NULL "
+            f"AND {c} NOT IN (SELECT {k} FROM {_MODELS[parent]} WHERE {k} IS NOT NULL)"
+            for c, parent, k in relations
+        ]
+    return " UNION ALL ".join(parts)
+
+
+# table -> (number of rows, columns), as the raw lake is bound
+_RAW = {
+    "races": ("orders", 7), "drivers": ("supplier", 8), "constructors": ("nation", 4),
+    "circuits": ("customer", 8), "results": ("results", 18), "qualifying": ("qualifying", 9),
+    "status": ("(SELECT unnest([1, 2, 3]) AS i)", 2),
+    "seasons": ("(SELECT DISTINCT year(o_orderdate) FROM orders)", 2),
+}
+
+
+def _lake_check(missing: str | None = None, table_without: str | None = None, column: str = "") -> str:
+    parts = []
+    for name, (block, _) in _RAW.items():
+        there, whole = name != missing, name != table_without
+        parts.append(
+            f"SELECT '{name}' AS \"table\", {name != 'seasons'} AS required, {there} AS present, "
+            f"{there and whole} AS ok, {repr('' if whole else column) if there else 'NULL'} AS missing, "
+            f"{'count(*)' if there else 'NULL'} AS n_rows FROM {block if there else '(SELECT 1)'}"
+        )
+    return " UNION ALL ".join(parts)
+
+
+def _conversions(extra: str = "") -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{name}' AS \"table\", true AS ok, count(*) AS n_rows, {n} AS n_columns{extra} FROM {block}"
+        for name, (block, n) in _RAW.items()
+    )
+
+
 def _boxes() -> str:
     shares = {"low": 0.0, "q1": 0.25, "median": 0.5, "q3": 0.75, "high": 1.0}
     columns = ", ".join(
@@ -477,6 +552,34 @@ CTES["all_numbers"] = (
 _NAMES = re.compile(r"\b(" + "|".join(CTES) + r")\b")
 
 
+SYNTH_TABLES = """
+WITH s AS (SELECT count(DISTINCT year(o_orderdate)) AS seasons FROM orders
+), d AS (SELECT count(*) AS n FROM supplier
+), r AS (SELECT i AS race, (i - 1) // 5 AS season, (i - 1) % 5 + 1 AS round
+  FROM (SELECT unnest(range(1, seasons * 5 + 1)) AS i FROM s)
+), p AS (SELECT unnest(range(1, n + 1)) AS place FROM d
+), e AS (SELECT race, place, place > 8 AND (place + race) % 3 = 0 AS retired FROM r, p)
+SELECT 'races' AS "table", count(*) AS n_rows, sum(race) AS one, sum(round % 3 + 1) AS two FROM r
+UNION ALL SELECT 'drivers', count(*), sum(place), sum(place) FROM p
+UNION ALL SELECT 'constructors', 5, 15, 15 UNION ALL SELECT 'circuits', 3, 6, 300
+UNION ALL SELECT 'status', 5, 15, 15
+UNION ALL SELECT 'seasons', seasons, seasons * 2014 + seasons * (seasons - 1) // 2,
+  seasons * 2014 + seasons * (seasons - 1) // 2 FROM s
+UNION ALL SELECT 'qualifying', count(*), sum(place), sum((place - 1) // 2 + 1) FROM e
+UNION ALL SELECT 'results', count(*),
+  sum(CASE WHEN NOT retired AND place <= 10 THEN greatest(26 - 2 * place, 0) ELSE 0 END),
+  sum(CASE WHEN retired THEN 5 * place ELSE 50 END) FROM e"""
+
+RAW_RESULTS = """
+SELECT result_id AS resultId, race_id AS raceId, driver_id AS driverId,
+  constructor_id AS constructorId, driver_number AS number, grid_position AS grid,
+  finish_position AS position, finish_position_text AS positionText,
+  finish_position_order AS positionOrder, points, laps, finish_time AS time,
+  finish_time_ms AS milliseconds, fastest_lap AS fastestLap, fastest_lap_rank AS rank,
+  fastest_lap_time AS fastestLapTime, fastest_lap_speed AS fastestLapSpeed,
+  status_id AS statusId FROM results"""
+
+
 def all_sql() -> dict[str, str]:
     finals = {f"stg_{t}": f"SELECT * FROM {block}" for t, block in _STAGED.items()}
     finals |= {
@@ -565,7 +668,8 @@ FROM splits GROUP BY split""",
         "confusion_matrix": """
 SELECT false AS actual, false AS predicted, tn AS n_rows FROM cells
 UNION ALL SELECT false, true, fp FROM cells UNION ALL SELECT true, false, fn FROM cells
-UNION ALL SELECT true, true, tp FROM cells""",
+UNION ALL SELECT true, true, tp FROM cells UNION ALL SELECT false, NULL, missed0 FROM cells
+UNION ALL SELECT true, NULL, missed1 FROM cells""",
         "classification_report": "SELECT * FROM report",
         "roc_auc": "SELECT round(roc_auc, 9) AS roc_auc FROM area",
         "log_loss": "SELECT round(log_loss, 9) AS log_loss FROM loss",
@@ -593,6 +697,8 @@ UNION ALL SELECT 'confusion', 'actual false predicted false', tn FROM cells
 UNION ALL SELECT 'confusion', 'actual false predicted true', fp FROM cells
 UNION ALL SELECT 'confusion', 'actual true predicted false', fn FROM cells
 UNION ALL SELECT 'confusion', 'actual true predicted true', tp FROM cells
+UNION ALL SELECT 'confusion', 'actual false predicted missing', missed0 FROM cells
+UNION ALL SELECT 'confusion', 'actual true predicted missing', missed1 FROM cells
 UNION ALL SELECT 'probability', 'bin ' || least(floor(top10_probability * 10)::INT, 9), count(*)
   FROM scored GROUP BY 2)""",
         "drift_ks":
@@ -687,26 +793,32 @@ FROM features, (SELECT min(driver_avg_points_recent) AS lo, max(driver_avg_point
 SELECT target_top_10 AS label, count(*) AS n_rows,
   (SELECT count(*) FROM splits WHERE split = 'train') / (2 * count(*)) AS weight
 FROM splits WHERE split = 'train' GROUP BY 1""",
-        "io_csv_scan": """
-SELECT result_id AS resultId, race_id::VARCHAR AS raceId, grid_position::VARCHAR AS grid,
-  finish_position_text AS positionText, finish_time AS time FROM results""",
-        "io_typed_cast": """
-SELECT result_id AS resultId, race_id AS raceId, grid_position AS grid,
-  finish_position AS position, finish_position_text AS positionText, points, finish_time AS time
-FROM results""",
-        "io_parquet_roundtrip": """
-SELECT result_id AS resultId, race_id AS raceId, driver_id AS driverId,
-  constructor_id AS constructorId, driver_number AS number, grid_position AS grid,
-  finish_position AS position, finish_position_text AS positionText,
-  finish_position_order AS positionOrder, points, laps, finish_time AS time,
-  finish_time_ms AS milliseconds, fastest_lap AS fastestLap, fastest_lap_rank AS rank,
-  fastest_lap_time AS fastestLapTime, fastest_lap_speed AS fastestLapSpeed,
-  status_id AS statusId FROM results""",
-        "io_convert_all": """
-SELECT 'races' AS "table", true AS ok, count(*) AS n_rows, 7 AS n_columns FROM orders
-UNION ALL SELECT 'drivers', true, count(*), 8 FROM supplier
-UNION ALL SELECT 'constructors', true, count(*), 4 FROM nation
-UNION ALL SELECT 'circuits', true, count(*), 8 FROM customer""",
+        "io_csv_scan": RAW_RESULTS,
+        "io_typed_cast": RAW_RESULTS,
+        "io_parquet_roundtrip": RAW_RESULTS,
+        "io_convert_all": _conversions(),
+        "io_convert_stats": _conversions(
+            ", NULL AS error, true AS has_sizes, true AS compression_holds"
+        ),
+        "dq_declared": _declared(),
+        "dq_required_columns": _lake_check(),
+        "dq_lake_schema": _lake_check("status", "results", "points"),
+        "model_roundtrip": """
+SELECT 'top10_probability' AS feature, count(*) AS n_rows, 0 AS changed FROM splits WHERE split = 'test'
+UNION ALL SELECT 'dnf_probability', count(*), 0 FROM splits WHERE split = 'test'""",
+        "score_rules": """
+SELECT result_id, true AS top10_holds, true AS dnf_holds FROM splits WHERE split = 'test'""",
+        "race_prediction_table": f"""
+SELECT coalesce(d.full_name, p.driver_id::VARCHAR) AS "Driver", p.grid_position AS "Grid Pos",
+  p.qualifying_position AS "Quali Pos", p.top10_probability AS "Top-10 Prob",
+  p.dnf_probability AS "DNF Prob", p.final_prediction AS "Prediction"
+FROM ({_PANEL}) p LEFT JOIN drivers d ON d.driver_id = p.driver_id WHERE p.year IN (2000, 2001)""",
+        "run_metrics": f"""
+SELECT 'form baseline' AS run, 'parameter' AS kind, 'target' AS name, 'target_top_10' AS text, NULL::DOUBLE AS value
+UNION ALL SELECT 'form baseline', 'parameter', 'trees', '{TREES}', NULL
+UNION ALL SELECT 'form baseline', 'parameter', 'depth', '{DEPTH}', NULL
+UNION ALL SELECT 'form baseline', 'metric', 'top10_accuracy', NULL, top10_accuracy FROM (SELECT {_ACCURACY} FROM scored)
+UNION ALL SELECT 'form baseline', 'metric', 'dnf_accuracy', NULL, dnf_accuracy FROM (SELECT {_ACCURACY} FROM scored)""",
         "lake_register": _counts_of(_VIEWS, "view_name"),
         "lake_inventory": _counts_of(_VIEWS, "table_name"),
         "lake_sql": """
@@ -729,16 +841,14 @@ SELECT id AS resultId, race AS raceId, p AS driverId, (p - 1) // 2 + 1 AS constr
 FROM (SELECT DISTINCT l_orderkey AS race, 1 + l_suppkey % 20 AS p,
     l_orderkey * 20 + 1 + l_suppkey % 20 AS id,
     (1 + l_suppkey % 20 > 8 AND (1 + l_suppkey % 20 + l_orderkey) % 3 = 0) AS out FROM lineitem)""",
-        "sink_splits": """
-SELECT result_id, race_id, year, round, qualifying_position, target_dnf, split FROM splits""",
+        "sink_splits": "SELECT * FROM splits",
         "sink_predictions": """
 SELECT race_id, year, round, driver_id, grid_position, qualifying_position, top10_probability,
   top10_prediction, dnf_probability, dnf_prediction, target_top_10, target_dnf FROM scored""",
-        "sink_per_race": """
-SELECT result_id, driver_id, top10_probability, year, round, race_id FROM scored
-WHERE year IN (2000, 2001)""",
-        "predictions_json":
-            "SELECT race_id, driver_id, dnf_prediction::VARCHAR AS dnf_prediction FROM scored",
+        "sink_per_race": "SELECT * FROM scored WHERE year IN (2000, 2001)",
+        "predictions_json": """
+SELECT race_id, year, round, driver_id, grid_position, qualifying_position, top10_probability,
+  top10_prediction, dnf_probability, dnf_prediction, target_top_10, target_dnf FROM scored""",
         "eval_predictions": """
 SELECT target_dnf AS actual, dnf_prediction AS prediction, dnf_probability AS probability,
   count(*) AS n_rows FROM scored GROUP BY ALL""",
@@ -757,4 +867,4 @@ SELECT target_dnf AS actual, dnf_prediction AS prediction, dnf_probability AS pr
     )
     finals["feature_scan_ordered"] = finals["fct_features_pre_race"]
     finals["features_qualifying_last"] = finals["fct_features_pre_race"]
-    return {name: sql(final) for name, final in finals.items()}
+    return {name: sql(final) for name, final in finals.items()} | {"synth_tables": SYNTH_TABLES}

@@ -31,7 +31,9 @@ def parser() -> argparse.ArgumentParser:
         toy.add_argument(f"--{option}", type=int)
     step("ingest", "raw_dir", "lake_dir")
     step("validate", "lake_dir")
-    step("register", "lake_dir")
+    step("register", "lake_dir").add_argument("--database")
+    step("sql", "lake_dir").add_argument("--text", required=True)
+    step("test", "lake_dir", "marts_dir")
     step("build", "lake_dir", "marts_dir").add_argument(
         "--unique-qualifying", action="store_true"
     )

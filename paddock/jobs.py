@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from paddock.functions.scalars import summary_label
 from paddock.operators import metrics, quality, splits, summaries
 from paddock.plans import features as ft
-from paddock.plans import reports, training, warehouse
+from paddock.plans import declared, marts, reports, training, warehouse
+from paddock.plans.staging import NAMES, stage
 from paddock.scratch import materialize
 from paddock.sources import csv_lake, files, lake, schemas, sinks, toy
 
@@ -45,10 +46,39 @@ def validate(spark: SparkSession, lake_dir: str) -> DataFrame:
     return quality.check_columns(spark, tables, schemas.REQUIRED, schemas.OPTIONAL)
 
 
-def register(spark: SparkSession, lake_dir: str) -> DataFrame:
-    """Register the lake as ``raw_`` views; returns their row counts."""
+def register(spark: SparkSession, lake_dir: str, database: str | None = None) -> DataFrame:
+    """Register the lake as ``raw_`` views; returns their row counts.
+
+    Views end with the session.  With a database the tables are entered in the catalog,
+    which may outlast it.
+    """
+    names = lake.register(spark, lake_dir)
+    if database:
+        lake.register_tables(spark, lake_dir, database)
+    return lake.inventory(spark, names=names)
+
+
+def sql(spark: SparkSession, lake_dir: str, text: str) -> DataFrame:
+    """Ad-hoc SQL over the ``raw_`` views of a lake."""
     lake.register(spark, lake_dir)
-    return lake.inventory(spark, "raw_")
+    return lake.query(spark, text)
+
+
+def test(spark: SparkSession, lake_dir: str, marts_dir: str) -> DataFrame:
+    """Every declared data test with its failures, over the lake and the built marts."""
+    tables = lake.read_tables(spark, lake_dir)
+    built = {
+        name: spark.read.parquet(f"{marts_dir}/{name}.parquet") for name in warehouse.MARTS
+    }
+    return declared.run({**declared_models(tables), **built})
+
+
+def declared_models(tables, top_k: int = marts.TOP_K) -> dict[str, DataFrame]:
+    """The staged and enriched tables by model name."""
+    models = {f"stg_{t}": stage(t, tables[t]) for t in NAMES}
+    models["int_results_enriched"] = marts.results_enriched(tables, top_k)
+    models["int_qualifying_clean"] = marts.qualifying_clean(tables)
+    return models
 
 
 def build(
@@ -56,8 +86,8 @@ def build(
 ) -> DataFrame:
     """Build all marts; returns the feature table."""
     tables = lake.read_tables(spark, lake_dir)
-    marts = warehouse.build(spark, tables, marts_dir, unique_qualifying=unique_qualifying)
-    return marts["fct_features_pre_race"]
+    built = warehouse.build(spark, tables, marts_dir, unique_qualifying=unique_qualifying)
+    return built["fct_features_pre_race"]
 
 
 def feature_table(spark: SparkSession, marts_dir: str) -> DataFrame:

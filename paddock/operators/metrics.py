@@ -12,7 +12,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paddock.operators.ordered import CHUNK_ROWS, Past, find_cuts, prior
+from paddock.operators.ordered import CHUNK_ROWS, Past, lay_out, prior
 from paddock.scratch import materialize
 
 # Fixed value: probabilities are kept this far from 0 and 1 (double precision epsilon).
@@ -38,21 +38,30 @@ def accuracy_by_year(df: DataFrame, pairs: Mapping[str, tuple[str, str]]) -> Dat
 
 
 def _cells(prediction: str, actual: str) -> list[Column]:
+    """Counts by class and prediction; ``missed0`` and ``missed1`` have none."""
     p, a = F.col(prediction).cast("boolean"), F.col(actual).cast("boolean")
     cases = {"tn": ~a & ~p, "fp": ~a & p, "fn": a & ~p, "tp": a & p}
+    cases |= {"missed0": ~a & p.isNull(), "missed1": a & p.isNull()}
     return [F.count_if(case).alias(name) for name, case in cases.items()]
 
 
 def confusion_matrix(df: DataFrame, prediction: str, actual: str) -> DataFrame:
-    """Four rows: actual, predicted, rows; combinations that do not occur have 0."""
+    """Six rows: actual, predicted (NULL where it is missing), rows; 0 if none occur.
+
+    Rows without a label are left out.
+    """
     return df.agg(*_cells(prediction, actual)).selectExpr(
-        "stack(4, false, false, tn, false, true, fp, true, false, fn, true, true, tp) "
-        "AS (actual, predicted, n_rows)"
+        "stack(6, false, false, tn, false, true, fp, false, NULL, missed0, "
+        "true, false, fn, true, true, tp, true, NULL, missed1) AS (actual, predicted, n_rows)"
     )
 
 
 def classification_report(df: DataFrame, prediction: str, actual: str) -> DataFrame:
-    """Precision, recall, F1 and support per class, with accuracy and averages."""
+    """Precision, recall, F1 and support per class, with accuracy and averages.
+
+    A missing prediction is wrong for the class of its row; rows without a label are
+    left out.
+    """
 
     def share(part: str, whole: str) -> str:
         return f"CASE WHEN {whole} > 0 THEN CAST({part} AS DOUBLE) / ({whole}) ELSE 0D END"
@@ -63,16 +72,17 @@ def classification_report(df: DataFrame, prediction: str, actual: str) -> DataFr
             f"THEN 2 * p{label} * r{label} / (p{label} + r{label}) ELSE 0D END AS f{label}"
         )
 
-    counts = df.agg(*_cells(prediction, actual)).selectExpr(
+    sizes = df.agg(*_cells(prediction, actual)).selectExpr(
+        "*", "tn + fp + missed0 AS n0", "tp + fn + missed1 AS n1"
+    )
+    counts = sizes.selectExpr(
         "*",
         share("tn", "tn + fn") + " AS p0",
-        share("tn", "tn + fp") + " AS r0",
+        share("tn", "n0") + " AS r0",
         share("tp", "tp + fp") + " AS p1",
-        share("tp", "tp + fn") + " AS r1",
-        "tn + fp AS n0",
-        "tp + fn AS n1",
-        "tn + fp + fn + tp AS n",
-        share("tn + tp", "tn + fp + fn + tp") + " AS correct",
+        share("tp", "n1") + " AS r1",
+        "n0 + n1 AS n",
+        share("tn + tp", "n0 + n1") + " AS correct",
     ).selectExpr("*", f1("0"), f1("1"))
     weighted = {
         m: share(f"({m}0 * n0 + {m}1 * n1)", "n") for m in ("p", "r", "f")
@@ -88,18 +98,26 @@ def classification_report(df: DataFrame, prediction: str, actual: str) -> DataFr
     )
 
 
+def _scored_and_labelled(score: str, actual: str) -> Column:
+    return F.col(score).isNotNull() & F.col(actual).isNotNull()
+
+
 def log_loss(probability: str, actual: str) -> Column:
-    """Aggregate: mean negative log likelihood of boolean labels."""
+    """Aggregate: mean negative log likelihood of boolean labels.
+
+    Rows without a probability or a label are left out, as for the area.
+    """
     p = F.least(F.greatest(F.col(probability), F.lit(EPSILON)), F.lit(1 - EPSILON))
     y = F.col(actual).cast("int")
-    return F.avg(F.when(y == 1, -F.log(p)).otherwise(-F.log(1 - p)))
+    loss = F.when(y == 1, -F.log(p)).otherwise(-F.log(1 - p))
+    return F.avg(F.when(_scored_and_labelled(probability, actual), loss))
 
 
 def score_counts(df: DataFrame, score: str, actual: str) -> DataFrame:
     """Positives and negatives per distinct score, stored for the ordered steps."""
     y = F.col(actual).cast("int")
     counts = (
-        df.where(F.col(score).isNotNull() & F.col(actual).isNotNull())
+        df.where(_scored_and_labelled(score, actual))
         .groupBy(F.col(score).alias("score"))
         .agg(F.sum(y).alias("pos"), F.sum(1 - y).alias("neg"))
         .select(F.lit(0).alias("series"), "score", "pos", "neg")
@@ -114,10 +132,8 @@ def _below(counts: DataFrame, chunk_rows: int) -> DataFrame:
         "neg_below": Past("sum", "neg"),
         "rank": Past("count"),
     }
-    cuts = find_cuts(counts, ["series"], ["score"], chunk_rows)
-    return prior(counts, ["series"], ["score"], wanted, cuts).fillna(
-        0, subset=["pos_below", "neg_below"]
-    )
+    laid = lay_out(counts, ["series"], ["score"], chunk_rows)
+    return prior(laid, wanted).fillna(0, subset=["pos_below", "neg_below"])
 
 
 def roc_auc_of_counts(counts: DataFrame, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
@@ -201,20 +217,22 @@ def binary_metrics(
 ) -> DataFrame:
     """One row: accuracy, ROC-AUC, log-loss, positive rate, rows.
 
-    With one class only, ROC-AUC is 1.0 and log-loss 0.0 by convention.
+    With one class only, ROC-AUC is 1.0 and log-loss 0.0 by convention.  Both look at the
+    rows that have a probability and a label.
     """
     positive = F.avg(F.col(actual).cast("double"))
     flat = df.agg(
         F.avg(hit(prediction, actual)).alias("accuracy"),
         log_loss(probability, actual).alias("log_loss"),
         positive.alias("positive_rate"),
+        F.avg(F.when(_scored_and_labelled(probability, actual), F.col(actual).cast("double"))).alias("scored_rate"),
         F.count(F.lit(1)).alias("n_rows"),
     )
     area = roc_auc(df, probability, actual, chunk_rows)
     # two rows, each with its own columns, become one
     both = flat.unionByName(area, allowMissingColumns=True)
     row = both.agg(*[F.max(c).alias(c) for c in both.columns])
-    one_class = F.col("positive_rate").isin(0.0, 1.0)
+    one_class = F.coalesce(F.col("scored_rate").isin(0.0, 1.0), F.lit(True))
     return row.select(
         "accuracy",
         "roc_auc",

@@ -1,14 +1,15 @@
 """Aggregates over the rows that come before a row, safe for very long histories.
 
-A plain window puts all rows of one key into one task.  That is fine while no
-key is long, and is what happens below the limit.  A key that holds a large
-share of all rows is cut into chunks of about ``chunk_rows`` rows along its
-order.  Every chunk is then a window partition of its own and receives
+A plain window puts all rows of one key into one task, and a key may hold a third of all
+rows.  Here the rows are stored range-partitioned by key and order, in parts of a bounded
+number of rows, and a window partition is a key within a part.  Each of them receives
 
-* the last rows of the chunk before it, for frames over the last few rows, and
-* one row with the totals of all earlier chunks, for frames over everything.
+* the rows of the key that end before the part, as many as the longest frame looks back,
+  from as many earlier parts as it takes, and
+* one row with the totals of all earlier parts, for frames over everything.
 
-Results do not depend on where the cuts lie, so the cuts may come from a sample.
+The plan is the same for every size; only the number of parts follows the number of rows.
+Results do not depend on where the parts begin.
 """
 
 from __future__ import annotations
@@ -19,108 +20,44 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from paddock.scratch import materialize
 
 CHUNK_ROWS = 1_000_000
-MAX_CHUNKS = 10_000
-# Sampled rows between two cuts.  They lie inside the chunk, so every chunk that
-# has a successor holds at least this many rows and can fill any shorter frame.
-SAMPLE_PER_CHUNK = 128
-_BLOCK = 64
+# parts of small tables: no smaller than this, as long as chunk_rows allows it
+FEW_ROWS = 50_000
 
-_CUTS, _CHUNK, _KIND, _POINT, _RANK = "_cuts", "_chunk", "_kind", "_point", "_rank"
+_PART, _KIND, _RANK = "_part", "_kind", "_rank"
+_BEFORE, _ROWS, _NEXT, _GAP, _TO = "_before", "_rows", "_next", "_gap", "_to"
 _OWN, _HALO, _CARRY = 2, 1, 0
 
 
 @dataclass(frozen=True)
-class Cuts:
-    """Cut points of the long keys: at most ``MAX_CHUNKS`` points in all."""
+class Laid:
+    """A stored table whose parts follow each other in the order of every key."""
 
+    table: DataFrame
     keys: tuple[str, ...]
     order: tuple[str, ...]
-    table: DataFrame
+    columns: tuple[str, ...]
 
 
-def _point(order: Sequence[str]) -> Column:
-    return F.struct(*[F.col(c) for c in order])
+def lay_out(
+    rows: DataFrame, keys: Sequence[str], order: Sequence[str], chunk_rows: int = CHUNK_ROWS
+) -> Laid:
+    """Store ``rows`` in parts of about ``chunk_rows`` rows at most, by key and order.
 
-
-def _match_keys(rows: DataFrame, side: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
-    """Join on keys that may be NULL; the columns of ``side`` are prefixed away."""
-    renamed = side.select(
-        *[F.col(k).alias(f"_key_{k}") for k in keys],
-        *[F.col(c) for c in side.columns if c not in keys],
-    )
-    condition = reduce(
-        lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys]
-    )
-    return rows.join(renamed, condition, how).drop(*[f"_key_{k}" for k in keys])
-
-
-def find_cuts(
-    rows: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    chunk_rows: int = CHUNK_ROWS,
-    total: int | None = None,
-) -> Cuts | None:
-    """Cut points for every key with more than a chunk of rows, or None.
-
-    ``rows`` is read up to three times, so it should be a stored table.  What
-    reaches the driver is bounded: its row count, then at most ``MAX_CHUNKS`` cuts.
+    ``rows`` should be a stored table: it is counted, sampled and written.
     """
-    if total is None:
-        total = rows.count()
-    limit = max(chunk_rows, -(-total // MAX_CHUNKS))
-    if total <= limit:
-        return None
-    lengths = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_length"))
-    long_keys = lengths.where(F.col("_length") > limit).drop("_length")
-    step = max(1, limit // SAMPLE_PER_CHUNK)
-    # fewer than total / limit <= MAX_CHUNKS keys can be that long
-    sampled = _match_keys(
-        rows.where(F.pmod(F.xxhash64(*order), F.lit(step)) == 0).select(*keys, *order),
-        F.broadcast(long_keys),
-        keys,
-        "left_semi",
-    )
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    points = (
-        sampled.withColumn(_RANK, rank)
-        .where(F.col(_RANK) % SAMPLE_PER_CHUNK == 0)
-        .select(*keys, _point(order).alias(_POINT))
-        .orderBy(*keys, _POINT)
-        .collect()
-    )
-    if not points:
-        return None
-    per_key: dict[tuple, list] = {}
-    for row in points:
-        per_key.setdefault(tuple(row[k] for k in keys), []).append(row[_POINT])
-    blocks = [
-        (*key, [found[i : i + _BLOCK] for i in range(0, len(found), _BLOCK)])
-        for key, found in per_key.items()
-    ]
-    point_type = T.StructType([rows.schema[c] for c in order])
-    schema = T.StructType(
-        [rows.schema[k] for k in keys]
-        + [T.StructField(_CUTS, T.ArrayType(T.ArrayType(point_type)))]
-    )
-    table = rows.sparkSession.createDataFrame(blocks, schema)
-    return Cuts(tuple(keys), tuple(order), table)
-
-
-def _with_chunk(rows: DataFrame, cuts: Cuts, how: str = "left") -> DataFrame:
-    """Add the chunk number: the count of cuts at or before the row, in two steps."""
-    here = _point(cuts.order)
-    joined = _match_keys(rows, F.broadcast(cuts.table), cuts.keys, how)
-    block = F.size(F.filter(F.col(_CUTS), lambda b: b[0] <= here))
-    within = F.size(F.filter(F.get(F.col(_CUTS), block - 1), lambda c: c <= here))
-    chunk = (
-        F.when(F.col(_CUTS).isNull() | (block == 0), F.lit(0))
-        .otherwise((block - 1) * _BLOCK + within)
-    )
-    return joined.withColumn(_CHUNK, chunk).drop(_CUTS)
+    total = rows.count()
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    size = min(chunk_rows, max(FEW_ROWS, -(-total // tasks)))
+    parts = max(1, -(-total // size))
+    by = dict.fromkeys((*keys, *order))
+    # nulls, too, are in one place of the order
+    ranged = rows.repartitionByRange(parts, *[F.col(c) for c in by])
+    table = materialize(ranged.withColumn(_PART, F.spark_partition_id()), "laid_out")
+    return Laid(table, tuple(keys), tuple(order), tuple(rows.columns))
 
 
 @dataclass(frozen=True)
@@ -135,12 +72,6 @@ class Past:
     column: str | None = None
     depth: int | None = None
 
-    def over(self, window) -> Column:
-        what = F.lit(1) if self.column is None else F.col(self.column)
-        start = Window.unboundedPreceding if self.depth is None else -self.depth
-        function = {"sum": F.sum, "count": F.count}[self.how]
-        return function(what).over(window.rowsBetween(start, -1))
-
     def value(self) -> Column:
         """What one row adds."""
         if self.how == "sum":
@@ -150,72 +81,84 @@ class Past:
         return F.col(self.column).isNotNull().cast("int")
 
 
+def _match(rows: DataFrame, side: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Inner join on keys that may be NULL; the columns of ``side`` are prefixed away."""
+    renamed = side.select(
+        *[F.col(k).alias(f"_key_{k}") for k in keys],
+        *[F.col(c) for c in side.columns if c not in keys],
+    )
+    condition = reduce(
+        lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys]
+    )
+    return rows.join(renamed, condition).drop(*[f"_key_{k}" for k in keys])
+
+
 def prior(
-    rows: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    wanted: Mapping[str, Past],
-    cuts: Cuts | None = None,
-    history: DataFrame | None = None,
+    laid: Laid, wanted: Mapping[str, Past], keys: Sequence[str] | None = None
 ) -> DataFrame:
     """Add aggregates over earlier rows of the same key; the row itself never counts.
 
-    A sum over no rows is NULL, a count 0.  ``order`` must be total within a key.
-    ``history`` names the stored table ``rows`` came from, if ``rows`` is itself the
-    result of a plan that should not run again for the chunks' tails and totals.
+    A sum over no rows is NULL, a count 0.  The order must be total within a key.
+    ``keys`` may split the keys of the layout further: their rows follow the same parts.
     """
-    if cuts is None:
-        window = Window.partitionBy(*keys).orderBy(*order)
-        return rows.withColumns({name: past.over(window) for name, past in wanted.items()})
+    keys = list(laid.keys if keys is None else keys)
+    if not set(laid.keys) <= set(keys):
+        raise ValueError(f"the rows are laid out by {laid.keys}")
     values = {f"_value_{name}": past.value() for name, past in wanted.items()}
-    earlier = (rows if history is None else history).withColumns(values)
-    earlier = earlier.select(*keys, *[c for c in order if c not in keys], *values)
-    own = _with_chunk(rows.withColumns(values), cuts).withColumn(_KIND, F.lit(_OWN))
-    parts = [own, *_tails_and_totals(earlier, cuts, wanted)]
+    rows = laid.table.withColumns(values)
+    deep = [f"_value_{name}" for name, p in wanted.items() if p.depth is None]
+    depth = max([p.depth for p in wanted.values() if p.depth is not None], default=0)
+    own = rows.withColumn(_KIND, F.lit(_OWN))
+    parts = [own, *_from_earlier_parts(rows, keys, laid.order, deep, depth)]
     together = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-    window = Window.partitionBy(*keys, _CHUNK).orderBy(_KIND, *order)
-    sums = {
-        name: Past("sum", f"_value_{name}", past.depth).over(window)
-        for name, past in wanted.items()
-    }
-    out = together.withColumns(sums).where(F.col(_KIND) == _OWN)
-    counts = {n: F.coalesce(F.col(n), F.lit(0)) for n, p in wanted.items() if p.how == "count"}
-    return out.withColumns(counts).select(*rows.columns, *wanted)
-
-
-def _tails_and_totals(
-    past: DataFrame, cuts: Cuts, wanted: Mapping[str, Past]
+    window = Window.partitionBy(*keys, _PART).orderBy(_KIND, *laid.order)
+
+    def over(name: str, past: Past) -> Column:
+        start = Window.unboundedPreceding if past.depth is None else -past.depth
+        total = F.sum(f"_value_{name}").over(window.rowsBetween(start, -1))
+        return total if past.how == "sum" else F.coalesce(total, F.lit(0))
+
+    sums = {name: over(name, past) for name, past in wanted.items()}
+    return together.withColumns(sums).where(F.col(_KIND) == _OWN).select(*laid.columns, *wanted)
+
+
+def _from_earlier_parts(
+    rows: DataFrame, keys: list[str], order: Sequence[str], deep: list[str], depth: int
 ) -> list[DataFrame]:
-    """Rows that stand in front of each chunk of a long key."""
-    keys, order = cuts.keys, cuts.order
-    depths = [p.depth for p in wanted.values() if p.depth is not None]
-    totals_of = [f"_value_{name}" for name, p in wanted.items() if p.depth is None]
-    parts = []
-    long_rows = _with_chunk(past, cuts, how="inner")
-    if depths:
-        depth = max(depths)
-        if depth > SAMPLE_PER_CHUNK:
-            raise ValueError(f"frames over more than {SAMPLE_PER_CHUNK} rows are not supported")
-        # the rank filter also runs below the shuffle: a task sends `depth` rows per chunk
-        from_end = Window.partitionBy(*keys, _CHUNK).orderBy(*[F.col(c).desc() for c in order])
-        parts.append(
-            long_rows.withColumn(_RANK, F.row_number().over(from_end))
-            .where(F.col(_RANK) <= depth)
-            .drop(_RANK, *totals_of)
-            .withColumn(_CHUNK, F.col(_CHUNK) + 1)
-            .withColumn(_KIND, F.lit(_HALO))
+    """Rows that stand in front of each key of each part."""
+    sizes = rows.groupBy(*keys, _PART).agg(
+        F.count(F.lit(1)).alias(_ROWS), *[F.sum(c).alias(c) for c in deep]
+    )
+    # one row for each part of a key
+    along = Window.partitionBy(*keys).orderBy(_PART)
+    earlier = along.rowsBetween(Window.unboundedPreceding, -1)
+    running = sizes.withColumn(_BEFORE, F.coalesce(F.sum(_ROWS).over(earlier), F.lit(0)))
+    found = []
+    if deep:
+        totals = running.select(
+            *keys, _PART, _BEFORE, *[F.sum(c).over(earlier).alias(c) for c in deep]
+        )
+        found.append(totals.where(F.col(_BEFORE) > 0).drop(_BEFORE).withColumn(_KIND, F.lit(_CARRY)))
+    if depth:
+        # a part holds a row of the key at least, so ``depth`` parts on nothing is missing
+        following = F.collect_list(F.struct(F.col(_PART).alias(_TO), F.col(_BEFORE))).over(
+            along.rowsBetween(1, depth)
         )
-    if totals_of:
-        totals = long_rows.groupBy(*keys, _CHUNK).agg(*[F.sum(c).alias(c) for c in totals_of])
-        # one row per chunk, so at most MAX_CHUNKS rows over all keys
-        so_far = (
-            Window.partitionBy(*keys)
-            .orderBy(_CHUNK)
-            .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        each = running.withColumn(_NEXT, following).select(
+            *keys, _PART, (F.col(_BEFORE) + F.col(_ROWS)).alias("_end"), F.explode(_NEXT).alias(_NEXT)
         )
-        parts.append(
-            totals.withColumns({c: F.sum(c).over(so_far) for c in totals_of})
-            .withColumn(_CHUNK, F.col(_CHUNK) + 1)
-            .withColumn(_KIND, F.lit(_CARRY))
+        gap = F.col(f"{_NEXT}.{_BEFORE}") - F.col("_end")
+        wanting = each.select(*keys, _PART, F.col(f"{_NEXT}.{_TO}").alias(_TO), gap.alias(_GAP))
+        # few rows; stored, their true size decides how they are joined
+        wanting = materialize(wanting.where(F.col(_GAP) < depth), "part_ends")
+        from_end = Window.partitionBy(*keys, _PART, _TO).orderBy(*[F.col(c).desc() for c in order])
+        found.append(
+            _match(rows.drop(*deep), wanting, [*keys, _PART])
+            .withColumn(_RANK, F.row_number().over(from_end))
+            .where(F.col(_RANK) <= depth)
+            .where(F.col(_RANK) + F.col(_GAP) <= depth)
+            .withColumn(_PART, F.col(_TO))
+            .drop(_RANK, _GAP, _TO)
+            .withColumn(_KIND, F.lit(_HALO))
         )
-    return parts
+    return found

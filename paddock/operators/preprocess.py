@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from paddock.operators.drift import value_counts
-from paddock.operators.ordered import CHUNK_ROWS, Past, find_cuts, prior
+from paddock.operators.ordered import CHUNK_ROWS, Past, lay_out, prior
 
 
 def quantiles(
@@ -23,8 +23,8 @@ def quantiles(
     the values that hold its two neighbouring ranks.  No task holds all values.
     """
     counts = value_counts(df, columns, F.lit(True))
-    cuts = find_cuts(counts, ["feature"], ["value"], chunk_rows)
-    ranks = prior(counts, ["feature"], ["value"], {"below": Past("sum", "ref")}, cuts)
+    laid = lay_out(counts, ["feature"], ["value"], chunk_rows)
+    ranks = prior(laid, {"below": Past("sum", "ref")})
     # one row per feature column
     sizes = F.broadcast(counts.groupBy("feature").agg(F.sum("ref").alias("n")))
     below = F.coalesce("below", F.lit(0))

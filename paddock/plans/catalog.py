@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from paddock.functions import scalars
 from paddock.operators import drift, metrics, preprocess, quality, splits, summaries
 from paddock.plans import features as ft
-from paddock.plans import marts, reports, training, warehouse
+from paddock.plans import declared, marts, reports, training, warehouse
 from paddock.plans.staging import NAMES, stage
 from paddock.scratch import materialize, new_path
 from paddock.sources import binding, csv_lake, lake, schemas, sinks, toy
@@ -516,17 +516,49 @@ def drift_summary(spark, folder):
 # --- data quality ------------------------------------------------------------------
 
 
+def _written_lake(spark, folder) -> str:
+    """A lake folder with all eight raw tables as Parquet files."""
+    target = new_path(spark, "lake")
+    for name, df in _lake(spark, folder).items():
+        csv_lake.write_table(df, f"{target}/{name}.parquet")
+    return target
+
+
+def _checked(spark, tables) -> DataFrame:
+    """Column checks of the tables of a folder, with their numbers of rows."""
+    counts = [
+        df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("table"), "n_rows")
+        for name, df in tables.items()
+    ]
+    checks = quality.check_columns(spark, tables, schemas.REQUIRED, schemas.OPTIONAL)
+    return checks.join(reduce(DataFrame.union, counts), "table", "left")
+
+
 @_query
 def dq_required_columns(spark, folder):
-    tables = {"results": _lake(spark, folder)["results"]}
-    return quality.check_columns(spark, tables, {"results": schemas.REQUIRED["results"]})
+    """The raw tables written as files and checked as they are found there."""
+    return _checked(spark, lake.read_tables(spark, _written_lake(spark, folder)))
 
 
 @_query
 def dq_lake_schema(spark, folder):
-    return quality.check_columns(
-        spark, _lake(spark, folder), schemas.REQUIRED, schemas.OPTIONAL
-    )
+    """The same lake without its status table, and without the points of the results."""
+    tables = lake.read_tables(spark, _written_lake(spark, folder))
+    broken = new_path(spark, "lake")
+    for name, df in tables.items():
+        if name != "status":
+            csv_lake.write_table(df.drop("points") if name == "results" else df, f"{broken}/{name}.parquet")
+    return _checked(spark, lake.read_tables(spark, broken))
+
+
+@_query
+def dq_declared(spark, folder):
+    """Every declared test over staging, intermediate tables and the built marts."""
+    lake_ = _lake(spark, folder)
+    models = {f"stg_{t}": stage(t, lake_[t]) for t in NAMES}
+    models["int_results_enriched"] = _enriched(spark, folder)
+    models["int_qualifying_clean"] = marts.qualifying_clean(lake_)
+    return declared.run({**models, **_build(spark, folder)})
 
 
 @_query
@@ -695,22 +727,21 @@ def feature_box(spark, folder):
 
 # --- preparation, models, scoring --------------------------------------------------
 
-IMPUTED = ("qualifying_position", "grid_position", "driver_avg_points_recent")
-
-
 @_query
 def impute_median(spark, folder):
     train = splits.split_frames(_split(spark, folder))["train"]
-    fill = preprocess.median_values(train, IMPUTED)
-    return preprocess.impute(train, fill).select("result_id", *IMPUTED)
+    return preprocess.impute(train, preprocess.median_values(train, ft.FEATURES)).select(
+        "result_id", *ft.FEATURES
+    )
 
 
 @_query
 def standardize(spark, folder):
-    columns = ("grid_position", "driver_races_in_window", "driver_career_races")
+    """All features scaled; a missing value stays missing."""
     train = splits.split_frames(_split(spark, folder))["train"]
-    scaled = preprocess.standardize(train, preprocess.scales(train, columns))
-    return scaled.select("result_id", *[F.round(c, 6).alias(c) for c in columns])
+    numbers = train.select("result_id", *[F.col(c).cast("double").alias(c) for c in ft.FEATURES])
+    scaled = preprocess.standardize(numbers, preprocess.scales(numbers, ft.FEATURES))
+    return scaled.select("result_id", *[F.round(c, 6).alias(c) for c in ft.FEATURES])
 
 
 @_query
@@ -765,6 +796,18 @@ def score(spark, folder):
     )
 
 
+@_query
+def score_rules(spark, folder):
+    """What holds for every scored row: shares between 0 and 1, and yes above one half."""
+    scored = _predictions(spark, folder)
+
+    def holds(name: str):
+        p, yes = F.col(f"{name}_probability"), F.col(f"{name}_prediction")
+        return (p.between(0, 1) & (yes == (p > 0.5))).alias(f"{name}_holds")
+
+    return scored.select("result_id", holds("top10"), holds("dnf"))
+
+
 @_query
 def score_filtered(spark, folder):
     rows = splits.filter_race(_features(spark, folder), year=1999)
@@ -786,37 +829,35 @@ def evaluate_all(spark, folder):
 @_query
 def race_prediction_table(spark, folder):
     drivers = stage("drivers", _lake(spark, folder)["drivers"])
-    return summaries.race_prediction_table(_predictions(spark, folder), drivers)
+    test = splits.filter_years(_scored(spark, folder), binding.TEST_YEARS)
+    return summaries.race_prediction_table(test, drivers)
 
 
 # --- files -------------------------------------------------------------------------
 
-CSV_COLUMNS = ("resultId", "raceId", "grid", "position", "positionText", "points", "time")
-
-
-def _as_csv(spark: SparkSession, df: DataFrame, name: str) -> str:
-    path = f"{new_path(spark, 'raw')}/{name}.csv"
-    df.write.option("header", True).option("nullValue", "\\N").csv(path)
+def _as_csv(df: DataFrame, path: str) -> str:
+    df.write.options(**sinks.DIALECT).option("nullValue", "\\N").csv(path)
     return path
 
 
 def _csv_results(spark, folder) -> DataFrame:
-    raw = _lake(spark, folder)["results"].select(*CSV_COLUMNS)
-    return csv_lake.scan_csv(spark, _as_csv(spark, raw, "results"))
+    path = f"{new_path(spark, 'raw')}/results.csv"
+    return csv_lake.scan_csv(spark, _as_csv(_lake(spark, folder)["results"], path))
 
 
 @_query
 def io_csv_scan(spark, folder):
-    return _csv_results(spark, folder).select(
-        "resultId", "raceId", "grid", "positionText", "time"
-    )
+    """All columns of the results as the text in their files; numbers as numbers again."""
+    lake_, rows = _lake(spark, folder)["results"], _csv_results(spark, folder)
+    return rows.select(*[F.col(n).cast(k) for n, k in lake_.dtypes])
 
 
 @_query
 def io_typed_cast(spark, folder):
     """``positionText`` holds letters, so its hint is not taken up."""
     hints = {"raceId": "bigint", "grid": "int", "position": "double", "positionText": "int"}
-    return csv_lake.typed(_csv_results(spark, folder), hints).select(*CSV_COLUMNS)
+    rows = csv_lake.typed(_csv_results(spark, folder), hints)
+    return rows.select(*_lake(spark, folder)["results"].columns)
 
 
 @_query
@@ -826,23 +867,28 @@ def io_parquet_roundtrip(spark, folder):
     return spark.read.parquet(path)
 
 
-def _converted(spark, folder, *tables: str) -> DataFrame:
+def _converted(spark, folder) -> DataFrame:
     raw = new_path(spark, "raw")
-    for name in tables:
-        df = _lake(spark, folder)[name]
-        df.write.option("header", True).option("nullValue", "\\N").csv(f"{raw}/{name}.csv")
+    for name, df in _lake(spark, folder).items():
+        _as_csv(df, f"{raw}/{name}.csv")
     return csv_lake.convert_all(spark, raw, new_path(spark, "lake"))
 
 
 @_query
 def io_convert_all(spark, folder):
-    stats = _converted(spark, folder, "races", "drivers", "constructors", "circuits")
-    return stats.select("table", "ok", "n_rows", "n_columns")
+    """All eight raw tables from CSV to typed Parquet."""
+    return _converted(spark, folder).select("table", "ok", "n_rows", "n_columns")
 
 
 @_query
 def io_convert_stats(spark, folder):
-    return _converted(spark, folder, "results")
+    """Statistics of the same, with what holds for the sizes of any file."""
+    saved = (1 - F.col("parquet_mb") / F.col("csv_mb")) * 100
+    return _converted(spark, folder).select(
+        "table", "ok", "n_rows", "n_columns", "error",
+        ((F.col("csv_mb") > 0) & (F.col("parquet_mb") > 0)).alias("has_sizes"),
+        (F.abs(F.col("compression_pct") - saved) < 1e-6).alias("compression_holds"),
+    )
 
 
 @_query
@@ -865,8 +911,7 @@ def lake_sql(spark, folder):
 
 @_query
 def lake_inventory(spark, folder):
-    lake.register(spark, folder)
-    return lake.inventory(spark, "raw_")
+    return lake.inventory(spark, names=lake.register(spark, folder))
 
 
 @_query
@@ -886,15 +931,31 @@ def synth_lake(spark, folder):
     return toy.results(entries).join(sessions, "resultId")
 
 
-def _split_columns(spark, folder) -> DataFrame:
-    return _split(spark, folder).select(
-        "result_id", "race_id", "year", "round", "qualifying_position", "target_dnf", "split"
-    )
+@_query
+def synth_tables(spark, folder):
+    """All eight toy tables for the seasons and drivers of the given ones, as totals."""
+    orders = binding.table(spark, folder, "orders")
+    n_seasons = orders.select(F.countDistinct(F.year("o_orderdate"))).first()[0]
+    n_drivers = binding.table(spark, folder, "supplier").count()
+    totals = {
+        "races": ("raceId", "circuitId"), "drivers": ("driverId", "number"),
+        "constructors": ("constructorId", "constructorId"), "circuits": ("circuitId", "alt"),
+        "status": ("statusId", "statusId"), "seasons": ("year", "year"),
+        "qualifying": ("position", "constructorId"), "results": ("points", "laps"),
+    }
+    parts = [
+        df.agg(
+            F.count(F.lit(1)).alias("n_rows"),
+            *[F.sum(c).cast("long").alias(n) for n, c in zip(("one", "two"), totals[name], strict=True)],
+        ).select(F.lit(name).alias("table"), "*")
+        for name, df in toy.lake(spark, n_seasons, 5, n_drivers).items()
+    ]
+    return reduce(DataFrame.union, parts)
 
 
 @_query
 def sink_splits(spark, folder):
-    path, rows = new_path(spark, "splits"), _split_columns(spark, folder)
+    path, rows = new_path(spark, "splits"), _split(spark, folder)
     sinks.write_splits(rows, path)
     return sinks.read_csv(spark, path, rows)
 
@@ -909,9 +970,7 @@ def sink_predictions(spark, folder):
 @_query
 def sink_per_race(spark, folder):
     """Scored test split, one folder per race, read back."""
-    rows = splits.filter_years(_scored(spark, folder), binding.TEST_YEARS).select(
-        "result_id", "driver_id", "top10_probability", "year", "round", "race_id"
-    )
+    rows = splits.filter_years(_scored(spark, folder), binding.TEST_YEARS)
     path = new_path(spark, "per_race")
     sinks.write_per_race(rows, path)
     return sinks.read_csv(spark, path, rows)
@@ -919,12 +978,11 @@ def sink_per_race(spark, folder):
 
 @_query
 def predictions_json(spark, folder):
-    """Predictions as JSON records, with two fields read back out of each record."""
-    records = sinks.as_json(sinks.selected(_scored(spark, folder)))
+    """Predictions as JSON records, with every field read back out of its record."""
+    rows = sinks.selected(_scored(spark, folder))
+    records = sinks.as_json(rows)
     return records.select(
-        F.get_json_object("record", "$.race_id").cast("long").alias("race_id"),
-        F.get_json_object("record", "$.driver_id").cast("long").alias("driver_id"),
-        F.get_json_object("record", "$.dnf_prediction").alias("dnf_prediction"),
+        *[F.get_json_object("record", f"$.{n}").cast(k).alias(n) for n, k in rows.dtypes]
     )
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paddock.functions.scalars import as_number, at_most, equals, guarded_rate, mean, ratio
-from paddock.operators.ordered import CHUNK_ROWS, Past, find_cuts, prior
+from paddock.operators.ordered import CHUNK_ROWS, Laid, Past, lay_out, prior
 from paddock.plans.marts import (
     Lake,
     TOP_K,
@@ -169,54 +169,54 @@ def _form(prefix: str) -> list[Column]:
     ]
 
 
-def _look_back(rows, keys, wanted, windows, history, total) -> DataFrame:
-    stored = rows if history is None else history
-    cuts = find_cuts(stored, keys, windows.order, windows.chunk_rows, total)
-    return prior(rows, keys, windows.order, wanted, cuts, history)
+# what the windows read of a result, beside keys and order
+_MEASURES = ("is_top_10", "is_dnf", "points", "positions_gained")
+
+
+def laid_out(rows: DataFrame, key: str, windows: Windows = Windows(), *more: str) -> Laid:
+    """The narrow columns of stored result rows in parts by an entity and the order."""
+    columns = dict.fromkeys((key, *more, *windows.order, "result_id", *_MEASURES))
+    return lay_out(rows.select(*columns), [key], windows.order, windows.chunk_rows)
 
 
 def driver_form(
-    rows: DataFrame,
-    windows: Windows = Windows(),
-    history: DataFrame | None = None,
-    total: int | None = None,
+    rows: DataFrame, windows: Windows = Windows(), laid: Laid | None = None
 ) -> DataFrame:
-    """Add the driver's recent rates, points, places and row count; NULL on an empty frame."""
-    out = _look_back(rows, ["driver_id"], _recent(windows, True), windows, history, total)
-    return out.select(
-        *rows.columns,
+    """Per result: the driver's recent rates, points, places and row count; NULL on an empty frame.
+
+    ``rows`` is a stored table in which ``result_id`` names a row.
+    """
+    laid = laid or laid_out(rows, "driver_id", windows)
+    return prior(laid, _recent(windows, True)).select(
+        "result_id",
         *_form("driver"),
         mean(F.col("_gained"), F.col("_n_gained")).alias("driver_avg_positions_gained_recent"),
         F.col("_n").alias("driver_races_in_window"),
     )
 
 
-def constructor_form(
-    rows: DataFrame,
-    windows: Windows = Windows(),
-    history: DataFrame | None = None,
-    total: int | None = None,
-) -> DataFrame:
-    """Add the constructor's recent rates and points over its previous rows."""
-    out = _look_back(rows, ["constructor_id"], _recent(windows, False), windows, history, total)
-    return out.select(*rows.columns, *_form("constructor"))
+def constructor_form(rows: DataFrame, windows: Windows = Windows()) -> DataFrame:
+    """Per result: the constructor's recent rates and points over its previous rows."""
+    laid = laid_out(rows, "constructor_id", windows)
+    return prior(laid, _recent(windows, False)).select("result_id", *_form("constructor"))
 
 
 def circuit_form(
-    rows: DataFrame,
-    windows: Windows = Windows(),
-    history: DataFrame | None = None,
-    total: int | None = None,
+    rows: DataFrame, windows: Windows = Windows(), laid: Laid | None = None
 ) -> DataFrame:
-    """Add the driver's rates and row count over all earlier rows at the same circuit."""
+    """Per result: the driver's rates and row count over all earlier rows at the same circuit.
+
+    A driver's rows lie in order, and so do those at one circuit: the layout by driver
+    serves both windows.
+    """
     wanted = {
         "_top": Past("sum", "is_top_10"),
         "_dnf": Past("sum", "is_dnf"),
         "_n": Past("count"),
     }
-    out = _look_back(rows, ["driver_id", "circuit_id"], wanted, windows, history, total)
-    return out.select(
-        *rows.columns,
+    laid = laid or laid_out(rows, "driver_id", windows, "circuit_id")
+    return prior(laid, wanted, ["driver_id", "circuit_id"]).select(
+        "result_id",
         mean(F.col("_top"), F.col("_n")).alias("driver_top10_rate_at_circuit"),
         mean(F.col("_dnf"), F.col("_n")).alias("driver_dnf_rate_at_circuit"),
         F.col("_n").alias("driver_races_at_circuit"),
@@ -224,23 +224,30 @@ def circuit_form(
 
 
 def prerace_base(lake: Lake, top_k: int = TOP_K) -> DataFrame:
-    """Results with their qualifying row, if any, and the date of the race dimension."""
-    facts = results_fact(results_enriched(lake, top_k)).select(
+    """Results with their qualifying row, if any, and the date of their race.
+
+    The enriched rows have met their race and circuit already, so the date comes with
+    them, and a qualifying row needs its constructor only.
+    """
+    facts = results_enriched(lake, top_k).select(
         "result_id", "race_id", "driver_id", "constructor_id", "circuit_id", "year", "round",
         "grid_position",
         F.col("is_top_10").alias("target_top_10"),
         F.col("is_dnf").alias("target_dnf"),
+        "race_date",
     )
-    qualifying = qualifying_fact(qualifying_clean(lake)).select(
-        "race_id", "driver_id", "qualifying_position", "q1", "q2", "q3"
-    )
-    races = lake["races"].select(
-        F.col("raceId").alias("race_id"), F.col("circuitId"), F.col("date").alias("race_date")
+    known = stage("constructors", lake["constructors"]).select("constructor_id")
+    qualifying = (
+        stage("qualifying", lake["qualifying"])
+        .join(known, "constructor_id", "left_semi")
+        .select("race_id", "driver_id", "qualifying_position", "q1", "q2", "q3")
     )
-    # the race dimension holds the races whose circuit exists
-    known = lake["circuits"].select("circuitId")
-    races = races.join(known, "circuitId", "left_semi").drop("circuitId")
-    return facts.join(qualifying, ["race_id", "driver_id"], "left").join(races, "race_id")
+    joined = facts.join(qualifying, ["race_id", "driver_id"], "left")
+    return joined.select(
+        "result_id", "race_id", "driver_id", "constructor_id", "circuit_id", "year", "round",
+        "qualifying_position", "q1", "q2", "q3", "grid_position", "target_top_10", "target_dnf",
+        "race_date",
+    )
 
 
 def _finish(rows: DataFrame) -> DataFrame:
@@ -281,24 +288,22 @@ def features(
 ) -> DataFrame:
     """One row per result with 24 features; published semantics.
 
-    The result rows are stored once and feed the dimensions and all windows.  Each
-    window sits next to the dimension join on the same key, and the circuit window
-    reuses the driver partitioning, so the rows are shuffled twice.  ``rows`` and the
+    The result rows are stored once and feed the dimensions and all windows.  The windows
+    read narrow columns, laid out once by constructor and once by driver, and their
+    results meet the rows by ``result_id``, which must name a row.  ``rows`` and the
     dimensions (``driver``, ``constructor``, ``circuit``) may be stored tables.
     """
     if rows is None:
         rows = materialize(source_rows(lake, top_k, unique_qualifying), "result_rows")
-    total = rows.count()
     if dims is None:
         dims = {
             "driver": driver_dim(lake, rows),
             "constructor": constructor_dim(lake, rows),
             "circuit": circuit_dim(lake, rows),
         }
-        if total > windows.chunk_rows:
-            # stored, their true size decides between broadcast and shuffle before the
-            # long side is planned; an aggregate would be taken to be as large as it
-            dims = {name: materialize(dim, name) for name, dim in dims.items()}
+        # stored, their true size decides between broadcast and shuffle before the
+        # long side is planned; an aggregate would be taken to be as large as it
+        dims = {name: materialize(dim, name) for name, dim in dims.items()}
     drivers = dims["driver"].selectExpr(
         "driver_id",
         "total_races AS driver_career_races",
@@ -317,12 +322,19 @@ def features(
         "avg_dnf_rate AS circuit_avg_dnf_rate",
         "times_hosted AS circuit_times_hosted",
     )
-    needed = rows.drop("laps", "finish_position_order")
-    out = constructor_form(needed, windows, needed, total)
-    out = out.join(constructors, "constructor_id", "left")
-    out = driver_form(out, windows, needed, total)
-    out = circuit_form(out, windows, needed, total).drop("points", "positions_gained")
-    out = out.join(drivers, "driver_id", "left").join(circuits, "circuit_id", "left")
+    by_driver = laid_out(rows, "driver_id", windows, "circuit_id")
+    out = rows.drop("laps", "finish_position_order", "points", "positions_gained")
+    for form in (
+        constructor_form(rows, windows),
+        driver_form(rows, windows, by_driver),
+        circuit_form(rows, windows, by_driver),
+    ):
+        out = out.join(form, "result_id")
+    out = (
+        out.join(constructors, "constructor_id", "left")
+        .join(drivers, "driver_id", "left")
+        .join(circuits, "circuit_id", "left")
+    )
     if "qualifying_position" not in rows.columns:
         out = out.join(qualifying_positions(lake), ["race_id", "driver_id"], "left")
     return _finish(out)
@@ -358,8 +370,7 @@ def event_history(
     wanted["_races"] = Past("count", None, recent)
     wanted |= {f"ever_{c}": Past("sum", c) for c in ("top", "dnf", "n", "won")}
     wanted["ever_races"] = Past("count")
-    cuts = find_cuts(per_race, keys, race_order, windows.chunk_rows)
-    out = prior(per_race, keys, race_order, wanted, cuts)
+    out = prior(lay_out(per_race, keys, race_order, windows.chunk_rows), wanted)
     return out.select(*dict.fromkeys((*keys, *race_order)), *wanted)
 
 

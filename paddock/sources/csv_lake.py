@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,13 +31,30 @@ STATS = T.StructType(
 )
 
 
-def _spans_lines(spark: SparkSession, path: str) -> bool:
-    """Whether a quoted field may contain a line break.
+def _layouts(spark: SparkSession, path: str) -> dict[tuple[str, bool], list[str]]:
+    """Files of a path by their header line and by whether a quoted field spans lines.
 
-    Each line of a file without such fields holds an even number of quotes.
+    Each line of a file without such fields holds an even number of quotes.  One row a
+    file reaches the driver, which lists the files in any case.
     """
     quotes = F.length(F.regexp_replace("value", '[^"]', ""))
-    return not spark.read.text(path).where(quotes % 2 == 1).isEmpty()
+    place = F.struct("_metadata.file_block_start", F.monotonically_increasing_id())
+    by_file = (
+        spark.read.text(path)
+        .select(
+            F.col("_metadata.file_path").alias("file"),
+            "value",
+            place.alias("place"),
+            (quotes % 2 == 1).alias("odd"),
+        )
+        .groupBy("file")
+        .agg(F.min_by("value", "place").alias("header"), F.max("odd").alias("spans"))
+        .orderBy("file")
+    )
+    found: dict[tuple[str, bool], list[str]] = {}
+    for row in by_file.toLocalIterator():
+        found.setdefault((row["header"], row["spans"]), []).append(row["file"])
+    return found
 
 
 def scan_csv(
@@ -44,20 +62,26 @@ def scan_csv(
 ) -> DataFrame:
     """All columns as text with the null tokens replaced.
 
-    Files are split between tasks unless a quoted field contains a line break; only
-    then is each file read by one task.
+    Files may have their columns in different orders, or lack some: each is read by its
+    own header, and a missing column is NULL.  Only a file in which a quoted field spans
+    lines is read by one task; all others are split.
     """
-    names = spark.read.option("header", True).csv(path).columns
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in (*names, _EXTRA)])
-    raw = (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("escape", '"')
-        .option("multiLine", _spans_lines(spark, path))
-        .csv(path)
-    )
+    parts = []
+    for (_, spans), paths in _layouts(spark, path).items():
+        names = spark.read.option("header", True).option("escape", '"').csv(paths[0]).columns
+        schema = T.StructType([T.StructField(n, T.StringType()) for n in (*names, _EXTRA)])
+        reader = spark.read.schema(schema).option("header", True).option("escape", '"')
+        parts.append(reader.option("multiLine", spans).csv(paths))
+    if not parts:
+        # no file has a line
+        return spark.read.option("header", True).csv(path)
+    raw = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    names = [n for n in raw.columns if n != _EXTRA]
     return raw.select(
-        *[F.when(~F.col(n).isin(list(null_tokens)), F.col(n)).alias(n) for n in (*names, _EXTRA)]
+        *[
+            F.when(~F.col(f"`{n}`").isin(list(null_tokens)), F.col(f"`{n}`")).alias(n)
+            for n in (*names, _EXTRA)
+        ]
     )
 
 
@@ -82,73 +106,58 @@ def _as_type(column: Column, kind: str) -> Column:
     return column.try_cast(kind)
 
 
-def _fits(column: Column, kind: str, hinted: bool) -> Column:
-    """Whether a present value can be read as the type."""
-    if kind == "bigint" and not hinted:
-        # up to 18 digits always fit; longer ones are tried
-        short = column.rlike(r"^\s*[+-]?\d{1,18}\s*$")
-        return short | (column.rlike(_WHOLE) & column.try_cast("bigint").isNotNull())
-    if kind == "double" and not hinted:
-        return column.rlike(_NUMBER)
-    return _as_type(column, kind).isNotNull()
-
-
-def _check(raw: DataFrame, tries: Mapping[str, Sequence[str]], hints: Mapping[str, str]):
-    """One pass: present values per column, rows longer than the header, and for each
-    (column, type) to try the present values that cannot be read as the type."""
-    counts, keys = [F.count(f"`{_EXTRA}`") if _EXTRA in raw.columns else F.lit(0)], [_EXTRA]
-    for name, kinds in tries.items():
-        column = F.col(f"`{name}`")
-        counts.append(F.count(column))
-        keys.append(name)
-        for kind in kinds:
-            fits = _fits(column, kind, hints.get(name) == kind)
-            counts.append(F.count_if(column.isNotNull() & ~fits))
-            keys.append((name, kind))
-    row = raw.agg(*[c.alias(f"c{i}") for i, c in enumerate(counts)]).first()
-    return dict(zip(keys, row))
-
-
-def typed(
-    raw: DataFrame, hints: Mapping[str, str] | None = None, sample: int = 1_000
-) -> DataFrame:
+# What a present value can be read as, most special first.
+_KINDS = ("bigint", "double", "boolean", "string")
+
+
+def _kind(column: Column) -> Column:
+    """Number of the most special kind that a present value has; NULL for a missing one."""
+    # up to 18 digits always fit; longer ones are tried
+    short = column.rlike(r"^\s*[+-]?\d{1,18}\s*$")
+    whole = short | (column.rlike(_WHOLE) & column.try_cast("bigint").isNotNull())
+    lowered = F.lower(column)
+    return (
+        F.when(column.isNull(), None)
+        .when(whole, 0)
+        .when(column.rlike(_NUMBER), 1)
+        .when((lowered == "true") | (lowered == "false"), 2)
+        .otherwise(3)
+    )
+
+
+def typed(raw: DataFrame, hints: Mapping[str, str] | None = None) -> DataFrame:
     """Give each text column a type, for the whole column or not at all.
 
     A hinted type is used if every present value can be read as it; otherwise, and
     for columns without a hint, the first of bigint, double, boolean that fits all
-    values; otherwise text.  A few rows rule out most types; the first type left is
-    then checked on all rows, for all columns in one pass.
+    values; otherwise text.  A whole-number hint gives a whole-number column even where
+    values are missing.  All values of all columns are checked in one pass.
     """
     hints = {k: v for k, v in (hints or {}).items() if k in raw.columns}
     names = [c for c in raw.columns if c != _EXTRA]
-    tries = {
-        n: list(dict.fromkeys([hints.get(n, "bigint"), "bigint", "double", "boolean"]))
-        for n in names
-    }
-    few = _check(raw.limit(sample), tries, hints)
-    tries = {n: [k for k in kinds if not few[n, k]] for n, kinds in tries.items()}
-    chosen, present = {}, {}
-    while tries:
-        found = _check(raw, {n: kinds[:1] for n, kinds in tries.items()}, hints)
-        if found[_EXTRA]:
-            raise ValueError(f"{found[_EXTRA]} rows have more fields than the header")
-        left = {}
-        for n, kinds in tries.items():
-            present.setdefault(n, found[n])
-            if not kinds:
-                continue
-            if found[n, kinds[0]] == 0:
-                chosen[n] = kinds[0]
-            else:
-                left[n] = kinds[1:]
-        tries = {n: kinds for n, kinds in left.items() if kinds}
+    checks = {}
+    for i, n in enumerate(names):
+        column = F.col(f"`{n}`")
+        # one bit for each kind that occurs
+        bit = F.call_function("shiftleft", F.lit(1), _kind(column))
+        checks[f"kinds{i}"] = F.bit_or(bit)
+        if n in hints:
+            checks[f"not{i}"] = F.count_if(column.isNotNull() & _as_type(column, hints[n]).isNull())
+    extra = F.count(f"`{_EXTRA}`") if _EXTRA in raw.columns else F.lit(0)
+    found = raw.agg(extra.alias("extra"), *[c.alias(k) for k, c in checks.items()]).first()
+    if found["extra"]:
+        raise ValueError(f"{found['extra']} rows have more fields than the header")
     columns = []
-    for n in names:
-        kind = chosen.get(n, "string")
-        if not present[n]:
-            kind = hints.get(n, "string")
-        elif n in hints and kind != hints[n]:
-            log.warning("column %s cannot be read as %s", n, hints[n])
+    for i, n in enumerate(names):
+        present = {k for b, k in enumerate(_KINDS) if (found[f"kinds{i}"] or 0) >> b & 1}
+        kind = hints.get(n, "string")
+        if present and (n not in hints or found[f"not{i}"]):
+            if n in hints:
+                log.warning("column %s cannot be read as %s", n, hints[n])
+            numbers = {frozenset(["bigint"]): "bigint", frozenset(["boolean"]): "boolean"}
+            kind = numbers.get(frozenset(present), "string")
+            if present <= {"bigint", "double"} and "double" in present:
+                kind = "double"
         column = F.col(f"`{n}`")
         columns.append((column if kind == "string" else _as_type(column, kind)).alias(n))
     return raw.select(*columns)

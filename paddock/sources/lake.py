@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,6 +34,22 @@ def register(spark: SparkSession, folder: str, prefix: str = "raw_") -> list[str
     return names
 
 
+def register_tables(spark: SparkSession, folder: str, database: str, prefix: str = "raw_") -> list[str]:
+    """Register every table of a folder in a database of the catalog; returns their names.
+
+    With a catalog that lasts (spark.sql.catalogImplementation=hive, or another one) later
+    sessions find them; the files stay where they are.
+    """
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+    names = []
+    for stem in read_tables(spark, folder):
+        name = f"`{database}`.`{prefix}{stem}`"
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        spark.catalog.createTable(name, path=f"{folder}/{stem}.parquet", source="parquet")
+        names.append(f"{database}.{prefix}{stem}")
+    return names
+
+
 def query(spark: SparkSession, text: str, description: str = "") -> DataFrame:
     """Run ad-hoc SQL over the registered views."""
     if description:
@@ -40,9 +57,13 @@ def query(spark: SparkSession, text: str, description: str = "") -> DataFrame:
     return spark.sql(text)
 
 
-def inventory(spark: SparkSession, prefix: str = "") -> DataFrame:
-    """Row counts of all tables and views, or of those with a prefix, by name."""
-    names = sorted(t.name for t in spark.catalog.listTables() if t.name.startswith(prefix))
+def inventory(
+    spark: SparkSession, prefix: str = "", names: Sequence[str] | None = None
+) -> DataFrame:
+    """Row counts of the named views, or of all tables and views with a prefix, by name."""
+    if names is None:
+        names = [t.name for t in spark.catalog.listTables() if t.name.startswith(prefix)]
+    names = sorted(names)
     if not names:
         return spark.createDataFrame([], "table_name string, n_rows bigint")
     counts = [

@@ -20,46 +20,34 @@ def selected(predictions: DataFrame) -> DataFrame:
     return predictions.select(*[c for c in SELECTED if c in predictions.columns])
 
 
+# One dialect for all files: a header, and quotes doubled inside quotes.
+DIALECT = {"header": True, "escape": '"'}
+
+
 def write_splits(split: DataFrame, folder: str) -> None:
     """One CSV folder per split, ``split=<name>``, with headers."""
-    split.write.partitionBy("split").option("header", True).csv(folder)
+    split.write.partitionBy("split").options(**DIALECT).csv(folder)
 
 
 def write_csv(df: DataFrame, folder: str) -> None:
-    df.write.option("header", True).csv(folder)
+    df.write.options(**DIALECT).csv(folder)
 
 
 def read_csv(spark: SparkSession, folder: str, like: DataFrame) -> DataFrame:
-    """Read a CSV folder back under the schema of ``like``."""
-    return (
-        spark.read.schema(like.schema).option("header", True).csv(folder).select(*like.columns)
-    )
+    """Read a CSV folder back under the schema of ``like``; no text may span lines."""
+    return spark.read.schema(like.schema).options(**DIALECT).csv(folder).select(*like.columns)
 
 
 def write_per_race(predictions: DataFrame, folder: str, file_rows: int = 1_000_000) -> None:
     """One folder per race in one job.
 
-    Rows are brought together by race, so a race is normally one file.  A race with
-    more than ``file_rows`` rows is spread over as many tasks and files as it needs.
+    Races go to tasks by key, in as many partitions as their size asks for; a task that
+    would get too much is split, so a large race becomes several files, of at most
+    ``file_rows`` rows each.  With very many races a table by year is the better layout.
     """
     by = ["year", "round", "race_id"]
-    spark = predictions.sparkSession
-    large = (
-        predictions.groupBy(*by)
-        .agg(F.ceil(F.count(F.lit(1)) / file_rows).alias("_parts"))
-        .where("_parts > 1")
-    )
-    whole_row = F.xxhash64(*predictions.columns)
-    part = F.pmod(whole_row, F.coalesce("_parts", F.lit(1))).alias("_part")
-    # a stated number keeps many small races from being packed into one task
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    together = (
-        predictions.join(large, by, "left")
-        .select(*predictions.columns, part)
-        .repartition(tasks, *by, "_part")
-        .drop("_part")
-    )
-    together.write.partitionBy(*by).option("header", True).csv(folder)
+    writer = predictions.hint("rebalance", *by).write.partitionBy(*by).options(**DIALECT)
+    writer.option("maxRecordsPerFile", file_rows).csv(folder)
 
 
 def as_json(df: DataFrame) -> DataFrame:
@@ -78,7 +66,7 @@ def evaluation_rows(scored: DataFrame, target: str, name: str) -> DataFrame:
 
 def read_evaluation(spark: SparkSession, folder: str) -> DataFrame:
     """Saved evaluation rows; without a probability the prediction stands in for it."""
-    raw = spark.read.option("header", True).csv(folder)
+    raw = spark.read.options(**DIALECT).csv(folder)
     prediction = F.col("prediction").cast("boolean")
     probability = (
         F.col("probability").cast("double")

@@ -66,7 +66,10 @@ def test_one_class_only(scored, label):
 def test_report_and_confusion_with_absent_cells(spark):
     df = spark.createDataFrame([(True, True), (True, False)], "y boolean, pred boolean")
     cells = {(r[0], r[1]): r[2] for r in metrics.confusion_matrix(df, "pred", "y").collect()}
-    assert cells == {(False, False): 0, (False, True): 0, (True, False): 1, (True, True): 1}
+    assert cells == {
+        (False, False): 0, (False, True): 0, (True, False): 1, (True, True): 1,
+        (False, None): 0, (True, None): 0,
+    }
     report = {r["label"]: r for r in metrics.classification_report(df, "pred", "y").collect()}
     assert report["true"]["precision"] == 1.0 and report["true"]["recall"] == 0.5
     assert report["false"]["precision"] == 0.0 and report["false"]["support"] == 0
@@ -198,3 +201,30 @@ def test_labels_and_rankings(spark):
     panel = summaries.race_panel(df).first()
     assert (panel["predicted_top10"], panel["predicted_dnf"], panel["drivers"]) == (1, 1, 3)
     assert panel["top10_accuracy"] == pytest.approx(2 / 3)
+
+
+def test_missing_values_in_metrics(spark):
+    """Missing predictions are wrong; missing scores and labels are left out of score metrics."""
+    rows = [(True, True, 0.9), (False, False, 0.2), (True, None, None), (None, True, 0.99), (False, None, 0.1)]
+    df = spark.createDataFrame(rows, "y boolean, pred boolean, p double")
+    loss = -(math.log(0.9) + math.log(0.8) + math.log(0.9)) / 3
+    assert df.agg(metrics.log_loss("p", "y")).first()[0] == pytest.approx(loss)
+    report = {r["label"]: r for r in metrics.classification_report(df, "pred", "y").collect()}
+    assert (report["true"]["recall"], report["true"]["precision"], report["true"]["support"]) == (0.5, 1.0, 2)
+    assert (report["false"]["recall"], report["false"]["precision"], report["false"]["support"]) == (0.5, 1.0, 2)
+    labelled = df.where("y IS NOT NULL")
+    flat = metrics.accuracy(labelled, {"a": ("pred", "y")}).first()["a"]
+    assert report["accuracy"]["precision"] == flat == 0.5
+    cells = {(r[0], r[1]): r[2] for r in metrics.confusion_matrix(df, "pred", "y").collect()}
+    assert cells == {
+        (False, False): 1, (False, True): 0, (False, None): 1,
+        (True, False): 0, (True, True): 1, (True, None): 1,
+    }
+
+
+def test_one_class_among_the_scored_rows(spark):
+    rows = [(True, True, 0.9), (True, True, 0.4), (False, None, None), (None, None, 0.3)]
+    df = spark.createDataFrame(rows, "y boolean, pred boolean, p double")
+    row = metrics.binary_metrics(df, "pred", "p", "y").first()
+    assert (row["roc_auc"], row["log_loss"]) == (1.0, 0.0)
+    assert row["positive_rate"] == pytest.approx(2 / 3) and row["n_rows"] == 4

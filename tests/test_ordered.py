@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from paddock.operators.ordered import Past, find_cuts, prior
+from paddock.operators.ordered import Past, lay_out, prior
 
 WANTED = {
     "sum3": Past("sum", "x", 3),
@@ -51,36 +51,48 @@ def skewed(n, seed):
 
 
 @pytest.mark.parametrize("seed", [1, 2])
-@pytest.mark.parametrize("chunk_rows", [10**6, 400, 150, 20])
+@pytest.mark.parametrize("chunk_rows", [10**6, 400, 150, 20, 3])
 def test_prior_equals_loop(spark, seed, chunk_rows):
-    rows = skewed(3000, seed)
+    rows = skewed(3000 if chunk_rows > 3 else 300, seed)
     df = spark.createDataFrame(rows, "key int, a int, b int, x double")
-    cuts = find_cuts(df, ["key"], ["a", "b"], chunk_rows)
-    assert (cuts is None) == (chunk_rows == 10**6)
+    laid = lay_out(df, ["key"], ["a", "b"], chunk_rows)
+    assert laid.table.select("_part").distinct().count() >= (1 if chunk_rows == 10**6 else 2)
     got = {
         (r["key"], r["a"], r["b"]): {n: r[n] for n in WANTED}
-        for r in prior(df, ["key"], ["a", "b"], WANTED, cuts).collect()
+        for r in prior(laid, WANTED).collect()
     }
     assert got == brute(rows)
 
 
-def test_long_keys_are_cut_into_several_partitions(spark):
+def test_long_keys_are_in_many_parts(spark):
     rows = [(1, i, i, 1.0) for i in range(5000)] + [(2, i, i, 1.0) for i in range(50)]
     df = spark.createDataFrame(rows, "key int, a int, b int, x double")
-    cuts = find_cuts(df, ["key"], ["a", "b"], 500)
-    points = {r["key"]: sum(len(b) for b in r["_cuts"]) for r in cuts.table.collect()}
-    assert set(points) == {1} and points[1] >= 5
-    plan = prior(df, ["key"], ["a", "b"], WANTED, cuts)._jdf.queryExecution().toString()
-    assert "_chunk" in plan
+    laid = lay_out(df, ["key"], ["a", "b"], 500)
+    sizes = laid.table.groupBy("_part").count().agg(F.count("*"), F.max("count")).first()
+    assert sizes[0] >= 9 and sizes[1] < 1500
+    plan = prior(laid, WANTED)._jdf.queryExecution().toString()
+    assert "_part" in plan
 
 
-def test_history_may_be_a_narrower_table(spark):
+@pytest.mark.parametrize("chunk_rows", [10**6, 500, 60])
+def test_frames_longer_than_a_part(spark, chunk_rows):
+    df = spark.range(3000).selectExpr("1 AS key", "id AS a", "cast(id AS double) AS x")
+    wanted = {"sum200": Past("sum", "x", 200), "n200": Past("count", None, 200)}
+    out = prior(lay_out(df, ["key"], ["a"], chunk_rows), wanted).collect()
+    assert len(out) == 3000
+    for r in out:
+        low = max(0, r["a"] - 200)
+        assert r["n200"] == r["a"] - low
+        assert r["sum200"] == (sum(range(low, r["a"])) or (0.0 if r["a"] > low else None))
+
+
+def test_finer_keys_follow_the_same_parts(spark):
     rows = skewed(2000, 5)
-    stored = spark.createDataFrame(rows, "key int, a int, b int, x double")
-    wide = stored.withColumn("label", F.concat(F.lit("r"), F.col("b")))
-    cuts = find_cuts(stored, ["key"], ["a", "b"], 150)
-    out = prior(wide, ["key"], ["a", "b"], WANTED, cuts, history=stored)
-    assert out.columns == [*wide.columns, *WANTED]
-    assert out.count() == 2000 and out.where("label IS NULL").count() == 0
+    df = spark.createDataFrame(rows, "key int, a int, b int, x double").withColumn("odd", F.expr("b % 2"))
+    out = prior(lay_out(df, ["key"], ["a", "b"], 150), WANTED, ["key", "odd"])
+    assert out.columns == [*df.columns, *WANTED]
     got = {(r["key"], r["a"], r["b"]): {n: r[n] for n in WANTED} for r in out.collect()}
-    assert got == brute(rows)
+    want = brute([r for r in rows if r[2] % 2]) | brute([r for r in rows if not r[2] % 2])
+    assert got == want
+    with pytest.raises(ValueError):
+        prior(lay_out(df, ["key"], ["a", "b"]), WANTED, ["odd"])

@@ -91,6 +91,7 @@ def test_one_folder_per_race(spark, tmp_path, file_rows):
     assert [f.rsplit("/", 1)[1] for f in found] == ["race_id=7", "race_id=8"]
     parts = files.glob(spark, f"{tmp_path}/out/year=2020/round=1/race_id=7/*.csv")
     assert (len(parts) == 1) == (file_rows > 100)
+    assert all(len(Path(f.removeprefix("file:")).read_text().splitlines()) <= file_rows + 1 for f in parts)
     back = sinks.read_csv(spark, f"{tmp_path}/out", rows)
     assert back.exceptAll(rows).isEmpty() and back.count() == 130
 
@@ -110,3 +111,42 @@ def test_runs_are_appended_and_json_keeps_missing_fields(spark, tmp_path):
     record = sinks.as_json(spark.sql("SELECT 1 AS race_id, CAST(NULL AS DOUBLE) AS p")).first()
     assert record["record"] == '{"race_id":1,"p":null}'
     assert sinks.selected(spark.sql("SELECT 1 AS other, 2 AS race_id")).columns == ["race_id"]
+
+
+def test_texts_with_quotes_come_back(spark, tmp_path):
+    rows = spark.createDataFrame([('say "hi", ok', 1), ("a\\b", 2), ('"', 3), ("x,y", 4)], "a string, b int")
+    sinks.write_csv(rows, f"{tmp_path}/out")
+    assert sinks.read_csv(spark, f"{tmp_path}/out", rows).exceptAll(rows).isEmpty()
+    typed = csv_lake.typed(csv_lake.scan_csv(spark, f"{tmp_path}/out"))
+    assert {(r["a"], r["b"]) for r in typed.collect()} == {tuple(r) for r in rows.collect()}
+
+
+def test_files_of_a_folder_keep_their_own_header(spark, tmp_path):
+    put(tmp_path / "t.csv", "1.csv", "a,b\n1,x\n")
+    put(tmp_path / "t.csv", "2.csv", "b,a\ny,2\n")
+    put(tmp_path / "t.csv", "3.csv", 'a,b,c\n3,"two\nlines",9\n')
+    table = csv_lake.typed(csv_lake.scan_csv(spark, f"{tmp_path}/t.csv"))
+    assert {(r["a"], r["b"], r["c"]) for r in table.collect()} == {
+        (1, "x", None), (2, "y", None), (3, "two\nlines", 9),
+    }
+
+
+def test_only_a_file_with_line_breaks_is_read_whole(spark, tmp_path):
+    put(tmp_path / "t.csv", "long.csv", "a,b\n" + "".join(f"{i},text {i}\n" for i in range(20000)))
+    put(tmp_path / "t.csv", "lines.csv", 'a,b\n1,"two\nlines"\n')
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "40000")
+    try:
+        raw = csv_lake.scan_csv(spark, f"{tmp_path}/t.csv")
+        assert raw.count() == 20001
+        tasks = raw.where("b LIKE 'text%'").selectExpr("spark_partition_id() AS p").distinct().count()
+        assert tasks > 3
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_tables_in_a_database(spark, tmp_path):
+    toy.status(spark).write.parquet(f"{tmp_path}/status.parquet")
+    names = lake.register_tables(spark, str(tmp_path), "paddock_test")
+    assert names == ["paddock_test.raw_status"] and spark.table(names[0]).count() == 5
+    spark.sql("DROP DATABASE paddock_test CASCADE")
