@@ -701,6 +701,36 @@ UNION ALL SELECT 'confusion', 'actual false predicted missing', missed0 FROM cel
 UNION ALL SELECT 'confusion', 'actual true predicted missing', missed1 FROM cells
 UNION ALL SELECT 'probability', 'bin ' || least(floor(top10_probability * 10)::INT, 9), count(*)
   FROM scored GROUP BY 2)""",
+        "evaluation_report": """
+SELECT 'top10' AS model, section, name, round(value, 9) AS value FROM (
+SELECT 'report' AS section, label || ' precision' AS name, "precision" AS value FROM report
+UNION ALL SELECT 'report', label || ' recall', recall FROM report
+UNION ALL SELECT 'report', label || ' f1', f1 FROM report
+UNION ALL SELECT 'report', label || ' support', support FROM report
+UNION ALL SELECT 'confusion', 'actual false predicted false', tn FROM cells
+UNION ALL SELECT 'confusion', 'actual false predicted true', fp FROM cells
+UNION ALL SELECT 'confusion', 'actual true predicted false', fn FROM cells
+UNION ALL SELECT 'confusion', 'actual true predicted true', tp FROM cells
+UNION ALL SELECT 'confusion', 'actual false predicted missing', missed0 FROM cells
+UNION ALL SELECT 'confusion', 'actual true predicted missing', missed1 FROM cells
+UNION ALL SELECT 'curve', 'precision', count(*) FILTER (target_top_10) / count(*) FROM scored
+  WHERE top10_probability >= 0.3
+UNION ALL SELECT 'curve', 'recall', count(*) FILTER (top10_probability >= 0.3) / count(*) FROM scored
+  WHERE target_top_10
+UNION ALL SELECT 'curve', 'middle precision', "precision" FROM curve, totals WHERE place = (points + 1) // 2
+UNION ALL SELECT 'curve', 'middle recall', recall FROM curve, totals WHERE place = (points + 1) // 2)""",
+        "drift_with_targets": """
+SELECT feature, score_name, round(score, 9) AS score, drifted FROM drift
+UNION ALL
+SELECT feature, 'js', round(sqrt(greatest(d, 0)), 9), sqrt(greatest(d, 0)) > 0.1 FROM (
+  SELECT feature, sum(CASE WHEN p > 0 THEN p * log2(2 * p / (p + q)) ELSE 0 END
+    + CASE WHEN q > 0 THEN q * log2(2 * q / (p + q)) ELSE 0 END) / 2 AS d FROM (
+    SELECT feature, value,
+      count(*) FILTER (split = 'train') / sum(count(*) FILTER (split = 'train')) OVER (PARTITION BY feature) AS p,
+      count(*) FILTER (split = 'test') / sum(count(*) FILTER (split = 'test')) OVER (PARTITION BY feature) AS q
+    FROM (SELECT split, 'target_top_10' AS feature, target_top_10 AS value FROM splits
+      UNION ALL SELECT split, 'target_dnf', target_dnf FROM splits)
+    WHERE split IN ('train', 'test') GROUP BY feature, value) GROUP BY feature)""",
         "drift_ks":
             "SELECT feature, round(max(gap), 9) AS ks FROM drift_steps GROUP BY feature",
         "drift_wasserstein": """

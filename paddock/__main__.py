@@ -44,7 +44,9 @@ def parser() -> argparse.ArgumentParser:
     train.add_argument("--depth", type=int)
     train.add_argument("--run")
     step("evaluate", "marts_dir", "models_dir", "reports_dir", splits=True)
-    step("report", "marts_dir", "reports_dir", splits=True)
+    step("report", "marts_dir", "reports_dir", splits=True).add_argument(
+        "--with-targets", action="store_true"
+    )
     predict = step("predict", "marts_dir", "models_dir", splits=True)
     predict.add_argument("--year", type=int)
     predict.add_argument("--race-id", type=int)

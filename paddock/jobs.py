@@ -134,6 +134,10 @@ def train(
     importance.write.mode("overwrite").option("header", True).csv(
         f"{models_dir}/{stored}_feature_importance"
     )
+    checked = materialize(training.score(frames["val"], {name: model}), "scored")
+    sinks.write_csv(
+        training.evaluation_report(checked, [name]), f"{models_dir}/{stored}_validation_report"
+    )
     names = spark.createDataFrame([(c,) for c in ft.FEATURES], "feature string").coalesce(1)
     names.write.mode("overwrite").text(f"{models_dir}/{stored}_features")
     result = materialize(
@@ -154,20 +158,32 @@ def train(
 def evaluate(
     spark: SparkSession, marts_dir: str, models_dir: str, reports_dir: str, **split_years
 ) -> DataFrame:
-    """Metrics of all stored models on the test split; their predictions are kept."""
+    """Metrics of all stored models on the test split.
+
+    Predictions, classification report, confusion matrix and curve points are written.
+    """
     test = export_features(spark, marts_dir, **split_years)["test"]
     models = training.load_all(spark, models_dir)
     scored = materialize(training.score(test, models), "scored")
     for name in models:
         rows = sinks.evaluation_rows(scored, training.MODELS[name][0], name)
         sinks.write_csv(rows, f"{reports_dir}/{name}_test_predictions")
-    return training.evaluate_all(test, models)
+        report = training.evaluation_report(scored, [name])
+        sinks.write_csv(report, f"{reports_dir}/{name}_evaluation")
+    return training.evaluate_all(test, models, scored)
 
 
 def report(
-    spark: SparkSession, marts_dir: str, reports_dir: str, **split_years
+    spark: SparkSession,
+    marts_dir: str,
+    reports_dir: str,
+    with_targets: bool = False,
+    **split_years,
 ) -> dict[str, DataFrame]:
-    """Classification report per model with saved predictions, and the drift report."""
+    """Classification report per model with saved predictions, and the drift report.
+
+    The drift report covers the features, and the two targets as well if asked to.
+    """
     tables = {}
     for name in training.MODELS:
         path = f"{reports_dir}/{name}_test_predictions"
@@ -181,7 +197,7 @@ def report(
     split = frames["train"].withColumn("split", F.lit("train")).unionByName(
         frames["test"].withColumn("split", F.lit("test"))
     )
-    tables["drift"] = materialize(reports.drift_report(split, list(ft.FEATURES)), "drift")
+    tables["drift"] = materialize(reports.drift_report(split, [*ft.FEATURES, *(ft.TARGETS if with_targets else ())]), "drift")
     tables["drift_summary"] = reports.drift_totals(tables["drift"])
     for name, table in tables.items():
         sinks.write_csv(table, f"{reports_dir}/{name}")

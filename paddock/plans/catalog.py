@@ -507,6 +507,13 @@ def drift_js(spark, folder):
     return drift.category_scores(counts).select("feature", F.round("js", 9).alias("js"))
 
 
+@_query
+def drift_with_targets(spark, folder):
+    """Drift of the features and of both targets: 26 columns."""
+    report = reports.drift_report(_split(spark, folder), [*ft.FEATURES, *TARGETS])
+    return report.select("feature", "score_name", F.round("score", 9).alias("score"), "drifted")
+
+
 @_query
 def drift_summary(spark, folder):
     report = reports.drift_report(_split(spark, folder), list(ft.FEATURES))
@@ -826,6 +833,13 @@ def evaluate_all(spark, folder):
     return training.evaluate_all(test, _models(spark, folder))
 
 
+@_query
+def evaluation_report(spark, folder):
+    """Report, confusion matrix and curve points of the scores made of recent form."""
+    table = training.evaluation_report(_scored(spark, folder), ["top10"], 0.3)
+    return _rounded(table, "value")
+
+
 @_query
 def race_prediction_table(spark, folder):
     drivers = stage("drivers", _lake(spark, folder)["drivers"])

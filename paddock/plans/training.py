@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
@@ -12,7 +13,12 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paddock.operators.metrics import binary_metrics
+from paddock.operators.metrics import (
+    binary_metrics,
+    classification_report,
+    confusion_matrix,
+    pr_at_threshold,
+)
 from paddock.operators.preprocess import class_weights, impute, median_values, scales
 from paddock.plans.features import FEATURES
 from paddock.scratch import materialize
@@ -28,6 +34,7 @@ MODELS = {
 TREES, DEPTH, SEED = 100, 10, 42
 
 _INPUT = "model_input"
+PARTITION_ROWS = 500_000  # rows a task holds of the training table, 24 numbers each
 
 
 def _preparation(train: DataFrame, columns: Sequence[str]) -> SQLTransformer:
@@ -55,6 +62,7 @@ def train(
     trees: int = TREES,
     depth: int = DEPTH,
     seed: int = SEED,
+    partition_rows: int = PARTITION_ROWS,
 ) -> PipelineModel:
     """Impute, scale, assemble and fit a class-balanced random forest.
 
@@ -72,11 +80,11 @@ def train(
     prepared = assembler.transform(preparation.transform(known)).select(
         _INPUT, F.col(target).cast("double").alias("_label"), weight.alias("_weight")
     )
-    # one partition per core: fewer leave cores idle, more multiply the node
-    # statistics that every pass over the trees sends between tasks
+    # even partitions of a bounded number of rows, one per core at least: uneven ones leave
+    # cores idle, and each sends its node statistics in every pass over the trees
+    total = sum(row["n_rows"] for row in weights)
     cores = rows.sparkSession.sparkContext.defaultParallelism
-    too_few = prepared.rdd.getNumPartitions() < cores
-    prepared = prepared.repartition(cores) if too_few else prepared.coalesce(cores)
+    prepared = prepared.repartition(max(cores, -(-total // partition_rows)))
     forest = RandomForestClassifier(
         featuresCol=_INPUT,
         labelCol="_label",
@@ -174,15 +182,46 @@ def train_metrics(model: PipelineModel, name: str, frames: Mapping[str, DataFram
     return out
 
 
-def evaluate_all(rows: DataFrame, models: Mapping[str, PipelineModel]) -> DataFrame:
-    """One row of metrics per available model on the same rows."""
-    scored = materialize(score(rows, models), "scored")
+def evaluate_all(
+    rows: DataFrame, models: Mapping[str, PipelineModel], scored: DataFrame | None = None
+) -> DataFrame:
+    """One row of metrics per available model on the same rows; they may be scored already."""
+    if scored is None:
+        scored = materialize(score(rows, models), "scored")
     parts = [
         metrics(scored, n, saw_one_class(models[n])).select(F.lit(n).alias("model"), "*")
         for n in MODELS
         if n in models
     ]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    return reduce(DataFrame.unionByName, parts)
+
+
+def evaluation_report(scored: DataFrame, names: Sequence[str], threshold: float = 0.5) -> DataFrame:
+    """(model, section, name, value) of stored scored rows, for each named model.
+
+    Sections are the classification report, the confusion matrix, and precision and
+    recall at the threshold and in the middle of the curve.
+    """
+    parts = []
+    for model in names:
+        prediction, probability, target = (
+            f"{model}_prediction", f"{model}_probability", MODELS[model][0],
+        )
+        report = classification_report(scored, prediction, target).selectExpr(
+            "'report' AS section",
+            "stack(4, concat(label, ' precision'), precision, concat(label, ' recall'), recall, "
+            "concat(label, ' f1'), f1, concat(label, ' support'), CAST(support AS DOUBLE)) "
+            "AS (name, value)",
+        )
+        cells = confusion_matrix(scored, prediction, target).selectExpr(
+            "'confusion' AS section",
+            "concat('actual ', actual, ' predicted ', coalesce(CAST(predicted AS STRING), 'missing')) AS name",
+            "CAST(n_rows AS DOUBLE) AS value",
+        )
+        curve = pr_at_threshold(scored, probability, target, threshold).selectExpr(
+            "'curve' AS section",
+            "stack(4, 'precision', precision, 'recall', recall, "
+            "'middle precision', middle_precision, 'middle recall', middle_recall) AS (name, value)",
+        )
+        parts += [part.select(F.lit(model).alias("model"), "*") for part in (report, cells, curve)]
+    return reduce(DataFrame.unionByName, parts)
