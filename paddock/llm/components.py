@@ -1,8 +1,8 @@
 """Connected components of links between tags, by alternating large and small stars.
 
 Every step is a minimum over the neighbours of a node, combined before the shuffle, and a
-join that gives each link that minimum.  A node may have any number of links: the join is
-salted by the tag at the other end.  Steps are stored tables, nothing is collected.
+join that gives each link that minimum.  A node may have any number of links.  Steps are
+stored tables, nothing is collected.
 """
 
 from __future__ import annotations
@@ -10,19 +10,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import attach, materialize
+from .common import materialize
 
 
 def _star(links: DataFrame, large: bool) -> DataFrame:
     """Links (node, to), node > to, after one large-star or small-star step."""
+    seen = links.select("node", "to")
     if large:
-        reverse = links.select(F.col("to").alias("node"), F.col("node").alias("to"))
-        seen = links.select("node", "to").union(reverse)
-    else:
-        seen = links
-    least = seen.groupBy("node").agg(F.min("to").alias("least"))
-    least = least.withColumn("least", F.least("node", "least"))
-    joined = attach(seen, least, ["node"], tag="to")
+        seen = seen.union(links.select(F.col("to").alias("node"), F.col("node").alias("to")))
+    least = seen.groupBy("node").agg(F.least("node", F.min("to")).alias("least"))
+    # both sides are stored, so that adaptive execution can split a node with very many links
+    least = materialize(least, "least")
+    joined = seen.join(least, "node")
     if large:
         out = joined.where("to > node").select(F.col("to").alias("node"), F.col("least").alias("to"))
     else:
@@ -32,10 +31,7 @@ def _star(links: DataFrame, large: bool) -> DataFrame:
 
 
 def components(links: DataFrame) -> DataFrame:
-    """(node, to) for every node that is not the smallest of its component ``to``.
-
-    ``links`` has tags ``a`` and ``b``; null and self links do not count.
-    """
+    """(node, to) for every node that is not the smallest of its component ``to``."""
     ordered = links.where("a <> b").select(F.greatest("a", "b").alias("node"), F.least("a", "b").alias("to"))
     now = materialize(ordered.distinct(), "stars")
     state = _state(now)

@@ -6,17 +6,29 @@ shuffles the shingles, the second one is applied with a circular shift of k for
 k.  Bands of four coordinates give 32 buckets a text; two texts with similarity 0.8 share
 none of them with probability 5e-8.
 
-Links are confirmed on full shingle sets.  Inside a bucket not all pairs are formed: in
-each round members are compared with a few pivots, chosen among those with the most links,
-and links merge members into components.  Pairs within a component need no comparison.  A
-pivot then leaves its bucket, and a bucket is done when its remaining members are in one
-component.  The number of pivots grows by ``GROWTH`` a round, so that every pair of a
-bucket that still lies in two components is compared in the end: nothing is capped.
+Links are confirmed on full shingle sets, and a bucket does not form all its pairs.
+
+1. Every member is compared with the pivot of its bucket.  Members at a Jaccard distance of
+   up to ``FAR`` and that of a link from a pivot are its family.
+2. A family of which some members are not linked with the pivot is compared with the member
+   that has the most links, its centre.
+3. Two members x, y of a family that are similar enough differ in few shingles, so their
+   differences from the centre, D(x) and D(y), overlap: unless one of them is linked with
+   the centre, by at least one shingle, and by |D(x)| less a quarter of |x| where that is
+   more (for a similarity of 0.8).  Members that are not both connected to the centre meet
+   in the rarest shingles of their differences, as many as this overlap calls for, and are
+   compared.
+4. Members farther than ``FAR`` from all pivots of a bucket form it anew, with more pivots.
+
+The distance is a metric, so two linked members of a bucket share a family or go on
+together.  Nothing is capped, and the work follows the members and their differences, not
+the pairs.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +44,8 @@ WIDTH = 5
 PERCENT = 80
 BANDS = 32
 ROWS = 4
-GROWTH = 4
+FAR = 0.5
+GROWTH = 8
 
 _BLOCK = 1 << 16  # shingles whose coordinates are computed together
 _KEEP_WORDS = 1 << 20  # words a task remembers the hashes of
@@ -157,8 +170,8 @@ def _fingerprinted(width: int, bands: int, rows: int):
 _FINGERPRINT = "tag long, id {id}, n long, low long, high long, bands array<long>, packed binary"
 
 
-def _compared(width: int, percent: int):
-    """Batches of (a, b, packed_a, packed_b) to the pairs that are similar enough."""
+def _compared(width: int, with_difference: bool):
+    """Batches of (pivot, tag, one, two) to set sizes, overlap, and difference if wanted."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, unpack = _Words(), zstandard.ZstdDecompressor()
@@ -168,77 +181,141 @@ def _compared(width: int, percent: int):
             return shingles(unpack.decompress(data).decode("utf-8", "surrogatepass"), width, known)
 
         for batch in batches:
-            a, b, one, two = (batch.column(c).to_pylist() for c in ("a", "b", "packed_a", "packed_b"))
-            linked = []
-            for i, pivot in enumerate(a):
+            pivots, packed, others = (batch.column(c).to_pylist() for c in ("pivot", "one", "two"))
+            found, differences = [], []
+            for i, pivot in enumerate(pivots):
                 if last[0] != pivot:  # a pivot comes with many members in a row
-                    last = (pivot, of(one[i]))
-                other = of(two[i])
+                    last = (pivot, of(packed[i]))
+                other = of(others[i])
                 common = len(np.intersect1d(last[1], other, assume_unique=True))
-                if 100 * common >= percent * (len(last[1]) + len(other) - common):
-                    linked.append(i)
-            yield batch.select(["a", "b"]).take(pa.array(linked, pa.int32()))
+                found.append((len(last[1]), len(other), common))
+                if with_difference:
+                    differences.append(np.setxor1d(last[1], other, assume_unique=True).view(np.int64))
+                else:
+                    differences.append(None)
+            sizes = np.array(found, dtype=np.int64).reshape(-1, 3)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *(batch.column(c) for c in ("pivot", "tag")),
+                    *(pa.array(sizes[:, k]) for k in range(3)),
+                    pa.array(differences, pa.list_(pa.int64())),
+                ],
+                names=["pivot", "tag", "n_pivot", "n", "common", "difference"],
+            )
 
     return run
 
 
-def _confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full shingle sets are similar enough."""
-    # the side with one row a tag is slim after packing; large partitions of a pivot are
-    # split by adaptive execution, as both sides of the second join are plain shuffles
-    with_b = pairs.join(texts.select(F.col("tag").alias("b"), F.col("packed").alias("packed_b")), "b")
-    with_both = with_b.join(texts.select(F.col("tag").alias("a"), F.col("packed").alias("packed_a")), "a")
-    return with_both.select("a", "b", "packed_a", "packed_b").mapInArrow(_compared(width, percent), "a long, b long")
+def _compare(pairs: DataFrame, texts: DataFrame, width: int, percent: int, with_difference: bool = False) -> DataFrame:
+    """Stored: far, n, linked and difference of pairs (pivot, tag), from full sets."""
+    # texts have one row a tag; large partitions of a pivot are split by adaptive execution,
+    # as both sides of the joins are plain shuffles of stored tables
+    with_two = pairs.join(texts.select("tag", F.col("packed").alias("two")), "tag")
+    with_both = with_two.join(texts.select(F.col("tag").alias("pivot"), F.col("packed").alias("one")), "pivot")
+    schema = "pivot long, tag long, n_pivot long, n long, common long, difference array<long>"
+    compared = with_both.select("pivot", "tag", "one", "two").mapInArrow(_compared(width, with_difference), schema)
+    union = F.col("n_pivot") + F.col("n") - F.col("common")
+    return materialize(
+        compared.select(
+            "pivot", "tag", "n", "difference",
+            (1 - F.col("common") / union).alias("far"),
+            (100 * F.col("common") >= percent * union).alias("linked"),
+        ),
+        "compared",
+    )
+
+
+def _links(compared: DataFrame) -> DataFrame:
+    return compared.where("linked").select(F.col("pivot").alias("a"), F.col("tag").alias("b"))
+
+
+def _rare_pairs(family: DataFrame, percent: int) -> DataFrame:
+    """Pairs (pivot, tag) not known to be connected that meet in rare shingles of their differences.
+
+    ``family`` has family, tag, comp, n and the difference from the family's centre.
+    """
+    quarter = F.lit((100 - percent) / percent)
+    each = family.select("family", "tag", F.explode("difference").alias("shingle"))
+    often = materialize(each.groupBy("family", "shingle").agg(F.count(F.lit(1)).alias("often")), "frequencies")
+    # a shingle that one member has alone leads to nobody, but counts in the order
+    ranked = each.join(often, ["family", "shingle"]).groupBy("family", "tag").agg(
+        F.sort_array(F.collect_list(F.struct("often", "shingle"))).alias("rare")
+    )
+    wide = family.select("family", "tag", "comp", "n", F.size("difference").alias("d")).join(ranked, ["family", "tag"])
+    overlap = F.greatest(F.lit(1), F.ceil(F.col("d") - quarter * F.col("n") - 1e-9)).cast("int")
+    prefix = F.slice("rare", 1, F.col("d") - overlap + 1)
+    shared = F.filter(prefix, lambda s: s["often"] > 1)
+    posted = materialize(
+        wide.select("family", "tag", "comp", "n", "d", F.explode(shared).alias("s")).select(
+            "family", "tag", "comp", "n", "d", F.col("s.shingle").alias("shingle")
+        ),
+        "postings",
+    )
+    other = posted.select("family", "shingle", *[F.col(c).alias(f"other_{c}") for c in ("tag", "comp", "n", "d")])
+    close = F.abs(F.col("d") - F.col("other_d")) <= quarter * F.least("n", "other_n") + 1e-9
+    apart = (F.col("comp") != F.col("other_comp")) & (F.col("tag") < F.col("other_tag"))
+    met = posted.join(other, ["family", "shingle"]).where(close & apart)
+    return materialize(met.select(F.col("tag").alias("pivot"), F.col("other_tag").alias("tag")).distinct(), "pairs")
 
 
 def _linked(classes: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """Components (node, to) and confirmed links (a, b) of class representatives."""
+    spark = classes.sparkSession
     # a smaller set cannot be similar enough to another one that differs from it
     able = classes.where(F.col("n") * (100 - percent) >= percent)
     each = able.select("tag", F.explode("bands").alias("key"))
     shared = each.groupBy("key").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
     shared = materialize(shared.select("key"), "buckets")
-    active = materialize(each.join(shared, "key").withColumns({"comp": F.col("tag"), "degree": F.lit(0)}), "members")
-    texts = materialize(classes.select("tag", "packed").join(active.select("tag").distinct(), "tag", "left_semi"), "texts")
-    spark = classes.sparkSession
-    stars = spark.createDataFrame([], "node long, to long")
-    links = checked = spark.createDataFrame([], "a long, b long")
+    active = materialize(each.join(shared, "key"), "members")
+    texts = classes.select("tag", "packed").join(active.select("tag").distinct(), "tag", "left_semi")
+    texts = materialize(texts, "texts")
+    links = [spark.createDataFrame([], "a long, b long")]
+    reach = FAR + (100 - percent) / 100 + 1e-9
     pivots_a_bucket, turn = 1, 0
     while not active.isEmpty():
         turn += 1
         slot = F.pmod(F.xxhash64("tag", F.lit(turn)), F.lit(pivots_a_bucket))
-        pivots = materialize(
-            active.groupBy("key", slot.alias("slot"))
-            .agg(F.min(F.struct(-F.col("degree"), "tag", "comp")).alias("p"))
-            .groupBy("key")
-            .agg(F.collect_list(F.struct("p.tag", "p.comp")).alias("pivots")),
-            "pivots",
-        )
-        met = attach(active, pivots, ["key"])
-        each_pair = met.select("tag", "comp", F.explode("pivots").alias("p")).where("comp <> p.comp")
-        pairs = each_pair.select(F.least("tag", "p.tag").alias("a"), F.greatest("tag", "p.tag").alias("b"))
-        pairs = materialize(pairs.distinct().join(checked, ["a", "b"], "left_anti"), "pairs")
-        new = materialize(_confirmed(pairs, texts, width, percent), "links")
-        checked = checked.union(pairs)
-        links = links.union(new)
-        stars = components(stars.select(F.col("node").alias("a"), F.col("to").alias("b")).union(new))
-        ends = new.select(F.explode(F.array("a", "b")).alias("tag")).groupBy("tag").agg(F.count(F.lit(1)).alias("more"))
-        rest = met.where(~F.exists("pivots", lambda p: p["tag"] == F.col("tag"))).select("key", "tag", "degree")
-        rest = rest.join(stars.select(F.col("node").alias("tag"), "to"), "tag", "left").join(ends, "tag", "left")
-        rest = materialize(
-            rest.select(
-                "key",
-                "tag",
-                F.coalesce("to", "tag").alias("comp"),
-                (F.col("degree") + F.coalesce("more", F.lit(0))).cast("int").alias("degree"),
-            ),
-            "members",
-        )
-        split = rest.groupBy("key").agg(F.min("comp").alias("one"), F.max("comp").alias("other"))
-        split = materialize(split.where("one <> other").select("key"), "buckets")
-        active = materialize(attach(rest, split, ["key"]), "members")
+        pivots = active.groupBy("key", slot.alias("slot")).agg(F.min("tag").alias("pivot"))
+        pivots = materialize(pivots.select("key", "pivot"), "pivots")
+        met = active.join(pivots, "key").where("tag <> pivot")
+        first = _compare(materialize(met.select("pivot", "tag").distinct(), "pairs"), texts, width, percent)
+        links += [_links(first), *_links_in_families(first.where(F.col("far") <= reach), texts, width, percent)]
+        # members that were far from every pivot of their bucket go on
+        seen = met.join(first.select("pivot", "tag", "far"), ["pivot", "tag"])
+        lone = seen.groupBy("key", "tag").agg(F.min("far").alias("far")).where(F.col("far") > FAR)
+        lone = lone.join(pivots.withColumnRenamed("pivot", "tag"), ["key", "tag"], "left_anti").select("key", "tag")
+        lone = materialize(lone, "members")
+        several = lone.groupBy("key").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
+        active = materialize(lone.join(materialize(several.select("key"), "buckets"), "key"), "members")
         pivots_a_bucket *= GROWTH
-    return stars, links
+    every = reduce(DataFrame.union, links).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    every = materialize(every.distinct(), "links")
+    return components(every), every
+
+
+def _links_in_families(near: DataFrame, texts: DataFrame, width: int, percent: int) -> list[DataFrame]:
+    """Links between the members that a pivot is near to, where some are not linked with it."""
+    apart = near.where(~F.col("linked")).select("pivot").distinct()
+    family = near.join(materialize(apart, "families"), "pivot").select(F.col("pivot").alias("family"), "tag", "linked")
+    family = family.union(apart.select(F.col("pivot").alias("family"), F.col("pivot").alias("tag"), F.lit(True)))
+    degree = _links(near).select(F.explode(F.array("a", "b")).alias("tag")).groupBy("tag").agg(F.count(F.lit(1)).alias("links"))
+    family = materialize(family.join(degree, "tag", "left"), "families")
+    most = F.max(F.struct(F.coalesce("links", F.lit(0)).alias("links"), (-F.col("tag")).alias("tag"), "linked"))
+    centres = family.groupBy("family").agg(most.alias("most"))
+    centres = centres.select("family", (-F.col("most.tag")).alias("pivot"), F.col("most.linked").alias("with_pivot"))
+    around = family.join(materialize(centres, "centres"), "family").where("tag <> pivot")
+    # linked with the first pivot, and so with the centre
+    around = around.select("family", "pivot", "tag", (F.col("linked") & F.col("with_pivot")).alias("inner"))
+    around = materialize(around, "around")
+    second = _compare(around.select("pivot", "tag").distinct(), texts, width, percent, with_difference=True)
+    told = around.join(second, ["pivot", "tag"]).withColumn("inner", F.col("inner") | F.col("linked"))
+    comp = F.when(F.col("inner"), F.col("pivot")).otherwise(F.col("tag"))
+    told = materialize(told.select("family", "tag", "n", "difference", "inner", comp.alias("comp")), "told")
+    outer = materialize(told.where(~F.col("inner")).select("family").distinct(), "families")
+    if outer.isEmpty():
+        return [_links(second)]
+    third = _compare(_rare_pairs(told.join(outer, "family"), percent), texts, width, percent)
+    return [_links(second), _links(third)]
 
 
 def cluster(

@@ -17,6 +17,7 @@ import hashlib
 import re
 import zlib
 from collections.abc import Iterator
+from urllib.parse import quote
 
 import pyarrow as pa
 from pyarrow import fs
@@ -37,8 +38,11 @@ _FLUSH = 16 << 20
 
 
 def _open(uri: str) -> tuple[fs.FileSystem, str]:
-    """File system and path of a URI; Hadoop writes local ones with a single slash."""
-    return fs.FileSystem.from_uri(re.sub(r"^file:/+", "file:///", uri))
+    """File system and path of a location as Spark writes it: not encoded, local ones as file:/."""
+    local = re.match(r"(?:file:)?/+(.*)", uri)
+    if local:
+        return fs.LocalFileSystem(), f"/{local[1]}"
+    return fs.FileSystem.from_uri(quote(uri, safe="/:@?=&,"))
 
 
 def _header(lines: list[tuple[str, str]]) -> bytes:
