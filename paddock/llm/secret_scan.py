@@ -91,15 +91,13 @@ class Scanner:
 
 
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(tag, id, text) to tag, id, blob and packed text."""
+    """(text) to blob and packed text."""
     pack = zstandard.ZstdCompressor(level=1)
     for batch in batches:
         data = [(t or "").encode("utf-8", "surrogatepass") for t in batch.column("text").to_pylist()]
         blobs = pa.array([hashlib.sha256(d).digest() for d in data], pa.binary())
         packed = pa.array([pack.compress(d) for d in data], pa.binary())
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("tag"), batch.column("id"), blobs, packed], names=["tag", "id", "blob", "packed"]
-        )
+        yield pa.RecordBatch.from_arrays([blobs, packed], names=["blob", "packed"])
 
 
 def _scanned(rules: Sequence[Rule]):
@@ -144,22 +142,21 @@ def scan(
     spark = docs.sparkSession
     ledger = empty_ledger(spark) if ledger is None else ledger
     names = [r.name for r in rules]
-    rows = identified(docs, id=docs[id_col], text=docs[text_col])
-    kind = rows.schema["id"].dataType.simpleString()
-    stored = materialize(rows.mapInArrow(_packed, f"tag long, id {kind}, blob binary, packed binary"), "blobs")
-    blobs = stored.groupBy("blob").agg(F.min("tag").alias("tag"))
+    blob = F.unhex(F.sha2(F.coalesce(docs[text_col], F.lit("")), 256))
+    slim = materialize(identified(docs, id=docs[id_col], blob=blob), "blobs")
+    # copies meet before the shuffle; what arrives lies by blob, as the ledger does
+    texts = docs.select(docs[text_col].alias("text")).mapInArrow(_packed, "blob binary, packed binary")
+    texts = texts.groupBy("blob").agg(F.first("packed").alias("packed"))
     done = ledger.groupBy("blob").agg(F.array_distinct(F.flatten(F.collect_list("rules"))).alias("done"))
     wanted = F.array(*[F.lit(n) for n in names])
     missing = F.array_except(wanted, F.coalesce("done", F.array().cast("array<string>")))
-    unseen = blobs.join(done, "blob", "left").select("blob", "tag", missing.alias("missing")).where("size(missing) > 0")
-    unseen = materialize(unseen.select("tag", "missing"), "unseen")
-    to_read = stored.select("tag", "blob", "packed").join(unseen, "tag")
-    added = materialize(to_read.select("blob", "packed", "missing").mapInArrow(_scanned(rules), LEDGER), "ledger")
+    unseen = texts.join(done, "blob", "left").select("blob", "packed", missing.alias("missing"))
+    added = unseen.where("size(missing) > 0").mapInArrow(_scanned(rules), LEDGER)
+    added = materialize(added, "ledger")
     each = ledger.unionByName(added).select("blob", F.explode("found").alias("one")).where(F.col("one.rule").isin(names))
     position = F.array_position(wanted, F.col("one.rule"))
     in_order = F.sort_array(F.collect_list(F.struct("one.start", position.alias("at"), "one.end", "one.rule")))
     by_blob = materialize(each.groupBy("blob").agg(in_order.alias("found")), "findings")
-    slim = stored.select("tag", "id", "blob")
     hits = attach(slim, by_blob, ["blob"]).select("tag", "found")
     joined = slim.join(hits, "tag", "left")
     found = F.transform("found", lambda f: F.struct(f["rule"].alias("rule"), f["start"].alias("start"), f["end"].alias("end")))
