@@ -214,7 +214,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     share = min(1.0, sample / max(1, total))
     # 52 bits of a digest as a number in [0, 1)
     draw = F.conv(F.substring(F.md5(F.concat(F.lit("fit:"), F.col("doc_id").cast("string"))), 1, 13), 16, 10)
-    joined = docs.select("doc_id", "text").join(usable, "doc_id")
+    # one plan for every number of labels: a broadcast would hold for few of them only
+    joined = docs.select("doc_id", "text").join(usable.hint("merge"), "doc_id")
     rows = joined.select("text", "label", (draw.cast("double") / float(1 << 52)).alias("draw"))
     counted = materialize(rows.mapInArrow(_counted(share), _COUNTED), "indicator_counts")
     # at most PLACES + 1 rows, and about ``sample`` rows: bounded whatever the input
