@@ -18,10 +18,11 @@ Links are confirmed on full shingle sets, and a bucket does not form all its pai
    more (for a similarity of 0.8).  Members that are not both connected to the centre meet
    in the rarest shingles of their differences, as many as this overlap calls for, and are
    compared.
-4. Members farther than ``FAR`` from all pivots of a bucket form it anew, with more pivots.
+4. Members farther than ``FAR`` from the pivot of a bucket meet in the same way in the rarest
+   of all their shingles, as their differences from the empty set.
 
-The distance is a metric, so two linked members of a bucket share a family or go on
-together.  Nothing is capped, and the work follows the members and their differences, not
+The distance is a metric, so two linked members of a bucket share a family or are both far.
+Nothing is capped, and the work follows the members and their differences, not
 the pairs.
 """
 
@@ -45,7 +46,6 @@ PERCENT = 80
 BANDS = 32
 ROWS = 4
 FAR = 0.5
-GROWTH = 8
 
 _BLOCK = 1 << 16  # shingles whose coordinates are computed together
 _KEEP_WORDS = 1 << 20  # words a task remembers the hashes of
@@ -232,89 +232,111 @@ def _links(compared: DataFrame) -> DataFrame:
 def _rare_pairs(family: DataFrame, percent: int) -> DataFrame:
     """Pairs (pivot, tag) not known to be connected that meet in rare shingles of their differences.
 
-    ``family`` has family, tag, comp, n and the difference from the family's centre.
+    ``family`` has centre, tag, comp, n and the difference from the centre.  Two sets of n and
+    m shingles are similar enough if they differ in at most ``ratio`` (n + m).
     """
-    quarter = F.lit((100 - percent) / percent)
-    each = family.select("family", "tag", F.explode("difference").alias("shingle"))
-    often = materialize(each.groupBy("family", "shingle").agg(F.count(F.lit(1)).alias("often")), "frequencies")
-    # a shingle that one member has alone leads to nobody, but counts in the order
-    ranked = each.join(often, ["family", "shingle"]).groupBy("family", "tag").agg(
+    ratio = (100 - percent) / (100 + percent)
+    quarter = (100 - percent) / percent  # the same, for the largest m that n allows, over n
+    each = family.select("centre", "tag", F.explode("difference").alias("shingle"))
+    often = materialize(each.groupBy("centre", "shingle").agg(F.count(F.lit(1)).alias("often")), "frequencies")
+    ranked = each.join(often, ["centre", "shingle"]).groupBy("centre", "tag").agg(
         F.sort_array(F.collect_list(F.struct("often", "shingle"))).alias("rare")
     )
-    wide = family.select("family", "tag", "comp", "n", F.size("difference").alias("d")).join(ranked, ["family", "tag"])
+    wide = family.select("centre", "tag", "comp", "n", F.size("difference").alias("d")).join(ranked, ["centre", "tag"])
     overlap = F.greatest(F.lit(1), F.ceil(F.col("d") - quarter * F.col("n") - 1e-9)).cast("int")
     prefix = F.slice("rare", 1, F.col("d") - overlap + 1)
-    shared = F.filter(prefix, lambda s: s["often"] > 1)
-    posted = materialize(
-        wide.select("family", "tag", "comp", "n", "d", F.explode(shared).alias("s")).select(
-            "family", "tag", "comp", "n", "d", F.col("s.shingle").alias("shingle")
-        ),
-        "postings",
-    )
-    other = posted.select("family", "shingle", *[F.col(c).alias(f"other_{c}") for c in ("tag", "comp", "n", "d")])
-    close = F.abs(F.col("d") - F.col("other_d")) <= quarter * F.least("n", "other_n") + 1e-9
+    placed = F.transform(prefix, lambda s, i: F.struct(s["often"].alias("often"), s["shingle"].alias("shingle"), i.alias("at")))
+    # a shingle that one member has alone leads to nobody, but counts in the order
+    shared = F.filter(placed, lambda s: s["often"] > 1)
+    posted = wide.select("centre", "tag", "comp", "n", "d", F.explode(shared).alias("s"))
+    posted = materialize(posted.select("centre", "s.shingle", "tag", "comp", "n", "d", "s.at"), "postings")
+    other = posted.select("centre", "shingle", *[F.col(c).alias(f"other_{c}") for c in ("tag", "comp", "n", "d", "at")])
     apart = (F.col("comp") != F.col("other_comp")) & (F.col("tag") < F.col("other_tag"))
-    met = posted.join(other, ["family", "shingle"]).where(close & apart)
+    most = ratio * (F.col("n") + F.col("other_n")) + 1e-9  # shingles in which they may differ
+    close = F.abs(F.col("d") - F.col("other_d")) <= most
+    # of the first shingle that they share, in order, at least so many must follow in both
+    left = F.least(F.col("d") - F.col("at"), F.col("other_d") - F.col("other_at"))
+    enough = 2 * left >= F.col("d") + F.col("other_d") - most
+    met = posted.join(other, ["centre", "shingle"]).where(apart & close & enough)
     return materialize(met.select(F.col("tag").alias("pivot"), F.col("other_tag").alias("tag")).distinct(), "pairs")
 
 
 def _linked(classes: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """Components (node, to) and confirmed links (a, b) of class representatives."""
-    spark = classes.sparkSession
     # a smaller set cannot be similar enough to another one that differs from it
     able = classes.where(F.col("n") * (100 - percent) >= percent)
     each = able.select("tag", F.explode("bands").alias("key"))
     shared = each.groupBy("key").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
-    shared = materialize(shared.select("key"), "buckets")
-    active = materialize(each.join(shared, "key"), "members")
-    texts = classes.select("tag", "packed").join(active.select("tag").distinct(), "tag", "left_semi")
-    texts = materialize(texts, "texts")
-    links = [spark.createDataFrame([], "a long, b long")]
+    members = materialize(each.join(materialize(shared, "buckets"), "key"), "members")
+    # how many others a member meets; the one that meets the most is the pivot of a bucket, so
+    # that buckets of the same texts have the same few pivots
+    meets = materialize(members.groupBy("tag").agg(F.sum("members").alias("meets")), "meets")
+    members = members.select("key", "tag").join(meets, "tag")
+    pivots = members.groupBy("key").agg(F.min(F.struct((-F.col("meets")).alias("meets"), "tag")).alias("p"))
+    pivots = materialize(pivots.select("key", F.col("p.tag").alias("pivot")), "pivots")
+    met = materialize(members.select("key", "tag").join(pivots, "key").where("tag <> pivot"), "met")
+    texts = materialize(classes.select("tag", "packed").join(meets.select("tag"), "tag", "left_semi"), "texts")
     reach = FAR + (100 - percent) / 100 + 1e-9
-    pivots_a_bucket, turn = 1, 0
-    while not active.isEmpty():
-        turn += 1
-        slot = F.pmod(F.xxhash64("tag", F.lit(turn)), F.lit(pivots_a_bucket))
-        pivots = active.groupBy("key", slot.alias("slot")).agg(F.min("tag").alias("pivot"))
-        pivots = materialize(pivots.select("key", "pivot"), "pivots")
-        met = active.join(pivots, "key").where("tag <> pivot")
-        first = _compare(materialize(met.select("pivot", "tag").distinct(), "pairs"), texts, width, percent)
-        links += [_links(first), *_links_in_families(first.where(F.col("far") <= reach), texts, width, percent)]
-        # members that were far from every pivot of their bucket go on
-        seen = met.join(first.select("pivot", "tag", "far"), ["pivot", "tag"])
-        lone = seen.groupBy("key", "tag").agg(F.min("far").alias("far")).where(F.col("far") > FAR)
-        lone = lone.join(pivots.withColumnRenamed("pivot", "tag"), ["key", "tag"], "left_anti").select("key", "tag")
-        lone = materialize(lone, "members")
-        several = lone.groupBy("key").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
-        active = materialize(lone.join(materialize(several.select("key"), "buckets"), "key"), "members")
-        pivots_a_bucket *= GROWTH
+    first = _compare(materialize(met.select("pivot", "tag").distinct(), "pairs"), texts, width, percent)
+    links = [_links(first), *_links_in_families(first.where(F.col("far") <= reach), texts, width, percent)]
+    # members that are far from the pivot of their bucket may still be linked with each other
+    lone = met.join(first.where(F.col("far") > FAR).select("pivot", "tag"), ["pivot", "tag"]).select("key", "tag")
+    lone = materialize(lone, "lone")
+    several = lone.groupBy("key").agg(F.count(F.lit(1)).alias("members")).where("members > 1").select("key")
+    lone = materialize(lone.join(materialize(several, "buckets"), "key"), "lone")
+    kept = texts.join(lone.select("tag").distinct(), "tag")
+    sets = materialize(kept.mapInArrow(_sets(width), "tag long, n long, difference array<long>"), "sets")
+    apart = lone.withColumnRenamed("key", "centre").join(sets, "tag").withColumn("comp", F.col("tag"))
+    links.append(_links(_compare(_rare_pairs(apart, percent), texts, width, percent)))
     every = reduce(DataFrame.union, links).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     every = materialize(every.distinct(), "links")
     return components(every), every
 
 
+def _sets(width: int):
+    """Batches of (tag, packed) to tag, n and the whole set: the difference from the empty one."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, unpack = _Words(), zstandard.ZstdDecompressor()
+        for batch in batches:
+            packed = batch.column("packed").to_pylist()
+            sets = [shingles(unpack.decompress(p).decode("utf-8", "surrogatepass"), width, known) for p in packed]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("tag"),
+                    pa.array([len(s) for s in sets], pa.int64()),
+                    pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())),
+                ],
+                names=["tag", "n", "difference"],
+            )
+
+    return run
+
+
 def _links_in_families(near: DataFrame, texts: DataFrame, width: int, percent: int) -> list[DataFrame]:
     """Links between the members that a pivot is near to, where some are not linked with it."""
-    apart = near.where(~F.col("linked")).select("pivot").distinct()
-    family = near.join(materialize(apart, "families"), "pivot").select(F.col("pivot").alias("family"), "tag", "linked")
-    family = family.union(apart.select(F.col("pivot").alias("family"), F.col("pivot").alias("tag"), F.lit(True)))
+    apart = materialize(near.where(~F.col("linked")).select(F.col("pivot").alias("family")).distinct(), "families")
+    family = near.select(F.col("pivot").alias("family"), "tag", "linked").join(apart, "family")
+    family = family.union(apart.select("family", F.col("family").alias("tag"), F.lit(True)))
     degree = _links(near).select(F.explode(F.array("a", "b")).alias("tag")).groupBy("tag").agg(F.count(F.lit(1)).alias("links"))
     family = materialize(family.join(degree, "tag", "left"), "families")
     most = F.max(F.struct(F.coalesce("links", F.lit(0)).alias("links"), (-F.col("tag")).alias("tag"), "linked"))
     centres = family.groupBy("family").agg(most.alias("most"))
-    centres = centres.select("family", (-F.col("most.tag")).alias("pivot"), F.col("most.linked").alias("with_pivot"))
-    around = family.join(materialize(centres, "centres"), "family").where("tag <> pivot")
-    # linked with the first pivot, and so with the centre
-    around = around.select("family", "pivot", "tag", (F.col("linked") & F.col("with_pivot")).alias("inner"))
-    around = materialize(around, "around")
-    second = _compare(around.select("pivot", "tag").distinct(), texts, width, percent, with_difference=True)
-    told = around.join(second, ["pivot", "tag"]).withColumn("inner", F.col("inner") | F.col("linked"))
-    comp = F.when(F.col("inner"), F.col("pivot")).otherwise(F.col("tag"))
-    told = materialize(told.select("family", "tag", "n", "difference", "inner", comp.alias("comp")), "told")
-    outer = materialize(told.where(~F.col("inner")).select("family").distinct(), "families")
+    centres = centres.select("family", (-F.col("most.tag")).alias("centre"), F.col("most.linked").alias("with_pivot"))
+    around = family.join(materialize(centres, "centres"), "family").where("tag <> centre")
+    # families of one centre are one; inner members are linked with it, or both with a pivot
+    inner = F.max(F.col("linked") & F.col("with_pivot")).alias("inner")
+    around = materialize(around.groupBy("centre", "tag").agg(inner), "around")
+    pairs = around.select(F.col("centre").alias("pivot"), "tag")
+    second = _compare(pairs, texts, width, percent, with_difference=True)
+    told = around.join(second.withColumnRenamed("pivot", "centre"), ["centre", "tag"])
+    told = told.withColumn("inner", F.col("inner") | F.col("linked"))
+    comp = F.when(F.col("inner"), F.col("centre")).otherwise(F.col("tag"))
+    told = materialize(told.select("centre", "tag", "n", "difference", "inner", comp.alias("comp")), "told")
+    outer = materialize(told.where(~F.col("inner")).select("centre").distinct(), "families")
     if outer.isEmpty():
         return [_links(second)]
-    third = _compare(_rare_pairs(told.join(outer, "family"), percent), texts, width, percent)
+    third = _compare(_rare_pairs(told.join(outer, "centre"), percent), texts, width, percent)
     return [_links(second), _links(third)]
 
 
