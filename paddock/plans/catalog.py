@@ -1,7 +1,7 @@
 """Every operator as a query over the delivered tables, by name.
 
 Tables that a user of the library would store between steps (the result rows, the
-feature table, the trained models) are stored once per session and input folder.
+feature table, the trained models) are stored once per session and state of the input folder.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from paddock.plans import features as ft
 from paddock.plans import declared, marts, reports, training, warehouse
 from paddock.plans.staging import NAMES, stage
 from paddock.scratch import materialize, new_path
-from paddock.sources import binding, csv_lake, lake, schemas, sinks, toy
+from paddock.sources import binding, csv_lake, files, lake, schemas, sinks, toy
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -38,7 +38,8 @@ def _query(function: Query) -> Query:
 
 
 def _once(spark: SparkSession, folder: str, what: str, make: Callable[[], object]):
-    key = (spark.sparkContext.applicationId, folder, what)
+    tables = files.stamp(spark, f"{folder}/*.parquet")
+    key = (spark.sparkContext.applicationId, folder, tables, what)
     if key not in _stored:
         _stored[key] = make()
     return _stored[key]

@@ -1,8 +1,8 @@
 """Tables written once so that later stages do not recompute their lineage.
 
-The folder is the one the cluster names in ``spark.checkpoint.dir``, which every
-executor can reach.  Only a local session without that setting gets a folder of
-its own, removed when the process ends.
+The folder is one for the application below what the cluster names in
+``spark.checkpoint.dir``, which every executor can reach.  Only a local session
+without that setting gets a folder on the machine.  Either goes when the driver ends.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 SETTING = "spark.checkpoint.dir"
 
 _local_folder: str | None = None
+_shared_folders: set[str] = set()
 
 
 def _local() -> str:
@@ -31,12 +32,23 @@ def root(spark: SparkSession) -> str:
     """Shared scratch folder of this session."""
     folder = spark.conf.get(SETTING, None) or spark.sparkContext.getConf().get(SETTING)
     if folder:
-        return folder.rstrip("/")
+        return _shared(spark, f"{folder.rstrip('/')}/paddock-{spark.sparkContext.applicationId}")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"set {SETTING} to a folder that all executors share")
     return _local()
 
 
+def _shared(spark: SparkSession, folder: str) -> str:
+    """Makes the folder of this application, which its driver deletes at the end."""
+    if folder not in _shared_folders:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        system.mkdirs(path)
+        system.deleteOnExit(path)
+        _shared_folders.add(folder)
+    return folder
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     """A path that no other query of this or another session uses."""
     return f"{root(spark)}/{name}-{uuid.uuid4().hex}"

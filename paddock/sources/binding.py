@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from paddock.sources import files
+
 # total order of results inside one history
 ORDER = ("year", "round", "race_id", "driver_id")
 TOP_K = 3
@@ -26,14 +28,14 @@ STATUS = {"N": (1, "Finished"), "A": (2, "+1 Lap"), "R": (3, "Accident")}
 
 
 @lru_cache(maxsize=256)
-def _schema(path: str) -> T.StructType:
+def _schema(path: str, stamp: tuple) -> T.StructType:
     return SparkSession.active().read.parquet(path).schema
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """One delivered table; its footer is read for the schema only once."""
+    """One delivered table; its footer is read for the schema once while it stays the same."""
     path = f"{folder}/{name}.parquet"
-    return spark.read.schema(_schema(path)).parquet(path)
+    return spark.read.schema(_schema(path, files.stamp(spark, path))).parquet(path)
 
 
 def _entry_id() -> Column:

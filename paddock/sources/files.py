@@ -26,6 +26,15 @@ def size(spark: SparkSession, text: str) -> int:
     return int(_system(spark, path).getContentSummary(path).getLength())
 
 
+def stamp(spark: SparkSession, pattern: str) -> tuple:
+    """Names, sizes and times of the paths matching a pattern: another one once they change."""
+    path = _path(spark, pattern)
+    found = _system(spark, path).globStatus(path)
+    return tuple(
+        sorted((f.getPath().toString(), f.getLen(), f.getModificationTime()) for f in found or [])
+    )
+
+
 def exists(spark: SparkSession, text: str) -> bool:
     path = _path(spark, text)
     return bool(_system(spark, path).exists(path))

@@ -86,4 +86,4 @@ def test_command_line(spark, home, capsys):
     main(["validate", "--lake-dir", f"{home}/lake"])
     assert "constructors" in capsys.readouterr().out
     steps = parser()._subparsers._group_actions[0].choices
-    assert len(steps) == 12
+    assert len(steps) == 14
