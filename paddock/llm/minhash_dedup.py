@@ -18,8 +18,8 @@ Links are confirmed on full shingle sets, and a bucket does not form all its pai
    more (for a similarity of 0.8).  Members that are not both connected to the centre meet
    in the rarest shingles of their differences, as many as this overlap calls for, and are
    compared.
-4. Members farther than ``FAR`` from the pivot of a bucket meet in the same way in the rarest
-   of all their shingles, as their differences from the empty set.
+4. Members farther than ``FAR`` from the pivot of a bucket meet in the same way in a quarter of
+   their shingles: these are their differences from the empty set.
 
 The distance is a metric, so two linked members of a bucket share a family or are both far.
 Nothing is capped, and the work follows the members and their differences, not
@@ -35,7 +35,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import attach, identified, materialize
@@ -229,26 +229,26 @@ def _links(compared: DataFrame) -> DataFrame:
     return compared.where("linked").select(F.col("pivot").alias("a"), F.col("tag").alias("b"))
 
 
-def _rare_pairs(family: DataFrame, percent: int) -> DataFrame:
-    """Pairs (pivot, tag) not known to be connected that meet in rare shingles of their differences.
+def _rare_pairs(family: DataFrame, percent: int, by_frequency: bool = True) -> DataFrame:
+    """Pairs (pivot, tag) not known to be connected that meet in few shingles of their differences.
 
     ``family`` has centre, tag, comp, n and the difference from the centre.  Two sets of n and
-    m shingles are similar enough if they differ in at most ``ratio`` (n + m).
+    m shingles are similar enough if they differ in at most ``ratio`` (n + m).  The shingles
+    are the first ones in any common order: the rarest of the family, or, for whole sets, of
+    which few are needed, those with the smallest hashes, so that the others stay packed.
     """
     ratio = (100 - percent) / (100 + percent)
     quarter = (100 - percent) / percent  # the same, for the largest m that n allows, over n
-    each = family.select("centre", "tag", F.explode("difference").alias("shingle"))
-    often = materialize(each.groupBy("centre", "shingle").agg(F.count(F.lit(1)).alias("often")), "frequencies")
-    ranked = each.join(often, ["centre", "shingle"]).groupBy("centre", "tag").agg(
-        F.sort_array(F.collect_list(F.struct("often", "shingle"))).alias("rare")
-    )
-    wide = family.select("centre", "tag", "comp", "n", F.size("difference").alias("d")).join(ranked, ["centre", "tag"])
+    family = family.withColumn("d", F.size("difference"))
     overlap = F.greatest(F.lit(1), F.ceil(F.col("d") - quarter * F.col("n") - 1e-9)).cast("int")
-    prefix = F.slice("rare", 1, F.col("d") - overlap + 1)
-    placed = F.transform(prefix, lambda s, i: F.struct(s["often"].alias("often"), s["shingle"].alias("shingle"), i.alias("at")))
-    # a shingle that one member has alone leads to nobody, but counts in the order
-    shared = F.filter(placed, lambda s: s["often"] > 1)
-    posted = wide.select("centre", "tag", "comp", "n", "d", F.explode(shared).alias("s"))
+    wanted = F.col("d") - overlap + 1
+    if by_frequency:
+        posted = _rarest(family, wanted)
+    else:
+        first = F.transform(
+            F.slice("difference", 1, wanted), lambda s, i: F.struct(s.alias("shingle"), i.alias("at"))
+        )
+        posted = family.select("centre", "tag", "comp", "n", "d", F.explode(first).alias("s"))
     posted = materialize(posted.select("centre", "s.shingle", "tag", "comp", "n", "d", "s.at"), "postings")
     other = posted.select("centre", "shingle", *[F.col(c).alias(f"other_{c}") for c in ("tag", "comp", "n", "d", "at")])
     apart = (F.col("comp") != F.col("other_comp")) & (F.col("tag") < F.col("other_tag"))
@@ -261,6 +261,21 @@ def _rare_pairs(family: DataFrame, percent: int) -> DataFrame:
     return materialize(met.select(F.col("tag").alias("pivot"), F.col("other_tag").alias("tag")).distinct(), "pairs")
 
 
+def _rarest(family: DataFrame, wanted: Column) -> DataFrame:
+    """The ``wanted`` rarest shingles of each member, with their places, in ``s``."""
+    each = family.select("centre", "tag", F.explode("difference").alias("shingle"))
+    often = materialize(each.groupBy("centre", "shingle").agg(F.count(F.lit(1)).alias("often")), "frequencies")
+    ranked = each.join(often, ["centre", "shingle"]).groupBy("centre", "tag").agg(
+        F.sort_array(F.collect_list(F.struct("often", "shingle"))).alias("rare")
+    )
+    wide = family.select("centre", "tag", "comp", "n", "d", wanted.alias("wanted")).join(ranked, ["centre", "tag"])
+    prefix = F.slice("rare", 1, F.col("wanted"))
+    placed = F.transform(prefix, lambda s, i: F.struct(s["often"].alias("often"), s["shingle"].alias("shingle"), i.alias("at")))
+    # a shingle that one member has alone leads to nobody, but counts in the order
+    shared = F.filter(placed, lambda s: s["often"] > 1)
+    return wide.select("centre", "tag", "comp", "n", "d", F.explode(shared).alias("s"))
+
+
 def _linked(classes: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """Components (node, to) and confirmed links (a, b) of class representatives."""
     # a smaller set cannot be similar enough to another one that differs from it
@@ -287,7 +302,7 @@ def _linked(classes: DataFrame, width: int, percent: int) -> tuple[DataFrame, Da
     kept = texts.join(lone.select("tag").distinct(), "tag")
     sets = materialize(kept.mapInArrow(_sets(width), "tag long, n long, difference array<long>"), "sets")
     apart = lone.withColumnRenamed("key", "centre").join(sets, "tag").withColumn("comp", F.col("tag"))
-    links.append(_links(_compare(_rare_pairs(apart, percent), texts, width, percent)))
+    links.append(_links(_compare(_rare_pairs(apart, percent, by_frequency=False), texts, width, percent)))
     every = reduce(DataFrame.union, links).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     every = materialize(every.distinct(), "links")
     return components(every), every
