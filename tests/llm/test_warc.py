@@ -24,7 +24,7 @@ def written(spark, tmp_path, data, parts=4, **kw):
     return folder
 
 
-@pytest.mark.parametrize("split", [97, 5_000, 1 << 24])
+@pytest.mark.parametrize("split", [3_001, 1 << 24])
 def test_round_trip(spark, tmp_path, split):
     data = pages()
     folder = written(spark, tmp_path, data)
@@ -61,7 +61,7 @@ def test_false_magic_is_passed_over(spark, tmp_path):
     file = next((tmp_path / "a b").glob("*.warc.gz"))
     noise = b"\x1f\x8b\x08\x00junk" + gzip.compress(b"no archive") + b"\x1f\x8b"
     file.write_bytes(noise + file.read_bytes() + noise)
-    for split in (7, 1 << 20):
+    for split in (61, 1 << 20):
         assert warc.read(spark, folder, split_bytes=split).count() == 2
 
 
