@@ -52,8 +52,8 @@ def op1_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 @_query
 def op2_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    """Passages of 15 words and more in chunks that come earlier in the corpus."""
-    found = substring_dedup.passages(_table(spark, folder, "documents"))
+    """Passages of 15 words and more that come earlier in the corpus, to the byte."""
+    found = substring_dedup.repeats(_table(spark, folder, "documents"))
     return found.select(
         F.col("id").alias("doc_id"), F.col("start").alias("start_byte"), F.col("end").alias("end_byte"),
         "n_words", "n_chunks", F.col("first_ids").alias("first_doc_ids"),

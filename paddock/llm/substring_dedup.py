@@ -11,6 +11,7 @@ occurrences form a passage, which is reported (and can be cut) if it has enough
 
 from __future__ import annotations
 
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -186,3 +187,262 @@ def drop_passages(
     joined = stored.join(spans, "tag", "left")
     cut = F.col("row").withField(text_col, F.when(F.col("spans").isNull(), text).otherwise(left))
     return joined.select(cut.alias("row")).select("row.*")
+
+
+# --- exact repeats: anchors chosen in windows, extended by comparing texts ---------------------
+
+ANCHOR = 56  # bytes of an anchor; up to 3 less where it would part a character
+WINDOW = 46  # of so many places in a row one at least is an anchor
+REACH = ANCHOR + WINDOW  # bytes that an end is extended by; whatever lies further has anchors of its own
+_LAST = np.uint64(0xFFFFFFFF)
+
+
+def anchors(data: bytes) -> list[tuple[int, int]]:
+    """Places and sizes of the anchors of a text in UTF-8.
+
+    In each window of places the one with the least hash is taken, the leftmost of equal
+    ones, so that equal stretches of ``ANCHOR + WINDOW - 1`` bytes have an equal anchor
+    whatever they consist of.  In periodic text equal anchors follow each other by
+    ``WINDOW`` at most, not more densely.  A text shorter than an anchor is one itself.
+    """
+    n = len(data)
+    if n <= ANCHOR:
+        return [(0, n)] if n else []
+    raw = np.frombuffer(data, dtype=np.uint8)
+    places = n - ANCHOR + 1
+    chosen = []
+    for start in range(0, places, _BATCH):  # very long texts in pieces, with the windows that reach over
+        stop = min(start + _BATCH + WINDOW - 1, places)
+        if start and stop - start < WINDOW:
+            break
+        # the hash of a place is that of its first 16 bytes
+        hashed = rolling(raw[start : stop + _SPAN - 1])[_SPAN - 1 :] * np.uint32(0x9E3779B1)
+        keys = (hashed.astype(np.uint64) << np.uint64(32)) | np.arange(stop - start, dtype=np.uint64)
+        keys[(raw[start:stop] & 0xC0) == 0x80] |= _LAST << np.uint64(32)  # no place inside a character
+        width, window = 1, min(WINDOW, len(keys))
+        while width < window:
+            step = min(width, window - width)
+            keys = np.minimum(keys[:-step], keys[step:])
+            width += step
+        at = (keys & _LAST).astype(np.int64)
+        at = at[np.concatenate([[True], at[1:] != at[:-1]])] + start
+        chosen.append(at)
+    found, kept = np.unique(np.concatenate(chosen)).tolist(), []
+    found = [p for p in found if (data[p] & 0xC0) != 0x80]  # else the window is no text
+    last = b""
+    for p, after in zip(found, [*found[1:], n], strict=True):
+        q = p + ANCHOR
+        while q < n and q > p + ANCHOR - 3 and (data[q] & 0xC0) == 0x80:
+            q -= 1
+        # of equal anchors one in each window is enough
+        if kept and after - kept[-1][0] <= WINDOW and data[p:q] == last:
+            continue
+        kept.append((p, q - p))
+        last = data[p:q]
+    return kept
+
+
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts as compressed UTF-8, which the joins below move."""
+    codec = pa.Codec("zstd")
+    for batch in batches:
+        texts = [t.encode("utf-8", "surrogatepass") if t else None for t in batch.column("text").to_pylist()]
+        packed = [None if t is None else codec.compress(t, asbytes=True) for t in texts]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("tag"), batch.column("id"), pa.array(packed, pa.binary()),
+             pa.array([len(t or b"") for t in texts], pa.int64())],
+            names=["tag", "id", "packed", "size"],
+        )
+
+
+def _anchored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row for each anchor: where it is, its size, a digest of 64 bits and one of 32 more."""
+    codec = pa.Codec("zstd")
+    for batch in batches:
+        kind = batch.schema.field("id").type
+        names = ("tag", "id", "packed", "size")
+        held = {n: [] for n in ("id", "tag", "at", "size", "digest", "check")}
+
+        def made(held: dict = held, kind: pa.DataType = kind) -> pa.RecordBatch:
+            kinds = (kind, pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32())
+            return pa.RecordBatch.from_arrays(
+                [pa.array(x, k) for x, k in zip(held.values(), kinds, strict=True)], names=list(held)
+            )
+
+        for tag, i, packed, size in zip(*(batch.column(n).to_pylist() for n in names), strict=True):
+            data = codec.decompress(packed, size, asbytes=True)
+            for p, length in anchors(data):
+                digest = xxhash.xxh3_128_digest(data[p : p + length])
+                row = (i, tag, p, length, *_DIGESTS.unpack(digest[:12]))
+                for column, value in zip(held.values(), row, strict=True):
+                    column.append(value)
+            if len(held["tag"]) >= _ROWS:
+                yield made()
+                for column in held.values():
+                    column.clear()
+        if held["tag"]:
+            yield made()
+
+
+_DIGESTS = struct.Struct("=qi")
+
+
+def _digested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The digests of 64 bits alone."""
+    for batch in _anchored(batches):
+        yield batch.select(["digest"])
+
+
+def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The texts beside the edges of runs, read away from the run, and the words begun before.
+
+    An edge is a place, doubled, with 1 added at the end of a run.  One byte of the run
+    comes first there.  One byte over the reach tells whether a character or a word goes on.
+    """
+    codec = pa.Codec("zstd")
+
+    def made(held: list) -> pa.RecordBatch:
+        kinds = (pa.int64(), pa.int64(), pa.binary(), pa.int64())
+        arrays = [pa.array(x, k) for x, k in zip(zip(*held, strict=True), kinds, strict=True)]
+        return pa.RecordBatch.from_arrays(arrays, names=["tag", "edge", "near", "begun"])
+
+    held = []
+    for batch in batches:
+        columns = (batch.column(n).to_pylist() for n in ("tag", "packed", "size", "edges"))
+        for tag, packed, size, wanted in zip(*columns, strict=True):
+            data = codec.decompress(packed, size, asbytes=True)
+            starts = _word_starts(np.frombuffer(data, dtype=np.uint8))
+            for edge in wanted:
+                at, ends = edge >> 1, edge & 1
+                near = data[at - 1 : at + REACH + 1] if ends else data[max(at - REACH - 1, 0) : at][::-1]
+                held.append((tag, edge, near, int(starts[at])))
+            if len(held) >= _ROWS:
+                yield made(held)
+                held = []
+    if held:
+        yield made(held)
+
+
+_BLANK = frozenset(b" \t\n\x0b\x0c\r")
+
+
+def extended(near: bytes, first: bytes, ends: bool) -> tuple[int, int]:
+    """Bytes that an edge moves outwards while both texts agree, and the words begun there."""
+    skip = 1 if ends else 0
+    limit = min(len(near), len(first), REACH + skip)
+    n = next((k for k in range(skip, limit) if near[k] != first[k]), limit)
+    if ends:
+        while n > 1 and n < len(near) and (near[n] & 0xC0) == 0x80:
+            n -= 1
+        words = sum(near[k] not in _BLANK and near[k - 1] in _BLANK for k in range(1, n))
+        return n - 1, words
+    while n and (near[n - 1] & 0xC0) == 0x80:
+        n -= 1
+    words = sum(near[k] not in _BLANK and (k + 1 == len(near) or near[k + 1] in _BLANK) for k in range(n))
+    return n, words
+
+
+def _extended(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        columns = [batch.column(n).to_pylist() for n in ("edge", "near", "first_near", "begun")]
+        places, words = [], []
+        for edge, near, first, begun in zip(*columns, strict=True):
+            n, w = extended(near, first, bool(edge & 1))
+            sign = 1 if edge & 1 else -1
+            places.append((edge >> 1) + sign * n)
+            words.append(begun + sign * w)
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("tag"), batch.column("run"), pa.array([e & 1 for e in columns[0]], pa.int64()),
+             pa.array(places, pa.int64()), pa.array(words, pa.int64())],
+            names=["tag", "run", "ends", "place", "begun"],
+        )
+
+
+def repeats(
+    docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """Repeated passages to the byte, with the columns of ``passages``.
+
+    A text that comes again has an anchor in common with its first occurrence if it has
+    ``ANCHOR + WINDOW - 1`` bytes, which 51 words always have.  A single anchor is enough:
+    the passage is extended to both sides while the text equals that of the first
+    occurrence, and only then must have ``min_words``.  ``n_chunks`` counts anchors.
+    """
+    return repeats_of(identified(docs, id=docs[id_col], text=docs[text_col]), min_words)
+
+
+def repeats_of(rows: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """``repeats`` for rows of tag, id and text."""
+    kind = rows.schema["id"].dataType.simpleString()
+    packed = rows.select("tag", "id", "text").mapInArrow(_packed, f"tag long, id {kind}, packed binary, size long")
+    texts = materialize(packed.where("packed is not null"), "texts")
+    # anchors are found twice, which needs less room than storing them
+    anchored = texts.mapInArrow(_anchored, f"id {kind}, tag long, at long, size int, digest long, check int")
+    counted = texts.mapInArrow(_digested, "digest long")
+    often = counted.groupBy("digest").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("digest")
+    named = materialize(anchored.join(materialize(often, "digests"), "digest"), "occurrences")
+    place = F.min(F.struct(F.col("id").isNull(), "id", "tag", "at"))
+    first = named.groupBy("digest", "check").agg(place.alias("first"), F.count(F.lit(1)).alias("n"))
+    first = materialize(first.where("n > 1").drop("n"), "firsts")
+    # plain shuffles of stored tables, as above, so that an anchor in very many documents can be split
+    later = named.join(first, ["digest", "check"]).drop("digest", "check").where(
+        (F.col("tag") != F.col("first.tag")) | (F.col("at") != F.col("first.at"))
+    )
+    # anchors that touch, at the same distance from their first occurrences, are one run; a
+    # window holds the anchors of one document
+    in_order = Window.partitionBy("tag").orderBy("at")
+    shift, end = F.col("at") - F.col("first.at"), F.col("at") + F.col("size")
+    goes_on = (
+        (F.lag("first.tag").over(in_order) == F.col("first.tag"))
+        & (F.lag(shift).over(in_order) == shift)
+        & (F.lag(end).over(in_order) >= F.col("at"))
+    )
+    begins = later.withColumn("begins", F.when(goes_on, 0).otherwise(1))
+    runs = begins.withColumn("run", F.sum("begins").over(in_order)).groupBy("tag", "run").agg(
+        F.first("id").alias("id"),
+        F.min("at").alias("start"),
+        F.max(end).alias("end"),
+        F.first("first.tag").alias("first_tag"),
+        F.first("first.id").alias("first_id"),
+        F.first(shift).alias("shift"),
+        F.count(F.lit(1)).alias("n_chunks"),
+    )
+    runs = materialize(runs, "runs")
+
+    def edges(start, end):
+        return F.explode(F.array(start * 2, end * 2 + 1))
+
+    there = F.col("start") - F.col("shift"), F.col("end") - F.col("shift")
+    wanted = runs.select("tag", edges(F.col("start"), F.col("end")).alias("edge")).union(
+        runs.select(F.col("first_tag").alias("tag"), edges(*there).alias("edge"))
+    )
+    wanted = materialize(wanted.groupBy("tag").agg(F.collect_set("edge").alias("edges")), "edges")
+    near = texts.select("tag", "packed", "size").join(wanted, "tag")
+    near = near.mapInArrow(_near, "tag long, edge long, near binary, begun long")
+    near = materialize(near, "near")
+    sides = runs.select("tag", "run", "first_tag", "shift", edges(F.col("start"), F.col("end")).alias("edge"))
+    sides = sides.withColumn("first_edge", F.col("edge") - F.col("shift") * 2).drop("shift").join(near, ["tag", "edge"])
+    at_first = near.select(
+        F.col("tag").alias("first_tag"), F.col("edge").alias("first_edge"), F.col("near").alias("first_near")
+    )
+    sides = attach(sides, at_first, ["first_tag", "first_edge"])
+    moved = sides.select("tag", "run", "edge", "near", "first_near", "begun").mapInArrow(
+        _extended, "tag long, run long, ends long, place long, begun long"
+    )
+    bounds = moved.groupBy("tag", "run").agg(
+        F.min("place").alias("start"), F.max("place").alias("end"),
+        F.min("begun").alias("before"), F.max("begun").alias("until"),
+    )
+    whole = runs.drop("start", "end", "first_tag", "shift").join(bounds, ["tag", "run"])
+    # runs that overlap or touch are one passage
+    so_far = Window.partitionBy("tag").orderBy("start", "run")
+    reached = F.max("end").over(so_far.rowsBetween(Window.unboundedPreceding, -1))
+    apart = whole.withColumn("apart", F.when(reached >= F.col("start"), 0).otherwise(1))
+    found = apart.withColumn("island", F.sum("apart").over(so_far)).groupBy("tag", "id", "island").agg(
+        F.min("start").alias("start"),
+        F.max("end").alias("end"),
+        (F.max("until") - F.min("before")).alias("n_words"),
+        F.sum("n_chunks").alias("n_chunks"),
+        F.sort_array(F.collect_set("first_id")).alias("first_ids"),
+    )
+    return found.where(F.col("n_words") >= min_words).drop("island")

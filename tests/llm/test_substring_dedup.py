@@ -104,3 +104,72 @@ def test_cuts_like_the_slow_way(text):
 def test_empty(spark):
     assert substring_dedup.passages(empty(spark)).count() == 0
     assert substring_dedup.drop_passages(empty(spark)).count() == 0
+
+
+def placed(passages, seed=3):
+    """Texts that hold each passage twice, and where the later one and what surrounds it agree."""
+    r, texts, spans = random.Random(seed), [], []
+    for k, passage in enumerate(passages):
+        pair = []
+        for side in range(2):
+            before, after = (prose(10_000 + 4 * k + 2 * side + j, r.randint(1, 60)) + " " * j for j in range(2))
+            pair.append(((before + " ").encode(), passage.encode(), (" " + after).encode()))
+        texts += [b"".join(x).decode() for x in pair]
+        (b0, p, a0), (b1, _, a1) = pair
+        left = next(n for n in range(min(len(b0), len(b1)) + 1) if b0[-n - 1 : -n or None] != b1[-n - 1 : -n or None])
+        right = next(n for n in range(min(len(a0), len(a1)) + 1) if a0[n : n + 1] != a1[n : n + 1])
+        while (b1[len(b1) - left] if left else 0) & 0xC0 == 0x80:
+            left -= 1
+        while right and a1[right] & 0xC0 == 0x80:
+            right -= 1
+        spans.append((2 * k + 1, len(b1) - left, len(b1) + len(p) + right))
+    return texts, spans
+
+
+def test_no_passage_of_51_words_is_lost(spark):
+    r = random.Random(5)
+    passages = [prose(50_000 + k, r.choice([51, 52, 60, 100])) for k in range(400)]
+    passages += [" ".join(r.choices("abcdefghij", k=51)) for _ in range(100)]
+    texts, spans = placed(passages)
+    docs = spark.createDataFrame([(i, t, *[None] * 7) for i, t in enumerate(texts)], SCHEMA).repartition(3)
+    found = substring_dedup.repeats(docs).collect()
+    assert sorted((x["id"], x["start"], x["end"]) for x in found) == sorted(spans)
+    for x in found:
+        raw = texts[x["id"]].encode()
+        begun = [k for k in range(x["start"], x["end"]) if raw[k] != 32 and (k == 0 or raw[k - 1] == 32)]
+        assert x["n_words"] == len(begun) and x["first_ids"] == [x["id"] - 1]
+
+
+@pytest.mark.parametrize("unit", ["a ", "ha ho ", "日本 ", "0123456789 " * 5, "x" * 30 + " "])
+def test_periodic_passages_are_found(spark, unit):
+    passage = (unit * 2000)[: 60 * len(unit)].strip()
+    texts, _ = placed([passage])
+    docs = spark.createDataFrame([(i, t, *[None] * 7) for i, t in enumerate(texts)], SCHEMA)
+    [found] = [x for x in substring_dedup.repeats(docs).collect() if x["id"] == 1]
+    start = texts[1].encode().index(passage.encode())
+    # equal places of a period cannot be told apart, so less than a period may stay at the start
+    assert found["start"] < start + len(unit.encode()) and found["end"] >= start + len(passage.encode())
+
+
+def test_long_equal_stretches_share_an_anchor(monkeypatch):
+    r = random.Random(2)
+    length = substring_dedup.ANCHOR + substring_dedup.WINDOW - 1
+    for alphabet in ("ab", "abcdefgh ", "a", "é日 x"):
+        for _ in range(200):
+            same = "".join(r.choices(alphabet, k=r.randint(1, 9)))
+            same = (same * length)[: length * 2].encode()[: length + 3].decode(errors="ignore").encode()
+            one, two = (
+                "".join(r.choices(alphabet, k=r.randint(0, 200))).encode() + same
+                + "".join(r.choices(alphabet, k=r.randint(0, 200))).encode() for _ in range(2)
+            )
+            sets = [{t[p : p + n] for p, n in substring_dedup.anchors(t)} for t in (one, two)]
+            assert sets[0] & sets[1]
+    data = (prose(5, 3000) + "a" * 3000).encode()
+    whole = substring_dedup.anchors(data)
+    monkeypatch.setattr(substring_dedup, "_BATCH", 777)
+    assert whole == substring_dedup.anchors(data)
+    assert max(b[0] - a[0] for a, b in zip(whole, whole[1:], strict=False)) <= substring_dedup.WINDOW
+
+
+def test_repeats_of_nothing(spark):
+    assert substring_dedup.repeats(empty(spark)).count() == 0
