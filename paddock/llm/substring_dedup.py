@@ -172,6 +172,12 @@ def drop_passages(
     stored = materialize(identified(docs, id=docs[id_col], row=F.struct("*")), "documents")
     text = F.col("row").getField(text_col)
     found = passages_of(stored.select("tag", "id", text.alias("text")), mean, min_words)
+    return _without(stored, found, text_col)
+
+
+def _without(stored: DataFrame, found: DataFrame, text_col: str) -> DataFrame:
+    """The rows in ``stored`` with the spans in ``found`` cut from their texts."""
+    text = F.col("row").getField(text_col)
     spans = found.groupBy("tag").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("spans"))
     # bytes are cut as Latin-1 characters, one for each byte of the UTF-8 form
     raw = F.decode(F.encode(text, "UTF-8"), "ISO-8859-1")
@@ -371,6 +377,16 @@ def repeats(
     return repeats_of(identified(docs, id=docs[id_col], text=docs[text_col]), min_words)
 
 
+def drop_repeats(
+    docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """``docs`` with what ``repeats`` finds cut from their texts, both ends included; no row goes."""
+    stored = materialize(identified(docs, id=docs[id_col], row=F.struct("*")), "documents")
+    text = F.col("row").getField(text_col)
+    found = repeats_of(stored.select("tag", "id", text.alias("text")), min_words)
+    return _without(stored, found, text_col)
+
+
 def repeats_of(rows: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """``repeats`` for rows of tag, id and text."""
     kind = rows.schema["id"].dataType.simpleString()

@@ -173,3 +173,14 @@ def test_long_equal_stretches_share_an_anchor(monkeypatch):
 
 def test_repeats_of_nothing(spark):
     assert substring_dedup.repeats(empty(spark)).count() == 0
+
+
+def test_both_ends_of_a_repeat_are_cut(spark):
+    texts, spans = placed([prose(70_000 + k, 51 + k) for k in range(20)])
+    docs = spark.createDataFrame([(i, t, *[None] * 7) for i, t in enumerate(texts)], SCHEMA)
+    cut = {x["doc_id"]: x["text"] for x in substring_dedup.drop_repeats(docs).collect()}
+    expected = dict(enumerate(texts))
+    for i, start, end in spans:
+        raw = texts[i].encode()
+        expected[i] = (raw[:start] + raw[end:]).decode()
+    assert cut == expected
