@@ -358,11 +358,12 @@ def _links_in_families(near: DataFrame, texts: DataFrame, width: int, percent: i
 def cluster(
     docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """tag, id, n_shingles, class_id, n_links, component_id and kept of every row.
+    """tag, id, n_shingles, class_id, n_confirmed_links, component_id and kept of every row.
 
     Rows are linked if their shingle sets have a Jaccard similarity of at least
     ``percent`` hundredths.  ``class_id`` is the smallest id with the same set, and
-    ``n_links`` counts confirmed links of that class, enough to connect its component.
+    ``n_confirmed_links`` counts the links of that class that were confirmed, enough to connect
+    its component; members already connected are not compared, so it is no degree.
     ``component_id`` is the smallest id that can be reached.  Of each component one row
     stays: the smallest id, of repeated ids the first row; a null id comes last.  Texts
     without words (null, empty) have no shingles, are linked with nothing and stay.  An
@@ -387,12 +388,12 @@ def cluster_rows(rows: DataFrame, width: int, percent: int) -> DataFrame:
         stored.select("tag", "n", "bands", "packed").join(reps, "tag", "left_semi"), "representatives"
     )
     stars, links = _linked(classes, width, percent)
-    degree = links.select(F.explode(F.array("a", "b")).alias("rep")).groupBy("rep").agg(F.count(F.lit(1)).alias("n_links"))
+    degree = links.select(F.explode(F.array("a", "b")).alias("rep")).groupBy("rep").agg(F.count(F.lit(1)).alias("n_confirmed_links"))
     of_rep = materialize(
         reps.select(F.col("tag").alias("rep"))
         .join(stars.select(F.col("node").alias("rep"), "to"), "rep", "left")
         .join(degree, "rep", "left")
-        .select("rep", F.coalesce("to", "rep").alias("comp"), F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links")),
+        .select("rep", F.coalesce("to", "rep").alias("comp"), F.coalesce("n_confirmed_links", F.lit(0).cast("long")).alias("n_confirmed_links")),
         "components",
     )
     placed = materialize(attach(members, of_rep, ["rep"]), "members")
@@ -402,12 +403,12 @@ def cluster_rows(rows: DataFrame, width: int, percent: int) -> DataFrame:
         "id",
         F.col("n").alias("n_shingles"),
         "class_id",
-        "n_links",
+        "n_confirmed_links",
         F.col("least.id").alias("component_id"),
         (F.col("tag") == F.col("least.tag")).alias("kept"),
     )
     alone = stored.where("n = 0").select(
-        "tag", "id", F.col("n").alias("n_shingles"), F.col("id").alias("class_id"), F.lit(0).cast("long").alias("n_links"),
+        "tag", "id", F.col("n").alias("n_shingles"), F.col("id").alias("class_id"), F.lit(0).cast("long").alias("n_confirmed_links"),
         F.col("id").alias("component_id"), F.lit(True).alias("kept"),
     )
     return full.unionAll(alone)

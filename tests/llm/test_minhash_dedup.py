@@ -108,3 +108,8 @@ def test_rows_stay_whole(spark):
 def test_empty(spark):
     assert minhash_dedup.cluster(empty(spark)).count() == 0
     assert minhash_dedup.drop_near_copies(empty(spark)).count() == 0
+
+
+def test_confirmed_links_are_named_so(spark):
+    columns = minhash_dedup.cluster(empty(spark)).columns
+    assert "n_confirmed_links" in columns and "n_links" not in columns
