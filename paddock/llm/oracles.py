@@ -203,6 +203,30 @@ SELECT s.doc_id, len(s.shingles) AS n_shingles, coalesce(component_id, s.doc_id)
 FROM s LEFT JOIN c USING (shingles) LEFT JOIN least_of USING (class_id)
 """
 
+# Every document against every item, term by term.
+OP13 = r"""
+WITH d AS MATERIALIZED (
+  SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents
+), i AS (
+  SELECT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark
+), size AS (SELECT doc_id, count(*) AS n FROM d GROUP BY doc_id
+), total AS (SELECT count(*) AS docs, sum(n)::BIGINT AS terms FROM size
+), m AS (SELECT doc_id, 25 + (75 * n * docs) // terms AS m FROM size, total
+), tf AS (SELECT doc_id, term, count(*) AS tf FROM d GROUP BY doc_id, term
+), weight AS (
+  SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+  FROM tf, total GROUP BY term, docs
+), scored AS (
+  SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+  FROM i JOIN weight USING (term) JOIN tf USING (term) JOIN m USING (doc_id) GROUP BY item_id, doc_id
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS place FROM scored WHERE score > 0
+)
+SELECT item_id, place::INTEGER AS rank, doc_id, score FROM ranked WHERE place <= 10
+"""
+
 ORACLES = {
     "op1_exact_dedup": OP1,
     "op3_quality_rules": OP3,
@@ -210,4 +234,5 @@ ORACLES = {
     "op6_url_filter": OP6,
     "op8_source_mix": OP8,
     "op9_minhash_dedup": OP9,
+    "op13_lexical_search": OP13,
 }

@@ -11,6 +11,7 @@ from paddock.scratch import materialize, new_path
 
 from . import (
     exact_dedup,
+    lexical_search,
     minhash_dedup,
     packing,
     quality_classifier,
@@ -150,3 +151,10 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(_table(spark, folder, "documents")).select(
         F.col("id").alias("doc_id"), "shard", "bin", "slot", "piece", "first_word", "n_words", "source"
     )
+
+
+@_query
+def op13_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    """The ten best documents of every benchmark item."""
+    found = lexical_search.search(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+    return found.select("item_id", "rank", F.col("id").alias("doc_id"), "score")
