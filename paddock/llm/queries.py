@@ -11,6 +11,7 @@ from paddock.scratch import materialize, new_path
 
 from . import (
     exact_dedup,
+    hard_negatives,
     lexical_search,
     minhash_dedup,
     packing,
@@ -153,6 +154,14 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@_query
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """Ten negatives for each of five positives of every hundredth vector."""
+    vectors = _table(spark, folder, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(vectors, moved, F.col("vec_id") % 100 == 0)
+
+
 @_query
 def op13_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
     """The ten best documents of every benchmark item."""
