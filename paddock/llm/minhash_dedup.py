@@ -8,88 +8,44 @@ none of them with probability 5e-8.
 
 Links are confirmed on full shingle sets, and a bucket does not form all its pairs.
 
-1. Every member is compared with the pivot of its bucket.  Members at a Jaccard distance of
-   up to ``FAR`` and that of a link from a pivot are its family.
-2. A family of which some members are not linked with the pivot is compared with the member
-   that has the most links, its centre.
-3. Two members x, y of a family that are similar enough differ in few shingles, so their
-   differences from the centre, D(x) and D(y), overlap: unless one of them is linked with
-   the centre, by at least one shingle, and by |D(x)| less a quarter of |x| where that is
-   more (for a similarity of 0.8).  Members that are not both connected to the centre meet
-   in the rarest shingles of their differences, as many as this overlap calls for, and are
-   compared.
-4. Members farther than ``FAR`` from the pivot of a bucket meet in the same way in a quarter of
-   their shingles: these are their differences from the empty set.
-
-The distance is a metric, so two linked members of a bucket share a family or are both far.
-Nothing is capped, and the work follows the members and their differences, not
-the pairs.
+1. Every member is compared with the pivot of its bucket, the member that meets the most
+   others.  The links found make components.
+2. Members at a Jaccard distance of up to ``FAR`` and that of a link from a pivot are its
+   family; members farther away are one by bucket.  The distance is a metric, so two linked
+   members of a bucket share a family, and their distances from the pivot differ by that of
+   a link at most.
+3. Families of one component are done.  The others are dealt into blocks of ``BLOCK`` sets and
+   ``TOKENS`` shingles by distance from the pivot.  A member asks the blocks at a possible
+   distance that hold a component after its own (by size, then number), so that the largest one
+   asks nothing.  A block opens only where its union holds enough of the asker's shingles,
+   and gives one link for each component that it leads to.
+
+Nothing is capped.  What grows are the askers of a block, not the pairs of its members.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import attach, identified, materialize
+from .common import identified, materialize
 from .components import components
+from .shingles import ODD, Words, classes, digest, link_blocks, mix, outcome, packed, shingles, unpacked
 
 WIDTH = 5
 PERCENT = 80
 BANDS = 32
 ROWS = 4
 FAR = 0.5
+BLOCK = 256
+TOKENS = 1 << 18
 
-_BLOCK = 1 << 16  # shingles whose coordinates are computed together
-_KEEP_WORDS = 1 << 20  # words a task remembers the hashes of
-
-_ODD = np.array(
-    [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F],
-    dtype=np.uint64,
-)
-
-
-class _Words(dict):
-    """64-bit hashes of words, remembered within a task."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= _KEEP_WORDS:
-            self.clear()
-        value = xxhash.xxh64_intdigest(word) - (1 << 63)
-        self[word] = value
-        return value
-
-
-def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-def shingles(text: str | None, width: int, known: _Words) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the shingles of a whole text.
-
-    Letters A-Z count as lower case.  A text of fewer words than ``width`` is one
-    shingle, a text without words has none.
-    """
-    # bytes.lower and bytes.split know exactly A-Z and the six ASCII spaces
-    split = text.encode("utf-8", "surrogatepass").lower().split() if text else []
-    if not split:
-        return np.empty(0, dtype=np.uint64)
-    codes = np.fromiter(map(known.__getitem__, split), dtype=np.int64, count=len(split)).view(np.uint64)
-    taken = min(width, len(codes))
-    total = np.full(len(codes) - taken + 1, taken, dtype=np.uint64)
-    for k in range(taken):
-        part = codes[k : len(codes) - taken + 1 + k] * _ODD[k % len(_ODD)]
-        total = _mix(total + part)
-    return np.unique(total)
+_SHINGLES = 1 << 16  # shingles whose coordinates are computed together
 
 
 def signatures(sets: Sequence[np.ndarray], size: int) -> np.ndarray:
@@ -117,7 +73,7 @@ def band_keys(signature: np.ndarray, bands: int, rows: int) -> np.ndarray:
     parts = signature.reshape(len(signature), bands, rows).astype(np.uint64)
     key = np.broadcast_to(np.arange(bands, dtype=np.uint64), parts.shape[:2])
     for k in range(rows):
-        key = _mix(key * _ODD[0] + parts[:, :, k])
+        key = mix(key * ODD[0] + parts[:, :, k])
     return key.view(np.int64)
 
 
@@ -128,7 +84,7 @@ def _blocks(sets: list[np.ndarray]) -> Iterator[list[int]]:
         if len(s):
             block.append(i)
             size += len(s)
-        if size >= _BLOCK:
+        if size >= _SHINGLES:
             yield block
             block, size = [], 0
     if block:
@@ -139,27 +95,27 @@ def _fingerprinted(width: int, bands: int, rows: int):
     """Batches of (tag, id, text) to tag, id, n, set digest, band keys and packed text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, pack = _Words(), zstandard.ZstdCompressor(level=1)
+        known, pack = Words(), zstandard.ZstdCompressor(level=1)
         for batch in batches:
             texts = batch.column("text").to_pylist()
             sets = [shingles(t, width, known) for t in texts]
-            digest = np.zeros((len(sets), 2), dtype=np.uint64)
+            marks = np.zeros((len(sets), 2), dtype=np.uint64)
             keys: list = [None] * len(sets)
             for block in _blocks(sets):
                 own = [sets[i] for i in block]
                 for i, found in zip(block, band_keys(signatures(own, bands * rows), bands, rows), strict=True):
                     keys[i] = found
                 for i, s in zip(block, own, strict=True):
-                    digest[i] = s.sum(dtype=np.uint64), _mix(s + _ODD[1]).sum(dtype=np.uint64)
+                    marks[i] = digest(s)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("tag"),
                     batch.column("id"),
                     pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array(digest[:, 0].view(np.int64)),
-                    pa.array(digest[:, 1].view(np.int64)),
+                    pa.array(marks[:, 0].view(np.int64)),
+                    pa.array(marks[:, 1].view(np.int64)),
                     pa.array(keys, pa.list_(pa.int64())),
-                    pa.array([pack.compress((t or "").encode("utf-8", "surrogatepass")) for t in texts], pa.binary()),
+                    pa.array([packed(t, pack) for t in texts], pa.binary()),
                 ],
                 names=["tag", "id", "n", "low", "high", "bands", "packed"],
             )
@@ -170,54 +126,41 @@ def _fingerprinted(width: int, bands: int, rows: int):
 _FINGERPRINT = "tag long, id {id}, n long, low long, high long, bands array<long>, packed binary"
 
 
-def _compared(width: int, with_difference: bool):
-    """Batches of (pivot, tag, one, two) to set sizes, overlap, and difference if wanted."""
+def _compared(width: int):
+    """Batches of (pivot, tag, one, two) to set sizes and overlap."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, unpack = _Words(), zstandard.ZstdDecompressor()
+        known = Words()
         last: tuple = (None, None)
-
-        def of(data: bytes) -> np.ndarray:
-            return shingles(unpack.decompress(data).decode("utf-8", "surrogatepass"), width, known)
-
         for batch in batches:
-            pivots, packed, others = (batch.column(c).to_pylist() for c in ("pivot", "one", "two"))
-            found, differences = [], []
-            for i, pivot in enumerate(pivots):
+            others = unpacked(batch.column("two"), width, known)
+            found = []
+            for i, pivot in enumerate(batch.column("pivot").to_pylist()):
                 if last[0] != pivot:  # a pivot comes with many members in a row
-                    last = (pivot, of(packed[i]))
-                other = of(others[i])
-                common = len(np.intersect1d(last[1], other, assume_unique=True))
-                found.append((len(last[1]), len(other), common))
-                if with_difference:
-                    differences.append(np.setxor1d(last[1], other, assume_unique=True).view(np.int64))
-                else:
-                    differences.append(None)
+                    last = (pivot, unpacked(batch.column("one").slice(i, 1), width, known)[0])
+                common = len(np.intersect1d(last[1], others[i], assume_unique=True))
+                found.append((len(last[1]), len(others[i]), common))
             sizes = np.array(found, dtype=np.int64).reshape(-1, 3)
             yield pa.RecordBatch.from_arrays(
-                [
-                    *(batch.column(c) for c in ("pivot", "tag")),
-                    *(pa.array(sizes[:, k]) for k in range(3)),
-                    pa.array(differences, pa.list_(pa.int64())),
-                ],
-                names=["pivot", "tag", "n_pivot", "n", "common", "difference"],
+                [*(batch.column(c) for c in ("pivot", "tag")), *(pa.array(sizes[:, k]) for k in range(3))],
+                names=["pivot", "tag", "n_pivot", "n", "common"],
             )
 
     return run
 
 
-def _compare(pairs: DataFrame, texts: DataFrame, width: int, percent: int, with_difference: bool = False) -> DataFrame:
-    """Stored: far, n, linked and difference of pairs (pivot, tag), from full sets."""
+def _compare(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """Stored: far and linked of pairs (pivot, tag), from full sets."""
     # texts have one row a tag; large partitions of a pivot are split by adaptive execution,
     # as both sides of the joins are plain shuffles of stored tables
     with_two = pairs.join(texts.select("tag", F.col("packed").alias("two")), "tag")
     with_both = with_two.join(texts.select(F.col("tag").alias("pivot"), F.col("packed").alias("one")), "pivot")
-    schema = "pivot long, tag long, n_pivot long, n long, common long, difference array<long>"
-    compared = with_both.select("pivot", "tag", "one", "two").mapInArrow(_compared(width, with_difference), schema)
+    schema = "pivot long, tag long, n_pivot long, n long, common long"
+    compared = with_both.select("pivot", "tag", "one", "two").mapInArrow(_compared(width), schema)
     union = F.col("n_pivot") + F.col("n") - F.col("common")
     return materialize(
         compared.select(
-            "pivot", "tag", "n", "difference",
+            "pivot", "tag",
             (1 - F.col("common") / union).alias("far"),
             (100 * F.col("common") >= percent * union).alias("linked"),
         ),
@@ -225,61 +168,51 @@ def _compare(pairs: DataFrame, texts: DataFrame, width: int, percent: int, with_
     )
 
 
-def _links(compared: DataFrame) -> DataFrame:
-    return compared.where("linked").select(F.col("pivot").alias("a"), F.col("tag").alias("b"))
+def _families(met: DataFrame, compared: DataFrame, percent: int) -> DataFrame:
+    """(family, tag, far): who may be linked with whom, with distances from one pivot."""
+    reach = FAR + (100 - percent) / 100 + 1e-9
+    pair = F.xxhash64(F.lit("near"), "pivot").alias("family")
+    near = compared.where(F.col("far") <= reach)
+    own = near.select("pivot").distinct().select(pair, F.col("pivot").alias("tag"), F.lit(0.0).alias("far"))
+    lone = met.join(compared.where(F.col("far") > FAR), ["pivot", "tag"])
+    lone = lone.select(F.xxhash64(F.lit("far"), "key").alias("family"), "tag", "far")
+    return near.select(pair, "tag", "far").unionAll(own).unionAll(lone)
 
 
-def _rare_pairs(family: DataFrame, percent: int, by_frequency: bool = True) -> DataFrame:
-    """Pairs (pivot, tag) not known to be connected that meet in few shingles of their differences.
+def _links_in_families(families: DataFrame, state: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links between components that have members in one family.
 
-    ``family`` has centre, tag, comp, n and the difference from the centre.  Two sets of n and
-    m shingles are similar enough if they differ in at most ``ratio`` (n + m).  The shingles
-    are the first ones in any common order: the rarest of the family, or, for whole sets, of
-    which few are needed, those with the smallest hashes, so that the others stay packed.
+    ``state`` has tag, n, comp and weight (size of the component) of every set.
     """
-    ratio = (100 - percent) / (100 + percent)
-    quarter = (100 - percent) / percent  # the same, for the largest m that n allows, over n
-    family = family.withColumn("d", F.size("difference"))
-    overlap = F.greatest(F.lit(1), F.ceil(F.col("d") - quarter * F.col("n") - 1e-9)).cast("int")
-    wanted = F.col("d") - overlap + 1
-    if by_frequency:
-        posted = _rarest(family, wanted)
-    else:
-        first = F.transform(
-            F.slice("difference", 1, wanted), lambda s, i: F.struct(s.alias("shingle"), i.alias("at"))
-        )
-        posted = family.select("centre", "tag", "comp", "n", "d", F.explode(first).alias("s"))
-    posted = materialize(posted.select("centre", "s.shingle", "tag", "comp", "n", "d", "s.at"), "postings")
-    other = posted.select("centre", "shingle", *[F.col(c).alias(f"other_{c}") for c in ("tag", "comp", "n", "d", "at")])
-    apart = (F.col("comp") != F.col("other_comp")) & (F.col("tag") < F.col("other_tag"))
-    most = ratio * (F.col("n") + F.col("other_n")) + 1e-9  # shingles in which they may differ
-    close = F.abs(F.col("d") - F.col("other_d")) <= most
-    # of the first shingle that they share, in order, at least so many must follow in both
-    left = F.least(F.col("d") - F.col("at"), F.col("other_d") - F.col("other_at"))
-    enough = 2 * left >= F.col("d") + F.col("other_d") - most
-    met = posted.join(other, ["centre", "shingle"]).where(apart & close & enough)
-    return materialize(met.select(F.col("tag").alias("pivot"), F.col("other_tag").alias("tag")).distinct(), "pairs")
-
-
-def _rarest(family: DataFrame, wanted: Column) -> DataFrame:
-    """The ``wanted`` rarest shingles of each member, with their places, in ``s``."""
-    each = family.select("centre", "tag", F.explode("difference").alias("shingle"))
-    often = materialize(each.groupBy("centre", "shingle").agg(F.count(F.lit(1)).alias("often")), "frequencies")
-    ranked = each.join(often, ["centre", "shingle"]).groupBy("centre", "tag").agg(
-        F.sort_array(F.collect_list(F.struct("often", "shingle"))).alias("rare")
+    members = materialize(families.join(state, "tag"), "families")
+    several = members.groupBy("family").agg(F.min("comp").alias("one"), F.max("comp").alias("other")).where("one <> other")
+    members = materialize(members.join(several.select("family"), "family", "left_semi"), "families")
+    # distances of linked members differ by less than two steps and so lie at most two apart
+    ring = F.floor(F.col("far") / ((100 - percent) / 200 + 1e-9)).alias("ring")
+    rings = members.select("family", ring, "tag", "n", "comp", "weight")
+    parts = F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("n") / TOKENS)).cast("long").alias("parts")
+    dealt = materialize(rings.groupBy("family", "ring").agg(parts), "rings")
+    part = F.pmod(F.xxhash64("tag"), F.col("parts"))
+    dealt = rings.join(dealt, ["family", "ring"]).withColumn("block", F.xxhash64("family", "ring", part))
+    dealt = materialize(dealt.drop("parts"), "dealt")
+    blocks = dealt.groupBy("family", "ring", "block").agg(
+        F.min("n").alias("least"), F.max("n").alias("most"), F.max(F.struct("weight", "comp")).alias("last")
+    )
+    blocks = materialize(blocks.withColumnRenamed("ring", "other_ring"), "blocks")
+    able = (
+        (F.abs(F.col("ring") - F.col("other_ring")) <= 2)
+        & (F.struct("weight", "comp") < F.col("last"))
+        & (100 * F.col("most") >= percent * F.col("n"))
+        & (100 * F.col("n") >= percent * F.col("least"))
     )
-    wide = family.select("centre", "tag", "comp", "n", "d", wanted.alias("wanted")).join(ranked, ["centre", "tag"])
-    prefix = F.slice("rare", 1, F.col("wanted"))
-    placed = F.transform(prefix, lambda s, i: F.struct(s["often"].alias("often"), s["shingle"].alias("shingle"), i.alias("at")))
-    # a shingle that one member has alone leads to nobody, but counts in the order
-    shared = F.filter(placed, lambda s: s["often"] > 1)
-    return wide.select("centre", "tag", "comp", "n", "d", F.explode(shared).alias("s"))
+    asked = dealt.drop("block").join(blocks, "family").where(able).select("tag", "comp", "block").distinct()
+    return link_blocks(materialize(asked, "asked"), dealt.select("block", "tag", "comp").distinct(), texts, width, percent)
 
 
-def _linked(classes: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFrame]:
+def _linked(sets: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """Components (node, to) and confirmed links (a, b) of class representatives."""
     # a smaller set cannot be similar enough to another one that differs from it
-    able = classes.where(F.col("n") * (100 - percent) >= percent)
+    able = sets.where(F.col("n") * (100 - percent) >= percent)
     each = able.select("tag", F.explode("bands").alias("key"))
     shared = each.groupBy("key").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
     members = materialize(each.join(materialize(shared, "buckets"), "key"), "members")
@@ -290,69 +223,20 @@ def _linked(classes: DataFrame, width: int, percent: int) -> tuple[DataFrame, Da
     pivots = members.groupBy("key").agg(F.min(F.struct((-F.col("meets")).alias("meets"), "tag")).alias("p"))
     pivots = materialize(pivots.select("key", F.col("p.tag").alias("pivot")), "pivots")
     met = materialize(members.select("key", "tag").join(pivots, "key").where("tag <> pivot"), "met")
-    texts = materialize(classes.select("tag", "packed").join(meets.select("tag"), "tag", "left_semi"), "texts")
-    reach = FAR + (100 - percent) / 100 + 1e-9
-    first = _compare(materialize(met.select("pivot", "tag").distinct(), "pairs"), texts, width, percent)
-    links = [_links(first), *_links_in_families(first.where(F.col("far") <= reach), texts, width, percent)]
-    # members that are far from the pivot of their bucket may still be linked with each other
-    lone = met.join(first.where(F.col("far") > FAR).select("pivot", "tag"), ["pivot", "tag"]).select("key", "tag")
-    lone = materialize(lone, "lone")
-    several = lone.groupBy("key").agg(F.count(F.lit(1)).alias("members")).where("members > 1").select("key")
-    lone = materialize(lone.join(materialize(several, "buckets"), "key"), "lone")
-    kept = texts.join(lone.select("tag").distinct(), "tag")
-    sets = materialize(kept.mapInArrow(_sets(width), "tag long, n long, difference array<long>"), "sets")
-    apart = lone.withColumnRenamed("key", "centre").join(sets, "tag").withColumn("comp", F.col("tag"))
-    links.append(_links(_compare(_rare_pairs(apart, percent, by_frequency=False), texts, width, percent)))
-    every = reduce(DataFrame.union, links).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    every = materialize(every.distinct(), "links")
-    return components(every), every
-
-
-def _sets(width: int):
-    """Batches of (tag, packed) to tag, n and the whole set: the difference from the empty one."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, unpack = _Words(), zstandard.ZstdDecompressor()
-        for batch in batches:
-            packed = batch.column("packed").to_pylist()
-            sets = [shingles(unpack.decompress(p).decode("utf-8", "surrogatepass"), width, known) for p in packed]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("tag"),
-                    pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())),
-                ],
-                names=["tag", "n", "difference"],
-            )
-
-    return run
-
-
-def _links_in_families(near: DataFrame, texts: DataFrame, width: int, percent: int) -> list[DataFrame]:
-    """Links between the members that a pivot is near to, where some are not linked with it."""
-    apart = materialize(near.where(~F.col("linked")).select(F.col("pivot").alias("family")).distinct(), "families")
-    family = near.select(F.col("pivot").alias("family"), "tag", "linked").join(apart, "family")
-    family = family.union(apart.select("family", F.col("family").alias("tag"), F.lit(True)))
-    degree = _links(near).select(F.explode(F.array("a", "b")).alias("tag")).groupBy("tag").agg(F.count(F.lit(1)).alias("links"))
-    family = materialize(family.join(degree, "tag", "left"), "families")
-    most = F.max(F.struct(F.coalesce("links", F.lit(0)).alias("links"), (-F.col("tag")).alias("tag"), "linked"))
-    centres = family.groupBy("family").agg(most.alias("most"))
-    centres = centres.select("family", (-F.col("most.tag")).alias("centre"), F.col("most.linked").alias("with_pivot"))
-    around = family.join(materialize(centres, "centres"), "family").where("tag <> centre")
-    # families of one centre are one; inner members are linked with it, or both with a pivot
-    inner = F.max(F.col("linked") & F.col("with_pivot")).alias("inner")
-    around = materialize(around.groupBy("centre", "tag").agg(inner), "around")
-    pairs = around.select(F.col("centre").alias("pivot"), "tag")
-    second = _compare(pairs, texts, width, percent, with_difference=True)
-    told = around.join(second.withColumnRenamed("pivot", "centre"), ["centre", "tag"])
-    told = told.withColumn("inner", F.col("inner") | F.col("linked"))
-    comp = F.when(F.col("inner"), F.col("centre")).otherwise(F.col("tag"))
-    told = materialize(told.select("centre", "tag", "n", "difference", "inner", comp.alias("comp")), "told")
-    outer = materialize(told.where(~F.col("inner")).select("centre").distinct(), "families")
-    if outer.isEmpty():
-        return [_links(second)]
-    third = _compare(_rare_pairs(told.join(outer, "centre"), percent), texts, width, percent)
-    return [_links(second), _links(third)]
+    texts = materialize(sets.select("tag", "packed").join(meets.select("tag"), "tag", "left_semi"), "texts")
+    compared = _compare(materialize(met.select("pivot", "tag").distinct(), "pairs"), texts, width, percent)
+    links = materialize(compared.where("linked").select(F.col("pivot").alias("a"), F.col("tag").alias("b")), "links")
+    stars = components(links)
+    state = sets.select("tag", "n").join(meets.select("tag"), "tag", "left_semi")
+    state = state.join(stars.withColumnRenamed("node", "tag"), "tag", "left").select("tag", "n", F.coalesce("to", "tag").alias("comp"))
+    state = materialize(state, "state")
+    weights = materialize(state.groupBy("comp").agg(F.count(F.lit(1)).alias("weight")), "weights")
+    state = materialize(state.join(weights, "comp"), "state")
+    more = _links_in_families(_families(met, compared, percent), state, texts, width, percent)
+    if more.isEmpty():
+        return stars, links
+    links = materialize(links.union(more), "links")
+    return components(links), links
 
 
 def cluster(
@@ -376,42 +260,10 @@ def cluster_rows(rows: DataFrame, width: int, percent: int) -> DataFrame:
     """``cluster`` for rows of tag, id and text, which are read once."""
     schema = _FINGERPRINT.format(id=rows.schema["id"].dataType.simpleString())
     stored = materialize(rows.mapInArrow(_fingerprinted(width, BANDS, ROWS), schema), "fingerprints")
-    order = F.min(F.struct(F.col("id").isNull(), "id", "tag"))
-    some = stored.where("n > 0")
-    by_set = materialize(some.groupBy("low", "high", "n").agg(order.alias("least")), "classes")
-    slim = attach(some.select("tag", "id", "low", "high", "n"), by_set, ["low", "high", "n"])
-    members = materialize(
-        slim.select("tag", "id", "n", F.col("least.tag").alias("rep"), F.col("least.id").alias("class_id")), "members"
-    )
-    reps = members.where("tag = rep").select("tag")
-    classes = materialize(
-        stored.select("tag", "n", "bands", "packed").join(reps, "tag", "left_semi"), "representatives"
-    )
-    stars, links = _linked(classes, width, percent)
-    degree = links.select(F.explode(F.array("a", "b")).alias("rep")).groupBy("rep").agg(F.count(F.lit(1)).alias("n_confirmed_links"))
-    of_rep = materialize(
-        reps.select(F.col("tag").alias("rep"))
-        .join(stars.select(F.col("node").alias("rep"), "to"), "rep", "left")
-        .join(degree, "rep", "left")
-        .select("rep", F.coalesce("to", "rep").alias("comp"), F.coalesce("n_confirmed_links", F.lit(0).cast("long")).alias("n_confirmed_links")),
-        "components",
-    )
-    placed = materialize(attach(members, of_rep, ["rep"]), "members")
-    least = materialize(placed.groupBy("comp").agg(order.alias("least")), "components")
-    full = attach(placed, least, ["comp"]).select(
-        "tag",
-        "id",
-        F.col("n").alias("n_shingles"),
-        "class_id",
-        "n_confirmed_links",
-        F.col("least.id").alias("component_id"),
-        (F.col("tag") == F.col("least.tag")).alias("kept"),
-    )
-    alone = stored.where("n = 0").select(
-        "tag", "id", F.col("n").alias("n_shingles"), F.col("id").alias("class_id"), F.lit(0).cast("long").alias("n_confirmed_links"),
-        F.col("id").alias("component_id"), F.lit(True).alias("kept"),
-    )
-    return full.unionAll(alone)
+    members, reps = classes(stored)
+    sets = stored.select("tag", "n", "bands", "packed").join(reps, "tag", "left_semi")
+    stars, links = _linked(materialize(sets, "representatives"), width, percent)
+    return outcome(stored, members, stars, links)
 
 
 def drop_near_copies(

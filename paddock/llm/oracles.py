@@ -203,6 +203,35 @@ SELECT s.doc_id, len(s.shingles) AS n_shingles, coalesce(component_id, s.doc_id)
 FROM s LEFT JOIN c USING (shingles) LEFT JOIN least_of USING (class_id)
 """
 
+# The same with five-word shingles.
+OP11 = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words FROM documents
+), s AS (
+  SELECT doc_id, CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
+           ELSE list_sort(list_distinct(list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' '))))
+           END AS shingles FROM w
+), c AS MATERIALIZED (
+  SELECT shingles, len(shingles) AS n, min(doc_id) AS class_id, count(*) AS members
+  FROM s WHERE len(shingles) > 0 GROUP BY shingles
+), e AS (SELECT class_id, n, unnest(shingles) AS shingle FROM c
+), pairs AS MATERIALIZED (
+  SELECT a.class_id AS a, b.class_id AS b
+  FROM e a JOIN e b ON a.shingle = b.shingle AND a.class_id < b.class_id
+  WHERE 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+  GROUP BY a.class_id, b.class_id, a.n, b.n
+  HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))
+), links AS MATERIALIZED (SELECT a, b FROM pairs UNION SELECT b, a FROM pairs
+), reach AS (
+  SELECT class_id AS node, class_id AS start FROM c
+  UNION
+  SELECT links.b, reach.start FROM reach JOIN links ON links.a = reach.node
+), least_of AS (SELECT node AS class_id, min(start) AS component_id FROM reach GROUP BY node)
+SELECT s.doc_id, len(s.shingles) AS n_shingles, coalesce(component_id, s.doc_id) AS component_id
+FROM s LEFT JOIN c USING (shingles) LEFT JOIN least_of USING (class_id)
+"""
+
 # Every anchor against every row.
 OP12 = """
 WITH v AS MATERIALIZED (
@@ -258,6 +287,7 @@ ORACLES = {
     "op6_url_filter": OP6,
     "op8_source_mix": OP8,
     "op9_minhash_dedup": OP9,
+    "op11_ngram_join": OP11,
     "op12_hard_negatives": OP12,
     "op13_lexical_search": OP13,
 }

@@ -14,6 +14,7 @@ from . import (
     hard_negatives,
     lexical_search,
     minhash_dedup,
+    ngram_join,
     packing,
     quality_classifier,
     quality_rules,
@@ -154,6 +155,14 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@_query
+def op11_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    """Components of documents whose five-word shingles are similar by 0.8 or more."""
+    return ngram_join.join(_table(spark, folder, "documents")).select(
+        F.col("id").alias("doc_id"), "n_shingles", "component_id"
+    )
+
+
 @_query
 def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
     """Ten negatives for each of five positives of every hundredth vector."""
