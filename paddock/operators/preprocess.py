@@ -2,47 +2,36 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from paddock.operators.drift import value_counts
-from paddock.operators.ordered import CHUNK_ROWS, Past, lay_out, prior
+from paddock.operators.selection import BUCKETS, order_statistics
 
 
 def quantiles(
     df: DataFrame,
     columns: Sequence[str],
     wanted: Mapping[str, float],
-    chunk_rows: int = CHUNK_ROWS,
+    buckets: int = BUCKETS,
 ) -> DataFrame:
     """(feature, one column per wanted share): exact quantiles of the present values.
 
-    Counts per distinct value are accumulated in value order; a quantile lies between
-    the values that hold its two neighbouring ranks.  No task holds all values.
+    A quantile lies between the values of its two neighbouring ranks, which are found by
+    refinement of buckets.  A column without any value has no row.
     """
-    counts = value_counts(df, columns, F.lit(True))
-    laid = lay_out(counts, ["feature"], ["value"], chunk_rows)
-    ranks = prior(laid, {"below": Past("sum", "ref")})
-    # one row per feature column
-    sizes = F.broadcast(counts.groupBy("feature").agg(F.sum("ref").alias("n")))
-    below = F.coalesce("below", F.lit(0))
-    through = below + F.col("ref")
-
-    def at(rank: Column) -> Column:
-        return F.max(F.when((below <= rank) & (through > rank), F.col("value")))
-
-    def quantile(share: float) -> Column:
-        place = (F.col("n") - 1) * F.lit(share)
-        low, high = at(F.floor(place)), at(F.ceil(place))
-        return low + (high - low) * F.max(place - F.floor(place))
-
-    return (
-        ranks.join(sizes, "feature")
-        .groupBy("feature")
-        .agg(*[quantile(share).alias(name) for name, share in wanted.items()])
-    )
+    rows = []
+    for name, (n, values) in order_statistics(df, columns, list(wanted.values()), buckets).items():
+        row: list = [name]
+        for share in wanted.values():
+            place = (n - 1) * share
+            low, high = values[math.floor(place)], values[math.ceil(place)]
+            row.append(low if low == high else low + (high - low) * (place - math.floor(place)))
+        rows.append(tuple(row))
+    schema = ", ".join(["feature string", *[f"`{name}` double" for name in wanted]])
+    return df.sparkSession.createDataFrame(rows, schema)
 
 
 def medians(df: DataFrame, columns: Sequence[str], **options) -> DataFrame:

@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from paddock.operators import drift, metrics, preprocess, quality, splits, summaries
+from paddock.operators import drift, metrics, preprocess, quality, selection, splits, summaries
 
 
 @pytest.fixture(scope="module")
@@ -119,15 +119,15 @@ def test_jensen_shannon(spark):
     assert drift.drift_summary(flagged).first()["dataset_drift"] is True
 
 
-@pytest.mark.parametrize("chunk_rows", [10**6, 130])
-def test_quantiles_are_exact(spark, chunk_rows):
+@pytest.mark.parametrize("buckets", [1024, 3])
+def test_quantiles_are_exact(spark, buckets):
     rng = random.Random(4)
     values = [rng.randrange(2000) / 4 for _ in range(1200)]
     df = spark.createDataFrame([(v, None) for v in values], "x double, gone double")
     shares = {"q1": 0.25, "median": 0.5, "q3": 0.75}
     found = {
         r["feature"]: r
-        for r in preprocess.quantiles(df, ["x", "gone"], shares, chunk_rows).collect()
+        for r in preprocess.quantiles(df, ["x", "gone"], shares, buckets).collect()
     }
     assert set(found) == {"x"}
     ordered = sorted(values)
@@ -140,6 +140,39 @@ def test_quantiles_are_exact(spark, chunk_rows):
     assert preprocess.median_values(small, ["x"]) == {"x": 3.0}
 
 
+@pytest.mark.parametrize("buckets", [1024, 2])
+def test_selection_over_hard_values(spark, buckets):
+    """Wide ranges, neighbours among the doubles, infinities, NaN and long runs of one value."""
+    inf = math.inf
+    columns = {
+        "wide": [-1.7e308, 1.7e308, 1e-300, 5.0, 5.0, -3.0, 0.0],
+        "tiny": [k * 5e-324 for k in (1, 2, 3, 4, 5, 6, 7)],
+        "ends": [-inf, -inf, 2.0, 3.0, 4.0, inf, math.nan],
+        "same": [7.0] * 7,
+        "close": [1.0, 1.0 + 2**-52, 1.0 + 2**-51, 1e9, 1e9, 1e9, None],
+        "all_nan": [math.nan] * 7,
+    }
+    schema = ", ".join(f"{c} double" for c in columns)
+    df = spark.createDataFrame(list(zip(*columns.values())), schema).repartition(3)
+    shares = (0.0, 0.25, 0.4, 0.5, 0.75, 1.0)
+    found = selection.order_statistics(df, list(columns), shares, buckets)
+    for c, values in columns.items():
+        ordered = sorted((v for v in values if v is not None), key=lambda v: (math.isnan(v), v))
+        n, known = found[c]
+        assert n == len(ordered)
+        assert set(known) == {f(s * (n - 1)) for s in shares for f in (math.floor, math.ceil)}
+        assert all(str(ordered[r]) == str(v) for r, v in known.items())
+    assert selection.order_statistics(df.limit(0), list(columns), shares) == {}
+
+
+def test_selection_moves_buckets_not_values(spark):
+    df = spark.range(20_000).select((F.rand(3) * 1000).alias("x"))
+    wanted = {"x": {selection.Interval(0.0, 1000.0, 0): [9_999, 10_000]}}
+    buckets = selection._counted(df, wanted, 64)
+    assert len(buckets) in (1, 2)
+    assert all(b["through"] - b["below"] < 20_000 / 64 * 2 for b in buckets)
+
+
 def test_standardize_and_weights(spark):
     df = spark.createDataFrame([(1.0, 5, True), (3.0, 5, False), (5.0, 5, False)], "x double, c int, y boolean")
     out = preprocess.standardize(df, preprocess.scales(df, ["x", "c"])).orderBy("x").collect()
