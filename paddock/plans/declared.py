@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paddock.operators.quality import duplicates, null_counts, orphans
-
 # For each model its unique key, its columns that are never missing, and
 # (column, model, column) of each key that must exist elsewhere.
 DECLARED: dict[str, tuple[str, tuple[str, ...], tuple[tuple[str, str, str], ...]]] = {
@@ -61,29 +59,48 @@ DECLARED: dict[str, tuple[str, tuple[str, ...], tuple[tuple[str, str, str], ...]
 }
 
 
-def run(models: Mapping[str, DataFrame]) -> DataFrame:
-    """(model, column, test, failures) of every declared test.
+def checked(
+    df: DataFrame,
+    key: str,
+    present: Sequence[str],
+    relations: Sequence[tuple[str, DataFrame, str]] = (),
+) -> DataFrame:
+    """(column, test, failures) of one model, which is read once.
 
-    ``unique`` counts repeated values, ``not_null`` missing ones and ``relationships``
-    rows whose key is absent elsewhere.  The missing values of a model take one pass.
+    ``relations`` are (column, parent, key of the parent).  The rows meet the distinct keys
+    of all parents, are counted by key, and the counts are added up.  ``unique`` counts
+    repeated keys, ``not_null`` missing values, the others rows whose key the parent
+    (by number) lacks.  A model without rows has no failures.
     """
+    rows = df.select(*dict.fromkeys([key, *present, *[column for column, _, _ in relations]]))
+    for k, (column, parent, parent_key) in enumerate(relations):
+        known = parent.select(F.col(parent_key).alias(column)).dropna().distinct()
+        rows = rows.join(known.withColumn(f"_known_{k}", F.lit(True)), column, "left")
+    counts = {("not_null", c): F.count_if(F.col(c).isNull()) for c in present}
+    for k, (column, _, _) in enumerate(relations):
+        lost = F.col(column).isNotNull() & F.col(f"_known_{k}").isNull()
+        counts[k, column] = F.count_if(lost)
+    names = [f"_n{i}" for i in range(len(counts))]
+    by_key = rows.groupBy(F.col(key).alias("_key")).agg(
+        F.count(F.lit(1)).alias("_rows"), *[c.alias(n) for c, n in zip(counts.values(), names)]
+    )
+    repeated = F.count_if(F.col("_key").isNotNull() & (F.col("_rows") > 1))
+    total = by_key.agg(repeated.alias("_repeated"), *[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in names])
+    tests = [(key, "unique", "_repeated")]
+    tests += [(column, str(test), name) for (test, column), name in zip(counts, names)]
+    cells = ", ".join(f"'{column}', '{test}', `{name}`" for column, test, name in tests)
+    return total.selectExpr(f"stack({len(tests)}, {cells}) AS (column, test, failures)")
 
-    def part(model: str, test: str, df: DataFrame, column, failures) -> DataFrame:
-        return df.select(
-            F.lit(model).alias("model"),
-            column.alias("column"),
-            F.lit(test).alias("test"),
-            failures.alias("failures"),
-        )
 
+def run(models: Mapping[str, DataFrame]) -> DataFrame:
+    """(model, column, test, failures) of every declared test, one pass over each model."""
     parts = []
     for model, (key, present, relations) in DECLARED.items():
-        df = models[model]
-        repeated = duplicates(df, [key]).agg(F.count(F.lit(1)).alias("n"))
-        parts.append(part(model, "unique", repeated, F.lit(key), F.col("n")))
-        nulls = null_counts(df, present)
-        parts.append(part(model, "not_null", nulls, F.col("column_name"), F.col("nulls")))
-        for column, parent, parent_key in relations:
-            lost = orphans(df, column, models[parent], parent_key).agg(F.count(F.lit(1)).alias("n"))
-            parts.append(part(model, f"in {parent}", lost, F.lit(column), F.col("n")))
+        parents = [(column, models[parent], parent_key) for column, parent, parent_key in relations]
+        named = {str(k): f"in {parent}" for k, (_, parent, _) in enumerate(relations)}
+        test = F.col("test")
+        if named:
+            test = F.coalesce(F.create_map(*[F.lit(x) for pair in named.items() for x in pair])[test], test)
+        found = checked(models[model], key, present, parents)
+        parts.append(found.select(F.lit(model).alias("model"), "column", test.alias("test"), "failures"))
     return reduce(DataFrame.unionAll, parts)

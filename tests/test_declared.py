@@ -33,3 +33,18 @@ def test_failures_are_counted(spark):
         ("is_dnf", "not_null"): 3, ("race_id", "in dim_race"): 0, ("driver_id", "in dim_driver"): 2,
         ("constructor_id", "in dim_constructor"): 0,
     }
+
+
+def test_a_model_is_read_once(spark, tmp_path):
+    rows = [(1, 7, "a"), (1, 8, None), (2, 9, "b"), (None, None, "c"), (None, 7, None), (3, 8, "d"), (3, 8, "d")]
+    spark.createDataFrame(rows, "id int, up int, name string").write.parquet(f"{tmp_path}/model")
+    spark.createDataFrame([(7,), (7,), (8,), (None,)], "key int").write.parquet(f"{tmp_path}/parent")
+    model, parent = spark.read.parquet(f"{tmp_path}/model"), spark.read.parquet(f"{tmp_path}/parent")
+    found = declared.checked(model, "id", ["id", "name"], [("up", parent, "key")])
+    assert {(r["column"], r["test"]): r["failures"] for r in found.collect()} == {
+        ("id", "unique"): 2, ("id", "not_null"): 2, ("name", "not_null"): 2, ("up", "0"): 1,
+    }
+    plan = found._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count(f"{tmp_path}/model") == 1 and plan.count(f"{tmp_path}/parent") == 1
+    empty = declared.checked(model.limit(0), "id", ["id"], [("up", parent, "key")])
+    assert {r["failures"] for r in empty.collect()} == {0}
