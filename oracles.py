@@ -7,6 +7,7 @@ those a final SELECT mentions, directly or through others, in front of it.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable
 
 from paddock.plans.declared import DECLARED
 from paddock.plans.training import DEPTH, TREES
@@ -379,6 +380,28 @@ SELECT feature, 'js', sqrt(greatest(d, 0)), sqrt(greatest(d, 0)) > 0.1 FROM (
   FROM flag_shares GROUP BY feature)""",
 }
 
+
+
+def _variant(suffix: str, base: str, block: str, of: Iterable[str] | None = None) -> None:
+    """A second set of the blocks that depend on ``base``, made from another block instead."""
+    names = {base}
+    while True:
+        pattern = re.compile(r"\b(" + "|".join(names) + r")\b")
+        more = {n for n, text in CTES.items() if pattern.search(text) and (of is None or n in of)} - names
+        if not more:
+            break
+        names |= more
+    CTES[f"{base}_{suffix}"] = block
+    # in their order, as a block may only use earlier ones
+    for name in [n for n in CTES if n in names - {base}]:
+        CTES[f"{name}_{suffix}"] = pattern.sub(rf"\1_{suffix}", CTES[name])
+
+
+# the reports of the other model, by the names of the first one
+_variant("dnf", "scored", """
+SELECT target_dnf AS target_top_10, dnf_prediction AS top10_prediction, dnf_probability AS top10_probability FROM scored""")
+# features from the rows of the first years alone
+_variant("early", "enriched", "SELECT * FROM enriched WHERE year <= 1997", list(CTES))
 _NAMES = re.compile(r"\b(" + "|".join(CTES) + r")\b")
 
 
@@ -549,26 +572,69 @@ CTES["all_numbers"] = (
     f"SELECT feature, value FROM (UNPIVOT all_plain ON {', '.join(NUMERIC_FEATURES)} "
     "INTO NAME feature VALUE value)"
 )
+
+
+def _variant(suffix: str, base: str, block: str, of: Iterable[str] | None = None) -> None:
+    """A second set of the blocks that depend on ``base``, made from another block instead."""
+    names = {base}
+    while True:
+        pattern = re.compile(r"\b(" + "|".join(names) + r")\b")
+        more = {n for n, text in CTES.items() if pattern.search(text) and (of is None or n in of)} - names
+        if not more:
+            break
+        names |= more
+    CTES[f"{base}_{suffix}"] = block
+    # in their order, as a block may only use earlier ones
+    for name in [n for n in CTES if n in names - {base}]:
+        CTES[f"{name}_{suffix}"] = pattern.sub(rf"\1_{suffix}", CTES[name])
+
+
+# the reports of the other model, by the names of the first one
+_variant("dnf", "scored", """
+SELECT target_dnf AS target_top_10, dnf_prediction AS top10_prediction, dnf_probability AS top10_probability FROM scored""")
+# features from the rows of the first years alone
+_variant("early", "enriched", "SELECT * FROM enriched WHERE year <= 1997", list(CTES))
 _NAMES = re.compile(r"\b(" + "|".join(CTES) + r")\b")
 
 
-SYNTH_TABLES = """
-WITH s AS (SELECT count(DISTINCT year(o_orderdate)) AS seasons FROM orders
-), d AS (SELECT count(*) AS n FROM supplier
-), r AS (SELECT i AS race, (i - 1) // 5 AS season, (i - 1) % 5 + 1 AS round
-  FROM (SELECT unnest(range(1, seasons * 5 + 1)) AS i FROM s)
-), p AS (SELECT unnest(range(1, n + 1)) AS place FROM d
-), e AS (SELECT race, place, place > 8 AND (place + race) % 3 = 0 AS retired FROM r, p)
-SELECT 'races' AS "table", count(*) AS n_rows, sum(race) AS one, sum(round % 3 + 1) AS two FROM r
-UNION ALL SELECT 'drivers', count(*), sum(place), sum(place) FROM p
-UNION ALL SELECT 'constructors', 5, 15, 15 UNION ALL SELECT 'circuits', 3, 6, 300
-UNION ALL SELECT 'status', 5, 15, 15
-UNION ALL SELECT 'seasons', seasons, seasons * 2014 + seasons * (seasons - 1) // 2,
-  seasons * 2014 + seasons * (seasons - 1) // 2 FROM s
-UNION ALL SELECT 'qualifying', count(*), sum(place), sum((place - 1) // 2 + 1) FROM e
-UNION ALL SELECT 'results', count(*),
-  sum(CASE WHEN NOT retired AND place <= 10 THEN greatest(26 - 2 * place, 0) ELSE 0 END),
-  sum(CASE WHEN retired THEN 5 * place ELSE 50 END) FROM e"""
+def _row(table: str, values: str, source: str) -> str:
+    """Rows as text: the values of the columns in the order of their names."""
+    cells = ", ".join(f"coalesce(({v})::VARCHAR, '-')" for v in values.split("; "))
+    return f"SELECT '{table}' AS \"table\", concat_ws('|', {cells}) AS row FROM {source}"
+
+
+_TIMED = "printf('1:%d.%03d', place + {0}, place)"
+SYNTH_TABLES = (
+    """
+WITH n AS (SELECT greatest(1, count(*) // 10) AS step FROM supplier
+), e AS (SELECT o_orderkey AS race, s_suppkey AS driver, s_nationkey AS team, s_suppkey // step + 1 AS place,
+    o_orderkey * 100 + s_suppkey // step + 1 AS id FROM orders JOIN (SELECT * FROM supplier, n) ON o_orderkey % step = s_suppkey % step
+), r AS (SELECT *, place > 8 AND (place + race) % 3 = 0 AS out FROM e)
+"""
+    + " UNION ALL ".join(
+        [
+            _row("races", "o_custkey; strftime(o_orderdate, '%Y-%m-%d'); 'Race ' || o_orderkey; o_orderkey; "
+                 "dayofyear(o_orderdate); o_orderpriority; year(o_orderdate)", "orders"),
+            _row("drivers", "CASE WHEN s_acctbal > 0 THEN right(s_name, 3) END; NULL; s_suppkey; s_name; "
+                 "split_part(s_name, '#', 1); 'NATION_' || s_nationkey; (s_suppkey % 100)::DOUBLE; "
+                 "CASE WHEN s_acctbal > 0 THEN split_part(s_name, '#', 2) END", "supplier"),
+            _row("constructors", "n_nationkey; lower(n_name); n_name; 'REGION_' || n_regionkey", "nation"),
+            _row("circuits", "NULL; c_custkey; lower(c_name); 'NATION_' || c_nationkey; c_acctbal; c_nationkey::DOUBLE; "
+                 "c_mktsegment; c_name", "customer"),
+            _row("seasons", "'season/' || y; y", "(SELECT DISTINCT year(o_orderdate) AS y FROM orders)"),
+            _row("status", "t; i", "(VALUES (1, 'Finished'), (2, '+1 Lap'), (3, 'Accident'), (4, 'Collision'), (5, 'Engine')) AS s(i, t)"),
+            _row("qualifying", f"team; driver; place; place; {_TIMED.format(20)}; CASE WHEN place <= 15 THEN {_TIMED.format(19)} END; "
+                 f"CASE WHEN place <= 10 THEN {_TIMED.format(18)} END; id; race", "r"),
+            _row("results", f"team; driver; CASE WHEN NOT out THEN place END; CASE WHEN NOT out THEN 200 - place END; "
+                 f"CASE WHEN NOT out THEN {_TIMED.format(25)} END; place; CASE WHEN out THEN 5 * place ELSE 50 END; "
+                 "CASE WHEN NOT out THEN (place + 90) * 60000 END; place; "
+                 "CASE WHEN NOT out AND place <= 10 THEN greatest(26 - 2 * place, 0) ELSE 0 END; "
+                 "CASE WHEN NOT out THEN place END; place; CASE WHEN out THEN 'R' ELSE place::VARCHAR END; race; "
+                 "CASE WHEN NOT out THEN place END; id; CASE WHEN out THEN 3 ELSE 1 END; "
+                 "CASE WHEN NOT out THEN printf('1:%d:%02d.%03d', place + 30, place, place) END", "r"),
+        ]
+    )
+)
 
 RAW_RESULTS = """
 SELECT result_id AS resultId, race_id AS raceId, driver_id AS driverId,
@@ -580,6 +646,67 @@ SELECT result_id AS resultId, race_id AS raceId, driver_id AS driverId,
   status_id AS statusId FROM results"""
 
 
+def _evaluation(model: str, suffix: str = "") -> str:
+    report, cells, scored, curve, totals = (f"{n}{suffix}" for n in ("report", "cells", "scored", "curve", "totals"))
+    return f"""
+SELECT '{model}' AS model, section, name, round(value, 9) AS value FROM (
+SELECT 'report' AS section, label || ' precision' AS name, "precision" AS value FROM {report}
+UNION ALL SELECT 'report', label || ' recall', recall FROM {report}
+UNION ALL SELECT 'report', label || ' f1', f1 FROM {report}
+UNION ALL SELECT 'report', label || ' support', support FROM {report}
+UNION ALL SELECT 'confusion', 'actual false predicted false', tn FROM {cells}
+UNION ALL SELECT 'confusion', 'actual false predicted true', fp FROM {cells}
+UNION ALL SELECT 'confusion', 'actual true predicted false', fn FROM {cells}
+UNION ALL SELECT 'confusion', 'actual true predicted true', tp FROM {cells}
+UNION ALL SELECT 'confusion', 'actual false predicted missing', missed0 FROM {cells}
+UNION ALL SELECT 'confusion', 'actual true predicted missing', missed1 FROM {cells}
+UNION ALL SELECT 'curve', 'precision', count(*) FILTER (target_top_10) / count(*) FROM {scored}
+  WHERE top10_probability >= 0.3
+UNION ALL SELECT 'curve', 'recall', count(*) FILTER (top10_probability >= 0.3) / count(*) FROM {scored}
+  WHERE target_top_10
+UNION ALL SELECT 'curve', 'middle precision', "precision" FROM {curve}, {totals} WHERE place = (points + 1) // 2
+UNION ALL SELECT 'curve', 'middle recall', recall FROM {curve}, {totals} WHERE place = (points + 1) // 2)"""
+
+
+def _leakage() -> str:
+    """Values of the early rows that change once the later years are known."""
+    features = [c for c in _ALL_FEATURES if c not in ("grid_position", "qualifying_position")]
+    return " UNION ALL ".join(
+        f"SELECT '{variant}' AS variant, count(*) AS n_rows, '{c}' AS feature, "
+        f"count(*) FILTER (a.{c} IS DISTINCT FROM b.{c}) AS changed FROM {block}_early a JOIN {block} b USING (result_id)"
+        for variant, block in (("published", "features"), ("strict", "strict_features"))
+        for c in features
+    )
+
+
+def _catalog_statistics() -> str:
+    """Table, column, whether its ends are whole numbers."""
+    columns = {
+        "region": "r_regionkey r_name", "nation": "n_nationkey n_name n_regionkey",
+        "customer": "c_custkey c_name c_nationkey c_acctbal c_mktsegment",
+        "supplier": "s_suppkey s_name s_nationkey s_acctbal",
+        "part": "p_partkey p_name p_brand p_type p_size p_retailprice",
+        "orders": "o_orderkey o_custkey o_orderstatus o_totalprice o_orderdate o_orderpriority",
+        "lineitem": "l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice l_discount l_tax "
+                    "l_returnflag l_linestatus l_shipdate",
+        "events": "event_id ts user_id event_type value props", "documents": "doc_id text lang source n_chars",
+        "embeddings": "vec_id label", "pages": "page_id url html", "benchmark": "item_id text",
+        "labels": "doc_id quality toxic", "conversations": "conv_id turn role text",
+    }
+    whole = (
+        "r_regionkey n_nationkey n_regionkey c_custkey c_nationkey s_suppkey s_nationkey p_partkey p_size o_orderkey "
+        "o_custkey l_orderkey l_partkey l_suppkey l_linenumber event_id user_id doc_id n_chars vec_id label page_id "
+        "item_id quality toxic conv_id turn"
+    ).split()
+    return " UNION ALL ".join(
+        f"SELECT 'raw_{table}' AS table_name, '{c}' AS column_name, count(*) AS n_rows, count(*) - count({c}) AS n_nulls, "
+        + (f"min({c})::BIGINT AS min_value, max({c})::BIGINT AS max_value" if c in whole else "NULL::BIGINT, NULL::BIGINT")
+        + f" FROM {table}"
+        for table, names in columns.items()
+        for c in names.split()
+    )
+
+
 def all_sql() -> dict[str, str]:
     finals = {f"stg_{t}": f"SELECT * FROM {block}" for t, block in _STAGED.items()}
     finals |= {
@@ -701,24 +828,7 @@ UNION ALL SELECT 'confusion', 'actual false predicted missing', missed0 FROM cel
 UNION ALL SELECT 'confusion', 'actual true predicted missing', missed1 FROM cells
 UNION ALL SELECT 'probability', 'bin ' || least(floor(top10_probability * 10)::INT, 9), count(*)
   FROM scored GROUP BY 2)""",
-        "evaluation_report": """
-SELECT 'top10' AS model, section, name, round(value, 9) AS value FROM (
-SELECT 'report' AS section, label || ' precision' AS name, "precision" AS value FROM report
-UNION ALL SELECT 'report', label || ' recall', recall FROM report
-UNION ALL SELECT 'report', label || ' f1', f1 FROM report
-UNION ALL SELECT 'report', label || ' support', support FROM report
-UNION ALL SELECT 'confusion', 'actual false predicted false', tn FROM cells
-UNION ALL SELECT 'confusion', 'actual false predicted true', fp FROM cells
-UNION ALL SELECT 'confusion', 'actual true predicted false', fn FROM cells
-UNION ALL SELECT 'confusion', 'actual true predicted true', tp FROM cells
-UNION ALL SELECT 'confusion', 'actual false predicted missing', missed0 FROM cells
-UNION ALL SELECT 'confusion', 'actual true predicted missing', missed1 FROM cells
-UNION ALL SELECT 'curve', 'precision', count(*) FILTER (target_top_10) / count(*) FROM scored
-  WHERE top10_probability >= 0.3
-UNION ALL SELECT 'curve', 'recall', count(*) FILTER (top10_probability >= 0.3) / count(*) FROM scored
-  WHERE target_top_10
-UNION ALL SELECT 'curve', 'middle precision', "precision" FROM curve, totals WHERE place = (points + 1) // 2
-UNION ALL SELECT 'curve', 'middle recall', recall FROM curve, totals WHERE place = (points + 1) // 2)""",
+        "evaluation_report": _evaluation("top10") + " UNION ALL " + _evaluation("dnf", "_dnf"),
         "drift_with_targets": """
 SELECT feature, score_name, round(score, 9) AS score, drifted FROM drift
 UNION ALL
@@ -764,9 +874,12 @@ FROM (SELECT DISTINCT l_orderkey FROM lineitem) LEFT JOIN orders ON o_orderkey =
 UNION ALL SELECT 'orders in lineitem', count(*), count(l_orderkey), count(*) - count(l_orderkey)
 FROM orders LEFT JOIN (SELECT DISTINCT l_orderkey FROM lineitem) ON o_orderkey = l_orderkey""",
         "dq_feature_contract": """
-SELECT 'key_missing' AS "check", count(*) FILTER (result_id IS NULL) AS failures FROM features
-UNION ALL SELECT 'key_repeated', count(*) - count(DISTINCT result_id) FROM features
-UNION ALL SELECT 'forbidden_name', 0 UNION ALL SELECT 'not_numeric', 0""",
+SELECT 'features' AS "table", 'key_missing' AS "check", count(*) FILTER (result_id IS NULL) AS failures FROM features
+UNION ALL SELECT 'features', 'key_repeated', count(*) - count(DISTINCT result_id) FROM features
+UNION ALL SELECT 'features', 'forbidden_name', 0 UNION ALL SELECT 'features', 'not_numeric', 0
+UNION ALL SELECT 'broken', 'key_missing', count(*) FROM features WHERE year = 1999
+UNION ALL SELECT 'broken', 'key_repeated', count(*) FROM features WHERE year = 1998
+UNION ALL SELECT 'broken', 'forbidden_name', 1 UNION ALL SELECT 'broken', 'not_numeric', 1""",
         "first_per_group": """
 SELECT year, round, arg_min(race_id, result_id) AS race_id,
   arg_min(circuit_id, result_id) AS circuit_id FROM features GROUP BY year, round""",
@@ -797,8 +910,9 @@ WHERE rank <= 3""",
         "topk_global": """
 SELECT race_id, driver_id, dnf_probability FROM scored
 ORDER BY dnf_probability DESC, race_id, driver_id LIMIT 10""",
-        "sort_grid":
-            "SELECT result_id, grid_position FROM features ORDER BY grid_position NULLS LAST",
+        "sort_grid": """
+SELECT result_id, grid_position, row_number() OVER (ORDER BY grid_position NULLS LAST, result_id) AS position
+FROM features""",
         "distinct_years": "SELECT DISTINCT year FROM features ORDER BY year DESC",
         "yearly_trend": """
 SELECT year, avg(target_top_10::INT) AS top10_rate, avg(target_dnf::INT) AS dnf_rate,
@@ -812,17 +926,33 @@ SELECT 'driver' AS dimension, driver_id AS id, full_name AS name, nationality AS
 UNION ALL SELECT 'circuit', circuit_id, circuit_name, location || '|' || country FROM circuits
 UNION ALL SELECT 'race', race_id, race_name, year || '|' || round || '|' || circuit_id FROM races""",
         "feature_histogram": """
-SELECT bin, lo + bin * ((hi - lo) / 30) AS bin_start, count(*) AS n_rows FROM (
-SELECT least(floor((driver_avg_points_recent - lo) / ((hi - lo) / 30))::INT, 29) AS bin, lo, hi
-FROM features, (SELECT min(driver_avg_points_recent) AS lo, max(driver_avg_points_recent) AS hi
-  FROM features)) GROUP BY bin, lo, hi""",
+SELECT feature, bin, lo + bin * width AS bin_start, count(*) AS n_rows FROM (
+SELECT feature, lo, width, least(floor((value - lo) / width)::INT, 29) AS bin FROM all_numbers
+JOIN (SELECT feature, min(value) AS lo, CASE WHEN max(value) > min(value) THEN (max(value) - min(value)) / 30 ELSE 1 END AS width
+  FROM all_numbers GROUP BY feature) USING (feature)) GROUP BY feature, bin, lo, width""",
         "feature_box": _boxes(),
         "impute_median": _imputed(),
         "standardize": _standardized(),
-        "class_weights": """
-SELECT target_top_10 AS label, count(*) AS n_rows,
-  (SELECT count(*) FROM splits WHERE split = 'train') / (2 * count(*)) AS weight
-FROM splits WHERE split = 'train' GROUP BY 1""",
+        "class_weights": " UNION ALL ".join(
+            f"SELECT '{t}' AS target, {t} AS label, count(*) AS n_rows, (SELECT count(*) FROM splits "
+            f"WHERE split = 'train') / (2 * count(*)) AS weight FROM splits WHERE split = 'train' GROUP BY 2"
+            for t in ("target_top_10", "target_dnf")
+        ),
+        "dq_leakage": _leakage(),
+        "lake_statistics": _catalog_statistics(),
+        "io_quarantine": """
+SELECT driver_id % 7 AS kind, CASE driver_id % 7 WHEN 3 THEN '19 fields' WHEN 5 THEN '17 fields' ELSE 'kept' END AS what,
+  count(*) AS n_rows, (SELECT count(*) FROM results) AS n_read FROM results GROUP BY 1, 2""",
+        "score_filtered_rules": """
+SELECT result_id, year, true AS top10_holds, true AS dnf_holds FROM features WHERE year = 1999""",
+        "score_from_csv_rules": " UNION ALL ".join(
+            f"SELECT count(*) AS n_rows, '{c}' AS feature, 0 AS changed FROM splits WHERE split = 'test'"
+            for c in ("top10_probability", "top10_prediction", "dnf_probability", "dnf_prediction")
+        ),
+        "sink_per_race_again": """
+SELECT * REPLACE (CASE WHEN year = 2000 THEN 0.0 ELSE top10_probability END AS top10_probability)
+FROM scored WHERE year IN (2000, 2001)""",
+        "sink_all_predictions": "SELECT * FROM scored WHERE year IN (2000, 2001)",
         "io_csv_scan": RAW_RESULTS,
         "io_typed_cast": RAW_RESULTS,
         "io_parquet_roundtrip": RAW_RESULTS,
@@ -844,11 +974,12 @@ SELECT coalesce(d.full_name, p.driver_id::VARCHAR) AS "Driver", p.grid_position
   p.dnf_probability AS "DNF Prob", p.final_prediction AS "Prediction"
 FROM ({_PANEL}) p LEFT JOIN drivers d ON d.driver_id = p.driver_id WHERE p.year IN (2000, 2001)""",
         "run_metrics": f"""
+SELECT r.run, m.* EXCLUDE (run) FROM (VALUES ('form baseline'), ('2')) AS r(run), (
 SELECT 'form baseline' AS run, 'parameter' AS kind, 'target' AS name, 'target_top_10' AS text, NULL::DOUBLE AS value
 UNION ALL SELECT 'form baseline', 'parameter', 'trees', '{TREES}', NULL
 UNION ALL SELECT 'form baseline', 'parameter', 'depth', '{DEPTH}', NULL
 UNION ALL SELECT 'form baseline', 'metric', 'top10_accuracy', NULL, top10_accuracy FROM (SELECT {_ACCURACY} FROM scored)
-UNION ALL SELECT 'form baseline', 'metric', 'dnf_accuracy', NULL, dnf_accuracy FROM (SELECT {_ACCURACY} FROM scored)""",
+UNION ALL SELECT 'form baseline', 'metric', 'dnf_accuracy', NULL, dnf_accuracy FROM (SELECT {_ACCURACY} FROM scored)) m""",
         "lake_register": _counts_of(_VIEWS, "view_name"),
         "lake_inventory": _counts_of(_VIEWS, "table_name"),
         "lake_sql": """
@@ -878,7 +1009,10 @@ SELECT race_id, year, round, driver_id, grid_position, qualifying_position, top1
         "sink_per_race": "SELECT * FROM scored WHERE year IN (2000, 2001)",
         "predictions_json": """
 SELECT race_id, year, round, driver_id, grid_position, qualifying_position, top10_probability,
-  top10_prediction, dnf_probability, dnf_prediction, target_top_10, target_dnf FROM scored""",
+  top10_prediction, dnf_probability, dnf_prediction, target_top_10, target_dnf, NULL::INT AS broken
+FROM scored WHERE driver_id % 2 = 0
+UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL,
+  length('{"race_id":' || race_id || ',"driver_id":' || driver_id) FROM scored WHERE driver_id % 2 = 1""",
         "eval_predictions": """
 SELECT target_dnf AS actual, dnf_prediction AS prediction, dnf_probability AS probability,
   count(*) AS n_rows FROM scored GROUP BY ALL""",
@@ -895,6 +1029,7 @@ SELECT target_dnf AS actual, dnf_prediction AS prediction, dnf_probability AS pr
         f"SELECT '{mart}' AS mart, count(*) AS n_rows FROM {block}"
         for mart, block in blocks.items()
     )
-    finals["feature_scan_ordered"] = finals["fct_features_pre_race"]
+    finals["feature_scan_ordered"] = """
+SELECT *, row_number() OVER (ORDER BY year, round, race_id, driver_id) AS position FROM features"""
     finals["features_qualifying_last"] = finals["fct_features_pre_race"]
     return {name: sql(final) for name, final in finals.items()} | {"synth_tables": SYNTH_TABLES}

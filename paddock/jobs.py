@@ -124,7 +124,8 @@ def train(
 ) -> DataFrame:
     """Train and store one model with its importances; returns train and validation metrics.
 
-    With a run name, parameters and metrics are appended to ``<models_dir>/runs``.
+    With a run name, parameters and metrics are recorded in ``<models_dir>/runs``; the same
+    name replaces them.
     """
     frames = export_features(spark, marts_dir, **split_years)
     target, stored = training.MODELS[name]
@@ -151,7 +152,7 @@ def train(
             if row[m] is not None
         }
         parameters = {"target": target, "trees": trees, "depth": depth, **split_years}
-        sinks.append_run(spark, f"{models_dir}/runs", run, parameters, values)
+        sinks.record_run(spark, f"{models_dir}/runs", run, parameters, values)
     return result
 
 
@@ -206,7 +207,7 @@ def report(
 
 def _write(df: DataFrame, output: str | None, kind: str = "csv") -> None:
     if output and kind == "json":
-        df.write.json(output)
+        df.write.mode("overwrite").json(output)
     elif output:
         sinks.write_csv(df, output)
 
@@ -232,10 +233,16 @@ def predict(
 def predict_csv(
     spark: SparkSession, csv_path: str, models_dir: str, output: str | None = None
 ) -> DataFrame:
-    """Score feature rows from CSV; all columns are kept."""
-    rows = csv_lake.typed(csv_lake.scan_csv(spark, csv_path))
-    out = training.score(rows, training.load_all(spark, models_dir))
+    """Score feature rows from CSV; all columns are kept.
+
+    With an output, records that do not fit their header are set aside in
+    ``<output>_quarantine`` with file and reason.
+    """
+    raw = csv_lake.scan_csv(spark, csv_path)
+    out = training.score(csv_lake.typed(raw), training.load_all(spark, models_dir))
     _write(out, output)
+    if output:
+        sinks.write_csv(csv_lake.quarantined(raw), f"{output.rstrip('/')}_quarantine")
     return out
 
 
@@ -249,7 +256,8 @@ def predict_batch(
 ) -> DataFrame:
     """Score the test split, or the given years, with one output per race.
 
-    Also writes the summary per race and its ten likeliest top finishers.
+    Also writes the summary per race and its ten likeliest top finishers.  In a folder with
+    earlier output, the races scored now replace their own; the tables are those of this run.
     """
     frames = export_features(spark, marts_dir, **split_years)
     rows = frames["test"]

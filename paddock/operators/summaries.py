@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from paddock.functions.scalars import panel_label
 from paddock.operators.metrics import hit
 from paddock.operators.preprocess import quantiles
+from paddock.scratch import materialize
 
 
 def top_per_race(
@@ -171,17 +172,46 @@ def dim_extracts(drivers: DataFrame, circuits: DataFrame, races: DataFrame) -> D
 
 def feature_histogram(df: DataFrame, feature: str, bins: int = 30) -> DataFrame:
     """Rows per equal-width bin between the smallest and largest value."""
-    value = F.col(feature).cast("double")
-    low, high = df.agg(F.min(value), F.max(value)).first()
-    width = (high - low) / bins if low is not None and high > low else 1.0
-    low = low or 0.0
-    number = F.least(F.floor((value - low) / width), F.lit(bins - 1)).cast("int")
-    return (
-        df.where(value.isNotNull())
-        .groupBy(number.alias("bin"))
-        .agg(F.count(F.lit(1)).alias("n_rows"))
-        .select("bin", (F.lit(low) + F.col("bin") * width).alias("bin_start"), "n_rows")
-    )
+    return feature_histograms(df, [feature], bins).drop("feature")
+
+
+def feature_histograms(df: DataFrame, features: Sequence[str], bins: int = 30) -> DataFrame:
+    """(feature, bin, bin_start, n_rows) of every feature, in one pass for the ends and one for the bins.
+
+    Bins are of equal width between the smallest and largest value of a feature; a constant
+    has one bin, a feature without values none.
+    """
+    values = {f: F.col(f).cast("double") for f in features}
+    ends = df.agg(*[how(v).alias(f"{n}_{f}") for f, v in values.items() for n, how in (("low", F.min), ("high", F.max))]).first()
+    entries = []
+    for f, value in values.items():
+        low, high = ends[f"low_{f}"], ends[f"high_{f}"]
+        if low is None:
+            continue
+        width = (high - low) / bins if high > low else 1.0
+        place = F.least(F.floor((value - F.lit(low)) / F.lit(width)), F.lit(bins - 1)).cast("int")
+        number = F.when(value.isNotNull(), place)  # least passes over missing values
+        start = F.lit(low) + number * F.lit(width)
+        entries.append(F.struct(F.lit(f).alias("feature"), number.alias("bin"), start.alias("bin_start")))
+    if not entries:
+        return df.sparkSession.createDataFrame([], "feature string, bin int, bin_start double, n_rows long")
+    each = df.select(F.explode(F.array(*entries)).alias("e")).select("e.*").where(F.col("bin").isNotNull())
+    return each.groupBy("feature", "bin", "bin_start").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def numbered(df: DataFrame, order: Sequence) -> DataFrame:
+    """The rows in an order, with their ``position`` from 1, which no task computes alone.
+
+    Sorted partitions are counted, the counts before each are added up, and a row has that
+    plus its place in its partition.
+    """
+    laid = materialize(df.sort(*order).withColumn("_part", F.spark_partition_id()), "sorted")
+    place = F.row_number().over(Window.partitionBy("_part").orderBy(*order))
+    # one row for each partition of the sorted table
+    before = F.sum("n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+    sizes = laid.groupBy("_part").agg(F.count(F.lit(1)).alias("n")).select("_part", F.coalesce(before, F.lit(0)).alias("_before"))
+    placed = laid.withColumn("_place", place).join(sizes, "_part")
+    return placed.withColumn("position", F.col("_before") + F.col("_place")).drop("_part", "_place", "_before").sort("position")
 
 
 def box_statistics(df: DataFrame, features: Sequence[str]) -> DataFrame:

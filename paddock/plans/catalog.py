@@ -361,7 +361,9 @@ def constructor_form_strict(spark, folder):
 
 @_query
 def feature_scan_ordered(spark, folder):
-    return _features(spark, folder).orderBy("year", "round", "race_id", "driver_id")
+    """The feature table in export order, with the place of each row."""
+    order = ["year", "round", "race_id", "driver_id"]
+    return summaries.numbered(_features(spark, folder), order)
 
 
 # --- splits ------------------------------------------------------------------------
@@ -613,8 +615,16 @@ def key_containment(spark, folder):
 
 @_query
 def dq_feature_contract(spark, folder):
+    """The feature table, and one that breaks every rule in rows or columns."""
     table = _features(spark, folder)
-    return quality.feature_contract(table, ft.feature_columns(table), "result_id")
+    columns = ft.feature_columns(table)
+    good = quality.feature_contract(table, columns, "result_id").withColumn("table", F.lit("features"))
+    # the rows of a season twice, those of another without a key; an outcome and a text as features
+    broken = table.withColumn("points", F.lit(0.0)).withColumn("note", F.lit("text"))
+    twice = broken.unionByName(broken.where(F.col("year") == binding.VAL_YEARS[0]))
+    keyless = F.when(F.col("year") != binding.VAL_YEARS[1], F.col("result_id"))
+    bad = quality.feature_contract(twice.withColumn("result_id", keyless), [*columns, "points", "note"], "result_id")
+    return good.unionByName(bad.withColumn("table", F.lit("broken")))
 
 
 @_query
@@ -692,8 +702,9 @@ def topk_global(spark, folder):
 
 @_query
 def sort_grid(spark, folder):
-    ordered = summaries.grid_order(_features(spark, folder), "result_id")
-    return ordered.select("result_id", "grid_position")
+    """Rows in grid order with their places, those without a grid position last."""
+    ordered = summaries.numbered(_features(spark, folder), [F.asc_nulls_last("grid_position"), "result_id"])
+    return ordered.select("result_id", "grid_position", "position")
 
 
 @_query
@@ -722,7 +733,8 @@ def dim_extracts(spark, folder):
 
 @_query
 def feature_histogram(spark, folder):
-    return summaries.feature_histogram(_features(spark, folder), "driver_avg_points_recent")
+    """Every numeric feature in 30 bins between its ends."""
+    return summaries.feature_histograms(_features(spark, folder), NUMBERS)
 
 
 @_query
@@ -755,7 +767,8 @@ def standardize(spark, folder):
 @_query
 def class_weights(spark, folder):
     train = splits.split_frames(_split(spark, folder))["train"]
-    return preprocess.class_weights(train, "target_top_10")
+    parts = [preprocess.class_weights(train, t).withColumn("target", F.lit(t)) for t in TARGETS]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def _train_query(name: str) -> Query:
@@ -775,12 +788,24 @@ QUERIES["train_dnf"] = _train_query("dnf")
 def train_metrics(spark, folder):
     frames = splits.split_frames(_split(spark, folder))
     chosen = {n: frames[n] for n in ("train", "val")}
-    return training.train_metrics(_model(spark, folder, "top10"), "top10", chosen)
+    parts = [
+        training.train_metrics(model, name, chosen).withColumn("model", F.lit(name))
+        for name, model in _models(spark, folder).items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
 
 
 @_query
 def feature_importance(spark, folder):
-    return training.importances(_model(spark, folder, "top10"))
+    """Importances of both models, stored and read back with the list of features."""
+    path = new_path(spark, "importances")
+    parts = [
+        training.importances(model).withColumn("model", F.lit(name))
+        for name, model in _models(spark, folder).items()
+    ]
+    rows = reduce(DataFrame.unionByName, parts)
+    sinks.write_csv(rows, path)
+    return sinks.read_csv(spark, path, rows)
 
 
 @_query
@@ -807,13 +832,20 @@ def score(spark, folder):
 @_query
 def score_rules(spark, folder):
     """What holds for every scored row: shares between 0 and 1, and yes above one half."""
-    scored = _predictions(spark, folder)
+    return _predictions(spark, folder).select("result_id", _holds("top10"), _holds("dnf"))
 
-    def holds(name: str):
-        p, yes = F.col(f"{name}_probability"), F.col(f"{name}_prediction")
-        return (p.between(0, 1) & (yes == (p > 0.5))).alias(f"{name}_holds")
 
-    return scored.select("result_id", holds("top10"), holds("dnf"))
+def _holds(name: str):
+    """A share between 0 and 1, and yes above one half."""
+    p, yes = F.col(f"{name}_probability"), F.col(f"{name}_prediction")
+    return (p.between(0, 1) & (yes == (p > 0.5))).alias(f"{name}_holds")
+
+
+@_query
+def score_filtered_rules(spark, folder):
+    """Keys of the rows of a year that are scored, and whether their scores are possible."""
+    rows = splits.filter_race(_features(spark, folder), year=1999)
+    return training.score(rows, _models(spark, folder)).select("result_id", "year", _holds("top10"), _holds("dnf"))
 
 
 @_query
@@ -837,7 +869,7 @@ def evaluate_all(spark, folder):
 @_query
 def evaluation_report(spark, folder):
     """Report, confusion matrix and curve points of the scores made of recent form."""
-    table = training.evaluation_report(_scored(spark, folder), ["top10"], 0.3)
+    table = training.evaluation_report(_scored(spark, folder), list(training.MODELS), 0.3)
     return _rounded(table, "value")
 
 
@@ -875,6 +907,35 @@ def io_typed_cast(spark, folder):
     return rows.select(*_lake(spark, folder)["results"].columns)
 
 
+@_query
+def io_quarantine(spark, folder):
+    """Results in CSV, some records with a field too many or too few, from CSV to Parquet.
+
+    For each remainder of the driver by 7, records kept, and set aside by reason; the
+    file of every record set aside is one that was read.
+    """
+    rows = _lake(spark, folder)["results"].withColumn("kind", F.col("driverId") % 7)
+    kept = [c for c in rows.columns if c != "kind"]
+    line = F.to_csv(F.struct(*[F.coalesce(F.col(c).cast("string"), F.lit("\\N")).alias(c) for c in kept]))
+    damaged = F.when(F.col("kind") == 3, F.concat(line, F.lit(",more"))).when(
+        F.col("kind") == 5, F.regexp_replace(line, ",[^,]*$", "")
+    )
+    raw, target = new_path(spark, "raw"), new_path(spark, "lake")
+    # lines as the only column of a file whose name is the header
+    lines = rows.select(F.coalesce(damaged, line).alias(",".join(kept)))
+    plain = {"header": True, "sep": "\u0001", "quote": "", "escapeQuotes": False}
+    lines.write.options(**plain).csv(f"{raw}/results.csv")
+    stats = csv_lake.convert_csv(spark, f"{raw}/results.csv", target, "results")
+    good = spark.read.parquet(f"{target}/results.parquet").select((F.col("driverId") % 7).alias("kind"), F.lit("kept").alias("what"))
+    aside = spark.read.parquet(f"{target}/_quarantine/results.parquet")
+    # the driver is the third field
+    driver = F.split("record", ",")[kept.index("driverId")].cast("long") % 7
+    named = F.when(F.col("file").contains("/results.csv/"), F.substring_index("reason", ",", 1))
+    bad = aside.select(driver.alias("kind"), F.coalesce(named, F.lit("unknown file")).alias("what"))
+    counted = good.unionByName(bad).groupBy("kind", "what").agg(F.count(F.lit(1)).alias("n_rows"))
+    return counted.withColumn("n_read", F.lit(stats[2] + stats[3]).cast("long"))
+
+
 @_query
 def io_parquet_roundtrip(spark, folder):
     path = new_path(spark, "results")
@@ -929,6 +990,23 @@ def lake_inventory(spark, folder):
     return lake.inventory(spark, names=lake.register(spark, folder))
 
 
+@_query
+def lake_statistics(spark, folder):
+    """All tables registered in a database of the catalog and analyzed: what it knows of them.
+
+    Distinct counts are estimates and stay out; ends are shown of whole numbers.
+    """
+    location = new_path(spark, "database")
+    database = location.rsplit("/", 1)[1].replace("-", "_")
+    names = lake.register_tables(spark, folder, database, location=location)
+    lake.analyze_tables(spark, names)
+    found = lake.statistics(spark, names).withColumn("table_name", F.substring_index("table_name", ".", -1))
+    spark.sql(f"DROP DATABASE `{database}` CASCADE")
+    whole = F.col("min").rlike(r"^-?\d+$") & F.col("max").rlike(r"^-?\d+$")
+    ends = {c: F.when(whole, F.col(c).try_cast("long")) for c in ("min", "max")}
+    return found.withColumns({f"{c}_value": v for c, v in ends.items()}).drop("min", "max", "distinct_count")
+
+
 @_query
 def synth_lake(spark, folder):
     """The toy rules applied to the races and drivers of the lines."""
@@ -948,24 +1026,12 @@ def synth_lake(spark, folder):
 
 @_query
 def synth_tables(spark, folder):
-    """All eight toy tables for the seasons and drivers of the given ones, as totals."""
-    orders = binding.table(spark, folder, "orders")
-    n_seasons = orders.select(F.countDistinct(F.year("o_orderdate"))).first()[0]
-    n_drivers = binding.table(spark, folder, "supplier").count()
-    totals = {
-        "races": ("raceId", "circuitId"), "drivers": ("driverId", "number"),
-        "constructors": ("constructorId", "constructorId"), "circuits": ("circuitId", "alt"),
-        "status": ("statusId", "statusId"), "seasons": ("year", "year"),
-        "qualifying": ("position", "constructorId"), "results": ("points", "laps"),
-    }
-    parts = [
-        df.agg(
-            F.count(F.lit(1)).alias("n_rows"),
-            *[F.sum(c).cast("long").alias(n) for n, c in zip(("one", "two"), totals[name], strict=True)],
-        ).select(F.lit(name).alias("table"), "*")
-        for name, df in toy.lake(spark, n_seasons, 5, n_drivers).items()
-    ]
-    return reduce(DataFrame.union, parts)
+    """All eight toy tables for the given races and drivers, every row as its values."""
+    parts = []
+    for name, df in toy.given(_lake(spark, folder)).items():
+        values = [F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in sorted(df.columns)]
+        parts.append(df.select(F.lit(name).alias("table"), F.concat_ws("|", *values).alias("row")))
+    return reduce(DataFrame.unionByName, parts)
 
 
 @_query
@@ -991,14 +1057,40 @@ def sink_per_race(spark, folder):
     return sinks.read_csv(spark, path, rows)
 
 
+@_query
+def sink_per_race_again(spark, folder):
+    """The test years scored, then the last of them again, into one folder.
+
+    The first run has scores of 0: they remain for the year that only it has scored.
+    """
+    rows, path = _scored(spark, folder), new_path(spark, "per_race")
+    first = rows.withColumn("top10_probability", F.lit(0.0))
+    sinks.write_per_race(splits.filter_years(first, binding.TEST_YEARS), path)
+    sinks.write_per_race(splits.filter_years(rows, binding.TEST_YEARS[-1:]), path)
+    return sinks.read_csv(spark, path, rows)
+
+
+@_query
+def sink_all_predictions(spark, folder):
+    """All columns of the scored test split in one table, written over an earlier run."""
+    rows, path = splits.filter_years(_scored(spark, folder), binding.TEST_YEARS), new_path(spark, "all")
+    sinks.write_csv(_scored(spark, folder), path)
+    sinks.write_csv(rows, path)
+    return sinks.read_csv(spark, path, rows)
+
+
 @_query
 def predictions_json(spark, folder):
-    """Predictions as JSON records, with every field read back out of its record."""
+    """Predictions as JSON records, read back in one parse; every second one is cut short.
+
+    A broken record has NULL fields and keeps its text, here as its length.
+    """
     rows = sinks.selected(_scored(spark, folder))
-    records = sinks.as_json(rows)
-    return records.select(
-        *[F.get_json_object("record", f"$.{n}").cast(k).alias(n) for n, k in rows.dtypes]
-    )
+    whole = sinks.as_json(rows.where(F.col("driver_id") % 2 == 0))
+    cut = sinks.as_json(rows.where(F.col("driver_id") % 2 == 1).select("race_id", "driver_id"))
+    cut = cut.select(F.expr("substring(record, 1, length(record) - 1)").alias("record"))
+    read = sinks.from_json(whole.unionByName(cut), rows)
+    return read.withColumn("broken", F.length("broken"))
 
 
 @_query
@@ -1015,20 +1107,29 @@ def eval_predictions(spark, folder):
 @_query
 def score_from_csv(spark, folder):
     """Test rows written as CSV, read back under the feature schema and scored."""
+    return _scored_csv(spark, folder).select("result_id", "top10_probability", "dnf_probability")
+
+
+def _scored_csv(spark, folder) -> DataFrame:
     path = new_path(spark, "features_csv")
     test = splits.split_frames(_split(spark, folder))["test"]
     sinks.write_csv(test, path)
-    read = sinks.read_csv(spark, path, test)
-    return training.score(read, _models(spark, folder)).select(
-        "result_id", "top10_probability", "dnf_probability"
-    )
+    return training.score(sinks.read_csv(spark, path, test), _models(spark, folder))
+
+
+@_query
+def score_from_csv_rules(spark, folder):
+    """Rows scored from CSV against the same rows scored from the table: none differs."""
+    scores = ["top10_probability", "top10_prediction", "dnf_probability", "dnf_prediction"]
+    return quality.changed_values(_predictions(spark, folder), _scored_csv(spark, folder), "result_id", scores)
 
 
 @_query
 def run_metrics(spark, folder):
-    """Parameters and metrics of an evaluation appended to a run table."""
+    """Parameters and metrics of an evaluation in a run table, recorded twice beside another run."""
     path = new_path(spark, "runs")
     result = metrics.accuracy(_scored(spark, folder), PAIRS).first().asDict()
     parameters = {"target": "target_top_10", "trees": training.TREES, "depth": training.DEPTH}
-    sinks.append_run(spark, path, "form baseline", parameters, result)
-    return spark.read.parquet(path)
+    for run in ("form baseline", "2", "form baseline"):
+        sinks.record_run(spark, path, run, parameters, result)
+    return sinks.read_runs(spark, path)

@@ -34,7 +34,8 @@ MODELS = {
 TREES, DEPTH, SEED = 100, 10, 42
 
 _INPUT = "model_input"
-PARTITION_ROWS = 500_000  # rows a task holds of the training table, 24 numbers each
+# rows a task holds of the training table, 24 numbers each, until there are so many tasks
+PARTITION_ROWS, MOST_PARTITIONS = 25_000, 4096
 
 
 def _preparation(train: DataFrame, columns: Sequence[str]) -> SQLTransformer:
@@ -43,7 +44,8 @@ def _preparation(train: DataFrame, columns: Sequence[str]) -> SQLTransformer:
     scale = scales(impute(train, fill), columns)
 
     def prepared(c: str) -> str:
-        mean, std = scale[c]
+        # to 12 digits, as the last ones depend on the order of addition
+        mean, std = (float(f"{x:.12g}") for x in scale[c])
         std = std if std > 0 else 1.0
         return (
             f"(coalesce(CAST(`{c}` AS DOUBLE), CAST({fill[c]!r} AS DOUBLE)) "
@@ -63,10 +65,14 @@ def train(
     depth: int = DEPTH,
     seed: int = SEED,
     partition_rows: int = PARTITION_ROWS,
+    key: str = "result_id",
 ) -> PipelineModel:
     """Impute, scale, assemble and fit a class-balanced random forest.
 
-    ``rows`` is read several times; hand in a stored table.
+    ``rows`` is read several times; hand in a stored table.  The draws of a forest follow the
+    partitions and their order.  Both follow from the key (the features, where there is no
+    such column) and the number of rows alone, so that a cluster of any size and input split
+    in any way give the same forest.
     """
     known = rows.where(F.col(target).isNotNull())
     preparation = _preparation(known, columns)
@@ -76,15 +82,19 @@ def train(
     weights = class_weights(known, target).collect()
     weight = F.lit(1.0)
     for row in weights:
-        weight = F.when(F.col(target) == F.lit(row["label"]), F.lit(row["weight"])).otherwise(weight)
-    prepared = assembler.transform(preparation.transform(known)).select(
-        _INPUT, F.col(target).cast("double").alias("_label"), weight.alias("_weight")
-    )
-    # even partitions of a bounded number of rows, one per core at least: uneven ones leave
-    # cores idle, and each sends its node statistics in every pass over the trees
+        # in steps of 2^-20: sums of such weights are exact, in whatever order they are added
+        exact = max(1, round(row["weight"] * 2**20)) / 2**20
+        weight = F.when(F.col(target) == F.lit(row["label"]), F.lit(exact)).otherwise(weight)
+    label = F.col(target).cast("double").alias("_label")
+    inputs = assembler.transform(preparation.transform(known))
+    values = [f"_in_{c}" for c in columns]
+    place = [key] if key in rows.columns else values
     total = sum(row["n_rows"] for row in weights)
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    prepared = prepared.repartition(max(cores, -(-total // partition_rows)))
+    parts = min(MOST_PARTITIONS, max(1, -(-total // partition_rows)))
+    kept = inputs.select(*place, *(v for v in values if v not in place), _INPUT, label, weight.alias("_weight"))
+    # an explicit number of partitions is not changed by adaptive execution
+    prepared = kept.repartition(parts, *place).sortWithinPartitions(*dict.fromkeys([*place, *values, "_label"]))
+    prepared = prepared.select(_INPUT, "_label", "_weight")
     forest = RandomForestClassifier(
         featuresCol=_INPUT,
         labelCol="_label",

@@ -6,7 +6,7 @@ import logging
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,13 +15,15 @@ from paddock.sources.schemas import NULL_TOKENS, TYPES
 
 log = logging.getLogger(__name__)
 
-_EXTRA = "_extra_field"
+# of a record that does not fit its header: its text, its file and the fields expected
+_BAD, _FILE, _FIELDS = "_bad_record", "_bad_file", "_fields"
 
 STATS = T.StructType(
     [
         T.StructField("table", T.StringType()),
         T.StructField("ok", T.BooleanType()),
         T.StructField("n_rows", T.LongType()),
+        T.StructField("n_quarantined", T.LongType()),
         T.StructField("n_columns", T.IntegerType()),
         T.StructField("csv_mb", T.DoubleType()),
         T.StructField("parquet_mb", T.DoubleType()),
@@ -60,31 +62,59 @@ def _layouts(spark: SparkSession, path: str) -> dict[tuple[str, bool], list[str]
 def scan_csv(
     spark: SparkSession, path: str, null_tokens: Sequence[str] = NULL_TOKENS
 ) -> DataFrame:
-    """All columns as text with the null tokens replaced.
+    """All columns as text with the null tokens replaced, one row for each record.
 
     Files may have their columns in different orders, or lack some: each is read by its
     own header, and a missing column is NULL.  Only a file in which a quoted field spans
-    lines is read by one task; all others are split.
+    lines is read by one task; all others are split.  A record with more or fewer fields
+    than its header is marked; ``fitting`` and ``quarantined`` tell the two kinds apart.
     """
     parts = []
     for (_, spans), paths in _layouts(spark, path).items():
         names = spark.read.option("header", True).option("escape", '"').csv(paths[0]).columns
-        schema = T.StructType([T.StructField(n, T.StringType()) for n in (*names, _EXTRA)])
-        reader = spark.read.schema(schema).option("header", True).option("escape", '"')
-        parts.append(reader.option("multiLine", spans).csv(paths))
+        schema = T.StructType([T.StructField(n, T.StringType()) for n in (*names, _BAD)])
+        # pruned columns would not be counted, so that no record would be too short or long
+        reader = spark.read.schema(schema).option("header", True).option("escape", '"').option("columnPruning", False)
+        marked = reader.option("columnNameOfCorruptRecord", _BAD).option("multiLine", spans).csv(paths)
+        # Spark refuses to read the marks alone, so they always come with the first field
+        first = F.length(F.coalesce(F.col(f"`{names[0]}`"), F.lit("")))
+        mark = F.when(first >= 0, F.col(_BAD))
+        parts.append(marked.withColumns({_BAD: mark, _FILE: F.col("_metadata.file_path"), _FIELDS: F.lit(len(names))}))
     if not parts:
         # no file has a line
         return spark.read.option("header", True).csv(path)
     raw = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-    names = [n for n in raw.columns if n != _EXTRA]
     return raw.select(
         *[
             F.when(~F.col(f"`{n}`").isin(list(null_tokens)), F.col(f"`{n}`")).alias(n)
-            for n in (*names, _EXTRA)
-        ]
+            for n in _names(raw)
+        ],
+        *[c for c in (_BAD, _FILE, _FIELDS) if c in raw.columns],
     )
 
 
+def _names(raw: DataFrame) -> list[str]:
+    return [n for n in raw.columns if n not in (_BAD, _FILE, _FIELDS)]
+
+
+def _fits(raw: DataFrame) -> Column:
+    return F.col(_BAD).isNull() if _BAD in raw.columns else F.lit(True)
+
+
+def fitting(raw: DataFrame) -> DataFrame:
+    """The records that have as many fields as their header."""
+    return raw.where(_fits(raw)).select(*[F.col(f"`{n}`") for n in _names(raw)])
+
+
+def quarantined(raw: DataFrame) -> DataFrame:
+    """(file, reason, record) of every other record."""
+    bare = F.regexp_replace(_BAD, '"([^"]|"")*"', "")
+    fields = F.length(bare) - F.length(F.replace(bare, F.lit(","))) + 1
+    how = F.when(fields > F.col(_FIELDS), "more").otherwise("fewer")
+    reason = F.concat(fields.cast("string"), F.lit(" fields, "), how, F.lit(" than the "), F.col(_FIELDS).cast("string"), F.lit(" of the header"))
+    return raw.where(~_fits(raw)).select(F.col(_FILE).alias("file"), reason.alias("reason"), F.col(_BAD).alias("record"))
+
+
 # Shapes of numbers.  Casting only text of that shape is much cheaper than letting
 # the cast fail on everything else.
 _WHOLE = r"^\s*[+-]?\d+\s*$"
@@ -125,61 +155,112 @@ def _kind(column: Column) -> Column:
     )
 
 
+def _bits(column: Column) -> Column:
+    """One bit for each kind that occurs among the values of a column."""
+    return F.bit_or(F.call_function("shiftleft", F.lit(1), _kind(column)))
+
+
+def _kind_of(bits: int | None) -> str:
+    """The type that fits all values of a column."""
+    present = {k for b, k in enumerate(_KINDS) if (bits or 0) >> b & 1}
+    if len(present) == 1:
+        return present.pop()
+    return "double" if present == {"bigint", "double"} else "string"
+
+
+def _inferred(raw: DataFrame, names: Sequence[str]) -> dict[str, str]:
+    """The types that fit all values of these columns, in one pass."""
+    if not names:
+        return {}
+    bits = [_bits(F.col(f"`{n}`")).alias(f"bits{i}") for i, n in enumerate(names)]
+    return {n: _kind_of(b) for n, b in zip(names, fitting(raw).agg(*bits).first(), strict=True)}
+
+
+def _cast(name: str, kind: str) -> Column:
+    column = F.col(f"`{name}`")
+    return column if kind == "string" else _as_type(column, kind)
+
+
+def _misfits(name: str, kind: str) -> Column:
+    """Number of present values that the type cannot take."""
+    return F.count_if(F.col(f"`{name}`").isNotNull() & _cast(name, kind).isNull())
+
+
 def typed(raw: DataFrame, hints: Mapping[str, str] | None = None) -> DataFrame:
-    """Give each text column a type, for the whole column or not at all.
+    """Give each text column of the fitting records a type, for the whole column or not at all.
 
     A hinted type is used if every present value can be read as it; otherwise, and
     for columns without a hint, the first of bigint, double, boolean that fits all
     values; otherwise text.  A whole-number hint gives a whole-number column even where
     values are missing.  All values of all columns are checked in one pass.
     """
-    hints = {k: v for k, v in (hints or {}).items() if k in raw.columns}
-    names = [c for c in raw.columns if c != _EXTRA]
-    checks = {}
-    for i, n in enumerate(names):
-        column = F.col(f"`{n}`")
-        # one bit for each kind that occurs
-        bit = F.call_function("shiftleft", F.lit(1), _kind(column))
-        checks[f"kinds{i}"] = F.bit_or(bit)
-        if n in hints:
-            checks[f"not{i}"] = F.count_if(column.isNotNull() & _as_type(column, hints[n]).isNull())
-    extra = F.count(f"`{_EXTRA}`") if _EXTRA in raw.columns else F.lit(0)
-    found = raw.agg(extra.alias("extra"), *[c.alias(k) for k, c in checks.items()]).first()
-    if found["extra"]:
-        raise ValueError(f"{found['extra']} rows have more fields than the header")
-    columns = []
+    rows, names = fitting(raw), _names(raw)
+    hints = {k: v for k, v in (hints or {}).items() if k in names}
+    checks = [_bits(F.col(f"`{n}`")).alias(f"bits{i}") for i, n in enumerate(names)]
+    checks += [_misfits(n, hints[n]).alias(f"not{i}") for i, n in enumerate(names) if n in hints]
+    found = rows.agg(*checks).first()
+    kinds = {}
     for i, n in enumerate(names):
-        present = {k for b, k in enumerate(_KINDS) if (found[f"kinds{i}"] or 0) >> b & 1}
-        kind = hints.get(n, "string")
-        if present and (n not in hints or found[f"not{i}"]):
-            if n in hints:
-                log.warning("column %s cannot be read as %s", n, hints[n])
-            numbers = {frozenset(["bigint"]): "bigint", frozenset(["boolean"]): "boolean"}
-            kind = numbers.get(frozenset(present), "string")
-            if present <= {"bigint", "double"} and "double" in present:
-                kind = "double"
-        column = F.col(f"`{n}`")
-        columns.append((column if kind == "string" else _as_type(column, kind)).alias(n))
-    return raw.select(*columns)
+        kinds[n] = hints[n] if n in hints and not found[f"not{i}"] else _kind_of(found[f"bits{i}"])
+        if n in hints and found[f"not{i}"]:
+            log.warning("column %s cannot be read as %s", n, hints[n])
+    return rows.select(*[_cast(n, kinds[n]).alias(n) for n in names])
 
 
 def write_table(df: DataFrame, path: str) -> None:
-    df.write.option("compression", "snappy").parquet(path)
+    """Store a table; one that is there already is replaced."""
+    df.write.mode("overwrite").option("compression", "snappy").parquet(path)
+
+
+def _write_observed(raw: DataFrame, kinds: Mapping[str, str], target: str) -> dict[str, int]:
+    """Store the typed records; their number, that of the others, and misfits by place.
+
+    The numbers are observed while the rows are written, so nothing is read for them.
+    """
+    seen = Observation()
+    good = _fits(raw)
+    measures = [F.count_if(good).alias("rows"), F.count_if(~good).alias("bad")]
+    for i, (name, kind) in enumerate(kinds.items()):
+        if kind != "string":
+            lost = good & F.col(f"`{name}`").isNotNull() & F.col(f"_typed_{i}").isNull()
+            measures.append(F.count_if(lost).alias(f"not{i}"))
+    cast = {f"_typed_{i}": _cast(n, k) for i, (n, k) in enumerate(kinds.items())}
+    rows = raw.withColumns(cast).observe(seen, *measures).where(good)
+    write_table(rows.select(*[F.col(f"_typed_{i}").alias(n) for i, n in enumerate(kinds)]), target)
+    return seen.get
 
 
 def convert_csv(
     spark: SparkSession, csv_path: str, lake: str, table: str | None = None
 ) -> tuple:
-    """One CSV file or folder to ``lake/<table>.parquet``; returns its statistics."""
+    """One CSV file or folder to ``lake/<table>.parquet``; returns its statistics.
+
+    Hinted types are tried while the table is written; only where one does not fit are the
+    values looked at and the table written again.  Columns without a hint take a
+    pass of their own.  Records that do not fit their header go to
+    ``lake/_quarantine/<table>.parquet`` with file and reason.
+    """
     table = table or files.stem(csv_path)
-    target = f"{lake}/{table}.parquet"
-    write_table(typed(scan_csv(spark, csv_path), TYPES.get(table)), target)
-    stored = spark.read.parquet(target)
+    target, aside = f"{lake}/{table}.parquet", f"{lake}/_quarantine/{table}.parquet"
+    raw = scan_csv(spark, csv_path)
+    names, hints = _names(raw), TYPES.get(table, {})
+    inferred = _inferred(raw, [n for n in names if n not in hints])
+    kinds = {n: hints.get(n) or inferred[n] for n in names}
+    seen = _write_observed(raw, kinds, target)
+    wrong = [n for i, n in enumerate(names) if seen.get(f"not{i}")]
+    if wrong:
+        log.warning("columns of %s without their hinted type: %s", table, ", ".join(wrong))
+        kinds.update(_inferred(raw, wrong))
+        seen = _write_observed(raw, kinds, target)
+    if seen["bad"]:
+        write_table(quarantined(raw), aside)
+    else:
+        files.remove(spark, aside)
     before, after = files.size(spark, csv_path), files.size(spark, target)
     mb = 1024.0 * 1024.0
     saved = (1 - after / before) * 100 if before > 0 else 0.0
     return (
-        table, True, stored.count(), len(stored.columns), before / mb, after / mb, saved, None
+        table, True, seen["rows"], seen["bad"], len(names), before / mb, after / mb, saved, None
     )
 
 
@@ -194,7 +275,7 @@ def convert_all(spark: SparkSession, raw: str, lake: str) -> DataFrame:
             rows.append(convert_csv(spark, path, lake))
         except Exception as problem:  # noqa: BLE001 - reported per table
             log.error("cannot convert %s: %s", path, problem)
-            rows.append((files.stem(path), False, None, None, None, None, None, str(problem)))
+            rows.append((files.stem(path), False, *[None] * 6, str(problem)))
     if not rows:
         log.warning("no CSV files in %s", raw)
     return spark.createDataFrame(rows, STATS)

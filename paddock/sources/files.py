@@ -40,6 +40,12 @@ def exists(spark: SparkSession, text: str) -> bool:
     return bool(_system(spark, path).exists(path))
 
 
+def remove(spark: SparkSession, text: str) -> None:
+    """Delete a file or folder, if it is there."""
+    path = _path(spark, text)
+    _system(spark, path).delete(path, True)
+
+
 def stem(path: str) -> str:
     """Lower-cased file name without its extension."""
     return path.rstrip("/").rsplit("/", 1)[-1].rsplit(".", 1)[0].lower()

@@ -6,6 +6,7 @@ from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Columns of the short prediction file, in order.
 SELECTED = (
@@ -25,12 +26,13 @@ DIALECT = {"header": True, "escape": '"'}
 
 
 def write_splits(split: DataFrame, folder: str) -> None:
-    """One CSV folder per split, ``split=<name>``, with headers."""
-    split.write.partitionBy("split").options(**DIALECT).csv(folder)
+    """One CSV folder per split, ``split=<name>``, with headers; earlier ones are replaced."""
+    split.write.mode("overwrite").partitionBy("split").options(**DIALECT).csv(folder)
 
 
 def write_csv(df: DataFrame, folder: str) -> None:
-    df.write.options(**DIALECT).csv(folder)
+    """A CSV folder with headers in its files; an earlier one is replaced."""
+    df.write.mode("overwrite").options(**DIALECT).csv(folder)
 
 
 def read_csv(spark: SparkSession, folder: str, like: DataFrame) -> DataFrame:
@@ -39,7 +41,7 @@ def read_csv(spark: SparkSession, folder: str, like: DataFrame) -> DataFrame:
 
 
 def write_per_race(predictions: DataFrame, folder: str, file_rows: int = 1_000_000) -> None:
-    """One folder per race in one job.
+    """One folder per race in one job; the races written replace their earlier files only.
 
     Races go to tasks by key, in as many partitions as their size asks for; a task that
     would get too much is split, so a large race becomes several files, of at most
@@ -47,7 +49,8 @@ def write_per_race(predictions: DataFrame, folder: str, file_rows: int = 1_000_0
     """
     by = ["year", "round", "race_id"]
     writer = predictions.hint("rebalance", *by).write.partitionBy(*by).options(**DIALECT)
-    writer.option("maxRecordsPerFile", file_rows).csv(folder)
+    again = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    again.option("maxRecordsPerFile", file_rows).csv(folder)
 
 
 def as_json(df: DataFrame) -> DataFrame:
@@ -55,6 +58,16 @@ def as_json(df: DataFrame) -> DataFrame:
     return df.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("record"))
 
 
+def from_json(records: DataFrame, like: DataFrame) -> DataFrame:
+    """Records of ``as_json`` as rows again, each parsed once, and the text of broken ones.
+
+    ``broken`` is NULL for a record that is an object with values of the right types.
+    """
+    schema = T.StructType([*like.schema.fields, T.StructField("broken", T.StringType())])
+    read = F.from_json("record", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "broken"})
+    return records.select(read.alias("row")).select("row.*")
+
+
 def evaluation_rows(scored: DataFrame, target: str, name: str) -> DataFrame:
     """(actual, prediction, probability) of one model."""
     return scored.select(
@@ -80,17 +93,29 @@ def read_evaluation(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def append_run(
+RUNS = "kind string, name string, text string, value double, run string"
+
+
+def record_run(
     spark: SparkSession,
     folder: str,
     run: str,
     parameters: Mapping[str, object],
     metrics: Mapping[str, float],
 ) -> None:
-    """Append one row per parameter and metric of a run to a Parquet table."""
+    """Commit one row per parameter and metric of a run to a Parquet table.
+
+    A run has a folder of its own, which the commit replaces: one that is repeated, or
+    tried again after a failure, leaves its rows once, and other runs as they are.
+    """
     rows: Iterable[tuple] = [
-        *[(run, "parameter", k, str(v), None) for k, v in parameters.items()],
-        *[(run, "metric", k, None, float(v)) for k, v in metrics.items()],
+        *[("parameter", k, str(v), None, run) for k, v in parameters.items()],
+        *[("metric", k, None, float(v), run) for k, v in metrics.items()],
     ]
-    schema = "run string, kind string, name string, text string, value double"
-    spark.createDataFrame(list(rows), schema).coalesce(1).write.mode("append").parquet(folder)
+    writer = spark.createDataFrame(list(rows), RUNS).coalesce(1).write.partitionBy("run")
+    writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(folder)
+
+
+def read_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """(run, kind, name, text, value) of all recorded runs."""
+    return spark.read.schema(RUNS).parquet(folder).select("run", "kind", "name", "text", "value")

@@ -6,6 +6,8 @@ the results of any races and drivers.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,7 +15,7 @@ FIRST_YEAR = 2014
 TEAMS = 5
 CIRCUITS = 3
 
-# Status id and description.
+# Status id and description, and below the formulas of every column.
 STATUS = ((1, "Finished"), (2, "+1 Lap"), (3, "Accident"), (4, "Collision"), (5, "Engine"))
 
 
@@ -104,9 +106,16 @@ def _team(driver: Column) -> Column:
     return F.floor((driver - 1) / 2).cast("long") + 1
 
 
-def qualifying(entries: DataFrame) -> DataFrame:
-    """Qualifying rows of entries (entryId, raceId, place); the place names the driver."""
+def _who(entries: DataFrame) -> dict[str, Column]:
+    """Driver and team of an entry: its own, or those that the place names."""
     place = F.col("place")
+    named = {"driverId": place, "constructorId": _team(place)}
+    return {c: F.col(c) if c in entries.columns else value for c, value in named.items()}
+
+
+def qualifying(entries: DataFrame) -> DataFrame:
+    """Qualifying rows of entries (entryId, raceId, place and perhaps driverId, constructorId)."""
+    place, who = F.col("place"), _who(entries)
 
     def session(offset: int) -> Column:
         return _text("1:%d.%03d", place + offset, place)
@@ -114,8 +123,8 @@ def qualifying(entries: DataFrame) -> DataFrame:
     return entries.select(
         F.col("entryId").alias("qualifyId"),
         "raceId",
-        place.alias("driverId"),
-        _team(place).alias("constructorId"),
+        who["driverId"].alias("driverId"),
+        who["constructorId"].alias("constructorId"),
         place.alias("number"),
         place.alias("position"),
         session(20).alias("q1"),
@@ -126,7 +135,7 @@ def qualifying(entries: DataFrame) -> DataFrame:
 
 def results(entries: DataFrame) -> DataFrame:
     """Result rows of entries; places beyond the eighth retire in every third race."""
-    place = F.col("place")
+    place, who = F.col("place"), _who(entries)
     retired = (place > 8) & ((place + F.col("raceId")) % 3 == 0)
 
     def if_finished(value) -> Column:
@@ -135,8 +144,8 @@ def results(entries: DataFrame) -> DataFrame:
     return entries.select(
         F.col("entryId").alias("resultId"),
         "raceId",
-        place.alias("driverId"),
-        _team(place).alias("constructorId"),
+        who["driverId"].alias("driverId"),
+        who["constructorId"].alias("constructorId"),
         place.alias("number"),
         place.alias("grid"),
         if_finished(place).alias("position"),
@@ -172,3 +181,31 @@ def lake(
         "results": results(pairs),
         "seasons": seasons(race_rows),
     }
+
+
+STARTERS = 10  # about as many drivers start in a race of ``given``
+
+
+def given(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """All eight tables, results and qualifying filled by the rules for given races and drivers.
+
+    With n drivers those of each n/10-th number start in a race, by the remainders of both
+    numbers; a driver drives for the team of its nation.  All keys hold.
+    """
+    drivers, races = tables["drivers"], tables["races"]
+    step = max(1, drivers.count() // STARTERS)
+    team = F.regexp_extract("nationality", "([0-9]+)$", 1).cast("long")
+    starters = drivers.select(
+        "driverId",
+        team.alias("constructorId"),
+        (F.col("driverId") % step).alias("_slot"),
+        (F.floor(F.col("driverId") / step) + 1).alias("place"),
+    )
+    pairs = races.select("raceId", (F.col("raceId") % step).alias("_slot")).join(starters, "_slot")
+    pairs = pairs.withColumn("entryId", F.col("raceId") * 100 + F.col("place")).drop("_slot")
+    return {
+        **{name: tables[name] for name in ("races", "drivers", "constructors", "circuits", "seasons")},
+        "status": status(races.sparkSession),
+        "qualifying": qualifying(pairs),
+        "results": results(pairs),
+    }

@@ -32,24 +32,51 @@ def test_types_are_given_to_whole_columns_or_not_at_all(spark, tmp_path):
     assert [r["grid"] for r in table.orderBy("resultId").collect()] == [3, None]
 
 
-def test_rows_longer_than_the_header_are_refused(spark, tmp_path):
-    path = put(tmp_path, "x.csv", "a,b\n1,2\n1,2,3\n")
-    with pytest.raises(ValueError, match="more fields"):
-        csv_lake.typed(csv_lake.scan_csv(spark, path))
+def test_records_that_do_not_fit_are_set_aside(spark, tmp_path):
+    text = 'a,b,c\n1,x,2\n2,y\n3,"q, ""r""",4,5\n4,,\n5,"two\nlines",6\n6,"z,z",7,"8,8",9\n'
+    path = put(tmp_path, "x.csv", text)
+    raw = csv_lake.scan_csv(spark, path)
+    rows = csv_lake.typed(raw)
+    assert dict(rows.dtypes) == {"a": "bigint", "b": "string", "c": "bigint"}
+    assert {tuple(r) for r in rows.collect()} == {(1, "x", 2), (4, None, None), (5, "two\nlines", 6)}
+    assert rows.select("c").count() == rows.agg({"c": "count"}).first()[0] + 1 == 3
+    aside = {(r["file"].rsplit("/", 1)[1], r["reason"], r["record"]) for r in csv_lake.quarantined(raw).collect()}
+    assert aside == {
+        ("x.csv", "2 fields, fewer than the 3 of the header", "2,y"),
+        ("x.csv", "4 fields, more than the 3 of the header", '3,"q, ""r""",4,5'),
+        ("x.csv", "5 fields, more than the 3 of the header", '6,"z,z",7,"8,8",9'),
+    }
 
 
 def test_one_bad_file_does_not_stop_the_rest(spark, tmp_path):
-    raw = tmp_path / "raw"
+    raw, lake_dir = tmp_path / "raw", str(tmp_path / "lake")
     put(raw, "Status.csv", "statusId,status\n1,Finished\n2,+1 Lap\n")
-    put(raw, "bad.csv", "a,b\n1,2,3\n")
+    put(raw / "bad.csv", "part.csv.gz", "no archive at all")
+    put(raw, "seasons.csv", "year,url\n2014,u\n2015\n2016,v,w\n")
+    for _ in range(2):  # a second run replaces what the first one left
+        stats = {r["table"]: r for r in csv_lake.convert_all(spark, str(raw), lake_dir).collect()}
+        assert {t: r["ok"] for t, r in stats.items()} == {"status": True, "bad": False, "seasons": True}
+        assert stats["status"]["n_rows"] == 2 and stats["status"]["n_columns"] == 2
+        assert stats["status"]["parquet_mb"] > 0 and stats["bad"]["error"]
+        assert (stats["seasons"]["n_rows"], stats["seasons"]["n_quarantined"]) == (1, 2)
+        assert spark.read.parquet(f"{lake_dir}/_quarantine/seasons.parquet").count() == 2
+    assert list(lake.read_tables(spark, lake_dir)) == ["seasons", "status"]
     put(raw, "seasons.csv", "year,url\n2014,u\n")
-    stats = {r["table"]: r for r in csv_lake.convert_all(spark, str(raw), str(tmp_path / "lake")).collect()}
-    assert {t: r["ok"] for t, r in stats.items()} == {"status": True, "bad": False, "seasons": True}
-    assert stats["status"]["n_rows"] == 2 and stats["status"]["n_columns"] == 2
-    assert stats["status"]["parquet_mb"] > 0 and "more fields" in stats["bad"]["error"]
+    csv_lake.convert_csv(spark, f"{raw}/seasons.csv", lake_dir)
+    assert not files.exists(spark, f"{lake_dir}/_quarantine/seasons.parquet")
     assert csv_lake.convert_all(spark, str(tmp_path / "none"), str(tmp_path / "l2")).count() == 0
 
 
+def test_a_hint_that_fails_is_seen_while_writing(spark, tmp_path):
+    """Hinted columns take no pass of their own; the table is right after the second write."""
+    path = put(tmp_path, "qualifying.csv", "qualifyId,raceId,number,note\n1,10,3.0,a\n2,x,\\N,b\n3,12,5,c\n")
+    stats = csv_lake.convert_csv(spark, path, str(tmp_path / "lake"))
+    table = spark.read.parquet(f"{tmp_path}/lake/qualifying.parquet")
+    assert dict(table.dtypes) == {"qualifyId": "int", "raceId": "string", "number": "int", "note": "string"}
+    assert stats[:5] == ("qualifying", True, 3, 0, 4) and table.count() == 3
+    assert {(r["raceId"], r["number"]) for r in table.collect()} == {("10", 3), ("x", None), ("12", 5)}
+
+
 def test_lake_views_and_inventory(spark, tmp_path):
     for name, df in toy.lake(spark, 2, 2, 3).items():
         csv_lake.write_table(df, f"{tmp_path}/{name}.parquet")
@@ -94,6 +121,20 @@ def test_one_folder_per_race(spark, tmp_path, file_rows):
     assert all(len(Path(f.removeprefix("file:")).read_text().splitlines()) <= file_rows + 1 for f in parts)
     back = sinks.read_csv(spark, f"{tmp_path}/out", rows)
     assert back.exceptAll(rows).isEmpty() and back.count() == 130
+    # a race that is written again, and a new one; the others stay as they are
+    more = spark.range(3).selectExpr("2020 AS year", "IF(id < 2, 1, 3) AS round", "IF(id < 2, 7, 9) AS race_id", "id + 500 AS driver_id")
+    sinks.write_per_race(more, f"{tmp_path}/out", file_rows)
+    back = sinks.read_csv(spark, f"{tmp_path}/out", rows)
+    assert {r["race_id"]: r["n"] for r in back.groupBy("race_id").agg({"*": "count"}).toDF("race_id", "n").collect()} == {7: 2, 8: 30, 9: 1}
+
+
+def test_broken_json_records_keep_their_text(spark):
+    like = spark.sql("SELECT 1 AS race_id, CAST(0.5 AS DOUBLE) AS p, true AS yes")
+    texts = ['{"race_id":1,"p":null,"yes":true}', '{"race_id":2', '{"race_id":"x","p":0.25,"yes":false}', "no json"]
+    records = spark.createDataFrame([(t,) for t in texts], "record string")
+    rows = [tuple(r) for r in sinks.from_json(records, like).collect()]
+    assert rows[0] == (1, None, True, None)
+    assert [r[-1] for r in rows[1:]] == texts[1:]
 
 
 def test_saved_evaluation_without_probability(spark, tmp_path):
@@ -104,10 +145,15 @@ def test_saved_evaluation_without_probability(spark, tmp_path):
     ]
 
 
-def test_runs_are_appended_and_json_keeps_missing_fields(spark, tmp_path):
-    for run in ("a", "b"):
-        sinks.append_run(spark, f"{tmp_path}/runs", run, {"trees": 5}, {"accuracy": 0.5})
-    assert spark.read.parquet(f"{tmp_path}/runs").count() == 4
+def test_a_run_is_recorded_once(spark, tmp_path):
+    for run, trees in (("a", 5), ("1", 6), ("x/y z", 7), ("a", 8)):
+        sinks.record_run(spark, f"{tmp_path}/runs", run, {"trees": trees}, {"accuracy": 0.5})
+    rows = sinks.read_runs(spark, f"{tmp_path}/runs").collect()
+    assert {(r["run"], r["text"]) for r in rows if r["name"] == "trees"} == {("a", "8"), ("1", "6"), ("x/y z", "7")}
+    assert len(rows) == 6 and {r["value"] for r in rows if r["kind"] == "metric"} == {0.5}
+
+
+def test_json_keeps_missing_fields(spark, tmp_path):
     record = sinks.as_json(spark.sql("SELECT 1 AS race_id, CAST(NULL AS DOUBLE) AS p")).first()
     assert record["record"] == '{"race_id":1,"p":null}'
     assert sinks.selected(spark.sql("SELECT 1 AS other, 2 AS race_id")).columns == ["race_id"]
@@ -149,4 +195,15 @@ def test_tables_in_a_database(spark, tmp_path):
     toy.status(spark).write.parquet(f"{tmp_path}/status.parquet")
     names = lake.register_tables(spark, str(tmp_path), "paddock_test")
     assert names == ["paddock_test.raw_status"] and spark.table(names[0]).count() == 5
+    lake.analyze_tables(spark, names)
+    found = {r["column_name"]: r for r in lake.statistics(spark, names).collect()}
+    assert (found["statusId"]["n_rows"], found["statusId"]["n_nulls"], found["statusId"]["min"], found["statusId"]["max"]) == (5, 0, "1", "5")
+    assert set(found) == {"statusId", "status"} and found["status"]["min"] is None
+    # the planner sizes a join by the rows it knows
+    spark.conf.set("spark.sql.cbo.enabled", "true")
+    try:
+        plan = spark.table(names[0]).where("statusId > 3")._jdf.queryExecution().optimizedPlan().stats().toString()
+        assert "rowCount=2" in plan
+    finally:
+        spark.conf.unset("spark.sql.cbo.enabled")
     spark.sql("DROP DATABASE paddock_test CASCADE")

@@ -73,3 +73,37 @@ def test_training_with_one_class(rows, value):
     assert training.saw_one_class(model)
     mixed = training.evaluate_all(rows, {"top10": model}).first()
     assert (mixed["roc_auc"], mixed["log_loss"]) == (1.0, 0.0)
+
+
+SAME_FOREST = """
+import sys
+sys.path[:0] = [{root!r}, {tests!r}]
+from pyspark.sql import SparkSession, functions as F
+from paddock.plans import training
+spark = SparkSession.builder.master(sys.argv[1]).config("spark.ui.enabled", "false").getOrCreate()
+spark.sparkContext.setLogLevel("ERROR")
+rows = spark.read.parquet(sys.argv[2]).repartition(int(sys.argv[3]))
+model = training.train(rows, "target_top_10", ["a", "b", "flag"], trees=6, depth=5, partition_rows=90, key="id")
+print("FOREST", hash(model.stages[-1].toDebugString.split("\\n", 1)[1]))
+"""
+
+
+def test_the_same_forest_on_any_cluster(rows, tmp_path):
+    """On 2 and on 8 cores, with the input split in two ways."""
+    import os
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    tests = str(Path(__file__).resolve().parent)
+    rows.write.parquet(f"{tmp_path}/rows")
+    code = SAME_FOREST.format(root=str(Path(tests).parent), tests=tests)
+    found = set()
+    for master, parts in (("local[2]", "3"), ("local[8]", "7")):
+        done = subprocess.run(
+            [sys.executable, "-c", code, master, f"{tmp_path}/rows", parts],
+            capture_output=True, text=True, timeout=300, env=os.environ | {"PYTHONHASHSEED": "0"},
+        )
+        found.update(line for line in done.stdout.splitlines() if line.startswith("FOREST"))
+        assert done.returncode == 0, done.stderr[-2000:]
+    assert len(found) == 1
