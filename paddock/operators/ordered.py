@@ -94,12 +94,18 @@ def _match(rows: DataFrame, side: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def prior(
-    laid: Laid, wanted: Mapping[str, Past], keys: Sequence[str] | None = None
+    laid: Laid,
+    wanted: Mapping[str, Past],
+    keys: Sequence[str] | None = None,
+    onto: DataFrame | None = None,
+    keep_part: bool = False,
 ) -> DataFrame:
     """Add aggregates over earlier rows of the same key; the row itself never counts.
 
     A sum over no rows is NULL, a count 0.  The order must be total within a key.
     ``keys`` may split the keys of the layout further: their rows follow the same parts.
+    ``onto`` are the rows of the layout with columns added by an earlier call that kept the
+    part: several windows then go over the same rows, which are not joined again.
     """
     keys = list(laid.keys if keys is None else keys)
     if not set(laid.keys) <= set(keys):
@@ -108,7 +114,8 @@ def prior(
     rows = laid.table.withColumns(values)
     deep = [f"_value_{name}" for name, p in wanted.items() if p.depth is None]
     depth = max([p.depth for p in wanted.values() if p.depth is not None], default=0)
-    own = rows.withColumn(_KIND, F.lit(_OWN))
+    carried = list(laid.columns) if onto is None else [c for c in onto.columns if c != _PART]
+    own = (rows if onto is None else onto.withColumns(values)).withColumn(_KIND, F.lit(_OWN))
     parts = [own, *_from_earlier_parts(rows, keys, laid.order, deep, depth)]
     together = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     window = Window.partitionBy(*keys, _PART).orderBy(_KIND, *laid.order)
@@ -119,7 +126,8 @@ def prior(
         return total if past.how == "sum" else F.coalesce(total, F.lit(0))
 
     sums = {name: over(name, past) for name, past in wanted.items()}
-    return together.withColumns(sums).where(F.col(_KIND) == _OWN).select(*laid.columns, *wanted)
+    part = [_PART] if keep_part else []
+    return together.withColumns(sums).where(F.col(_KIND) == _OWN).select(*carried, *part, *wanted)
 
 
 def _from_earlier_parts(

@@ -179,6 +179,14 @@ def laid_out(rows: DataFrame, key: str, windows: Windows = Windows(), *more: str
     return lay_out(rows.select(*columns), [key], windows.order, windows.chunk_rows)
 
 
+def _driver_columns() -> list[Column]:
+    return [
+        *_form("driver"),
+        mean(F.col("_gained"), F.col("_n_gained")).alias("driver_avg_positions_gained_recent"),
+        F.col("_n").alias("driver_races_in_window"),
+    ]
+
+
 def driver_form(
     rows: DataFrame, windows: Windows = Windows(), laid: Laid | None = None
 ) -> DataFrame:
@@ -187,12 +195,7 @@ def driver_form(
     ``rows`` is a stored table in which ``result_id`` names a row.
     """
     laid = laid or laid_out(rows, "driver_id", windows)
-    return prior(laid, _recent(windows, True)).select(
-        "result_id",
-        *_form("driver"),
-        mean(F.col("_gained"), F.col("_n_gained")).alias("driver_avg_positions_gained_recent"),
-        F.col("_n").alias("driver_races_in_window"),
-    )
+    return prior(laid, _recent(windows, True)).select("result_id", *_driver_columns())
 
 
 def constructor_form(rows: DataFrame, windows: Windows = Windows()) -> DataFrame:
@@ -201,6 +204,17 @@ def constructor_form(rows: DataFrame, windows: Windows = Windows()) -> DataFrame
     return prior(laid, _recent(windows, False)).select("result_id", *_form("constructor"))
 
 
+_VISITS = {"_top": Past("sum", "is_top_10"), "_dnf": Past("sum", "is_dnf"), "_n": Past("count")}
+
+
+def _circuit_columns() -> list[Column]:
+    return [
+        mean(F.col("_top"), F.col("_n")).alias("driver_top10_rate_at_circuit"),
+        mean(F.col("_dnf"), F.col("_n")).alias("driver_dnf_rate_at_circuit"),
+        F.col("_n").alias("driver_races_at_circuit"),
+    ]
+
+
 def circuit_form(
     rows: DataFrame, windows: Windows = Windows(), laid: Laid | None = None
 ) -> DataFrame:
@@ -209,18 +223,22 @@ def circuit_form(
     A driver's rows lie in order, and so do those at one circuit: the layout by driver
     serves both windows.
     """
-    wanted = {
-        "_top": Past("sum", "is_top_10"),
-        "_dnf": Past("sum", "is_dnf"),
-        "_n": Past("count"),
-    }
     laid = laid or laid_out(rows, "driver_id", windows, "circuit_id")
-    return prior(laid, wanted, ["driver_id", "circuit_id"]).select(
-        "result_id",
-        mean(F.col("_top"), F.col("_n")).alias("driver_top10_rate_at_circuit"),
-        mean(F.col("_dnf"), F.col("_n")).alias("driver_dnf_rate_at_circuit"),
-        F.col("_n").alias("driver_races_at_circuit"),
-    )
+    return prior(laid, _VISITS, ["driver_id", "circuit_id"]).select("result_id", *_circuit_columns())
+
+
+def with_driver_forms(rows: DataFrame, windows: Windows = Windows()) -> DataFrame:
+    """The rows with the columns of ``driver_form`` and ``circuit_form``.
+
+    The rows themselves are laid out by driver and pass through both windows, so that neither
+    result has to meet them again.
+    """
+    laid = lay_out(rows, ["driver_id"], windows.order, windows.chunk_rows)
+    recent = prior(laid, _recent(windows, True), keep_part=True)
+    helpers = list(_recent(windows, True))
+    recent = recent.select(*[c for c in recent.columns if c not in helpers], *_driver_columns())
+    both = prior(laid, _VISITS, ["driver_id", "circuit_id"], onto=recent)
+    return both.select(*[c for c in both.columns if c not in _VISITS], *_circuit_columns())
 
 
 def prerace_base(lake: Lake, top_k: int = TOP_K) -> DataFrame:
@@ -288,10 +306,11 @@ def features(
 ) -> DataFrame:
     """One row per result with 24 features; published semantics.
 
-    The result rows are stored once and feed the dimensions and all windows.  The windows
-    read narrow columns, laid out once by constructor and once by driver, and their
-    results meet the rows by ``result_id``, which must name a row.  ``rows`` and the
-    dimensions (``driver``, ``constructor``, ``circuit``) may be stored tables.
+    The result rows are stored once and feed the dimensions and all windows.  They are laid
+    out by driver and pass through the windows of the driver and of the driver at a circuit.
+    The constructor's windows read narrow columns laid out by constructor, and meet the rows
+    by ``result_id``, which must name a row.  ``rows`` and the dimensions (``driver``,
+    ``constructor``, ``circuit``) may be stored tables.
     """
     if rows is None:
         rows = materialize(source_rows(lake, top_k, unique_qualifying), "result_rows")
@@ -322,14 +341,8 @@ def features(
         "avg_dnf_rate AS circuit_avg_dnf_rate",
         "times_hosted AS circuit_times_hosted",
     )
-    by_driver = laid_out(rows, "driver_id", windows, "circuit_id")
-    out = rows.drop("laps", "finish_position_order", "points", "positions_gained")
-    for form in (
-        constructor_form(rows, windows),
-        driver_form(rows, windows, by_driver),
-        circuit_form(rows, windows, by_driver),
-    ):
-        out = out.join(form, "result_id")
+    out = with_driver_forms(rows.drop("laps", "finish_position_order"), windows)
+    out = out.drop("points", "positions_gained").join(constructor_form(rows, windows), "result_id")
     out = (
         out.join(constructors, "constructor_id", "left")
         .join(drivers, "driver_id", "left")
