@@ -40,7 +40,7 @@ def _lit(value: float) -> Column:
     return F.lit(value).cast("double")
 
 
-def _bucket(value: Column, interval: Interval, buckets: int) -> Column:
+def bucket_of(value: Column, interval: Interval, buckets: int) -> Column:
     """Number of the bucket of a value inside the interval; it never falls as the value grows.
 
     Infinite values and NaN, which is the largest, have buckets of their own at the ends.
@@ -71,7 +71,7 @@ def _counted(numbers: DataFrame, wanted: Mapping[str, Mapping[Interval, list[int
     for name, parts in wanted.items():
         value = F.col(name)
         part = _case([(_inside(value, i), k) for k, i in enumerate(parts)])
-        bucket = _case([(_inside(value, i), _bucket(value, i, buckets)) for i in parts])
+        bucket = _case([(_inside(value, i), bucket_of(value, i, buckets)) for i in parts])
         entries.append(F.struct(F.lit(name).alias("feature"), part.alias("part"), bucket.alias("bucket"), value.alias("value")))
         places += [(name, k, i.below, ranks) for k, (i, ranks) in enumerate(parts.items())]
     each = numbers.select(F.explode(F.array(*entries)).alias("e")).select("e.*").where(F.col("part").isNotNull())

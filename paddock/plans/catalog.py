@@ -485,20 +485,20 @@ def report_classification(spark, folder):
     return table.select("section", "name", F.round("value", 9).alias("value"))
 
 
-def _number_counts(spark, folder) -> DataFrame:
+def _number_distances(spark, folder, **options) -> DataFrame:
     rows = _split(spark, folder).where(F.col("split").isin("train", "test"))
-    return drift.value_counts(rows, NUMBERS, F.col("split") == "train")
+    return drift.distances(rows, NUMBERS, F.col("split") == "train", **options)
 
 
 @_query
 def drift_ks(spark, folder):
-    scores = drift.ordered_scores(_number_counts(spark, folder))
-    return scores.select("feature", F.round("ks", 9).alias("ks"))
+    return _number_distances(spark, folder).select("feature", F.round("ks", 9).alias("ks"))
 
 
 @_query
 def drift_wasserstein(spark, folder):
-    scores = drift.ordered_scores(_number_counts(spark, folder), chunk_rows=1_000)
+    # few buckets and short chunks, so that open buckets are counted value by value
+    scores = _number_distances(spark, folder, buckets=16, chunk_rows=1_000)
     return scores.select("feature", F.round("wasserstein", 6).alias("wasserstein"))
 
 

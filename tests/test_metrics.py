@@ -119,6 +119,47 @@ def test_jensen_shannon(spark):
     assert drift.drift_summary(flagged).first()["dataset_drift"] is True
 
 
+@pytest.mark.parametrize("buckets", [1024, 64, 5, 1])
+def test_distances_from_buckets(spark, buckets):
+    """The same as from every value: shifted, crossing, equal, constant, infinite and missing columns."""
+    rng = random.Random(8)
+    rows = []
+    for i in range(1500):
+        ref = i < 800
+        rows.append((
+            ref if i % 50 else None,
+            rng.gauss(0 if ref else 2, 1),
+            rng.gauss(0, 1 if ref else 2),
+            rng.gauss(5, 1),
+            7.0,
+            float(rng.randrange(6)) if i % 7 else None,
+            math.inf if i % 90 == 3 else rng.random(),
+            1.0 if ref else None,
+            None,
+        ))
+    names = ["shifted", "crossing", "equal", "constant", "whole", "infinite", "one_side", "gone"]
+    df = spark.createDataFrame(rows, "ref boolean, " + ", ".join(f"{n} double" for n in names)).repartition(3)
+    found = {r["feature"]: r for r in drift.distances(df, names, F.col("ref"), buckets, 100).collect()}
+    want = {r["feature"]: r for r in drift.ordered_scores(drift.value_counts(df, names, F.col("ref"))).collect()}
+    assert set(found) == set(want) == set(names) - {"one_side", "gone"}
+    for name, row in want.items():
+        assert found[name]["ks"] == pytest.approx(row["ks"], rel=1e-12)
+        assert found[name]["wasserstein"] == pytest.approx(row["wasserstein"], rel=1e-9)
+
+
+def test_buckets_settle_what_cannot_cross():
+    bucket = dict(bucket=0, ref_sum=0.0, cur_sum=0.0)
+    # all of one group first: the distance only grows, nothing is left open
+    apart = [
+        {**bucket, "ref": 10, "cur": 0, "low": 0.0, "high": 1.0, "ref_sum": 5.0},
+        {**bucket, "bucket": 1, "ref": 0, "cur": 10, "low": 2.0, "high": 3.0, "cur_sum": 5.0},
+    ]
+    settled = drift._settle(apart, 0.0, 2.0)
+    assert settled.open == [] and settled.ks == 1.0 and settled.area == pytest.approx(2.0)
+    mixed = [{**bucket, "ref": 5, "cur": 5, "low": 0.0, "high": 1.0}]
+    assert drift._settle(mixed, 0.0, 1.0).open == [(0, 1.0, 0, 0)]
+
+
 @pytest.mark.parametrize("buckets", [1024, 3])
 def test_quantiles_are_exact(spark, buckets):
     rng = random.Random(4)
