@@ -11,6 +11,8 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,6 +20,7 @@ SETTING = "spark.checkpoint.dir"
 
 _local_folder: str | None = None
 _shared_folders: set[str] = set()
+_made: list[str] | None = None
 
 
 def _local() -> str:
@@ -51,7 +54,35 @@ def _shared(spark: SparkSession, folder: str) -> str:
 
 def new_path(spark: SparkSession, name: str) -> str:
     """A path that no other query of this or another session uses."""
-    return f"{root(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{root(spark)}/{name}-{uuid.uuid4().hex}"
+    if _made is not None:
+        _made.append(path)
+    return path
+
+
+@contextmanager
+def recorded(paths: list[str]) -> Iterator[list[str]]:
+    """Adds to ``paths`` what is stored meanwhile, so that the caller can release it."""
+    global _made
+    before, _made = _made, paths
+    try:
+        yield paths
+    finally:
+        _made = before
+
+
+def release(spark: SparkSession, paths: list[str]) -> None:
+    """Delete stored tables that nothing reads any more, and forget their paths."""
+    for name in paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    paths.clear()
+
+
+def reads(df: DataFrame, paths: list[str]) -> bool:
+    """Whether ``df`` still depends on any of these stored tables."""
+    folders = [p.rsplit("/", 1)[1] for p in paths]
+    return bool(folders) and any(f"/{folder}/" in file for file in df.inputFiles() for folder in folders)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

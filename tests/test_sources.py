@@ -2,6 +2,7 @@ from pathlib import Path
 
 import pytest
 
+from paddock import scratch
 from paddock.operators import quality
 from paddock.sources import csv_lake, files, lake, schemas, sinks, toy
 
@@ -207,3 +208,17 @@ def test_tables_in_a_database(spark, tmp_path):
     finally:
         spark.conf.unset("spark.sql.cbo.enabled")
     spark.sql("DROP DATABASE paddock_test CASCADE")
+
+
+def test_stored_tables_can_be_released(spark):
+    with scratch.recorded([]) as made:
+        one = scratch.materialize(spark.range(3), "one")
+        with scratch.recorded([]) as inner:
+            two = scratch.materialize(spark.range(4), "two")
+    outside = scratch.materialize(spark.range(5), "outside")
+    assert (len(made), len(inner)) == (1, 1)
+    assert scratch.reads(one.where("id > 0"), made) and not scratch.reads(two, made)
+    paths = list(made)
+    scratch.release(spark, made)
+    assert made == [] and not files.exists(spark, paths[0])
+    assert two.count() == 4 and outside.count() == 5 and not scratch.reads(outside, [])
