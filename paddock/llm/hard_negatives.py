@@ -6,14 +6,12 @@ the columns in descending magnitude of its own components, a few at a time, and
 the rows that are still candidates.  What the columns not yet read can add lies between
 sums of their smallest and largest products, so every candidate has a lower and an upper
 bound; the candidates shrink to those that may still be among the wanted ones, until the
-scores are exact.  The first scan finds positives, the second one the rows in the window of
-each positive.  A group returns a few rows for each anchor, a window function the best.
+scores are exact.  The first scan finds positives, the second one the rows in the windows of
+all positives.  A group returns a few rows for each anchor, a window function the best.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -27,9 +25,9 @@ SCALE = 256
 POSITIVES = 5
 NEGATIVES = 10
 LOW, HIGH = 30, 90  # hundredths of a positive's score between which a negative's lies
-ROWS = 1024
+ROWS = 4096
 ANCHORS = 256
-STEP = 8  # columns read between two cuts
+STEP = 16  # columns read between two cuts
 LARGEST = 65536.0  # components from here on cannot be scored in 64 bits
 
 
@@ -65,25 +63,29 @@ class Block:
         self.columns = np.ascontiguousarray(rows.T)
         self.low = self.columns.min(axis=1) if len(rows) else np.zeros(rows.shape[1], np.int64)
         self.high = self.columns.max(axis=1) if len(rows) else np.zeros(rows.shape[1], np.int64)
+        self.doubles = self.columns.astype(np.float64)
 
-    def scan(self, anchor: np.ndarray, alive: np.ndarray, cut) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    def scan(self, anchor: np.ndarray, alive: np.ndarray, cut) -> tuple[np.ndarray, np.ndarray]:
         """Candidates and exact scores that ``cut(lower, upper)``, a mask of bounds, lets through."""
         order = np.argsort(-np.abs(anchor), kind="stable")
         one, two = anchor * self.low, anchor * self.high
         # what the columns from a place on can add at least and at most
         least = np.append(np.minimum(one, two)[order][::-1].cumsum()[::-1], 0)
         most = np.append(np.maximum(one, two)[order][::-1].cumsum()[::-1], 0)
-        part = np.zeros(len(alive), dtype=np.int64)
+        # sums of whole numbers are exact in doubles as long as they stay below 2^53
+        exact = np.maximum(np.abs(one), np.abs(two)).astype(np.float64).sum() < 2.0**53
+        columns, weights = (self.doubles, anchor.astype(np.float64)) if exact else (self.columns, anchor)
+        part = np.zeros(len(alive), dtype=weights.dtype)
         for first in range(0, len(order), STEP):
             if not len(alive):
                 break
-            for d in order[first : first + STEP]:
-                if anchor[d]:
-                    part += anchor[d] * self.columns[d, alive]
+            own = order[first : first + STEP]
+            part += weights[own] @ columns[own].take(alive, axis=1)
             read = min(first + STEP, len(order))
             kept = cut(part + least[read], part + most[read])
-            alive, part = alive[kept], part[kept]
-        return alive, part
+            if not kept.all():
+                alive, part = alive[kept], part[kept]
+        return alive, part.astype(np.int64)
 
 
 def _at_least(lower: np.ndarray, k: int):
@@ -101,20 +103,23 @@ def nearest(block: Block, anchor: np.ndarray, alive: np.ndarray, k: int) -> tupl
     return block.scan(anchor, alive, cut)
 
 
-def in_window(block: Block, anchor: np.ndarray, alive: np.ndarray, low: int, high: int, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Candidates with scores in [low, high] that may be the k highest of them."""
+def in_windows(
+    block: Block, anchor: np.ndarray, alive: np.ndarray, windows: list[tuple[int, int]], k: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """Candidates that may be among the k highest scores of a window [low, high]."""
+    least, last_low = min(low for low, _ in windows), max(low for low, _ in windows)
+    first_high, most = min(high for _, high in windows), max(high for _, high in windows)
 
     def cut(lower, upper):
-        inside = (lower >= low) & (upper <= high)
-        floor = _at_least(lower[inside], k)
-        return (upper >= (low if floor is None else max(low, floor))) & (lower <= high)
+        # k rows inside all windows leave no place for what lies below them
+        floor = _at_least(lower[(lower >= last_low) & (upper <= first_high)], k)
+        return (upper >= (least if floor is None else max(least, floor))) & (lower <= most)
 
-    alive, scores = block.scan(anchor, alive, cut)
-    inside = (scores >= low) & (scores <= high)
-    return alive[inside], scores[inside]
+    return block.scan(anchor, alive, cut)
 
 
 def _best(scores: np.ndarray, rank: np.ndarray, k: int) -> np.ndarray:
+    """Places of the k highest scores, equal ones by rank."""
     return np.lexsort((rank, -scores))[:k]
 
 
@@ -166,11 +171,16 @@ def _negatives(k: int, low: int, high: int):
             tags, wanted = anchors.column("tag").to_pylist(), anchors.column("positive_scores").to_pylist()
             for i, tag in enumerate(tags):
                 others = np.flatnonzero(labels != own[i])
-                for score in set(wanted[i]):
-                    alive, scores = in_window(block, vectors[i], others, -(-low * score // 100), high * score // 100, k)
-                    best = _best(scores, place[alive], k)
+                windows = {w: (-(-low * w // 100), high * w // 100) for w in set(wanted[i])}
+                windows = {w: (first, last) for w, (first, last) in windows.items() if first <= last}
+                if not windows:
+                    continue
+                alive, scores = in_windows(block, vectors[i], others, list(windows.values()), k)
+                for w, (first, last) in windows.items():
+                    inside = np.flatnonzero((scores >= first) & (scores <= last))
+                    best = inside[_best(scores[inside], place[alive[inside]], k)]
                     found[0].append(np.full(len(best), tag))
-                    found[1].append(np.full(len(best), score))
+                    found[1].append(np.full(len(best), w))
                     found[2].append(scores[best])
                     at.append(alive[best])
         return _collected(rows, ["anchor", "positive_score", "score"], found, at)
