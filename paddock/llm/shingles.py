@@ -174,10 +174,10 @@ def link_blocks(pairs: DataFrame, members: DataFrame, texts: DataFrame, width: i
     """
     asked = materialize(pairs.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / most).cast("long").alias("parts")), "asked")
     part = F.pmod(F.xxhash64("tag"), F.col("parts")).alias("part")
-    asking = pairs.join(asked, "block").select("block", part, "tag", "comp").join(texts, "tag")
+    asking = pairs.join(asked, "block").select("block", part, "tag", "comp").join(texts.hint("merge"), "tag")
     asking = asking.select(*[F.col(c).alias(f"by_{c}") for c in ("block", "part", "tag", "comp", "packed")])
     each = F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part")
-    opened = members.join(asked, "block").join(texts, "tag").select("block", each, "tag", "comp", "packed")
+    opened = members.join(asked, "block").join(texts.hint("merge"), "tag").select("block", each, "tag", "comp", "packed")
     keys = "block", "part"
 
     def run(block: pa.Table, queries: pa.Table) -> pa.Table:

@@ -67,6 +67,8 @@ def test_first_tokens():
     assert ngram_join.first_tokens(one, shared, 80).tolist() == [11, 13, 14]
     # 80 % of six are five of them: two first ones
     assert len(ngram_join.first_tokens(one[:6], none, 80)) == 2
+    many = np.arange(100, dtype=np.uint64)
+    assert len(ngram_join.first_tokens(many, none, 80)) == 30 and ngram_join.needed(100, 80) == 8
 
 
 def test_union_bounds_what_is_opened():
