@@ -230,6 +230,19 @@ def _write_observed(raw: DataFrame, kinds: Mapping[str, str], target: str) -> di
     return seen.get
 
 
+def _session_apart(spark: SparkSession) -> SparkSession:
+    """A session with the same settings, in which rows may be observed.
+
+    A session that has observed anything can no longer be part of a task, as it is in those
+    that apply a stored model.
+    """
+    session = spark.newSession()
+    for name, value in spark.conf.getAll.items():
+        if session.conf.isModifiable(name):
+            session.conf.set(name, value)
+    return session
+
+
 def convert_csv(
     spark: SparkSession, csv_path: str, lake: str, table: str | None = None
 ) -> tuple:
@@ -242,7 +255,7 @@ def convert_csv(
     """
     table = table or files.stem(csv_path)
     target, aside = f"{lake}/{table}.parquet", f"{lake}/_quarantine/{table}.parquet"
-    raw = scan_csv(spark, csv_path)
+    raw = scan_csv(_session_apart(spark), csv_path)
     names, hints = _names(raw), TYPES.get(table, {})
     inferred = _inferred(raw, [n for n in names if n not in hints])
     kinds = {n: hints.get(n) or inferred[n] for n in names}
