@@ -141,30 +141,32 @@ def _name(id_col: str, tag: str):
     return F.concat(F.lit("urn:x-page:"), F.coalesce(id_col, F.lit("")), F.lit(":"), F.col(tag).cast("string"))
 
 
-def _inflate(file, size: int, at: int, whole: bool) -> tuple[bytes, int] | None:
-    """Content and end of the member at ``at``; None if there is none.
+def _inflate(file, size: int, at: int) -> tuple[bytes, int, str | None] | None:
+    """Content and end of the member at ``at`` and what is wrong with it; None if it is no record.
 
-    Without ``whole`` it stops as soon as the first bytes are known.
+    A member that begins as a record but ends with the file, or cannot be inflated further,
+    gives what was read; the search goes on behind its first bytes.
     """
-    member, data, pos = zlib.decompressobj(31), [], at
+    member, data, pos, error = zlib.decompressobj(31), [], at, None
     try:
         while not member.eof:
             step = min(_READ if data else 4096, size - pos)
             if step <= 0:
-                return None
+                error = "truncated"
+                break
             data.append(member.decompress(file.read_at(step, pos)))
             pos += step
             if len(data) == 1 and not data[0].startswith(b"WARC/1."):
                 return None
-            if not whole and data:
-                break
     except zlib.error:
+        error = "corrupt"
+    if not data:
         return None
-    return b"".join(data), pos - len(member.unused_data)
+    return b"".join(data), at + 1 if error else pos - len(member.unused_data), error
 
 
-def _owned(file, size: int, start: int, end: int) -> Iterator[tuple[int, bytes]]:
-    """Offset and content of the records that start in [start, end)."""
+def _owned(file, size: int, start: int, end: int) -> Iterator[tuple[int, bytes, str | None]]:
+    """Offset, content and fault of the records that start in [start, end)."""
     at = start
     while at < end:
         window = file.read_at(min(_READ, min(end + len(_MAGIC) - 1, size) - at), at)
@@ -177,25 +179,51 @@ def _owned(file, size: int, start: int, end: int) -> Iterator[tuple[int, bytes]]
         at += found
         if at >= end:
             return
-        member = _inflate(file, size, at, whole=True)
+        member = _inflate(file, size, at)
         if member is None:
             at += 1
         else:
-            yield at, member[0]
+            yield at, member[0], member[2]
             at = member[1]
 
 
-def parse(content: bytes) -> tuple[dict[str, str], bytes]:
-    """Header fields, by lower-case name, and the block of a record."""
+def parse(content: bytes) -> tuple[dict[str, str], bytes, str | None]:
+    """Header fields, by lower-case name, the block of a record and what is wrong with it.
+
+    A field is split at its first colon, a line that begins with a blank goes on with the
+    field before.  A record without a type or a usable length is returned as far as it goes.
+    """
     head, _, rest = content.partition(b"\r\n\r\n")
-    fields = dict(line.split(": ", 1) for line in head.decode("utf-8", "replace").split("\r\n")[1:] if ": " in line)
-    fields = {k.lower(): v for k, v in fields.items()}
-    return fields, rest[: int(fields["content-length"])]
+    fields: dict[str, str] = {}
+    last = None
+    for line in head.decode("utf-8", "replace").split("\r\n")[1:]:
+        if line[:1] in (" ", "\t") and last:
+            fields[last] = f"{fields[last]} {line.strip()}"
+        elif ":" in line:
+            name, _, value = line.partition(":")
+            last = name.strip().lower()
+            fields[last] = value.strip()
+    length = fields.get("content-length", "")
+    error = None if "warc-type" in fields else "no type"
+    if not (length.isascii() and length.isdigit()):
+        return fields, rest, error or "no length"
+    if len(rest) < int(length):
+        return fields, rest, error or "truncated"
+    return fields, rest[: int(length)], error
+
+
+def _payload(kind: str | None, fields: dict[str, str], block: bytes) -> bytes | None:
+    """What a record carries: the body of an HTTP message, else its block; none for a revisit."""
+    if kind in (None, "revisit"):
+        return None
+    if fields.get("content-type", "").lower().startswith("application/http"):
+        return block.partition(b"\r\n\r\n")[2]
+    return block
 
 
 def _reader(with_payload: bool):
-    names = ["path", "offset", "record_type", "record_id", "refers_to", "target_uri", "payload_digest", "stated_digest", "payload_bytes", "payload"]
-    types = [pa.string(), pa.int64(), *[pa.string()] * 6, pa.int64(), pa.binary()]
+    names = ["path", "offset", "record_type", "record_id", "refers_to", "target_uri", "payload_digest", "stated_digest", "payload_bytes", "payload", "error"]
+    types = [pa.string(), pa.int64(), *[pa.string()] * 6, pa.int64(), pa.binary(), pa.string()]
 
     def rows(held: list[tuple]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays(
@@ -208,10 +236,10 @@ def _reader(with_payload: bool):
             for part in batch.to_pylist():
                 system, path = _open(part["path"])
                 with system.open_input_file(path) as file:
-                    for offset, content in _owned(file, part["length"], part["start"], part["end"]):
-                        fields, block = parse(content)
-                        kind = fields["warc-type"]
-                        payload = block.partition(b"\r\n\r\n")[2] if kind == "response" else None
+                    for offset, content, fault in _owned(file, part["length"], part["start"], part["end"]):
+                        fields, block, error = parse(content)
+                        kind = fields.get("warc-type")
+                        payload = _payload(kind, fields, block)
                         bare = [fields.get(k, "").strip("<>") or None for k in ("warc-record-id", "warc-refers-to")]
                         held.append(
                             (
@@ -220,6 +248,7 @@ def _reader(with_payload: bool):
                                 fields.get("warc-payload-digest", "").removeprefix("sha1:") or None,
                                 None if payload is None else len(payload),
                                 payload if with_payload else None,
+                                fault or error,
                             )
                         )
                         weight += 1000 + len(payload or b"") * with_payload
@@ -234,15 +263,17 @@ def _reader(with_payload: bool):
 
 _RECORD = (
     "path string, offset long, record_type string, record_id string, refers_to string, target_uri string, "
-    "payload_digest string, stated_digest string, payload_bytes long, payload binary"
+    "payload_digest string, stated_digest string, payload_bytes long, payload binary, error string"
 )
 
 
 def read(spark: SparkSession, folder: str, split_bytes: int = SPLIT_BYTES, with_payload: bool = True) -> DataFrame:
-    """Every record of the ``.warc.gz`` files below ``folder``.
+    """Every record of the ``.warc.gz`` files below ``folder``, of whatever type.
 
     ``payload_digest`` and ``payload_bytes`` are computed from the payload read and null
-    for revisits, ``stated_digest`` is the header's.
+    for revisits, ``stated_digest`` is the header's.  ``error`` is null for a whole record; one
+    that is cut off or cannot be inflated further (truncated, corrupt) or lacks its type or
+    a usable length has what could be read.
     """
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.gz").option("recursiveFileLookup", "true")
     listed = files.load(folder).select("path", "length").where("length > 0")
@@ -257,10 +288,10 @@ def resolved(records: DataFrame) -> DataFrame:
     """Stored records with the payload's bytes and digest also for revisits.
 
     A revisit takes them from the response it refers to, whose digest must be the one
-    it states; otherwise they stay null.
+    it states; otherwise they stay null.  Records of other types stay as they are.
     """
-    plain = records.where("record_type = 'response'")
-    target = plain.select(
+    plain = records.where("record_type is null or record_type <> 'revisit'")
+    target = records.where("record_type = 'response'").select(
         F.col("record_id").alias("refers_to"), F.col("payload_bytes").alias("bytes"), F.col("payload_digest").alias("found")
     )
     # two plain shuffles: adaptive execution splits a response with very many revisits

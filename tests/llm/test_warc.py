@@ -77,3 +77,37 @@ def test_members_are_plain_gzip(spark, tmp_path):
 def test_empty(spark, tmp_path):
     folder = written(spark, tmp_path, [])
     assert warc.resolved(warc.materialize(warc.read(spark, folder), "records")).count() == 0
+
+
+def foreign(lines, block, ends=b"\r\n\r\n"):
+    return gzip.compress(b"WARC/1.0\r\n" + b"\r\n".join(lines) + b"\r\n\r\n" + block + ends)
+
+
+def test_archives_of_others(spark, tmp_path):
+    """Fields without a blank, folded ones, other types, and records that are not whole."""
+    http = b"HTTP/1.1 200 OK\r\nX: y\r\n\r\nbody"
+    members = [
+        foreign([b"WARC-Type:warcinfo", b"Content-Length:4", b"WARC-Record-ID:<urn:a>"], b"info"),
+        foreign([b"WARC-Type:response", b"Content-Type:application/http;msgtype=response", b"content-length:%d" % len(http),
+                 b"WARC-Record-ID :<urn:b>", b"WARC-Target-URI: http://h/a:b?c", b"\tgoes on"], http),
+        foreign([b"WARC-Type: metadata", b"Content-Length: 3", b"no colon here"], b"x: "),
+        foreign([b"Content-Length: 2", b"WARC-Record-ID: <urn:d>"], b"ab"),
+        foreign([b"WARC-Type: resource", b"Content-Length: many"], b"left"),
+        foreign([b"WARC-Type: resource", b"Content-Length: 900"], b"too little"),
+    ]
+    broken = foreign([b"WARC-Type: resource", b"Content-Length: 9000"], random.Random(1).randbytes(9000))
+    corrupt = broken[:5000] + b"\xff" * 40 + broken[5040:-8] + b"\0" * 8
+    folder = tmp_path / "w"
+    folder.mkdir()
+    (folder / "a.warc.gz").write_bytes(b"".join(members) + corrupt + members[0] + broken[:6000])
+    for split in (97, 1 << 20):
+        rows = warc.read(spark, f"file://{folder}", split_bytes=split).orderBy("offset").collect()
+        assert [(r["record_type"], r["error"]) for r in rows] == [
+            ("warcinfo", None), ("response", None), ("metadata", None), (None, "no type"), ("resource", "no length"),
+            ("resource", "truncated"), ("resource", "corrupt"), ("warcinfo", None), ("resource", "truncated"),
+        ]
+        assert [bytes(r["payload"]) for r in rows[:3]] == [b"info", b"body", b"x: "]
+        assert rows[1]["record_id"] == "urn:b" and rows[1]["target_uri"] == "http://h/a:b?c goes on"
+        assert warc.base32_sha1(b"body") == rows[1]["payload_digest"]
+    records = warc.materialize(warc.read(spark, f"file://{folder}"), "records")
+    assert warc.resolved(records).count() == 9
