@@ -33,6 +33,8 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from paddock.scratch import recorded, release
+
 from .common import identified, materialize
 from .components import components
 from .shingles import ODD, Words, classes, digest, link_blocks, mix, outcome, packed, shingles, unpacked
@@ -77,7 +79,7 @@ def band_keys(signature: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return key.view(np.int64)
 
 
-def _blocks(sets: list[np.ndarray]) -> Iterator[list[int]]:
+def blocks_of(sets: list[np.ndarray]) -> Iterator[list[int]]:
     """Numbers of non-empty sets, in blocks of a bounded number of shingles."""
     block, size = [], 0
     for i, s in enumerate(sets):
@@ -101,7 +103,7 @@ def _fingerprinted(width: int, bands: int, rows: int):
             sets = [shingles(t, width, known) for t in texts]
             marks = np.zeros((len(sets), 2), dtype=np.uint64)
             keys: list = [None] * len(sets)
-            for block in _blocks(sets):
+            for block in blocks_of(sets):
                 own = [sets[i] for i in block]
                 for i, found in zip(block, band_keys(signatures(own, bands * rows), bands, rows), strict=True):
                     keys[i] = found
@@ -152,9 +154,10 @@ def _compared(width: int):
 def _compare(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
     """Stored: far and linked of pairs (pivot, tag), from full sets."""
     # texts have one row a tag; large partitions of a pivot are split by adaptive execution,
-    # as both sides of the joins are plain shuffles of stored tables
-    with_two = pairs.join(texts.select("tag", F.col("packed").alias("two")), "tag")
-    with_both = with_two.join(texts.select(F.col("tag").alias("pivot"), F.col("packed").alias("one")), "pivot")
+    # as both sides of the joins are plain shuffles of stored tables, the same at every size
+    with_two = pairs.join(texts.select("tag", F.col("packed").alias("two")).hint("merge"), "tag")
+    ones = texts.select(F.col("tag").alias("pivot"), F.col("packed").alias("one"))
+    with_both = with_two.join(ones.hint("merge"), "pivot")
     schema = "pivot long, tag long, n_pivot long, n long, common long"
     compared = with_both.select("pivot", "tag", "one", "two").mapInArrow(_compared(width), schema)
     union = F.col("n_pivot") + F.col("n") - F.col("common")
@@ -223,7 +226,7 @@ def _linked(sets: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataF
     pivots = members.groupBy("key").agg(F.min(F.struct((-F.col("meets")).alias("meets"), "tag")).alias("p"))
     pivots = materialize(pivots.select("key", F.col("p.tag").alias("pivot")), "pivots")
     met = materialize(members.select("key", "tag").join(pivots, "key").where("tag <> pivot"), "met")
-    texts = materialize(sets.select("tag", "packed").join(meets.select("tag"), "tag", "left_semi"), "texts")
+    texts = materialize(sets.select("tag", "packed").join(meets.select("tag").hint("merge"), "tag", "left_semi"), "texts")
     compared = _compare(materialize(met.select("pivot", "tag").distinct(), "pairs"), texts, width, percent)
     links = materialize(compared.where("linked").select(F.col("pivot").alias("a"), F.col("tag").alias("b")), "links")
     stars = components(links)
@@ -259,10 +262,14 @@ def cluster(
 def cluster_rows(rows: DataFrame, width: int, percent: int) -> DataFrame:
     """``cluster`` for rows of tag, id and text, which are read once."""
     schema = _FINGERPRINT.format(id=rows.schema["id"].dataType.simpleString())
-    stored = materialize(rows.mapInArrow(_fingerprinted(width, BANDS, ROWS), schema), "fingerprints")
+    with recorded([]) as fingerprints:
+        stored = materialize(rows.mapInArrow(_fingerprinted(width, BANDS, ROWS), schema), "fingerprints")
     members, reps = classes(stored)
-    sets = stored.select("tag", "n", "bands", "packed").join(reps, "tag", "left_semi")
-    stars, links = _linked(materialize(sets, "representatives"), width, percent)
+    sets = stored.select("tag", "n", "bands", "packed").join(reps.hint("merge"), "tag", "left_semi")
+    sets = materialize(sets, "representatives")
+    stored = materialize(stored.select("tag", "id", "n"), "sizes")
+    release(rows.sparkSession, fingerprints)
+    stars, links = _linked(sets, width, percent)
     return outcome(stored, members, stars, links)
 
 
