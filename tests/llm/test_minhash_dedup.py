@@ -113,3 +113,33 @@ def test_empty(spark):
 def test_confirmed_links_are_named_so(spark):
     columns = minhash_dedup.cluster(empty(spark)).columns
     assert "n_confirmed_links" in columns and "n_links" not in columns
+
+
+def test_one_family_of_5000_copies(spark):
+    """Each copy with some words changed its own way: many are linked by other copies only."""
+    r = random.Random(12)
+    base = prose(8, 40).split(" ")
+    texts = [t for changes in (1, 2, 3, 4, 5) for t in family(r, base, 1000, changes)]
+    sets = [sorted(shingle_set(t, 2)) for t in texts]
+    sizes, postings = np.array([len(s) for s in sets]), {}
+    for i, s in enumerate(sets):
+        for token in s:
+            postings.setdefault(token, []).append(i)
+    postings = {token: np.array(rows) for token, rows in postings.items()}
+    root = np.arange(len(texts))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i, s in enumerate(sets):
+        common = np.bincount(np.concatenate([postings[t] for t in s]), minlength=len(sets))
+        for j in np.flatnonzero(100 * common >= 80 * (sizes + sizes[i] - common)).tolist():
+            a, b = find(i), find(j)
+            root[max(a, b)] = min(a, b)
+    want = [find(i) for i in range(len(texts))]
+    assert 1000 < len(set(want)) < 4000
+    docs = spark.createDataFrame([(i, t, *[None] * 7) for i, t in enumerate(texts)], SCHEMA).repartition(6)
+    found = {x["id"]: x["component_id"] for x in minhash_dedup.cluster(docs, width=2).collect()}
+    assert [found[i] for i in range(len(texts))] == want

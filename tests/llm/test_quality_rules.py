@@ -53,6 +53,20 @@ def test_limits_follow_the_source(spark):
     assert sum(1000 + i in kept for i in range(80)) >= 76
 
 
+def test_limits_move_smoothly_with_the_rows(spark):
+    """From one row to many the limit of a group leaves that of its language in small steps."""
+
+    def limit(n):
+        # the language's quartiles are 0, its limit is 60; the group's own limit is 40 + 60
+        rows = [("en", "own", "symbol_rate", 40, n), ("en", "other", "symbol_rate", 0, 10**6)]
+        sketched = spark.createDataFrame(rows, "lang string, source string, rate string, bucket int, n long")
+        return quality_rules.limits(sketched).where("source_2 = 'own'").first()["symbol_rate_max"]
+
+    found = [limit(n) for n in (1, 5, 10, 20, 48, 49, 50, 51, 100, 10_000)]
+    assert found == sorted(found) and found[0] < 65 and found[-1] >= 99
+    assert max(found[4:8]) - min(found[4:8]) <= 1
+
+
 def test_rows_stay_whole(spark):
     docs = documents(spark)
     kept = quality_rules.keep_good(docs)
