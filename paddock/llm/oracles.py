@@ -40,11 +40,17 @@ def _fences(name: str) -> str:
     low, high = _TOP.format(b="low_b"), _TOP.format(b="high_b")
     return f"""
   SELECT * EXCLUDE (low_b, high_b),
-         ({low}) - 3 * greatest(({high}) - ({low}), least_width) AS low,
+         greatest(({low}) - 3 * greatest(({high}) - ({low}), least_width), 0) AS low,
          ({high}) + 3 * greatest(({high}) - ({low}), least_width) AS high
   FROM {name} JOIN widths USING (rate)"""
 
 
+def _blended(end: str) -> str:
+    """A group's limit by its rows, its language's as ten rows, which blends in the corpus's."""
+    of_lang = f"(f1.total::BIGINT * f1.{end} + 10 * f0.{end})::BIGINT // (f1.total::BIGINT + 10)"
+    return f"(f2.total::BIGINT * f2.{end} + 10 * ({of_lang}))::BIGINT // (f2.total::BIGINT + 10)"
+
+
 OP3 = rf"""
 WITH d AS MATERIALIZED (
   SELECT row_number() OVER () AS row_id, doc_id, lang, source, coalesce(text, '') AS text,
@@ -98,9 +104,7 @@ WITH d AS MATERIALIZED (
 ), failed AS (
   SELECT DISTINCT row_id
   FROM long JOIN f2 USING (lang, source, rate) JOIN f1 USING (lang, rate) JOIN f0 USING (rate)
-  WHERE v > CASE WHEN f2.total >= 50 THEN f2.high WHEN f1.total >= 50 THEN f1.high ELSE f0.high END
-     OR f2.low_counts
-        AND v < CASE WHEN f2.total >= 50 THEN f2.low WHEN f1.total >= 50 THEN f1.low ELSE f0.low END
+  WHERE v > {_blended("high")} OR f2.low_counts AND v < {_blended("low")}
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND row_id NOT IN (SELECT row_id FROM failed) AS kept

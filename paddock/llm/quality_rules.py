@@ -5,6 +5,10 @@ per log-linear bucket (64 buckets for the first two octaves, then 32 an octave,
 quantile is off by 1/32 at most), which merge by adding and depend on no order.  From the
 quartiles of a (language, source) follows the range in which its documents usually lie;
 rows outside are rejected by a join with these limits.
+
+Few rows say little about a group.  A limit is therefore a mean of that of the group, weighed
+by its rows, and that of its language, weighed as ``PRIOR_ROWS`` rows; that of the language
+one of its own and that of the corpus.  It moves smoothly from one to the other as a group grows.
 """
 
 from __future__ import annotations
@@ -43,7 +47,7 @@ RATES = (
     Rate("word_length", 100, both_sides=True),
 )
 FENCE = 3  # widths of the middle half beyond the quartiles
-MIN_ROWS = 50  # smaller groups take the limits of their language, then of the corpus
+PRIOR_ROWS = 10  # rows as which the limits of the language count beside a group's own
 
 
 def _without(text: Column, characters: str) -> Column:
@@ -163,7 +167,7 @@ def quartiles(sketched: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def limits(sketched: DataFrame, min_rows: int = MIN_ROWS) -> DataFrame:
+def limits(sketched: DataFrame, prior_rows: int = PRIOR_ROWS) -> DataFrame:
     """One row for each (lang, source): ``<rate>_min`` and ``<rate>_max``."""
     least = F.create_map(*[F.lit(x) for r in RATES for x in (r.name, r.least)])
     levels = (["lang", "source"], ["lang"], [])
@@ -176,7 +180,10 @@ def limits(sketched: DataFrame, min_rows: int = MIN_ROWS) -> DataFrame:
             *[F.col(k).alias(f"{k}_{depth}") for k in keys],
             F.col("rate").alias(f"rate_{depth}"),
             F.struct(
-                F.col("rows"), (F.col("low") - width).alias("min"), (F.col("high") + width).alias("max")
+                F.col("rows"),
+                # no rate is below 0
+                F.greatest(F.col("low") - width, F.lit(0)).cast("long").alias("min"),
+                (F.col("high") + width).cast("long").alias("max"),
             ).alias(f"at_{depth}"),
         )
 
@@ -185,26 +192,25 @@ def limits(sketched: DataFrame, min_rows: int = MIN_ROWS) -> DataFrame:
         by_lang,
         F.col("lang_2").eqNullSafe(F.col("lang_1")) & (F.col("rate_2") == F.col("rate_1")),
     ).join(everywhere, F.col("rate_2") == F.col("rate_0"))
-    chosen = (
-        F.when(F.col("at_2.rows") >= min_rows, F.col("at_2"))
-        .when(F.col("at_1.rows") >= min_rows, F.col("at_1"))
-        .otherwise(F.col("at_0"))
+
+    def blended(end: str) -> str:
+        of_lang = f"((at_1.rows * at_1.{end} + {prior_rows}L * at_0.{end}) div (at_1.rows + {prior_rows}L))"
+        return f"(at_2.rows * at_2.{end} + {prior_rows}L * {of_lang}) div (at_2.rows + {prior_rows}L)"
+
+    ends = ("min", "max")
+    rows = joined.select(
+        "lang_2", "source_2", F.col("rate_2").alias("rate"), *[F.expr(blended(end)).alias(end) for end in ends]
     )
-    rows = joined.select("lang_2", "source_2", F.col("rate_2").alias("rate"), chosen.alias("at"))
     return rows.groupBy("lang_2", "source_2").agg(
-        *[
-            F.max(F.when(F.col("rate") == r.name, F.col(f"at.{end}"))).alias(f"{r.name}_{end}")
-            for r in RATES
-            for end in ("min", "max")
-        ]
+        *[F.max(F.when(F.col("rate") == r.name, F.col(end))).alias(f"{r.name}_{end}") for r in RATES for end in ends]
     )
 
 
-def judged(rows: DataFrame, min_rows: int = MIN_ROWS) -> DataFrame:
+def judged(rows: DataFrame, prior_rows: int = PRIOR_ROWS) -> DataFrame:
     """Adds ``kept`` to a stored table with the columns of ``measured()``."""
     usable = rows.where(~F.col("base_failed"))
     # small and with a true size once stored, so that Spark can choose the join by it
-    fences = materialize(limits(sketch(usable), min_rows), "limits")
+    fences = materialize(limits(sketch(usable), prior_rows), "limits")
     inside = ~F.col("base_failed")
     for r in RATES:
         inside &= F.col(r.name) <= F.col(f"{r.name}_max")
@@ -218,16 +224,16 @@ def judged(rows: DataFrame, min_rows: int = MIN_ROWS) -> DataFrame:
     return joined.withColumn("kept", F.coalesce(inside, F.lit(False))).select(*rows.columns, "kept")
 
 
-def judge(docs: DataFrame, min_rows: int = MIN_ROWS) -> DataFrame:
+def judge(docs: DataFrame, prior_rows: int = PRIOR_ROWS) -> DataFrame:
     """Base counts, rates, base_failed and kept of every document.
 
     Null and empty texts have no words and fail.  A null language or source is a group of
     its own.  Repeated rows are judged alike.  An empty table gives no rows.
     """
-    return judged(materialize(measured(docs), "measured"), min_rows)
+    return judged(materialize(measured(docs), "measured"), prior_rows)
 
 
-def keep_good(docs: DataFrame, min_rows: int = MIN_ROWS) -> DataFrame:
+def keep_good(docs: DataFrame, prior_rows: int = PRIOR_ROWS) -> DataFrame:
     """The documents that pass, with all their columns."""
     stored = materialize(measured(docs, row=F.struct("*")), "measured")
-    return judged(stored, min_rows).where("kept").select("row.*")
+    return judged(stored, prior_rows).where("kept").select("row.*")
