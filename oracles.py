@@ -845,6 +845,9 @@ SELECT feature, 'js', round(sqrt(greatest(d, 0)), 9), sqrt(greatest(d, 0)) > 0.1
             "SELECT feature, round(max(gap), 9) AS ks FROM drift_steps GROUP BY feature",
         "drift_wasserstein": """
 SELECT feature, round(coalesce(sum(gap * width), 0), 6) AS wasserstein
+FROM drift_steps GROUP BY feature""",
+        "drift_distances": """
+SELECT feature, round(max(gap), 9) AS ks, round(coalesce(sum(gap * width), 0), 6) AS wasserstein
 FROM drift_steps GROUP BY feature""",
         "drift_js":
             "SELECT feature, round(score, 9) AS js FROM drift WHERE score_name = 'js'",

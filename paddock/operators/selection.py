@@ -11,6 +11,7 @@ values there are.  The intervals of a pass are a few constants of its plan.
 from __future__ import annotations
 
 import math
+import sys
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -36,20 +37,24 @@ def _same(a: float, b: float) -> bool:
     return a == b or (math.isnan(a) and math.isnan(b))
 
 
-def _lit(value: float) -> Column:
-    return F.lit(value).cast("double")
+# what an interval needs to number the buckets of its values, as columns
+SCALE = "low double, high double, base double, span double, by double"
 
 
-def bucket_of(value: Column, interval: Interval, buckets: int) -> Column:
-    """Number of the bucket of a value inside the interval; it never falls as the value grows.
+def scale_of(interval: Interval) -> tuple[float, float, float, float, float]:
+    """The values of ``SCALE``: ends, and finite start and width, halved where the width is not."""
+    low = max(interval.low, -sys.float_info.max)
+    high = min(interval.high, sys.float_info.max) if interval.high == interval.high else sys.float_info.max
+    by = 2.0 if math.isinf(high - low) else 1.0
+    return interval.low, interval.high, low / by, high / by - low / by, by
+
+
+def bucket_of(value: Column, buckets: int) -> Column:
+    """Number of the bucket of a value by the columns of ``SCALE``; it never falls as the value grows.
 
     Infinite values and NaN, which is the largest, have buckets of their own at the ends.
     """
-    low = interval.low if interval.low > -_INFINITE else -1.7976931348623157e308
-    high = interval.high if interval.high < _INFINITE else 1.7976931348623157e308
-    # halves where the width itself is no finite number
-    by = 2.0 if math.isinf(high - low) else 1.0
-    share = (value / by - _lit(low / by)) / _lit(high / by - low / by) if high > low else F.lit(0.0)
+    share = F.when(F.col("span") > 0, (value / F.col("by") - F.col("base")) / F.col("span")).otherwise(0.0)
     inner = F.greatest(F.lit(0), F.least(F.floor(share * buckets), F.lit(buckets - 1)))
     return (
         F.when(F.isnan(value), buckets + 1)
@@ -60,42 +65,29 @@ def bucket_of(value: Column, interval: Interval, buckets: int) -> Column:
     )
 
 
-def _inside(value: Column, interval: Interval) -> Column:
-    # comparisons know NaN as equal to itself and larger than anything else
-    return (value >= _lit(interval.low)) & (value <= _lit(interval.high))
-
-
 def _counted(numbers: DataFrame, wanted: Mapping[str, Mapping[Interval, list[int]]], buckets: int) -> list:
     """(feature, part, n, low, high, below) of each bucket that holds a wanted rank."""
-    entries, places = [], []
+    spark, places = numbers.sparkSession, []
     for name, parts in wanted.items():
-        value = F.col(name)
-        part = _case([(_inside(value, i), k) for k, i in enumerate(parts)])
-        bucket = _case([(_inside(value, i), bucket_of(value, i, buckets)) for i in parts])
-        entries.append(F.struct(F.lit(name).alias("feature"), part.alias("part"), bucket.alias("bucket"), value.alias("value")))
-        places += [(name, k, i.below, ranks) for k, (i, ranks) in enumerate(parts.items())]
-    each = numbers.select(F.explode(F.array(*entries)).alias("e")).select("e.*").where(F.col("part").isNotNull())
-    counts = each.groupBy("feature", "part", "bucket").agg(
+        places += [(name, k, i.below, ranks, *scale_of(i)) for k, (i, ranks) in enumerate(parts.items())]
+    # one row per column and interval: a few constants, which keep the expressions short
+    intervals = spark.createDataFrame(places, f"feature string, part int, start long, ranks array<long>, {SCALE}")
+    value = F.col("value")
+    each = numbers.unpivot([], list(wanted), "feature", "value").join(F.broadcast(intervals.drop("start", "ranks")), "feature")
+    # comparisons know NaN as equal to itself and larger than anything else
+    inside = each.where((value >= F.col("low")) & (value <= F.col("high")))
+    counts = inside.groupBy("feature", "part", bucket_of(value, buckets).alias("bucket")).agg(
         F.count(F.lit(1)).alias("n"), F.min("value").alias("low"), F.max("value").alias("high")
     )
-    ranks = numbers.sparkSession.createDataFrame(places, "feature string, part int, start long, ranks array<long>")
     # at most a bucket count of rows in each partition of the window
     along = Window.partitionBy("feature", "part").orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    # one row per column and interval, a few constants
+    ranks = intervals.select("feature", "part", "start", "ranks")
     placed = counts.withColumn("upto", F.sum("n").over(along)).join(F.broadcast(ranks), ["feature", "part"])
     placed = placed.withColumn("through", F.col("start") + F.col("upto")).withColumn("below", F.col("through") - F.col("n"))
     holds = F.exists("ranks", lambda r: (F.col("below") <= r) & (r < F.col("through")))
     return placed.where(holds).select("feature", "part", "low", "high", "below", "through").collect()
 
 
-def _case(cases: Sequence[tuple[Column, object]]) -> Column:
-    """A searched CASE over disjoint conditions, NULL where none holds."""
-    out = F.when(cases[0][0], cases[0][1])
-    for condition, value in cases[1:]:
-        out = out.when(condition, value)
-    return out
-
-
 def order_statistics(
     df: DataFrame, columns: Sequence[str], shares: Sequence[float], buckets: int = BUCKETS
 ) -> dict[str, tuple[int, dict[int, float]]]:

@@ -485,23 +485,31 @@ def report_classification(spark, folder):
     return table.select("section", "name", F.round("value", 9).alias("value"))
 
 
-def _number_distances(spark, folder, **options) -> DataFrame:
+def _number_counts(spark, folder) -> DataFrame:
     rows = _split(spark, folder).where(F.col("split").isin("train", "test"))
-    return drift.distances(rows, NUMBERS, F.col("split") == "train", **options)
+    return drift.value_counts(rows, NUMBERS, F.col("split") == "train")
 
 
 @_query
 def drift_ks(spark, folder):
-    return _number_distances(spark, folder).select("feature", F.round("ks", 9).alias("ks"))
+    scores = drift.ordered_scores(_number_counts(spark, folder))
+    return scores.select("feature", F.round("ks", 9).alias("ks"))
 
 
 @_query
 def drift_wasserstein(spark, folder):
-    # few buckets and short chunks, so that open buckets are counted value by value
-    scores = _number_distances(spark, folder, buckets=16, chunk_rows=1_000)
+    scores = drift.ordered_scores(_number_counts(spark, folder), chunk_rows=1_000)
     return scores.select("feature", F.round("wasserstein", 6).alias("wasserstein"))
 
 
+@_query
+def drift_distances(spark, folder):
+    """Both from bucket counts, values only of buckets that leave them open."""
+    rows = _split(spark, folder).where(F.col("split").isin("train", "test"))
+    scores = drift.distances(rows, NUMBERS, F.col("split") == "train")
+    return scores.select("feature", F.round("ks", 9).alias("ks"), F.round("wasserstein", 6).alias("wasserstein"))
+
+
 @_query
 def drift_js(spark, folder):
     rows = _split(spark, folder).where(F.col("split").isin("train", "test"))
