@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from paddock.operators.ordered import Past, lay_out, prior
+from paddock.operators.ordered import Past, cut_by_event, lay_out, prior, with_parts
 
 WANTED = {
     "sum3": Past("sum", "x", 3),
@@ -96,3 +96,51 @@ def test_finer_keys_follow_the_same_parts(spark):
     assert got == want
     with pytest.raises(ValueError):
         prior(lay_out(df, ["key"], ["a", "b"]), WANTED, ["odd"])
+
+
+def _events(spark):
+    """One long key, one NULL key and short ones; several rows for an event."""
+    rng = random.Random(7)
+    rows = [(rng.choice([1, 1, 1, None, rng.randrange(2, 60)]), rng.randrange(200), i, float(i % 7)) for i in range(2000)]
+    return rows, spark.createDataFrame(rows, "key int, a int, b int, x double")
+
+
+@pytest.mark.parametrize("chunk_rows", [10**6, 300, 40])
+def test_rows_cut_by_event_stay_where_they_are(spark, chunk_rows):
+    rows, df = _events(spark)
+    laid = cut_by_event(df, ["key"], ["a", "b"], ["a"], chunk_rows)
+    assert laid.whole == (chunk_rows == 10**6)
+    parts = {(r["key"], r["_part"]) for r in laid.table.collect()}
+    assert (max(p for k, p in parts if k == 1) > 1) == (not laid.whole)
+    assert {p for k, p in parts if k not in (1, None)} == {0}
+    got = {(r["key"], r["a"], r["b"]): {n: r[n] for n in WANTED} for r in prior(laid, WANTED).collect()}
+    assert got == brute(rows)
+
+
+@pytest.mark.parametrize("chunk_rows", [40, 10**6])
+def test_rows_of_one_layout_pass_through_another(spark, chunk_rows):
+    rows, df = _events(spark)
+    df = df.withColumn("other", F.col("b") % 3)
+    by_key, by_other = (cut_by_event(df, [k], ["a", "b"], ["a"], chunk_rows) for k in ("key", "other"))
+    first = prior(by_other, {"n_other": Past("count")}, keep_part=True)
+    out = prior(by_key, WANTED, onto=with_parts(by_key, first))
+    assert out.columns == [*df.columns, "n_other", *WANTED]
+    got = {(r["key"], r["a"], r["b"]): {n: r[n] for n in WANTED} for r in out.collect()}
+    assert got == brute(rows)
+
+
+def test_windows_over_whole_keys_share_a_shuffle(spark):
+    _, df = _events(spark)
+    df = df.withColumn("odd", F.col("b") % 2)
+    laid = cut_by_event(df, ["key"], ["a", "b"], ["a"])
+    first = prior(laid, WANTED, keep_part=True)
+    more = prior(laid, {"n_odd": Past("count")}, ["key", "odd"], onto=first)
+    plan = more._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_many_short_chunks_do_not_make_tasks(spark):
+    df = spark.range(20_000).selectExpr("id % 50 AS key", "id AS a", "1.0 AS x")
+    laid = cut_by_event(df, ["key"], ["a"], ["a"], 4)
+    assert laid.table.select("key", "_part").distinct().count() == 5_000
+    assert laid.table.rdd.getNumPartitions() <= 64
