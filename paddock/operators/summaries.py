@@ -200,18 +200,21 @@ def feature_histograms(df: DataFrame, features: Sequence[str], bins: int = 30) -
 
 
 def numbered(df: DataFrame, order: Sequence) -> DataFrame:
-    """The rows in an order, with their ``position`` from 1, which no task computes alone.
+    """The rows with their ``position`` from 1 in an order, which no task computes alone.
 
-    Sorted partitions are counted, the counts before each are added up, and a row has that
-    plus its place in its partition.
+    Rows are sorted once and stored with their place in their part.  The parts are counted,
+    and the counts before a part are added to the places in it.  The rows are not sorted
+    again: ``position`` is their order.
     """
-    laid = materialize(df.sort(*order).withColumn("_part", F.spark_partition_id()), "sorted")
-    place = F.row_number().over(Window.partitionBy("_part").orderBy(*order))
-    # one row for each partition of the sorted table
+    # the upper 31 bits are the part, the lower 33 the place in it
+    ordered = df.sort(*order).withColumn("_place", F.monotonically_increasing_id())
+    ordered = ordered.withColumn("_part", F.shiftright("_place", 33).cast("int"))
+    laid = materialize(ordered.withColumn("_place", F.col("_place").bitwiseAND(2**33 - 1)), "sorted")
+    # one row for each part of the sorted table
     before = F.sum("n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
     sizes = laid.groupBy("_part").agg(F.count(F.lit(1)).alias("n")).select("_part", F.coalesce(before, F.lit(0)).alias("_before"))
-    placed = laid.withColumn("_place", place).join(sizes, "_part")
-    return placed.withColumn("position", F.col("_before") + F.col("_place")).drop("_part", "_place", "_before").sort("position")
+    placed = laid.join(F.broadcast(sizes), "_part")
+    return placed.withColumn("position", F.col("_before") + F.col("_place") + 1).drop("_part", "_place", "_before")
 
 
 def box_statistics(df: DataFrame, features: Sequence[str]) -> DataFrame:
