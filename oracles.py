@@ -1013,7 +1013,7 @@ SELECT race_id, year, round, driver_id, grid_position, qualifying_position, top1
         "predictions_json": """
 SELECT race_id, year, round, driver_id, grid_position, qualifying_position, top10_probability,
   top10_prediction, dnf_probability, dnf_prediction, target_top_10, target_dnf, NULL::INT AS broken
-FROM scored WHERE driver_id % 2 = 0
+FROM scored
 UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL,
   length('{"race_id":' || race_id || ',"driver_id":' || driver_id) FROM scored WHERE driver_id % 2 = 1""",
         "eval_predictions": """

@@ -4,6 +4,7 @@ import pytest
 
 from paddock import scratch
 from paddock.operators import quality
+from paddock.plans import catalog
 from paddock.sources import csv_lake, files, lake, schemas, sinks, toy
 
 
@@ -222,3 +223,18 @@ def test_stored_tables_can_be_released(spark):
     scratch.release(spark, made)
     assert made == [] and not files.exists(spark, paths[0])
     assert two.count() == 4 and outside.count() == 5 and not scratch.reads(outside, [])
+
+
+def test_every_prediction_is_read_back_from_its_record(spark):
+    folder = "/root/testdata/sf0.001"
+    read = catalog.predictions_json(spark, folder)
+    whole = read.where("broken IS NULL")
+    rows = sinks.selected(catalog._scored(spark, folder))
+    assert whole.drop("broken").exceptAll(rows).isEmpty() and rows.exceptAll(whole.drop("broken")).isEmpty()
+    assert read.where("broken IS NOT NULL").count() == rows.where("driver_id % 2 = 1").count()
+
+
+def test_only_few_rows_are_small(spark):
+    df = spark.range(100)
+    assert "broadcast" in scratch.small(df, 800)._jdf.queryExecution().analyzed().toString().lower()
+    assert "broadcast" not in scratch.small(df, 799)._jdf.queryExecution().analyzed().toString().lower()
