@@ -75,6 +75,20 @@ def test_training_with_one_class(rows, value):
     assert (mixed["roc_auc"], mixed["log_loss"]) == (1.0, 0.0)
 
 
+def test_a_forest_sends_bounded_histograms(spark, rows):
+    """However short the parts are asked to be, their number stops growing."""
+    context = spark.sparkContext
+    context.setJobGroup("forest of short parts", "")
+    try:
+        training.train(rows, "target_top_10", COLUMNS, trees=2, depth=2, partition_rows=4, key="id")
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    tracker = context.statusTracker()
+    jobs = [tracker.getJobInfo(j) for j in tracker.getJobIdsForGroup("forest of short parts")]
+    stages = [tracker.getStageInfo(s) for job in jobs if job for s in job.stageIds]
+    assert 30 < max(stage.numTasks for stage in stages if stage) <= 64
+
+
 SAME_FOREST = """
 import sys
 sys.path[:0] = [{root!r}, {tests!r}]
