@@ -1,3 +1,4 @@
+import time
 from pathlib import Path
 
 import pytest
@@ -130,6 +131,36 @@ def test_one_folder_per_race(spark, tmp_path, file_rows):
     assert {r["race_id"]: r["n"] for r in back.groupBy("race_id").agg({"*": "count"}).toDF("race_id", "n").collect()} == {7: 2, 8: 30, 9: 1}
 
 
+def test_very_many_races(spark, tmp_path):
+    """Folders are made by tasks: ten milliseconds for each on the driver would take longer."""
+    rows = spark.range(6000).selectExpr("2020 AS year", "id % 300 AS round", "id % 3000 AS race_id", "id AS driver_id")
+    started = time.perf_counter()
+    for _ in range(2):
+        sinks.write_per_race(rows, f"{tmp_path}/out")
+    assert time.perf_counter() - started < 60
+    back = sinks.read_csv(spark, f"{tmp_path}/out", rows)
+    assert back.count() == 6000 and back.exceptAll(rows).isEmpty()
+    names = [p.name for p in (tmp_path / "out").rglob("*") if p.is_file()]
+    assert len(names) == 3000 and all(n.startswith("part-") for n in names)
+
+
+def test_race_files_hold_what_spark_writes(spark, tmp_path):
+    odd = ["plain", 'a "quoted" one', "a,b", "", None, " blank ", "tab\t", "ü", "back\\slash"]
+    data = [(2020, 1, r, i, v) for i, v in enumerate(odd) for r in ("7", "a/b=c %", None)]
+    schema = "year int, round int, race_id string, driver_id int, `the,note` string"
+    rows = spark.createDataFrame(data, schema).coalesce(1)
+    sinks.write_per_race(rows, f"{tmp_path}/ours")
+    rows.write.partitionBy("year", "round", "race_id").options(**sinks.DIALECT).csv(f"{tmp_path}/sparks")
+
+    def texts(folder):
+        found = {}
+        for path in (tmp_path / folder).rglob("part-*.csv"):
+            found.setdefault(str(path.parent.relative_to(tmp_path / folder)), []).append(path.read_text().splitlines())
+        return {name: sorted(sum((t[1:] for t in files), [files[0][0]])) for name, files in found.items()}
+
+    assert texts("ours") == texts("sparks") and len(texts("ours")) == 3
+
+
 def test_broken_json_records_keep_their_text(spark):
     like = spark.sql("SELECT 1 AS race_id, CAST(0.5 AS DOUBLE) AS p, true AS yes")
     texts = ['{"race_id":1,"p":null,"yes":true}', '{"race_id":2', '{"race_id":"x","p":0.25,"yes":false}', "no json"]
