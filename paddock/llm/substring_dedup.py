@@ -11,7 +11,6 @@ occurrences form a passage, which is reported (and can be cut) if it has enough
 
 from __future__ import annotations
 
-import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -201,6 +200,8 @@ ANCHOR = 56  # bytes of an anchor; up to 3 less where it would part a character
 WINDOW = 46  # of so many places in a row one at least is an anchor
 REACH = ANCHOR + WINDOW  # bytes that an end is extended by; whatever lies further has anchors of its own
 _LAST = np.uint64(0xFFFFFFFF)
+_SLICE = 1 << 16  # places hashed together, which suit a processor's cache
+_TOGETHER = 1 << 18  # bytes of texts joined
 
 
 def anchors(data: bytes) -> list[tuple[int, int]]:
@@ -211,40 +212,113 @@ def anchors(data: bytes) -> list[tuple[int, int]]:
     whatever they consist of.  In periodic text equal anchors follow each other by
     ``WINDOW`` at most, not more densely.  A text shorter than an anchor is one itself.
     """
-    n = len(data)
-    if n <= ANCHOR:
-        return [(0, n)] if n else []
-    raw = np.frombuffer(data, dtype=np.uint8)
-    places = n - ANCHOR + 1
-    chosen = []
-    for start in range(0, places, _BATCH):  # very long texts in pieces, with the windows that reach over
-        stop = min(start + _BATCH + WINDOW - 1, places)
-        if start and stop - start < WINDOW:
-            break
-        # the hash of a place is that of its first 16 bytes
-        hashed = rolling(raw[start : stop + _SPAN - 1])[_SPAN - 1 :] * np.uint32(0x9E3779B1)
-        keys = (hashed.astype(np.uint64) << np.uint64(32)) | np.arange(stop - start, dtype=np.uint64)
-        keys[(raw[start:stop] & 0xC0) == 0x80] |= _LAST << np.uint64(32)  # no place inside a character
-        width, window = 1, min(WINDOW, len(keys))
-        while width < window:
-            step = min(width, window - width)
+    _, at, sizes, _, _ = anchors_of([data])
+    return list(zip(at.tolist(), sizes.tolist(), strict=True))
+
+
+def anchors_of(texts: list[bytes]) -> tuple[np.ndarray, ...]:
+    """Text number, place, size and two digests of the anchors of many texts, which are joined and hashed together."""
+    lengths = np.array([len(t) for t in texts], dtype=np.int64)
+    stops = np.cumsum(lengths)
+    begins = stops - lengths
+    # zeros stand behind the last text, so that 56 bytes can be read at every place
+    raw = np.frombuffer(b"".join([*texts, bytes(ANCHOR)]), dtype=np.uint8)
+    least = _least(raw, begins, lengths)
+    least = least[(raw[least] & 0xC0) != 0x80]  # else the window is no text
+    at = _distinct([least, begins[(lengths > 0) & (lengths <= ANCHOR)]])
+    text = np.searchsorted(stops, at, side="right")
+    end = np.minimum(at + ANCHOR, stops[text])
+    for _ in range(3):
+        end -= (end < stops[text]) & (end > at + ANCHOR - 3) & ((raw[end] & 0xC0) == 0x80)
+    digest, check = _digests(raw, at, end - at)
+    kept = _apart(text, at, stops, digest, check)
+    return text[kept], (at - begins[text])[kept], (end - at)[kept], digest[kept], check[kept]
+
+
+def _least(raw: np.ndarray, begins: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Places, in order, that have the least hash in a window of their text."""
+    places = lengths - ANCHOR + 1
+    chosen = [np.empty(0, dtype=np.int64)]
+    # starts of windows, in all texts that hold a whole one
+    edges = np.zeros(len(raw) + 1, dtype=np.int8)
+    full = places >= WINDOW
+    edges[begins[full]] += 1
+    edges[(begins + places - WINDOW + 1)[full]] -= 1
+    window = np.cumsum(edges, dtype=np.int8).view(bool)
+    total = len(raw) - ANCHOR
+    for start in range(0, total, _SLICE):  # in pieces, with the windows that reach over
+        inside = np.flatnonzero(window[start : start + _SLICE])
+        if not len(inside):
+            continue
+        keys = _keys(raw, start, min(start + _SLICE + WINDOW - 1, total))
+        width = 1
+        while width < WINDOW:
+            step = min(width, WINDOW - width)
             keys = np.minimum(keys[:-step], keys[step:])
             width += step
-        at = (keys & _LAST).astype(np.int64)
-        at = at[np.concatenate([[True], at[1:] != at[:-1]])] + start
-        chosen.append(at)
-    found, kept = np.unique(np.concatenate(chosen)).tolist(), []
-    found = [p for p in found if (data[p] & 0xC0) != 0x80]  # else the window is no text
-    last = b""
-    for p, after in zip(found, [*found[1:], n], strict=True):
-        q = p + ANCHOR
-        while q < n and q > p + ANCHOR - 3 and (data[q] & 0xC0) == 0x80:
-            q -= 1
-        # of equal anchors one in each window is enough
-        if kept and after - kept[-1][0] <= WINDOW and data[p:q] == last:
-            continue
-        kept.append((p, q - p))
-        last = data[p:q]
+        at = (keys[inside] & _LAST).astype(np.int64) + start
+        chosen.append(at[np.concatenate([[True], at[1:] != at[:-1]])])
+    for k in np.flatnonzero((places > 1) & ~full):  # all places are one window
+        at = int(begins[k])
+        chosen.append(np.array([int(_keys(raw, at, at + int(places[k])).min() & _LAST) + at]))
+    return _distinct(chosen)
+
+
+def _distinct(places: list[np.ndarray]) -> np.ndarray:
+    """Places in order, each once; they are mostly in order, which a stable sort makes use of."""
+    found = np.sort(np.concatenate(places), kind="stable")
+    return found[np.concatenate([[True], found[1:] != found[:-1]])[: len(found)]]
+
+
+def _keys(raw: np.ndarray, start: int, stop: int) -> np.ndarray:
+    """Hash and number of each place; the hash is that of its first 16 bytes."""
+    hashed = rolling(raw[start : stop + _SPAN - 1])[_SPAN - 1 :] * np.uint32(0x9E3779B1)
+    keys = (hashed.astype(np.uint64) << np.uint64(32)) | np.arange(stop - start, dtype=np.uint64)
+    keys[(raw[start:stop] & 0xC0) == 0x80] |= _LAST << np.uint64(32)  # no place inside a character
+    return keys
+
+
+def _digests(raw: np.ndarray, at: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """64 and 32 bits of the bytes at each place and their number."""
+    held = np.lib.stride_tricks.sliding_window_view(raw, ANCHOR)
+    digests, checks = [np.empty(0, dtype=np.int64)], [np.empty(0, dtype=np.int32)]
+    for start in range(0, len(at), _SLICE):
+        size = sizes[start : start + _SLICE]
+        piece = held[at[start : start + _SLICE]]
+        short = np.flatnonzero(size < ANCHOR)
+        piece[short] *= np.arange(ANCHOR) < size[short, None]
+        one = _mixed(size.astype(np.uint64))
+        two = one ^ np.uint64(0x5851F42D4C957F2D)
+        for word in piece.view("<u8").T:
+            one = _mixed(one ^ word)
+            two = (two ^ (one >> np.uint64(29))) * np.uint64(0xD1342543DE82EF95) + word
+        digests.append(one.view(np.int64))
+        checks.append((_mixed(two) >> np.uint64(32)).astype(np.uint32).view(np.int32))
+    return np.concatenate(digests), np.concatenate(checks)
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    """Every bit of a number spread over all bits, one to one."""
+    x = x + np.uint64(0x9E3779B97F4A7C15)
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def _apart(text: np.ndarray, at: np.ndarray, stops: np.ndarray, digest: np.ndarray, check: np.ndarray) -> np.ndarray:
+    """Whether an anchor stays: of equal ones that follow each other one in each window is enough."""
+    kept = np.ones(len(at), dtype=bool)
+    same = (text[1:] == text[:-1]) & (digest[1:] == digest[:-1]) & (check[1:] == check[:-1])
+    last, before = 0, -1
+    for k in (np.flatnonzero(same) + 1).tolist():
+        if before != k - 1:
+            last = int(at[k - 1])
+        before = k
+        further = k + 1 < len(at) and text[k + 1] == text[k]
+        if (at[k + 1] if further else stops[text[k]]) - last <= WINDOW:
+            kept[k] = False
+        else:
+            last = int(at[k])
     return kept
 
 
@@ -265,32 +339,21 @@ def _anchored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One row for each anchor: where it is, its size, a digest of 64 bits and one of 32 more."""
     codec = pa.Codec("zstd")
     for batch in batches:
-        kind = batch.schema.field("id").type
-        names = ("tag", "id", "packed", "size")
-        held = {n: [] for n in ("id", "tag", "at", "size", "digest", "check")}
-
-        def made(held: dict = held, kind: pa.DataType = kind) -> pa.RecordBatch:
-            kinds = (kind, pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32())
-            return pa.RecordBatch.from_arrays(
-                [pa.array(x, k) for x, k in zip(held.values(), kinds, strict=True)], names=list(held)
+        packed, sizes = batch.column("packed").to_pylist(), batch.column("size").to_pylist()
+        start = held = 0
+        for k, size in enumerate(sizes):
+            held += size
+            if held < _TOGETHER and k + 1 < len(sizes):
+                continue
+            some = slice(start, k + 1)
+            texts = [codec.decompress(t, n, asbytes=True) for t, n in zip(packed[some], sizes[some], strict=True)]
+            text, at, length, digest, check = anchors_of(texts)
+            rows = batch.slice(start, k + 1 - start).select(["id", "tag"]).take(pa.array(text))
+            arrays = (pa.array(at), pa.array(length, pa.int32()), pa.array(digest), pa.array(check))
+            yield pa.RecordBatch.from_arrays(
+                [*rows.columns, *arrays], names=["id", "tag", "at", "size", "digest", "check"]
             )
-
-        for tag, i, packed, size in zip(*(batch.column(n).to_pylist() for n in names), strict=True):
-            data = codec.decompress(packed, size, asbytes=True)
-            for p, length in anchors(data):
-                digest = xxhash.xxh3_128_digest(data[p : p + length])
-                row = (i, tag, p, length, *_DIGESTS.unpack(digest[:12]))
-                for column, value in zip(held.values(), row, strict=True):
-                    column.append(value)
-            if len(held["tag"]) >= _ROWS:
-                yield made()
-                for column in held.values():
-                    column.clear()
-        if held["tag"]:
-            yield made()
-
-
-_DIGESTS = struct.Struct("=qi")
+            start, held = k + 1, 0
 
 
 def _digested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -184,3 +184,48 @@ def test_both_ends_of_a_repeat_are_cut(spark):
         raw = texts[i].encode()
         expected[i] = (raw[:start] + raw[end:]).decode()
     assert cut == expected
+
+
+def slow_anchors(data):
+    """The anchors of a text, one place and one window at a time."""
+    size, window, n = substring_dedup.ANCHOR, substring_dedup.WINDOW, len(data)
+    if n <= size:
+        return [(0, n)] if n else []
+
+    def key(p):
+        gears = (int(substring_dedup._GEAR[b]) << (15 - k) for k, b in enumerate(data[p : p + 16]))
+        inside = data[p] & 0xC0 == 0x80
+        return (2**32 - 1 if inside else sum(gears) * 0x9E3779B1 % 2**32, p)
+
+    keys = [key(p) for p in range(n - size + 1)]
+    least = sorted({min(keys[p : p + window])[1] for p in range(max(1, len(keys) - window + 1))})
+    least = [p for p in least if data[p] & 0xC0 != 0x80]
+    kept = []
+    for p, after in zip(least, [*least[1:], n], strict=True):
+        q = p + size
+        while q < n and q > p + size - 3 and data[q] & 0xC0 == 0x80:
+            q -= 1
+        if kept and after - kept[-1][0] <= window and data[p:q] == data[kept[-1][0] : sum(kept[-1])]:
+            continue
+        kept.append((p, q - p))
+    return kept
+
+
+def test_texts_are_hashed_together(monkeypatch):
+    r, texts = random.Random(4), []
+    for alphabet in ("ab", "a", "abcdefgh ", "é日 x", "𝒳é日"):
+        for size in (0, 1, 20, 55, 56, 57, 60, 101, 102, 103, 400):
+            text = "".join(r.choices(alphabet, k=size))
+            texts += [text.encode(), (text[:7] * 40).encode()]
+    r.shuffle(texts)
+    calls, hashed = [], substring_dedup.rolling
+    monkeypatch.setattr(substring_dedup, "rolling", lambda raw: calls.append(len(raw)) or hashed(raw))
+    substring_dedup.anchors_of([prose(k, 60).encode() for k in range(500)])
+    assert len(calls) <= 1 + sum(calls) // substring_dedup._SLICE
+    expected = [(i, *x) for i, t in enumerate(texts) for x in slow_anchors(t)]
+    for length in (substring_dedup._SLICE, 777):
+        monkeypatch.setattr(substring_dedup, "_SLICE", length)
+        text, at, size, digest, check = (x.tolist() for x in substring_dedup.anchors_of(texts))
+        assert list(zip(text, at, size, strict=True)) == expected
+        named = {(texts[i][p : p + n], d, c) for i, p, n, d, c in zip(text, at, size, digest, check, strict=True)}
+        assert len(named) == len({x[0] for x in named}) == len({x[1] for x in named}) == len({x[2] for x in named})
