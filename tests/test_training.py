@@ -121,3 +121,30 @@ def test_the_same_forest_on_any_cluster(rows, tmp_path):
         found.update(line for line in done.stdout.splitlines() if line.startswith("FOREST"))
         assert done.returncode == 0, done.stderr[-2000:]
     assert len(found) == 1
+
+
+def test_trees_grown_in_several_forests_are_one(spark, rows, models, tmp_path):
+    name, target = "top10", "target_top_10"
+    model = training.train(rows, target, COLUMNS, trees=10, depth=4, tree_rows=1_300)
+    forests = model.stages[2:]
+    assert [f.getNumTrees for f in forests] == [3, 3, 2, 2] and len(model.stages) == 6
+    assert len({t.toDebugString for f in forests for t in f.trees}) == 10
+    training.save(model, str(tmp_path), name)
+    again = training.load_all(spark, str(tmp_path))
+    scored = training.score(rows, {name: model})
+    assert scored.exceptAll(training.score(rows, again)).isEmpty()
+    assert scored.columns == [*rows.columns, "top10_probability", "top10_prediction"]
+    # the mean of all trees, one by one
+    inputs = [r["model_input"] for r in model.transform(rows).orderBy("id").limit(50).collect()]
+    for row, x in zip(scored.orderBy("id").limit(50).collect(), inputs, strict=True):
+        votes = [t.predictProbability(x)[1] for f in forests for t in f.trees]
+        assert row["top10_probability"] == pytest.approx(sum(votes) / 10, abs=1e-12)
+        assert row["top10_prediction"] == (sum(votes) > 5)
+    table = {r["feature"]: r["importance"] for r in training.importances(model, COLUMNS).collect()}
+    each = [t.featureImportances.toArray() for f in forests for t in f.trees]
+    assert table == pytest.approx(dict(zip(COLUMNS, sum(each) / 10, strict=True)))
+    assert training.evaluate_all(rows, {name: model}).first()["roc_auc"] > 0.85
+    assert not training.saw_one_class(model)
+    one = training.train(rows, "ever", COLUMNS, trees=4, depth=2, tree_rows=400)
+    assert training.saw_one_class(one)
+    assert training.score(rows, {name: one}).where("top10_probability <> 1 OR NOT top10_prediction").isEmpty()
