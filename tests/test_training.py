@@ -148,3 +148,27 @@ def test_trees_grown_in_several_forests_are_one(spark, rows, models, tmp_path):
     one = training.train(rows, "ever", COLUMNS, trees=4, depth=2, tree_rows=400)
     assert training.saw_one_class(one)
     assert training.score(rows, {name: one}).where("top10_probability <> 1 OR NOT top10_prediction").isEmpty()
+
+
+def _shuffle_files(spark):
+    """Names of the shuffle files on this machine's disk."""
+    import os
+
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+    return {f for d in folders for _, _, files in os.walk(d.getPath()) for f in files if f.startswith("shuffle_")}
+
+
+def test_stored_tables_and_forests_leave_no_shuffle_files(spark, rows):
+    import time
+
+    before = _shuffle_files(spark)
+    materialize(rows.groupBy("flag").count(), "counts")
+    assert not _shuffle_files(spark) - before
+    model = training.train(rows, "target_top_10", COLUMNS, trees=4, depth=3, tree_rows=800, key="id")
+    for _ in range(40):
+        # what nothing refers to is deleted in the background
+        left = _shuffle_files(spark) - before
+        if not left:
+            break
+        time.sleep(0.25)
+    assert not left and len(model.stages) == 4
