@@ -141,3 +141,41 @@ def test_toy_lake_keys(spark, lake):
         assert quality.orphans(lake[child], key, lake[parent], key).isEmpty()
     assert lake["results"].where("points < 0").isEmpty()
     assert toy.lake(spark, 2, 3, 4)["results"].count() == 24
+
+
+def test_marked_rows_give_the_same_careers(lake):
+    """With a driver that has several rows in a race, and wins with the later one."""
+    plain = marts.results_enriched(lake).select(*ft._source_columns())
+    again = plain.where("driver_id % 3 = 1").selectExpr(
+        "* EXCEPT (result_id, finish_position_order)",
+        "result_id + 10000 AS result_id",
+        "CASE WHEN race_id % 4 = 0 THEN 1 WHEN race_id % 4 = 1 THEN NULL ELSE 3 END AS finish_position_order",
+    )
+    rows = materialize(plain.unionByName(again), "plain_rows")
+    marked = materialize(marts.mark_firsts(rows), "marked_rows")
+    for entity in ("driver_id", "constructor_id"):
+        want, got = (marts.career_statistics(r, entity) for r in (rows, marked))
+        assert got.exceptAll(want.select(*got.columns)).isEmpty() and got.count() == want.count() > 1
+        plan = got._jdf.queryExecution().optimizedPlan().toString()
+        assert "race_id" not in plan.split("Relation")[0]
+
+
+def test_lines_of_an_order_are_shuffled_once(spark):
+    from paddock.plans.staging import stage
+    from paddock.sources import binding
+
+    folder = "/root/testdata/sf0.001"
+    lake = binding.lake(spark, folder)
+    want = ft.source_rows(lake, binding.TOP_K, unique_qualifying=True)
+    results = stage("results", binding.results(spark, folder, qualified=True), "qualifying_position")
+    got = ft.source_rows(lake, binding.TOP_K, True, results)
+    columns = [c for c in want.columns if not c.startswith(marts.FIRST)]
+    assert got.select(*columns).exceptAll(want.select(*columns)).isEmpty() and got.count() == want.count() > 0
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = binding.results(spark, folder)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert plan.count("hashpartitioning(l_orderkey") == 1 and "hashpartitioning(l_orderkey#" in plan
+    assert not any("hashpartitioning(" in line and "l_suppkey" in line and "l_orderkey" in line for line in plan.splitlines())
