@@ -144,3 +144,13 @@ def test_many_short_chunks_do_not_make_tasks(spark):
     laid = cut_by_event(df, ["key"], ["a"], ["a"], 4)
     assert laid.table.select("key", "_part").distinct().count() == 5_000
     assert laid.table.rdd.getNumPartitions() <= 64
+
+
+@pytest.mark.parametrize("chunk_rows", [40, 10**6])
+def test_rows_are_shuffled_without_what_the_windows_add_up(spark, chunk_rows):
+    _, df = _events(spark)
+    laid = cut_by_event(df, ["key"], ["a", "b"], ["a"], chunk_rows)
+    plan = prior(laid, {"n": Past("count", None, 2)})._jdf.queryExecution().optimizedPlan()
+    text = plan.toString()
+    moved = text[text.index("RepartitionByExpression") :]
+    assert "_value_n" not in moved
